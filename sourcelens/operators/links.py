@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sourcelens.functions.text import brands_in
+from sourcelens.functions.text import brand_hit
 from sourcelens.functions.urls import host_of, outbound_links
 from sourcelens.rules import CAP_LINKS, BrandRules
 
@@ -31,10 +31,15 @@ def link_table(df: DataFrame, rules: BrandRules, key: str = "page_id", text: str
 
 def brand_mentions(df: DataFrame, brands, key: str = "doc_id", text: str = "text",
                    word_boundary: bool = False) -> DataFrame:
-    """J11 long form: one (key, brand_pos, brand) row per brand named in the text.
-
-    Implemented as an explode of the F8 array rather than a join: no pairs are formed,
-    and the brand list (configuration) is compiled into the projection."""
-    return (df.select(key, F.posexplode(brands_in(F.col(text), list(brands), word_boundary))
-                      .alias("brand_pos", "brand"))
-              .withColumn("brand_pos", F.col("brand_pos") + 1))
+    """J11 long form: one (key, brand_pos, brand) row per brand named in the text, where
+    ``brand_pos`` is the brand's 1-based position in the brand list.
+
+    Built as an explode of a fixed-size array of (position, brand-or-null) structs and a
+    filter, rather than a join: no pairs are formed, and the brand list (configuration)
+    is compiled into the projection."""
+    lt = F.lower(F.coalesce(F.col(text), F.lit("")))
+    hits = F.array(*[F.struct(F.lit(i + 1).alias("brand_pos"),
+                              F.when(brand_hit(lt, b, word_boundary), F.lit(b)).alias("brand"))
+                     for i, b in enumerate(brands)])
+    return (df.select(key, F.inline(hits))
+              .where(F.col("brand").isNotNull()))
