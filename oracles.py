@@ -304,7 +304,7 @@ arows AS (
          CASE WHEN status = 'ok' THEN anyc END AS mentions_competition,
          CASE WHEN status = 'ok' AND cn <> '' THEN 'Names: ' || cn ELSE '' END AS competition_summary,
          CASE WHEN status = 'ok' THEN cj ELSE '' END AS competitors_named,
-         CASE WHEN status = 'ok' THEN 0.0 END AS sentiment,
+         CASE WHEN status = 'ok' THEN CAST(0.0 AS DOUBLE) END AS sentiment,
          CAST(NULL AS VARCHAR) AS price,
          CASE WHEN status = 'ok' THEN array_to_string(srcs, ', ') ELSE '' END AS sources_cited,
          CASE WHEN status = 'ok' THEN len(list_filter(srcs, lambda s: {nonprod(host('s'))})) > 0 ELSE false END
@@ -562,6 +562,6 @@ SELECT doc_id, CASE WHEN has_v THEN 'model' ELSE 'fallback' END AS verdict_sourc
        CASE WHEN has_v THEN contains(lower(t8), 'there') ELSE anyc END AS mentions_competition,
        CASE WHEN has_v THEN (CASE WHEN contains(lower(t8), 'there') THEN 'There' ELSE '' END) ELSE cj END
          AS competitors_named,
-       CASE WHEN has_v THEN 0.5 ELSE 0.0 END AS sentiment
+       CAST(CASE WHEN has_v THEN 0.5 ELSE 0.0 END AS DOUBLE) AS sentiment
 FROM m"""
     return q
