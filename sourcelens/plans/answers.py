@@ -28,6 +28,11 @@ def classify_answers(answers: DataFrame, verdicts: DataFrame | None, rules: Bran
     call (``error`` set) is ``error``; ``ok`` answers take the model verdict by key or the
     whole fallback, and cite verdict sources ++ citations ++ inline URLs (canonical,
     ordered distinct, first 15)."""
+    for c, v in (("intent", "unknown"), ("topic_id", ""), ("error", None)):
+        if c not in answers.columns:
+            answers = answers.withColumn(c, F.lit(v).cast("string"))
+    if "citations" not in answers.columns:
+        answers = answers.withColumn("citations", F.array().cast("array<string>"))
     df = answers.withColumn("status", status("response", "error")).withColumn("key", answer_key())
     df = with_text_labels(df, rules, "response")
     ok = F.col("status") == "ok"
