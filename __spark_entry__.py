@@ -248,17 +248,12 @@ def q_adhoc_prompts(spark, sf):
 
 
 def _web(spark, sf, as_of=tb.AS_OF):
-    recs = tb.page_records(spark, sf)
-    recs = tag_topics(recs.where(F.col("platform") != "reddit"), topics_frame(spark, tb.LANG_TOPICS), "query",
-                      broadcast=True).unionByName(
-        recs.where(F.col("platform") == "reddit").withColumn("intent", F.lit("community"))
-        .withColumn("topic_id", F.lit("")))
-    cache = tb.page_cache(spark, sf)
-    snap0 = web_snapshot(recs, cache, None, R, as_of, cache_seq="seq")
-    crawled = tb.crawled_bodies(spark, sf).join(snap0.crawl_list, "url", "left_semi")
-    snap = web_snapshot(recs, cache, crawled, R, as_of, verdicts=tb.label_verdicts_by_url(spark, sf),
-                        cache_seq="seq")
-    return snap
+    recs = tag_topics(tb.page_records(spark, sf), topics_frame(spark, tb.LANG_TOPICS), "query", broadcast=True)
+    forum = F.col("platform") == "reddit"
+    recs = (recs.withColumn("intent", F.when(forum, F.lit("community")).otherwise(F.col("intent")))
+                .withColumn("topic_id", F.when(forum, F.lit("")).otherwise(F.col("topic_id"))))
+    return web_snapshot(recs, tb.page_cache(spark, sf), tb.crawled_bodies(spark, sf), R, as_of,
+                        verdicts=tb.label_verdicts_by_url(spark, sf), cache_seq="seq")
 
 
 def q_web_snapshot(spark, sf):

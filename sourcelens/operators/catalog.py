@@ -9,6 +9,9 @@ from sourcelens.functions.urls import strip_ws
 from sourcelens.operators.dedupe import keep_first, last_by_key
 from sourcelens.schemas import TOPIC
 
+# Selector lists are typed by a user; beyond this many name tokens they are not broadcast.
+MAX_BROADCAST_SELECTORS = 10000
+
 
 def topics_frame(spark: SparkSession, topics: list[dict]) -> DataFrame:
     """A catalog given as configuration (list of {id, intent, query}); ``seq`` = list order."""
@@ -68,8 +71,9 @@ def select_catalog(catalog: DataFrame, selectors: DataFrame | None, label: str =
     each label is kept once, at its first selection.  With ``check`` a token that matches
     nothing raises ``ValueError``.
 
-    The selectors are typed by a user (a handful of rows), so they are broadcast and the
-    catalog streams through a nested-loop join without being shuffled.
+    Position tokens join on the position (an equi-join).  Name tokens are a substring
+    match: the token list (typed by a user, size checked) is broadcast and the catalog
+    streams through a nested-loop join without being shuffled.
     """
     if selectors is None:
         return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
@@ -78,9 +82,15 @@ def select_catalog(catalog: DataFrame, selectors: DataFrame | None, label: str =
     if not head or (len(head) == 1 and head[0].token.lower() in ("all", "*")):
         return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
     is_num = F.col("token").rlike("^[0-9]+$")
-    cond = ((is_num & (F.col(pos) == F.col("token").cast("bigint")))
-            | (~is_num & F.lower(F.col(label)).contains(F.lower(F.col("token")))))
-    matched = catalog.join(F.broadcast(toks), cond, "inner")
+    # position tokens: an equi-join on the position, exact at any size
+    by_pos = catalog.join(toks.where(is_num).select("ord", F.col("token").cast("bigint").alias("_pos")),
+                          F.col(pos) == F.col("_pos"), "inner").drop("_pos")
+    # name tokens: a substring theta join; the token list is broadcast only under a checked size
+    names = toks.where(~is_num)
+    if names.count() <= MAX_BROADCAST_SELECTORS:
+        names = F.broadcast(names)
+    by_name = catalog.join(names, F.lower(F.col(label)).contains(F.lower(F.col("token"))), "inner").drop("token")
+    matched = by_pos.drop("token").unionByName(by_name)
     if check:
         unmatched = toks.join(matched.select(F.col("ord").alias("_mo")).distinct(),
                               F.col("ord") == F.col("_mo"), "left_anti")
@@ -88,7 +98,7 @@ def select_catalog(catalog: DataFrame, selectors: DataFrame | None, label: str =
         if bad:
             raise ValueError(f"no match for selection: {bad}")
     chosen = keep_first(matched, label, ["ord", pos])
-    return chosen.withColumnRenamed("ord", "sel_ord").drop("token")
+    return chosen.withColumnRenamed("ord", "sel_ord")
 
 
 def add_adhoc(selected: DataFrame, extra: DataFrame, prompt: str = "prompt") -> DataFrame:

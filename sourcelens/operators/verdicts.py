@@ -102,28 +102,39 @@ def score_batches(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame],
 
     ``scorer(batch)`` gets a pandas frame with ``key``, ``text`` (capped at ``text_cap``)
     and the ``hints`` columns, and returns verdict rows matching ``schema`` (must include
-    ``key``).  A batch that raises is retried row by row; a row that raises yields no
-    verdict, so the merge (J5) gives it the fallback.  Parallelism is the number of
+    ``key``).  A batch that raises is split in halves until the failing rows are isolated;
+    a row that raises yields no verdict, so the merge (J5) gives it the fallback.  Parallelism is the number of
     partitions: ``repartition`` the input to bound calls per task.
     """
     cols = [F.col(key).cast("string").alias("key"), cap(F.col(text), text_cap).alias("text")] + \
            [F.col(h) for h in hints]
     names = [f.name for f in schema.fields]
 
+    def score(batch: pd.DataFrame) -> list[pd.DataFrame]:
+        """Score a batch; on failure split it in halves, so k failing rows cost
+        O(k log n) scorer calls instead of one call per row."""
+        try:
+            out = scorer(batch)
+            return [] if out is None or len(out) == 0 else [out]
+        except Exception:
+            if len(batch) <= 1:
+                return []
+            mid = len(batch) // 2
+            return score(batch.iloc[:mid]) + score(batch.iloc[mid:])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            try:
-                out = scorer(batch)
-            except Exception:
-                parts = []
-                for i in range(len(batch)):
-                    try:
-                        parts.append(scorer(batch.iloc[i:i + 1]))
-                    except Exception:
-                        continue
-                out = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=names)
-            if out is None or len(out) == 0:
-                continue
-            yield out.reindex(columns=names)
+            for out in score(batch):
+                yield out.reindex(columns=names)
 
     return df.select(*cols).mapInPandas(run, schema)
+
+
+def persist_scores(verdicts: DataFrame) -> DataFrame:
+    """Save scorer output once: with a shared checkpoint folder configured
+    (``spark.checkpoint.dir``) the verdicts are checkpointed there, so a lost executor
+    re-reads them instead of calling the scorer (a paid, slow model) again."""
+    from sourcelens.session import checkpoint_dir
+    if checkpoint_dir(verdicts.sparkSession):
+        return verdicts.checkpoint(eager=True)
+    return verdicts

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sourcelens.operators.answers import error_rows, merged_sources, status
 from sourcelens.functions.urls import any_nonprod
 from sourcelens.operators.catalog import tag_topics
-from sourcelens.operators.verdicts import answer_fallback, merge_verdicts, score_batches, with_text_labels
+from sourcelens.operators.verdicts import (answer_fallback, merge_verdicts, persist_scores, score_batches,
+                                           with_text_labels)
 from sourcelens.schemas import ANSWER_VERDICT, LLM_COLUMNS
 from sourcelens.rules import BrandRules
 
@@ -88,8 +89,8 @@ def answer_snapshot(manifest: DataFrame, answers: DataFrame, rules: BrandRules,
         failed_calls = failed_calls.unionByName(failures.select("surface", "run", "prompt", "note"))
     if scorer is not None and verdicts is None:
         to_score = ok_or_empty.withColumn("status", status("response", "error")).where(F.col("status") == "ok")
-        verdicts = score_batches(to_score.withColumn("key", answer_key()), scorer, ANSWER_VERDICT, "key",
-                                 "response", ("surface", "prompt"))
+        verdicts = persist_scores(score_batches(to_score.withColumn("key", answer_key()), scorer, ANSWER_VERDICT,
+                                                "key", "response", ("surface", "prompt")))
     rows = classify_answers(ok_or_empty, verdicts, rules)
     errs = error_rows(manifest, failed_calls, known)
     parts = [rows, errs]

@@ -46,7 +46,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as three discovery sources (web, news, forum) with ranks derived from page_id."""
+    """Pages as three discovery sources (web, news, forum) with ranks derived from page_id.
+
+    One scan of each table: every page row is turned into its three records by an
+    ``inline`` of a three-element array (no union of three scans)."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.col("text").alias("doc"))
     conv0 = (table(spark, sf_dir, "conversations").where(F.col("turn") == 0)
@@ -54,18 +57,16 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (pages.join(docs, "page_id", "left").join(conv0, "page_id", "left")
                  .withColumn("title", F.regexp_extract("html", r"<title>(.*?)</title>", 1))
                  .withColumn("query", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1)))
-    web = base.select("url", F.lit("web").alias("platform"), "query", (F.col("page_id") % 20 + 1).alias("rank"),
-                      "title", F.left(F.coalesce("doc", F.lit("")), F.lit(300)).alias("snippet"),
-                      F.lit(0).alias("source_ord"), F.col("page_id").alias("seq"))
-    news = base.select("url", F.lit("news").alias("platform"), "query", (F.col("page_id") % 7 + 1).alias("rank"),
-                       "title", F.col("title").alias("snippet"), F.lit(1).alias("source_ord"),
-                       F.col("page_id").alias("seq"))
-    forum = base.select("url", F.lit("reddit").alias("platform"), F.lit("reddit").alias("query"),
-                        F.lit(0).alias("rank"), "title",
-                        F.left(F.coalesce("turn0", F.lit("")), F.lit(4000)).alias("snippet"),
-                        F.lit(3).alias("source_ord"), F.col("page_id").alias("seq"))
-    return web.unionByName(news).unionByName(forum).withColumn("rank", F.col("rank").cast("bigint")) \
-        .withColumn("source_ord", F.col("source_ord").cast("bigint"))
+
+    def rec(platform, query, rank, snippet, source_ord):
+        return F.struct(F.lit(platform).alias("platform"), query.alias("query"), rank.cast("bigint").alias("rank"),
+                        snippet.alias("snippet"), F.lit(source_ord).cast("bigint").alias("source_ord"))
+    three = F.array(
+        rec("web", F.col("query"), F.col("page_id") % 20 + 1, F.left(F.coalesce("doc", F.lit("")), F.lit(300)), 0),
+        rec("news", F.col("query"), F.col("page_id") % 7 + 1, F.col("title"), 1),
+        rec("reddit", F.lit("reddit"), F.lit(0), F.left(F.coalesce("turn0", F.lit("")), F.lit(4000)), 3))
+    return base.select("url", "title", F.col("page_id").alias("seq"), F.inline(three)).select(
+        "url", "platform", "query", "rank", "title", "snippet", "source_ord", "seq")
 
 
 def page_cache(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbou
 from sourcelens.operators.dedupe import dedupe_best
 from sourcelens.operators.fetch import enrich, merge_bodies, plan_fetch
 from sourcelens.operators.ownership import ownership
-from sourcelens.operators.verdicts import merge_verdicts, score_batches, web_fallback, with_text_labels
+from sourcelens.operators.verdicts import (merge_verdicts, persist_scores, score_batches, web_fallback,
+                                           with_text_labels)
 from sourcelens.rules import CAP_LINKS, BrandRules
 from sourcelens.schemas import WEB_COLUMNS, WEB_VERDICT
 from sourcelens.session import cut_lineage
@@ -66,7 +67,8 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     """Union of sources -> canonical URL -> best record per URL -> cache hits / crawl list
     -> bodies (crawled wins) -> richer of body and snippet -> E1.
 
-    ``crawled`` is the landed crawl of the previous crawl list (``read_pages``); ``cache_seq``
+    ``crawled`` is the landed crawl (``read_pages``); only its bodies for this run's crawl
+    list (cache misses) are used and upserted into the next cache version; ``cache_seq``
     orders cache rows of equal URL and date (last wins); when a
     ``scorer`` is given, verdicts come from V1 over the non-empty bodies.  Shuffles: the
     dedupe (by URL), the cache/body joins (by URL) and the verdict join (by URL) - all on
@@ -78,13 +80,16 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     if checkpoint:
         best = cut_lineage(best)
     plan = plan_fetch(best.select("url"), cache, as_of, seq=cache_seq)
+    if crawled is not None:
+        # the crawl answers the crawl list: bodies for URLs that were cache hits are ignored
+        crawled = crawled.select("url", "text").join(plan.misses, "url", "left_semi")
     bodies = merge_bodies(plan.hits, crawled)
     enriched = enrich(best, bodies, "url", "snippet", "body")
     if scorer is not None and verdicts is None:
         labelled = with_text_labels(enriched.where(F.col("body") != ""), rules, "body")
         hints = tuple(rules.claim_names) + ("current_signal", "prices_seen")
-        verdicts = score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT, "key", "body",
-                                 hints)
+        verdicts = persist_scores(score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT,
+                                                "key", "body", hints))
     sheet = classify_web(enriched, verdicts, rules, "body")
     next_cache = cache_upsert(cache, crawled, as_of)
     return WebSnapshot(sheet=sheet, crawl_list=plan.misses, cache_next=next_cache)
