@@ -32,7 +32,9 @@ from sourcelens.operators.verdicts import (answer_fallback, merge_verdicts, scor
 from sourcelens.plans import reports, testbed as tb  # noqa: E402
 from sourcelens.plans.answers import answer_sheet, answer_snapshot  # noqa: E402
 from sourcelens.plans.web import web_snapshot  # noqa: E402
-from sourcelens.schemas import LLM_COLUMNS, WEB_COLUMNS, WEB_VERDICT  # noqa: E402
+from sourcelens.schemas import (AD_ITEM, ANSWER_API_ITEM, ANSWER_ITEM, CONTENT_ITEM, FORUM_ITEM,  # noqa: E402
+                                LLM_COLUMNS, SERP_ITEM, WEB_COLUMNS, WEB_VERDICT)
+from sourcelens.sources import readers  # noqa: E402
 from sourcelens.sources.cache import cache_fresh, cache_upsert  # noqa: E402
 
 R = tb.rules()
@@ -326,6 +328,50 @@ def q_scored_verdicts(spark, sf):
                     "sentiment")
 
 
+def _topics(spark):
+    return topics_frame(spark, tb.LANG_TOPICS)
+
+
+def q_serp_records(spark, sf):
+    items = tb.parse_lines(tb.serp_lines(spark, sf), SERP_ITEM)
+    return readers.serp_records(items, _topics(spark), "web", True).select(
+        "url", "platform", "query", "intent", "topic_id", "rank", "title", "snippet", "seq")
+
+
+def q_news_records(spark, sf):
+    items = tb.parse_lines(tb.serp_lines(spark, sf), SERP_ITEM)
+    return readers.serp_records(items, _topics(spark), "news", False).select(
+        "url", "platform", "query", "intent", "topic_id", "rank", "title", "snippet", "seq")
+
+
+def q_ad_records(spark, sf):
+    items = tb.parse_lines(tb.ad_lines(spark, sf), AD_ITEM)
+    return readers.ad_records(items, R).select("url", "title", "snippet", "advertiser", "ownership", "seq")
+
+
+def q_forum_records(spark, sf):
+    items = tb.parse_lines(tb.forum_lines(spark, sf), FORUM_ITEM)
+    return readers.forum_records(items).select("url", "title", "snippet", "seq")
+
+
+def q_page_bodies(spark, sf):
+    return readers.page_bodies(tb.parse_lines(tb.content_lines(spark, sf), CONTENT_ITEM)).select("url", "text")
+
+
+def q_answer_items(spark, sf):
+    a = readers.answer_items(tb.parse_lines(tb.answer_lines(spark, sf), ANSWER_ITEM))
+    return a.select("surface", "run", "prompt", "response", F.array_join("citations", ", ").alias("citations"), "seq")
+
+
+def q_answer_api_items(spark, sf):
+    a = readers.answer_api_items(tb.parse_lines(tb.answer_api_lines(spark, sf), ANSWER_API_ITEM))
+    return a.select("surface", "run", "prompt", "response", F.array_join("citations", ", ").alias("citations"), "seq")
+
+
+def q_run_counters(spark, sf):
+    return reports.run_counters(_web(spark, sf).sheet)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: which pages, per canonical URL, belong to whom and on what host (sf0.001)."""
     sf = "/root/testdata/sf0.001"
@@ -371,6 +417,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_diff": q_snapshot_diff,
         "score_against_gold": q_score_against_gold,
         "scored_verdicts": q_scored_verdicts,
+        "serp_records": q_serp_records,
+        "news_records": q_news_records,
+        "ad_records": q_ad_records,
+        "forum_records": q_forum_records,
+        "page_bodies": q_page_bodies,
+        "answer_items": q_answer_items,
+        "answer_api_items": q_answer_api_items,
+        "run_counters": q_run_counters,
     }
 
 

@@ -564,4 +564,105 @@ SELECT doc_id, CASE WHEN has_v THEN 'model' ELSE 'fallback' END AS verdict_sourc
          AS competitors_named,
        CAST(CASE WHEN has_v THEN 0.5 ELSE 0.0 END AS DOUBLE) AS sentiment
 FROM m"""
+    q.update(landing_oracles())
+    web_counts = ", ".join(f"CAST(count_if(source = {lit(x)}) AS BIGINT) AS source_{x}" for x in
+                           ("web", "ai_overview", "chatgpt_search", "perplexity_search", "news", "ads", "reddit"))
+    q["run_counters"] = f"""{web}
+SELECT CAST(count(*) AS BIGINT) AS rows, {web_counts}, CAST(count(DISTINCT url) AS BIGINT) AS unique_urls,
+       CAST(count_if(nonprod_url) AS BIGINT) AS nonprod,
+       CAST(count_if(verdict_source = 'fallback') AS BIGINT) AS fallback_verdicts
+FROM w_sheet"""
+    return q
+
+
+def page_base_cte() -> str:
+    return """
+pb AS (
+  SELECT p.page_id, p.url, p.html, d.text AS doc, c.text AS turn0, n.next_url,
+         regexp_extract(p.html, '<title>(.*?)</title>', 1) AS title,
+         regexp_extract(p.url, '^https?://[^/]+/([a-z]{2})/', 1) AS lang
+  FROM pages p
+  LEFT JOIN documents d ON d.doc_id = p.page_id
+  LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) c ON c.conv_id = p.page_id
+  LEFT JOIN (SELECT page_id - 1 AS page_id, url AS next_url FROM pages) n ON n.page_id = p.page_id)"""
+
+
+def landing_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    topics = ", ".join(f"({lit(t['id'])}, {lit(t['intent'])}, {lit(t['query'])}, {i})"
+                       for i, t in enumerate(tb.LANG_TOPICS))
+    tcte = f"""
+lt AS (
+  SELECT id, intent, query FROM (
+    SELECT *, row_number() OVER (PARTITION BY query ORDER BY seq DESC) AS rn
+    FROM (VALUES {topics}) t(id, intent, query, seq)) WHERE rn = 1)"""
+    organic = """
+SELECT url, 'PLATFORM' AS platform, lang AS query, CAST(1 AS BIGINT) AS rank, coalesce(title, '') AS title,
+       left(coalesce(doc, ''), 200) AS snippet, page_id * 1000 AS seq FROM pb WHERE coalesce(url, '') <> ''
+UNION ALL
+SELECT next_url, 'PLATFORM', lang, CAST(3 AS BIGINT), 'next', '', page_id * 1000 + 2 FROM pb
+WHERE coalesce(next_url, '') <> ''"""
+    ai = ("(CASE WHEN page_id % 3 = 0 THEN '{\"n\":' || CAST(page_id AS VARCHAR) || '}' "
+          "WHEN page_id % 3 = 1 THEN nullif(title, '') ELSE nullif(left(coalesce(doc, ''), 500), '') END)")
+    overview = f"""
+SELECT 'aioverview::' || lang, 'ai_overview', lang, CAST(0 AS BIGINT), 'Google AI Overview',
+       CASE WHEN starts_with(ai, '{{') OR starts_with(ai, '[') THEN left(ai, {CAP_SNIPPET}) ELSE ai END,
+       page_id * 1000 + 900
+FROM (SELECT *, {ai} AS ai FROM pb) WHERE ai IS NOT NULL
+UNION ALL
+SELECT 'chatgptsearch::' || lang, 'chatgpt_search', lang, CAST(0 AS BIGINT), 'ChatGPT Search Panel',
+       left(left(coalesce(turn0, ''), 100), {CAP_SNIPPET}), page_id * 1000 + 901 FROM pb
+WHERE left(coalesce(turn0, ''), 100) <> ''
+UNION ALL
+SELECT 'perplexitysearch::' || lang, 'perplexity_search', lang, CAST(0 AS BIGINT), 'Perplexity Search Panel',
+       left('px ' || title, {CAP_SNIPPET}), page_id * 1000 + 950 FROM pb WHERE page_id % 2 = 0"""
+    cols = "r.url, r.platform, r.query, coalesce(t.intent, 'unknown') AS intent, coalesce(t.id, '') AS topic_id, " \
+           "r.rank, r.title, r.snippet, r.seq"
+    q["serp_records"] = f"""WITH {page_base_cte().strip()}, {tcte.strip()},
+r AS ({organic.replace("PLATFORM", "web")} UNION ALL {overview})
+SELECT {cols} FROM r LEFT JOIN lt t ON t.query = r.query"""
+    q["news_records"] = f"""WITH {page_base_cte().strip()}, {tcte.strip()},
+r AS ({organic.replace("PLATFORM", "news")})
+SELECT {cols} FROM r LEFT JOIN lt t ON t.query = r.query"""
+    adv = ("(CASE WHEN page_id % 4 = 0 THEN 'License Corp' WHEN page_id % 4 = 1 THEN 'Example Ads' "
+           "WHEN page_id % 4 = 2 THEN 'AR' || CAST(page_id AS VARCHAR) ELSE 'Shop ' || CAST(page_id AS VARCHAR) END)")
+    raw = ("(CASE WHEN page_id % 3 = 0 AND coalesce(url, '') <> '' THEN url "
+           "WHEN page_id % 6 = 1 AND coalesce(next_url, '') <> '' THEN next_url ELSE '' END)")
+    copy = ("(CASE WHEN page_id % 7 = 0 THEN '' ELSE concat_ws(' ', nullif(title, ''), "
+            "nullif(left(coalesce(doc, ''), 80), '')) END)")
+    comp_tokens = [d.split(".")[-2] if "." in d else d for d in R.competitor_domains]
+    comp = " OR ".join(f"contains(lower(adv), {lit(t.lower())})" for t in comp_tokens) or "false"
+    q["ad_records"] = f"""WITH {page_base_cte().strip()},
+a AS (SELECT page_id, {adv} AS adv, {raw} AS raw_url, {copy} AS cp,
+             CASE WHEN page_id % 5 = 0 THEN {adv} ELSE 'CR' || CAST(page_id AS VARCHAR) END AS creative FROM pb)
+SELECT CASE WHEN raw_url <> '' THEN raw_url ELSE 'ad::' || creative END AS url, adv AS title,
+       left(cp, {CAP_SNIPPET}) AS snippet, adv AS advertiser,
+       CASE WHEN contains(lower(adv), {lit(R.brand_lower)}) THEN 'owned' WHEN {comp} THEN 'competitor'
+            ELSE {ownership('raw_url', host('raw_url'))} END AS ownership,
+       page_id AS seq
+FROM a WHERE raw_url <> '' OR cp <> ''"""
+    q["forum_records"] = f"""WITH f AS (
+  SELECT c.conv_id, c.turn, c.text,
+         coalesce(nullif(CASE WHEN c.conv_id % 2 = 0 THEN p.url END, ''),
+                  CASE WHEN c.role <> 'system' THEN 'https://forum.test/p/' || CAST(c.conv_id AS VARCHAR) || '/'
+                       || CAST(c.turn AS VARCHAR) END) AS u
+  FROM conversations c LEFT JOIN pages p ON p.page_id = c.conv_id)
+SELECT u AS url, 'Thread ' || CAST(conv_id AS VARCHAR) AS title, left(coalesce(nullif(text, ''), ''), {CAP_SNIPPET})
+       AS snippet, conv_id * 100 + turn AS seq
+FROM f WHERE u IS NOT NULL"""
+    q["page_bodies"] = f"""WITH {page_base_cte().strip()},
+b AS (SELECT {canon('url')} AS url, left(coalesce(CASE WHEN page_id % 2 = 0 THEN nullif(doc, '') END,
+                                                   nullif(html, ''), ''), {CAP_STORED_TEXT}) AS text, page_id FROM pb)
+SELECT url, text FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn FROM b)
+WHERE rn = 1"""
+    q["answer_items"] = f"""WITH {cte_answers().strip()}
+SELECT surface, run, prompt, coalesce(response, '') AS response,
+       array_to_string(list_filter(citations, lambda u: u IS NOT NULL AND u <> ''), ', ') AS citations,
+       conv_id * 100 + turn AS seq
+FROM ans WHERE conv_id % 9 <> 0 AND coalesce(prompt, '') <> ''"""
+    q["answer_api_items"] = f"""WITH {cte_answers().strip()}
+SELECT 'perplexity' AS surface, run, prompt, coalesce(response, '') AS response,
+       array_to_string(list_filter(citations, lambda u: u IS NOT NULL AND u <> ''), ', ') AS citations,
+       conv_id * 100 + turn AS seq
+FROM ans"""
     return q

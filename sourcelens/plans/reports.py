@@ -31,15 +31,13 @@ def nonprod_cited(answers: DataFrame, rules: BrandRules, sources: str = "sources
     return nonprod_report(s.withColumn("nonprod_url", is_nonprod_url(F.col("url"), rules)), top=top)
 
 
-def run_metrics(df: DataFrame, name: str = "run") -> tuple[DataFrame, Observation]:
-    """A5: counters gathered while the sink runs (no second pass): rows, unique URLs are the
-    rows of a deduped frame, records per source/status, non-production rows."""
-    obs = Observation(name)
-    cols = df.columns
+def _counter_exprs(cols: list[str], distinct: bool = True) -> list:
     exprs = [F.count(F.lit(1)).alias("rows")]
     if "source" in cols:
         for s in ("web", "ai_overview", "chatgpt_search", "perplexity_search", "news", "ads", "reddit"):
             exprs.append(F.count_if(F.col("source") == s).alias(f"source_{s}"))
+    if "url" in cols and distinct:  # observed metrics allow no distinct aggregates
+        exprs.append(F.count_distinct(F.col("url")).alias("unique_urls"))
     if "status" in cols:
         for s in ("ok", "empty", "error"):
             exprs.append(F.count_if(F.col("status") == s).alias(f"status_{s}"))
@@ -47,9 +45,22 @@ def run_metrics(df: DataFrame, name: str = "run") -> tuple[DataFrame, Observatio
         exprs.append(F.count_if(F.col("nonprod_url")).alias("nonprod"))
     if "verdict_source" in cols:
         exprs.append(F.count_if(F.col("verdict_source") == "fallback").alias("fallback_verdicts"))
+    return exprs
+
+
+def run_metrics(df: DataFrame, name: str = "run") -> tuple[DataFrame, Observation]:
+    """A5: counters gathered while the sink runs (no second pass): rows, unique URLs are the
+    rows of a deduped frame, records per source/status, non-production rows."""
+    obs = Observation(name)
+    exprs = _counter_exprs(df.columns, distinct=False)
     return df.observe(obs, *exprs), obs
 
 
+def run_counters(df: DataFrame) -> DataFrame:
+    """A5 as a one-row table (the same counters ``run_metrics`` observes during a write)."""
+    return df.agg(*_counter_exprs(df.columns))
+
+
 def price_table(df: DataFrame, rules: BrandRules, key: str, text: str = "text", top: int = 5) -> DataFrame:
     """F6 long form: per ``key``, the first ``top`` distinct price strings in string order.
     Distinct (key, price) is a partial aggregate; the per-key top-k is a WindowGroupLimit."""

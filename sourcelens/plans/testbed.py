@@ -160,3 +160,136 @@ def link_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("tag"), F.concat(F.lit("https://www.googletagmanager.com/gtm.js?id="), F.col("page_id").cast("string")),
         F.lit("home"), own, F.lit("more"), F.concat(F.col("u5"), F.lit(".")), F.lit("again"), F.col("u1"))
     return j.select("page_id", "url", body.alias("text"))
+
+
+# ---------------------------------------------------------------------------
+# Landed scraper output, rebuilt from the tables as JSON lines and parsed back with the
+# readers' declared schemas (one item per source row; nothing is sampled).
+# ---------------------------------------------------------------------------
+def _json_str(c):
+    """A JSON string literal for a column (to_json of a one-element array, brackets cut)."""
+    j = F.to_json(F.array(c))
+    return F.substr(j, F.lit(2), F.length(j) - 2)
+
+
+def _page_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.col("text").alias("doc"))
+    conv0 = (table(spark, sf_dir, "conversations").where(F.col("turn") == 0)
+             .select(F.col("conv_id").alias("page_id"), F.col("text").alias("turn0")))
+    nxt = table(spark, sf_dir, "pages").select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
+    return (pages.join(docs, "page_id", "left").join(conv0, "page_id", "left").join(nxt, "page_id", "left")
+                 .withColumn("title", F.regexp_extract("html", r"<title>(.*?)</title>", 1))
+                 .withColumn("lang", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1)))
+
+
+def serp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One search-result item per page: searchQuery as an object (even ids) or a string,
+    three organic hits (this page, a hit without URL, the next page), an overview that is
+    an object, a string or absent, and assistant panels."""
+    b = _page_base(spark, sf_dir)
+    pid = F.col("page_id")
+    sq = F.when(pid % 2 == 0, F.to_json(F.struct(F.col("lang").alias("term")))).otherwise(_json_str(F.col("lang")))
+    organic = F.to_json(F.array(
+        F.struct(F.col("url").alias("url"), F.col("title").alias("title"),
+                 F.left(F.coalesce("doc", F.lit("")), F.lit(200)).alias("description")),
+        F.struct(F.lit(None).cast("string").alias("url"), F.lit("ad slot").alias("title"),
+                 F.lit(None).cast("string").alias("description")),
+        F.struct(F.col("next_url").alias("url"), F.lit("next").alias("title"),
+                 F.lit(None).cast("string").alias("description"))))
+    ai = (F.when(pid % 3 == 0, F.to_json(F.struct(pid.alias("n"))))
+           .when(pid % 3 == 1, _json_str(F.col("title"))).otherwise(F.lit("null")))
+    ai_text = F.when(pid % 3 == 2, _json_str(F.left(F.coalesce("doc", F.lit("")), F.lit(500)))).otherwise(F.lit("null"))
+    chat = F.to_json(F.array(
+        F.struct(F.lit(None).cast("string").alias("text"), F.left(F.coalesce("turn0", F.lit("")), F.lit(100))
+                 .alias("answer")),
+        F.struct(F.lit("").alias("text"), F.lit("").alias("answer"))))
+    px = F.when(pid % 2 == 0, F.to_json(F.array(F.struct(F.concat(F.lit("px "), F.col("title")).alias("text")))))\
+        .otherwise(F.lit("null"))
+    line = F.concat(F.lit('{"searchQuery": '), sq, F.lit(', "organicResults": '), organic,
+                    F.lit(', "aiOverview": '), ai, F.lit(', "aiOverviewText": '), ai_text,
+                    F.lit(', "chatGptSearchResults": '), chat, F.lit(', "perplexitySearchResults": '), px, F.lit("}"))
+    return b.select(F.col("page_id").alias("item_seq"), line.alias("line"))
+
+
+def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ad item per page: own / competitor / id-only / other advertisers, landing URL or
+    preview URL or neither, and variants whose copy may be empty."""
+    b = _page_base(spark, sf_dir)
+    pid = F.col("page_id")
+    name = (F.when(pid % 4 == 0, F.lit("License Corp")).when(pid % 4 == 1, F.lit("Example Ads"))
+             .when(pid % 4 == 2, F.lit(None)).otherwise(F.concat(F.lit("Shop "), pid.cast("string"))))
+    item = F.struct(
+        name.alias("advertiserName"), F.concat(F.lit("AR"), pid.cast("string")).alias("advertiserId"),
+        F.when(pid % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("CR"), pid.cast("string"))).alias("creativeId"),
+        F.lit("TEXT").alias("format"),
+        F.when(pid % 3 == 0, F.col("url")).when(pid % 3 == 1, F.lit(None)).otherwise(F.lit("")).alias("url"),
+        F.when(pid % 6 == 1, F.col("next_url")).alias("previewUrl"),
+        F.when(pid % 7 == 0, F.array().cast("array<struct<text:string,headline:string,description:string>>"))
+         .otherwise(F.array(
+             F.struct(F.col("title").alias("text"), F.lit(None).cast("string").alias("headline"),
+                      F.lit(None).cast("string").alias("description")),
+             F.struct(F.lit(None).cast("string").alias("text"), F.lit("").alias("headline"),
+                      F.left(F.coalesce("doc", F.lit("")), F.lit(80)).alias("description")))).alias("variants"))
+    return b.select(F.col("page_id").alias("item_seq"), F.to_json(item).alias("line"))
+
+
+def forum_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One forum post per conversation turn: url (even conversations) or link, body or text."""
+    c = table(spark, sf_dir, "conversations")
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), F.col("url").alias("purl"))
+    j = c.join(pages, "conv_id", "left")
+    item = F.struct(
+        F.when(F.col("conv_id") % 2 == 0, F.col("purl")).alias("url"),
+        F.when(F.col("role") != "system", F.concat(F.lit("https://forum.test/p/"), F.col("conv_id").cast("string"),
+                                                   F.lit("/"), F.col("turn").cast("string"))).alias("link"),
+        F.concat(F.lit("Thread "), F.col("conv_id").cast("string")).alias("title"),
+        F.when(F.col("role") == "user", F.col("text")).alias("body"),
+        F.col("text").alias("text"))
+    return j.select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
+
+
+def content_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One crawled page per page: redirected URLs report the requested URL, markdown
+    (the document) on even ids, html as plain text."""
+    b = _page_base(spark, sf_dir)
+    pid = F.col("page_id")
+    item = F.struct(
+        F.when(pid % 5 == 0, F.concat(F.lit("https://redirect.test/"), pid.cast("string"))).otherwise(F.col("url"))
+        .alias("url"),
+        F.when(pid % 5 == 0, F.col("url")).alias("requested_url"),
+        F.when(pid % 2 == 0, F.col("doc")).otherwise(F.lit("")).alias("markdown"),
+        F.col("html").alias("text"))
+    return b.select(F.col("page_id").alias("item_seq"), F.to_json(item).alias("line"))
+
+
+def answer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One answer item per user turn (conversation_answers), citations as structs; items of
+    conversations divisible by 9 carry no prompt and are dropped by the reader."""
+    a = conversation_answers(spark, sf_dir)
+    cites = F.transform(F.col("citations"), lambda u: F.struct(u.alias("url"), F.lit("src").alias("title")))
+    cites = F.concat(cites, F.array(F.struct(F.lit("").alias("url"), F.lit("empty").alias("title"))))
+    item = F.struct("surface", "run", F.when(F.col("conv_id") % 9 == 0, F.lit("")).otherwise(F.col("prompt"))
+                    .alias("prompt"), "response", cites.alias("citations"))
+    return a.select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
+
+
+def answer_api_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One answer-API payload per user turn: the answer as the first choice; citations on
+    even conversations, else search results."""
+    a = conversation_answers(spark, sf_dir)
+    even = F.col("conv_id") % 2 == 0
+    item = F.struct(
+        F.lit("perplexity").alias("surface"), F.col("run"), F.col("prompt"),
+        F.when(F.col("response") == "", F.array().cast("array<struct<message:struct<content:string>>>"))
+         .otherwise(F.array(F.struct(F.struct(F.col("response").alias("content")).alias("message"))))
+        .alias("choices"),
+        F.when(even, F.concat(F.col("citations"), F.array(F.lit("")))).alias("citations"),
+        F.concat(F.transform(F.col("citations"), lambda u: F.struct(u.alias("url"))),
+                 F.array(F.struct(F.lit("").alias("url")))).alias("search_results"))
+    return a.select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
+
+
+def parse_lines(lines: DataFrame, schema) -> DataFrame:
+    """Parse landed JSON lines with a reader schema; ``item_seq`` keeps the landing order."""
+    return lines.select(F.from_json("line", schema).alias("i"), "item_seq").select("i.*", "item_seq")
