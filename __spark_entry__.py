@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from sourcelens.functions.text import any_claim, brands_in, claim_flags, mentions_brand, prices_seen  # noqa: E402
-from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, path_of  # noqa: E402
+from sourcelens.functions.urls import canonical_url, host_of, path_of  # noqa: E402
 from sourcelens.operators.answers import error_rows, with_sources, with_status  # noqa: E402
 from sourcelens.operators.catalog import (add_adhoc, request_manifest, select_catalog, selector_frame,  # noqa: E402
                                           tag_topics, topics_frame)
@@ -33,7 +33,7 @@ from sourcelens.plans import reports, testbed as tb  # noqa: E402
 from sourcelens.plans.answers import answer_sheet, answer_snapshot  # noqa: E402
 from sourcelens.plans.web import web_snapshot  # noqa: E402
 from sourcelens.schemas import (AD_ITEM, ANSWER_API_ITEM, ANSWER_ITEM, CONTENT_ITEM, FORUM_ITEM,  # noqa: E402
-                                LLM_COLUMNS, SERP_ITEM, WEB_COLUMNS, WEB_VERDICT)
+                                SERP_ITEM, WEB_COLUMNS, WEB_VERDICT)
 from sourcelens.sources import readers  # noqa: E402
 from sourcelens.sources.cache import cache_fresh, cache_upsert  # noqa: E402
 
@@ -177,7 +177,7 @@ def q_topic_tag(spark, sf):
 def q_props_json(spark, sf):
     ev = _t(spark, sf, "events")
     raw = F.col("props")
-    return ev.select("event_id", F.get_json_object(raw, "$.k").cast("bigint").alias("k"),
+    return ev.select("event_id", F.get_json_object(raw, "$.k").try_cast("bigint").alias("k"),
                      F.coalesce(F.get_json_object(raw, "$.term"), raw).alias("query"))
 
 

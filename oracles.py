@@ -459,7 +459,7 @@ FROM nxt WHERE fetch_date >= DATE '{tb.AS_OF}' - 14"""
     FROM (VALUES {topics}) t(id, intent, query, seq)) WHERE rn = 1)
 SELECT e.event_id, e.event_type AS query, coalesce(c.intent, 'unknown') AS intent, coalesce(c.id, '') AS topic_id
 FROM events e LEFT JOIN c ON c.query = e.event_type"""
-    q["props_json"] = ("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, "
+    q["props_json"] = ("SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, "
                        "coalesce(json_extract_string(props, '$.term'), props) AS query FROM events")
     q["request_manifest"] = f"WITH {manifest_cte().strip()} SELECT surface, run, prompt, intent, topic_id FROM manifest"
     fails = ", ".join(f"({lit(s)}, CAST({r} AS BIGINT), CAST({lit(p)} AS VARCHAR), {lit(n)})"

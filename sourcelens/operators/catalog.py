@@ -83,7 +83,7 @@ def select_catalog(catalog: DataFrame, selectors: DataFrame | None, label: str =
         return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
     is_num = F.col("token").rlike("^[0-9]+$")
     # position tokens: an equi-join on the position, exact at any size
-    by_pos = catalog.join(toks.where(is_num).select("ord", F.col("token").cast("bigint").alias("_pos")),
+    by_pos = catalog.join(toks.where(is_num).select("ord", F.col("token").try_cast("bigint").alias("_pos")),
                           F.col(pos) == F.col("_pos"), "inner").drop("_pos")
     # name tokens: a substring theta join; the token list is broadcast only under a checked size
     names = toks.where(~is_num)

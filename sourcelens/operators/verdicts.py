@@ -97,14 +97,15 @@ def fb_type(field: str) -> T.DataType:
 # ---------------------------------------------------------------------------
 def score_batches(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType = WEB_VERDICT,
                   key: str = "key", text: str = "text", hints: tuple[str, ...] = (),
-                  text_cap: int = CAP_SCORER_TEXT) -> DataFrame:
+                  text_cap: int = CAP_SCORER_TEXT, parallelism: int | None = None) -> DataFrame:
     """V1: run a caller-supplied scorer over Arrow batches (``mapInPandas``).
 
     ``scorer(batch)`` gets a pandas frame with ``key``, ``text`` (capped at ``text_cap``)
     and the ``hints`` columns, and returns verdict rows matching ``schema`` (must include
     ``key``).  A batch that raises is split in halves until the failing rows are isolated;
     a row that raises yields no verdict, so the merge (J5) gives it the fallback.  Parallelism is the number of
-    partitions: ``repartition`` the input to bound calls per task.
+    partitions; ``parallelism`` repartitions the (capped, projected) input to that many
+    tasks, e.g. to match a model's rate limit.
     """
     cols = [F.col(key).cast("string").alias("key"), cap(F.col(text), text_cap).alias("text")] + \
            [F.col(h) for h in hints]
@@ -127,7 +128,10 @@ def score_batches(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame],
             for out in score(batch):
                 yield out.reindex(columns=names)
 
-    return df.select(*cols).mapInPandas(run, schema)
+    inp = df.select(*cols)
+    if parallelism:
+        inp = inp.repartition(parallelism)
+    return inp.mapInPandas(run, schema)
 
 
 def persist_scores(verdicts: DataFrame) -> DataFrame:

@@ -24,6 +24,39 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
             .getOrCreate())
 
 
+# Settings for a large cluster run (hundreds of executors, tens of TB).  Applied only where
+# the session leaves them unset, so a cluster's own configuration always wins.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # start wide and let AQE coalesce: no reducer sees more than ~256 MB
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # broadcast only what is measured small at run time
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Arrow batches for the scorer (V1): bounded memory per Python worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> dict:
+    """Set ``CLUSTER_CONF`` (plus ``overrides``) on the session for every key the cluster's
+    own configuration (spark-defaults, ``--conf``) does not name.  Returns what was set."""
+    given = spark.sparkContext.getConf()
+    set_now = {}
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+            set_now[k] = v
+    return set_now
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
     d = spark.conf.get("spark.checkpoint.dir", None)

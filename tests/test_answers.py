@@ -97,3 +97,40 @@ def test_scorer_and_failed_rows(spark, rules):
     snap = {r.prompt: r for r in answer_snapshot(m, df, rules, ["chatgpt"], scorer=scorer).collect()}
     assert snap["good"].says_about_brand == "Scored." and snap["good"].price == "$99"
     assert snap["bad"].verdict_source == "fallback" and snap["bad"].says_about_brand == "Mentions license."
+
+
+def test_request_from_selection_and_adhoc_writes_snapshot(spark, tmp_path, rules):
+    """Catalog position 1 plus two ad-hoc prompts, one of them a duplicate of the selected
+    topic: the duplicate is not requested twice, the ad-hoc intent is kept, and the run is
+    written as one snapshot partition."""
+    from sourcelens.operators.catalog import add_adhoc, select_catalog, selector_frame, topics_frame
+    from sourcelens.sources.sinks import run_id, write_snapshot
+    topics = topics_frame(spark, [{"id": "brand_head", "intent": "brand_entity", "query": "license monitor"},
+                                  {"id": "cmp_token", "intent": "comparison", "query": "license vs Token"}])
+    cat = topics.select((F.col("seq") + 1).alias("pos"), F.col("query").alias("label"), "intent",
+                        F.col("id").alias("topic_id"))
+    chosen = select_catalog(cat, selector_frame(spark, ["1"])).select(F.col("label").alias("prompt"), "intent",
+                                                                      "topic_id")
+    extra = spark.createDataFrame([("license vs Other", "comparison", 0), ("license monitor", "", 1)],
+                                  "text string, intent string, ord long")
+    prompts = chosen.unionByName(add_adhoc(chosen, extra).drop("ord"))
+    m = request_manifest(prompts, ["chatgpt"], 1)
+    assert sorted(r.prompt for r in m.collect()) == ["license monitor", "license vs Other"]
+    ans = answers(spark, [("chatgpt", 1, r.prompt, "license is great. Worth it.", [], None) for r in m.collect()])
+    snap = answer_snapshot(m, ans, rules, ["chatgpt"])
+    base = str(tmp_path / "runs")
+    assert write_snapshot(answer_sheet(snap), base, "llm", run_id("llm", ["chatgpt"], 2, num_runs=1), guard=ans)
+    back = spark.read.parquet(base + "/llm")
+    assert {r.prompt: r.intent for r in back.collect()} == {"license monitor": "brand_entity",
+                                                            "license vs Other": "comparison"}
+
+
+def test_cluster_conf_only_fills_unset(spark):
+    from sourcelens.session import CLUSTER_CONF, apply_cluster_conf
+    done = apply_cluster_conf(spark, {"spark.sql.shuffle.partitions": "8"})
+    assert set(done) <= set(CLUSTER_CONF) | {"spark.sql.shuffle.partitions"}
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10485760")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8")
