@@ -43,45 +43,55 @@ def _conform(df: DataFrame) -> DataFrame:
                        for f in DISCOVERY.fields])
 
 
+_REC = "struct<url:string,platform:string,query:string,rank:bigint,title:string,snippet:string,seq:bigint>"
+
+
 def serp_records(items: DataFrame, topics: DataFrame | None, platform: str = "web",
                  overviews: bool = True) -> DataFrame:
     """S1-S3 (S4 with ``platform='news', overviews=False``): organic hits with 1-based rank
     (hits without a URL count for rank, then are dropped), the AI overview as a rank-0
-    pseudo-URL row, and the assistant panels as rank-0 pseudo-URL rows."""
-    base = items.withColumn("query", _search_query(F.col("searchQuery")))
-    organic = (base.select("query", "item_seq", F.posexplode("organicResults").alias("pos", "r"))
-                   .where(F.col("r.url").isNotNull() & (F.col("r.url") != ""))
-                   .select(F.col("r.url").alias("url"), F.lit(platform).alias("platform"), "query",
-                           (F.col("pos") + 1).cast("bigint").alias("rank"),
-                           F.coalesce(F.col("r.title"), F.lit("")).alias("title"),
-                           F.coalesce(F.col("r.description"), F.lit("")).alias("snippet"),
-                           (F.col("item_seq") * 1000 + F.col("pos")).alias("seq")))
-    parts = [organic]
+    pseudo-URL row, and the assistant panels as rank-0 pseudo-URL rows.
+
+    One pass over the items: every item builds one array of its candidate records
+    (organic, overview, panels), which is filtered and ``inline``d - the landing files are
+    scanned once, not once per record kind."""
+    q = _search_query(F.col("searchQuery"))
+    base = items.withColumn("query", q)
+    qc, seq0 = F.col("query"), F.col("item_seq") * 1000
+
+    def rec(url, plat, rank, title, snippet, seq):
+        return F.struct(url.alias("url"), F.lit(plat).alias("platform"), qc.alias("query"),
+                        F.lit(rank).cast("bigint").alias("rank") if isinstance(rank, int) else rank.cast("bigint")
+                        .alias("rank"), title.alias("title"), snippet.alias("snippet"), seq.alias("seq"))
+
+    def arr(c):
+        return F.coalesce(c, F.array().cast(f"array<{_REC}>"))
+
+    organic = F.filter(
+        F.transform(F.col("organicResults"), lambda r, i: rec(
+            r["url"], platform, i + 1, F.coalesce(r["title"], F.lit("")), F.coalesce(r["description"], F.lit("")),
+            seq0 + i)),
+        lambda x: x["url"].isNotNull() & (x["url"] != ""))
+    parts = [arr(organic)]
     if overviews:
         ai = first_nonempty(F.col("aiOverview"), F.col("aiOverviewText"))
         # object payloads (raw JSON text) are cut at 4000; strings are kept whole
         ai_text = F.when(ai.startswith("{") | ai.startswith("["), cap(ai, CAP_SNIPPET)).otherwise(ai)
-        ov = (base.where(ai.isNotNull())
-                  .select(F.concat(F.lit("aioverview::"), F.col("query")).alias("url"),
-                          F.lit("ai_overview").alias("platform"), "query", F.lit(0).cast("bigint").alias("rank"),
-                          F.lit("Google AI Overview").alias("title"), ai_text.alias("snippet"),
-                          (F.col("item_seq") * 1000 + 900).alias("seq")))
-        parts.append(ov)
+        ov = F.when(ai.isNotNull(), F.array(rec(F.concat(F.lit("aioverview::"), qc), "ai_overview", 0,
+                                                F.lit("Google AI Overview"), ai_text, seq0 + 900)))
+        parts.append(arr(ov))
         for col, prefix, plat, title, off in (
                 ("chatGptSearchResults", "chatgptsearch::", "chatgpt_search", "ChatGPT Search Panel", 901),
                 ("perplexitySearchResults", "perplexitysearch::", "perplexity_search", "Perplexity Search Panel",
                  950)):
-            p = (base.select("query", "item_seq", F.posexplode(col).alias("pos", "p"))
-                     .withColumn("t", F.coalesce(first_nonempty(F.col("p.text"), F.col("p.answer")), F.lit("")))
-                     .where(F.col("t") != "")
-                     .select(F.concat(F.lit(prefix), F.col("query")).alias("url"), F.lit(plat).alias("platform"),
-                             "query", F.lit(0).cast("bigint").alias("rank"), F.lit(title).alias("title"),
-                             cap(F.col("t"), CAP_SNIPPET).alias("snippet"),
-                             (F.col("item_seq") * 1000 + off + F.col("pos")).alias("seq")))
-            parts.append(p)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            def panel(prefix=prefix, plat=plat, title=title, off=off):
+                return lambda p, i: rec(F.concat(F.lit(prefix), qc), plat, 0, F.lit(title),
+                                        cap(F.coalesce(first_nonempty(p["text"], p["answer"]), F.lit("")),
+                                            CAP_SNIPPET),
+                                        seq0 + off + i)
+            panels = F.filter(F.transform(F.col(col), panel()), lambda x: x["snippet"] != "")
+            parts.append(arr(panels))
+    out = base.select(F.inline(F.concat(*parts)))
     if topics is not None:
         out = tag_topics(out, topics, "query")
     else:
