@@ -8,17 +8,16 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sourcelens.functions.text import nullif_empty
+from sourcelens.functions.text import best_text, nullif_empty
 from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbound_links
 from sourcelens.operators.dedupe import dedupe_best
-from sourcelens.operators.fetch import enrich, merge_bodies, plan_fetch
 from sourcelens.operators.ownership import ownership
 from sourcelens.operators.verdicts import (merge_verdicts, persist_scores, score_batches, web_fallback,
                                            with_text_labels)
 from sourcelens.rules import CAP_LINKS, BrandRules
 from sourcelens.schemas import WEB_COLUMNS, WEB_VERDICT
 from sourcelens.session import cut_lineage
-from sourcelens.sources.cache import cache_upsert
+from sourcelens.sources.cache import cache_fresh, cache_upsert
 
 LABEL_COLUMNS = ("stale", "prices_seen", "comps")
 
@@ -79,20 +78,30 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     best = dedupe_best(recs, "url")
     if checkpoint:
         best = cut_lineage(best)
-    plan = plan_fetch(best.select("url"), cache, as_of, seq=cache_seq)
+    # E5 folded into the record plan: the fresh cache and the crawl join straight onto the
+    # deduped records (both on url, the key the dedupe already partitioned by), so the
+    # dedupe runs once for the sheet and the crawl list alike.
+    fresh = cache_fresh(cache, as_of, seq=cache_seq).select("url", F.col("text").alias("_cached"))
+    j = best.join(fresh, "url", "left")
+    miss = F.col("url").startswith("http") & F.col("_cached").isNull()
     if crawled is not None:
-        # the crawl answers the crawl list: bodies for URLs that were cache hits are ignored
-        crawled = crawled.select("url", "text").join(plan.misses, "url", "left_semi")
-    bodies = merge_bodies(plan.hits, crawled)
-    enriched = enrich(best, bodies, "url", "snippet", "body")
+        j = j.join(crawled.select("url", F.col("text").alias("_crawled")), "url", "left")
+        body = F.when(miss, F.col("_crawled")).otherwise(F.col("_cached"))
+    else:
+        body = F.col("_cached")
+    j = j.withColumn("_miss", miss)
+    enriched = j.withColumn("body", best_text(body, F.col("snippet"))).drop("_cached", "_crawled")
+    crawl_list = enriched.where(F.col("_miss")).select("url")
+    enriched = enriched.drop("_miss")
     if scorer is not None and verdicts is None:
         labelled = with_text_labels(enriched.where(F.col("body") != ""), rules, "body")
         hints = tuple(rules.claim_names) + ("current_signal", "prices_seen")
         verdicts = persist_scores(score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT,
                                                 "key", "body", hints))
     sheet = classify_web(enriched, verdicts, rules, "body")
-    next_cache = cache_upsert(cache, crawled, as_of)
-    return WebSnapshot(sheet=sheet, crawl_list=plan.misses, cache_next=next_cache)
+    used = crawled.select("url", "text").join(crawl_list, "url", "left_semi") if crawled is not None else None
+    next_cache = cache_upsert(cache, used, as_of)
+    return WebSnapshot(sheet=sheet, crawl_list=crawl_list, cache_next=next_cache)
 
 
 def web_sheet(snapshot: WebSnapshot) -> DataFrame:
