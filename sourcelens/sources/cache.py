@@ -55,18 +55,22 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _versions(spark: SparkSession, base: str, complete_only: bool = True) -> list[int]:
+    """Version numbers under ``base``; with ``complete_only`` only those with ``_SUCCESS``."""
     fs, p, jvm = _fs(spark, base)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            try:
-                out.append(int(name.split("=", 1)[1]))
-            except ValueError:
-                pass
+        if not name.startswith("version="):
+            continue
+        if complete_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            continue
+        try:
+            out.append(int(name.split("=", 1)[1]))
+        except ValueError:
+            pass
     return sorted(out)
 
 
@@ -79,8 +83,9 @@ def read_cache(spark: SparkSession, base: str) -> DataFrame:
 
 
 def write_cache(df: DataFrame, base: str) -> str:
-    """Write ``df`` as the next version and return its path (the old version stays readable)."""
-    vs = _versions(df.sparkSession, base)
+    """Write ``df`` as the next version and return its path (the old version stays readable).
+    A version left incomplete by a failed job is skipped, never reused or read."""
+    vs = _versions(df.sparkSession, base, complete_only=False)
     path = f"{base}/version={(vs[-1] + 1) if vs else 1}"
     df.select("url", "text", "fetch_date").write.mode("error").partitionBy("fetch_date").parquet(path)
     return path

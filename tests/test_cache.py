@@ -76,3 +76,14 @@ def test_crawled_body_wins_and_enrich_picks_richer(spark):
     got = {r.url: r.body for r in enrich(recs, bodies).collect()}
     assert got == {"https://a.test": "crawled longer text", "https://b.test": "a much longer snippet",
                    "https://c.test": "only snippet"}
+
+
+def test_incomplete_version_is_skipped(spark, tmp_path):
+    base = tmp_path / "cache"
+    write_cache(cache_df(spark, [("https://a.test", "v1", "2024-01-20")]), str(base))
+    (base / "version=2").mkdir()          # a write that died before its _SUCCESS marker
+    (base / "version=2" / "part-0.parquet").write_text("garbage")
+    assert [r.text for r in read_cache(spark, str(base)).collect()] == ["v1"]
+    p = write_cache(cache_df(spark, [("https://a.test", "v3", "2024-01-20")]), str(base))
+    assert p.endswith("version=3")
+    assert [r.text for r in read_cache(spark, str(base)).collect()] == ["v3"]

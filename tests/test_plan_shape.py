@@ -43,3 +43,37 @@ def test_cache_ttl_filter_pushed_to_scan(spark, tmp_path):
 def test_report_top_k_is_distributed(spark):
     p = plan(E.q_nonprod_report(spark, SF))
     assert "TakeOrderedAndProject" in p
+
+
+def test_dedupe_with_a_hot_url(spark):
+    """A third of all rows on one URL: the result is still one best row per URL."""
+    from pyspark.sql import functions as F
+    from sourcelens.operators.dedupe import dedupe_best
+    n = 30000
+    df = (spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("https://hot.test")).otherwise(
+            F.concat(F.lit("https://u"), F.col("id").cast("string"), F.lit(".test"))).alias("url"),
+        ((F.col("id") * 7919) % 50 + 1).alias("rank"), F.lit(0).alias("source_ord"), F.col("id").alias("seq")))
+    out = dedupe_best(df, "url")
+    assert out.count() == n - n // 3 + 1
+    hot = out.where(F.col("url") == "https://hot.test").first()
+    best_rank = df.where(F.col("url") == "https://hot.test").agg(F.min("rank")).first()[0]
+    first_seq = (df.where((F.col("url") == "https://hot.test") & (F.col("rank") == best_rank))
+                   .agg(F.min("seq")).first()[0])
+    assert (hot.rank, hot.seq) == (best_rank, first_seq)
+
+
+def test_citation_share_with_a_hot_host(spark):
+    """One host holds a third of all citations: shares still sum to one, and the
+    aggregation is partial (HashAggregate before the shuffle)."""
+    from pyspark.sql import functions as F
+    from sourcelens.plans.reports import citation_rollup
+    df = spark.range(9000).select(
+        F.lit("ok").alias("status"),
+        F.when(F.col("id") % 3 == 0, F.lit("https://hot.test/a")).otherwise(
+            F.concat(F.lit("https://h"), (F.col("id") % 100).cast("string"), F.lit(".test/x"))).alias("sources_cited"))
+    out = citation_rollup(df)
+    rows = {r.host: r.citations for r in out.collect()}
+    assert rows["hot.test"] == 3000 and sum(rows.values()) == 9000
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in p
