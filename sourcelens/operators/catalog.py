@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from sourcelens.functions.urls import strip_ws
 from sourcelens.operators.dedupe import keep_first, last_by_key
 from sourcelens.schemas import TOPIC
 
-# Selector lists are typed by a user; beyond this many name tokens they are not broadcast.
-MAX_BROADCAST_SELECTORS = 10000
+# Selector lists are typed by a user; up to this many tokens are compiled into the plan.
+MAX_INLINE_SELECTORS = 1000
 
 
 def topics_frame(spark: SparkSession, topics: list[dict]) -> DataFrame:
@@ -67,38 +69,60 @@ def select_catalog(catalog: DataFrame, selectors: DataFrame | None, label: str =
 
     A token of ASCII digits is a 1-based catalog position; any other token selects every
     row whose label contains it (case-insensitive).  No selectors, or ``all``/``*`` as
-    the only token, selects everything.  Result order key: (``sel_ord``, ``pos``);
-    each label is kept once, at its first selection.  With ``check`` a token that matches
+    the only token, selects everything.  Result order key: (``sel_ord``, ``pos``); each
+    label is kept once, at its first selection.  With ``check`` a token that matches
     nothing raises ``ValueError``.
 
-    Position tokens join on the position (an equi-join).  Name tokens are a substring
-    match: the token list (typed by a user, size checked) is broadcast and the catalog
-    streams through a nested-loop join without being shuffled.
+    Selector lists are typed by a user.  Up to ``MAX_INLINE_SELECTORS`` tokens (count
+    checked) are compiled into the projection: each catalog row gets the ord of its first
+    matching token, so the catalog streams through without a join; unmatched tokens come
+    from one partial aggregate.  Longer lists fall back to joins (``_select_by_join``).
     """
     if selectors is None:
         return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
     toks = selectors.select("ord", strip_ws(F.col("token")).alias("token")).where(F.col("token") != "")
-    head = toks.limit(2).collect()  # the selector list is a handful of user-typed rows
-    if not head or (len(head) == 1 and head[0].token.lower() in ("all", "*")):
+    n = toks.count()  # the selector list is a handful of user-typed rows
+    if n == 0:
+        return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
+    if n == 1 and toks.first().token.lower() in ("all", "*"):
         return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
+    if n > MAX_INLINE_SELECTORS:
+        return _select_by_join(catalog, toks, label, pos, check)
+    rows = sorted(((r.ord, r.token) for r in toks.collect()), key=lambda t: t[0])
+    lab = F.lower(F.col(label))
+
+    def hit(token: str):
+        if re.fullmatch(r"[0-9]+", token):
+            return F.col(pos) == F.lit(int(token))
+        return lab.contains(token.lower())
+
+    conds = [(o, hit(t)) for o, t in rows]
+    if check:
+        seen = catalog.agg(*[F.max(F.when(c, F.lit(1)).otherwise(F.lit(0))).alias(f"t{i}")
+                             for i, (_, c) in enumerate(conds)]).first()
+        bad = [rows[i][1] for i in range(len(rows)) if not seen[f"t{i}"]]
+        if bad:
+            raise ValueError(f"no match for selection: {bad}")
+    first_ord = F.array_min(F.array_compact(F.array(*[F.when(c, F.lit(o).cast("bigint")) for o, c in conds])))
+    matched = catalog.withColumn("ord", first_ord).where(F.col("ord").isNotNull())
+    return keep_first(matched, label, ["ord", pos]).withColumnRenamed("ord", "sel_ord")
+
+
+def _select_by_join(catalog: DataFrame, toks: DataFrame, label: str, pos: str, check: bool) -> DataFrame:
+    """J12 for very long selector lists: positions by equi-join, names by a substring join."""
     is_num = F.col("token").rlike("^[0-9]+$")
-    # position tokens: an equi-join on the position, exact at any size
     by_pos = catalog.join(toks.where(is_num).select("ord", F.col("token").try_cast("bigint").alias("_pos")),
                           F.col(pos) == F.col("_pos"), "inner").drop("_pos")
-    # name tokens: a substring theta join; the token list is broadcast only under a checked size
-    names = toks.where(~is_num)
-    if names.count() <= MAX_BROADCAST_SELECTORS:
-        names = F.broadcast(names)
-    by_name = catalog.join(names, F.lower(F.col(label)).contains(F.lower(F.col("token"))), "inner").drop("token")
-    matched = by_pos.drop("token").unionByName(by_name)
+    by_name = catalog.join(toks.where(~is_num), F.lower(F.col(label)).contains(F.lower(F.col("token"))),
+                           "inner").drop("token")
+    matched = by_pos.unionByName(by_name)
     if check:
         unmatched = toks.join(matched.select(F.col("ord").alias("_mo")).distinct(),
                               F.col("ord") == F.col("_mo"), "left_anti")
         bad = [r.token for r in unmatched.limit(20).collect()]
         if bad:
             raise ValueError(f"no match for selection: {bad}")
-    chosen = keep_first(matched, label, ["ord", pos])
-    return chosen.withColumnRenamed("ord", "sel_ord")
+    return keep_first(matched, label, ["ord", pos]).withColumnRenamed("ord", "sel_ord")
 
 
 def add_adhoc(selected: DataFrame, extra: DataFrame, prompt: str = "prompt") -> DataFrame:

@@ -80,3 +80,13 @@ def test_request_manifest(spark):
     assert sorted({r.run for r in m.collect()}) == [1, 2, 3]
     with pytest.raises(ValueError):
         request_manifest(prompts, ["chatgpt"], 0)
+
+
+def test_selection_join_fallback_agrees(spark, monkeypatch):
+    import sourcelens.operators.catalog as cat_mod
+    items = ["alpha", "beta", "gamma", "alphabet"]
+    want = chosen(spark, items, ["GAM", "1", "alpha"])
+    monkeypatch.setattr(cat_mod, "MAX_INLINE_SELECTORS", 0)
+    assert chosen(spark, items, ["GAM", "1", "alpha"]) == want == ["gamma", "alpha", "alphabet"]
+    with pytest.raises(ValueError):
+        chosen(spark, items, ["zzz"])
