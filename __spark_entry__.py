@@ -368,6 +368,10 @@ def q_answer_api_items(spark, sf):
     return a.select("surface", "run", "prompt", "response", F.array_join("citations", ", ").alias("citations"), "seq")
 
 
+def q_nonprod_cited(spark, sf):
+    return reports.nonprod_cited(_answers(spark, sf), R)
+
+
 def q_run_counters(spark, sf):
     return reports.run_counters(_web(spark, sf).sheet)
 
@@ -425,6 +429,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "answer_items": q_answer_items,
         "answer_api_items": q_answer_api_items,
         "run_counters": q_run_counters,
+        "nonprod_cited": q_nonprod_cited,
     }
 
 

@@ -229,7 +229,10 @@ def web_ctes(as_of: str, p: str) -> str:
   FROM {p}hits h FULL OUTER JOIN {p}crawled c ON c.url = h.url),
 {p}enriched AS (
   SELECT b.*, CASE WHEN length(coalesce(x.text, '')) >= length(coalesce(b.snippet, '')) THEN coalesce(x.text, '')
-                   ELSE coalesce(b.snippet, '') END AS body
+                   ELSE coalesce(b.snippet, '') END AS body,
+         CASE WHEN b.url IN (SELECT url FROM {p}hits) THEN 'cache'
+              WHEN b.url IN (SELECT url FROM {p}crawled) THEN 'crawl'
+              WHEN b.url IN (SELECT url FROM {p}misses) THEN 'missing' ELSE 'none' END AS fetch_status
   FROM {p}best b LEFT JOIN {p}bodies x ON x.url = b.url),
 {p}verdicts AS (
   SELECT key, says, mc, comps, sentiment FROM (
@@ -264,7 +267,7 @@ def web_ctes(as_of: str, p: str) -> str:
          prices[1] AS price,
          array_to_string(list_filter(_fl, lambda x, i: list_position(_fl, x) = i)[1:20], ', ') AS links_on_source,
          {nonprod('h')} AS nonprod_url, coalesce(title, '') AS title,
-         CASE WHEN has_v THEN 'model' ELSE 'fallback' END AS verdict_source
+         CASE WHEN has_v THEN 'model' ELSE 'fallback' END AS verdict_source, fetch_status
   FROM {p}links1)"""
 
 
@@ -570,8 +573,13 @@ FROM m"""
     q["run_counters"] = f"""{web}
 SELECT CAST(count(*) AS BIGINT) AS rows, {web_counts}, CAST(count(DISTINCT url) AS BIGINT) AS unique_urls,
        CAST(count_if(nonprod_url) AS BIGINT) AS nonprod,
-       CAST(count_if(verdict_source = 'fallback') AS BIGINT) AS fallback_verdicts
+       CAST(count_if(verdict_source = 'fallback') AS BIGINT) AS fallback_verdicts,
+       CAST(count_if(fetch_status = 'cache') AS BIGINT) AS fetch_cache, CAST(count_if(fetch_status = 'crawl') AS BIGINT) AS fetch_crawl,
+       CAST(count_if(fetch_status = 'missing') AS BIGINT) AS fetch_missing
 FROM w_sheet"""
+    q["nonprod_cited"] = f"""{ans}
+SELECT DISTINCT src AS url FROM (SELECT unnest(string_split(sources_cited, ', ')) AS src FROM asheet)
+WHERE src <> '' AND {nonprod(host('src'))} ORDER BY url LIMIT 5"""
     return q
 
 

@@ -45,6 +45,9 @@ def _counter_exprs(cols: list[str], distinct: bool = True) -> list:
         exprs.append(F.count_if(F.col("nonprod_url")).alias("nonprod"))
     if "verdict_source" in cols:
         exprs.append(F.count_if(F.col("verdict_source") == "fallback").alias("fallback_verdicts"))
+    if "fetch_status" in cols:
+        for s in ("cache", "crawl", "missing"):
+            exprs.append(F.count_if(F.col("fetch_status") == s).alias(f"fetch_{s}"))
     return exprs
 
 

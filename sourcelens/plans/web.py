@@ -55,7 +55,7 @@ def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRul
 
 @dataclass
 class WebSnapshot:
-    sheet: DataFrame          # 15 sheet columns + verdict_source and label extras
+    sheet: DataFrame          # 15 sheet columns + verdict_source, fetch_status (cache/crawl/missing/none), labels
     crawl_list: DataFrame     # url: records to crawl (cache misses)
     cache_next: DataFrame     # the cache after upserting the crawled bodies (write with write_cache)
 
@@ -89,7 +89,12 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
         body = F.when(miss, F.col("_crawled")).otherwise(F.col("_cached"))
     else:
         body = F.col("_cached")
-    j = j.withColumn("_miss", miss)
+    crawled_body = F.col("_crawled").isNotNull() if crawled is not None else F.lit(False)
+    fetch = (F.when(F.col("_cached").isNotNull(), F.lit("cache"))
+              .when(miss & crawled_body, F.lit("crawl"))
+              .when(miss, F.lit("missing"))
+              .otherwise(F.lit("none")))
+    j = j.withColumn("_miss", miss).withColumn("fetch_status", fetch)
     enriched = j.withColumn("body", best_text(body, F.col("snippet"))).drop("_cached", "_crawled")
     crawl_list = enriched.where(F.col("_miss")).select("url")
     enriched = enriched.drop("_miss")
@@ -98,7 +103,7 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
         hints = tuple(rules.claim_names) + ("current_signal", "prices_seen")
         verdicts = persist_scores(score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT,
                                                 "key", "body", hints))
-    sheet = classify_web(enriched, verdicts, rules, "body")
+    sheet = classify_web(enriched, verdicts, rules, "body", keep=("fetch_status",))
     used = crawled.select("url", "text").join(crawl_list, "url", "left_semi") if crawled is not None else None
     next_cache = cache_upsert(cache, used, as_of)
     return WebSnapshot(sheet=sheet, crawl_list=crawl_list, cache_next=next_cache)
