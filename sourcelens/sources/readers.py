@@ -194,6 +194,20 @@ def read_answer_api(spark: SparkSession, path) -> DataFrame:
     return answer_api_items(read_items(spark, path, ANSWER_API_ITEM))
 
 
+def try_source(read, *args, **kwargs) -> DataFrame | None:
+    """U1 failure isolation: a source whose landing folder is missing or unreadable
+    contributes nothing (returns None, which ``union_discovery`` skips) instead of failing
+    the run.  Malformed lines inside a readable source are already absorbed by PERMISSIVE
+    parsing and the readers' required-field filters."""
+    from pyspark.errors import AnalysisException
+    try:
+        df = read(*args, **kwargs)
+        df.schema  # resolve the scan now, so a missing path fails here
+        return df
+    except AnalysisException:
+        return None
+
+
 def union_discovery(*sources: DataFrame) -> DataFrame:
     """All discovery sources in one frame; a missing (None) source contributes nothing."""
     frames = [s for s in sources if s is not None]

@@ -123,3 +123,12 @@ def test_union_skips_missing_sources(spark, tmp_path):
     path = land(tmp_path, "forum.jsonl", [{"url": "https://forum.test/p/1"}])
     u = readers.union_discovery(None, readers.read_forum(spark, path), None)
     assert u.count() == 1 and u.where(F.col("source_ord") == 3).count() == 1
+
+
+def test_missing_source_contributes_nothing(spark, tmp_path, rules):
+    forum = land(tmp_path, "forum.jsonl", [{"url": "https://forum.test/p/1"}, "not json at all"])
+    ads = readers.try_source(readers.read_ads, spark, str(tmp_path / "no-such-folder"), rules)
+    assert ads is None
+    u = readers.union_discovery(readers.try_source(readers.read_serp, spark, str(tmp_path / "missing")), ads,
+                                readers.try_source(readers.read_forum, spark, forum))
+    assert [r.url for r in u.collect()] == ["https://forum.test/p/1"]   # the malformed line is dropped too
