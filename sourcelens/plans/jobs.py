@@ -137,7 +137,7 @@ def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str,
     failures = readers.try_source(lambda: spark.read.schema(
         "surface string, run bigint, prompt string, note string").json(f"{landing}/failures"))
     snap = answer_snapshot(manifest, answers, rules, known, failures=failures, scorer=scorer)
-    rid = run_id("llm", surfaces, chosen.count(), runs, note)
+    rid = run_id("answers", surfaces, chosen.count(), runs, note)
     sheet = answer_sheet(snap)
-    written = write_snapshot(sheet, out, "llm", rid, {"num_runs": runs, "surfaces": ",".join(surfaces)})
+    written = write_snapshot(sheet, out, "answers", rid, {"num_runs": runs, "surfaces": ",".join(surfaces)})
     return AnswerRun(rid, written, snap)

@@ -119,8 +119,8 @@ def test_request_from_selection_and_adhoc_writes_snapshot(spark, tmp_path, rules
     ans = answers(spark, [("chatgpt", 1, r.prompt, "license is great. Worth it.", [], None) for r in m.collect()])
     snap = answer_snapshot(m, ans, rules, ["chatgpt"])
     base = str(tmp_path / "runs")
-    assert write_snapshot(answer_sheet(snap), base, "llm", run_id("llm", ["chatgpt"], 2, num_runs=1), guard=ans)
-    back = spark.read.parquet(base + "/llm")
+    assert write_snapshot(answer_sheet(snap), base, "answers", run_id("answers", ["chatgpt"], 2, num_runs=1), guard=ans)
+    back = spark.read.parquet(base + "/answers")
     assert {r.prompt: r.intent for r in back.collect()} == {"license monitor": "brand_entity",
                                                             "license vs Other": "comparison"}
 

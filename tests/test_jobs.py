@@ -76,7 +76,7 @@ def test_answer_visibility_selection_adhoc_runs_and_failures(spark, tmp_path):
     run = answer_visibility(spark, CONFIG, str(landing), out, prompts=["1"],
                             extra_prompts=[("license vs Other", "comparison"), ("license monitor", "")])
     assert run.written
-    df = spark.read.parquet(out + "/llm")
+    df = spark.read.parquet(out + "/answers")
     ok = df.where(F.col("status") == "ok").collect()
     assert len(ok) == 4 and all(r.nonprod_url for r in ok)
     assert {r.prompt: r.intent for r in ok} == {"license monitor": "brand_entity", "license vs Other": "comparison"}
