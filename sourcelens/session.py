@@ -7,9 +7,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sourcelens") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sourcelens",
+                  extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench: UI off, AQE on, UTC, ANSI as shipped."""
-    return (SparkSession.builder
+    b = SparkSession.builder
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
+    return (b
             .master(f"local[{cores}]")
             .appName(app)
             .config("spark.ui.enabled", "false")
