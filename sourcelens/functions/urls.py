@@ -80,9 +80,14 @@ def host_under(host, domains) -> Column:
     return reduce(lambda a, b: a | b, [(h == d) | h.endswith("." + d) for d in domains])
 
 
-def url_mentions(text) -> Column:
-    """all absolute URLs in a text, in order (array<string>)."""
-    return F.regexp_extract_all(F.coalesce(_c(text), F.lit("")), F.lit(URL_IN_TEXT_RE), 0)
+def url_mentions(text, strip_punct: bool = False) -> Column:
+    """all absolute URLs in a text, in order (array<string>).  Like the reference, a URL
+    keeps trailing sentence punctuation (``https://a.test/x.``); ``strip_punct=True`` drops
+    trailing ``.,;:!?`` from each match."""
+    found = F.regexp_extract_all(F.coalesce(_c(text), F.lit("")), F.lit(URL_IN_TEXT_RE), 0)
+    if strip_punct:
+        return F.transform(found, lambda u: F.regexp_replace(u, r"[.,;:!?]+$", ""))
+    return found
 
 
 def is_nonprod(host, rules: BrandRules) -> Column:
@@ -114,14 +119,13 @@ def is_asset(host, path, rules: BrandRules) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
-def outbound_links(text, page_url, rules: BrandRules, cap: int = 20) -> Column:
+def outbound_links(text, page_url, rules: BrandRules, cap: int = 20, strip_punct: bool = False) -> Column:
     """canonical outbound links of a body: not on the page's host, not assets, ordered distinct, first ``cap``.
 
-    Array form (for the sheet).  For link-heavy bodies use ``operators.links.link_table``
-    (the exploded long form), which runs as plain codegen'd columns instead of lambdas.
+    Array form (for the sheet); ``operators.links.link_table`` explodes it into edges.
     """
     page_host = F.when(F.coalesce(_c(page_url), F.lit("")) == "", F.lit(None)).otherwise(host_of(page_url))
-    canon = F.transform(url_mentions(text), canonical_url)
+    canon = F.transform(url_mentions(text, strip_punct), canonical_url)
     kept = F.filter(canon, lambda n: (n != "")
                     & ~F.coalesce(host_of(n) == page_host, F.lit(False))
                     & ~is_asset(host_of(n), path_of(n), rules))

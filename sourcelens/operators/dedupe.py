@@ -27,10 +27,21 @@ def rank_key(rank: str = "rank") -> Column:
 
 
 def dedupe_best(df: DataFrame, key: str = "url", rank: str = "rank",
-                order: tuple[str, ...] = ("source_ord", "seq")) -> DataFrame:
+                order: tuple[str, ...] = ("source_ord", "seq"), first_seen: bool = False) -> DataFrame:
     """One record per ``key``: lowest non-zero rank; ties keep the first seen
-    (total order ``order``)."""
-    return _first_per_key(df, key, [rank_key(rank).asc()] + [F.col(c).asc() for c in order])
+    (total order ``order``).
+
+    With ``first_seen`` the result also carries ``first_seen`` = the key's first appearance
+    (min of ``order``), for an output in discovery order.  That form is one aggregation
+    (``min_by`` of the record, ``min`` of the order struct) - still one shuffle, still
+    combined map-side, so a hot key leaves each map task as one row."""
+    if not first_seen:
+        return _first_per_key(df, key, [rank_key(rank).asc()] + [F.col(c).asc() for c in order])
+    cols = [c for c in df.columns if c != key]
+    best_by = F.struct(rank_key(rank).alias("_r"), *[F.col(c) for c in order])
+    agg = df.groupBy(key).agg(F.min_by(F.struct(*cols), best_by).alias("_best"),
+                              F.min(F.struct(*[F.col(c) for c in order])).alias("first_seen"))
+    return agg.select(key, *[F.col(f"_best.{c}").alias(c) for c in cols], "first_seen")
 
 
 def last_by_key(df: DataFrame, key, seq: str = "seq") -> DataFrame:

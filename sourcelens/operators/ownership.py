@@ -91,11 +91,15 @@ def label_ownership_join(df: DataFrame, rules: BrandRules, url: str = "url", hos
 
 
 def label_ad_ownership(df: DataFrame, rules: BrandRules, advertiser: str = "advertiser", url: str = "url",
-                       out: str = "ownership") -> DataFrame:
+                       out: str = "ownership", use_brand_names: bool = False) -> DataFrame:
     """Our brand in the advertiser name -> owned; a competitor domain's label
-    (``rival.com -> rival``) -> competitor; otherwise J7 on the landing URL."""
+    (``rival.com -> rival``) -> competitor; otherwise J7 on the landing URL.  The domain label
+    rarely appears in an advertiser's name, so ``use_brand_names=True`` also matches the
+    competitor brand names."""
     adv = F.lower(F.coalesce(F.col(advertiser), F.lit("")))
     tokens = [d.split(".")[-2] if "." in d else d for d in rules.competitor_domains]
+    if use_brand_names:
+        tokens += list(rules.competitor_brands)
     tokens = [t.lower() for t in tokens if t]
     comp = reduce(lambda a, b: a | b, [adv.contains(t) for t in tokens]) if tokens else F.lit(False)
     u = F.coalesce(F.col(url), F.lit(""))

@@ -62,10 +62,16 @@ class WebSnapshot:
 
 def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | None, rules: BrandRules, as_of,
                  verdicts: DataFrame | None = None, scorer: Callable | None = None,
-                 checkpoint: bool = False, cache_seq: str | None = None) -> WebSnapshot:
+                 checkpoint: bool = False, cache_seq: str | None = None, label_from_raw: bool = True,
+                 first_seen: bool = True) -> WebSnapshot:
     """Union of sources -> canonical URL -> best record per URL -> cache hits / crawl list
     -> bodies (crawled wins) -> richer of body and snippet -> E1.
 
+    Ownership is labelled from the raw record URL (app-store ``?id=`` survives);
+    ``label_from_raw=False`` labels from the canonical URL as the reference does.  With
+    ``first_seen`` the sheet carries each URL's first appearance, the order the reference
+    writes its sheet in (``write_web`` sorts by it).
+
     ``crawled`` is the landed crawl (``read_pages``); only its bodies for this run's crawl
     list (cache misses) are used and upserted into the next cache version; ``cache_seq``
     orders cache rows of equal URL and date (last wins); when a
@@ -75,7 +81,7 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     """
     recs = (discovery.withColumn("raw_url", F.col("url"))
                      .withColumn("url", canonical_url(F.col("url"))))
-    best = dedupe_best(recs, "url")
+    best = dedupe_best(recs, "url", first_seen=first_seen)
     if checkpoint:
         best = cut_lineage(best)
     # E5 folded into the record plan: the fresh cache and the crawl join straight onto the
@@ -103,7 +109,9 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
         hints = tuple(rules.claim_names) + ("current_signal", "prices_seen")
         verdicts = persist_scores(score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT,
                                                 "key", "body", hints))
-    sheet = classify_web(enriched, verdicts, rules, "body", keep=("fetch_status",))
+    keep = ("fetch_status", "first_seen") if first_seen else ("fetch_status",)
+    sheet = classify_web(enriched, verdicts, rules, "body", raw_url="raw_url" if label_from_raw else None,
+                         keep=keep)
     used = crawled.select("url", "text").join(crawl_list, "url", "left_semi") if crawled is not None else None
     next_cache = cache_upsert(cache, used, as_of)
     return WebSnapshot(sheet=sheet, crawl_list=crawl_list, cache_next=next_cache)

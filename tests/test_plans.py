@@ -131,3 +131,28 @@ def test_reports(spark, rules):
     metered, obs = reports.run_metrics(web.withColumnRenamed("ownership", "source"))
     metered.count()
     assert obs.get["rows"] == 3 and obs.get["nonprod"] == 2
+
+
+def test_sheet_in_discovery_order_and_raw_vs_canonical_ownership(spark, tmp_path, rules):
+    serp = land(tmp_path, "serp.jsonl", [{"searchQuery": "q", "organicResults": [
+        {"url": "https://z.test/1"}, {"url": "https://apps.apple.com/us/app/x/id1183700001?mt=8"},
+        {"url": "https://a.test/2"}]}])
+    recs = readers.read_serp(spark, serp)
+    snap = web_snapshot(recs, empty_cache(spark), None, rules, AS_OF)
+    out = str(tmp_path / "web")
+    from sourcelens.sources.sinks import read_sheet, write_web
+    from sourcelens.schemas import WEB_SCHEMA
+    write_web(snap.sheet, out)
+    assert [r.url for r in read_sheet(spark, out, WEB_SCHEMA).collect()] == [
+        "https://z.test/1", "https://apps.apple.com/us/app/x/id1183700001", "https://a.test/2"]
+    raw = {r.url: r.ownership for r in snap.sheet.collect()}
+    canon = {r.url: r.ownership for r in web_snapshot(recs, empty_cache(spark), None, rules, AS_OF,
+                                                      label_from_raw=False).sheet.collect()}
+    app = "https://apps.apple.com/us/app/x/id1183700001"
+    assert raw[app] == "owned" and canon[app] == "owned"     # the id is in the path here
+    play = land(tmp_path, "play.jsonl", [{"searchQuery": "q", "organicResults": [
+        {"url": "https://play.google.com/store/apps/details?id=net.example.reader"}]}])
+    precs = readers.read_serp(spark, play)
+    assert web_snapshot(precs, empty_cache(spark), None, rules, AS_OF).sheet.first().ownership == "owned"
+    assert web_snapshot(precs, empty_cache(spark), None, rules, AS_OF,
+                        label_from_raw=False).sheet.first().ownership == "third_party"   # ?id= lost

@@ -195,3 +195,16 @@ def test_canonical_matches_stdlib_on_generated_urls(spark):
         if not s.scheme and not s.netloc.lower().removeprefix("www."):
             continue   # documented deviation
         assert g == stdlib_canonical(u), u
+
+
+def test_url_mentions_keep_or_strip_trailing_punctuation(spark, rules):
+    from sourcelens.functions.urls import url_mentions
+    df = spark.createDataFrame([("See https://a.test/x. and https://b.test/y; ok",)], "t string")
+    keep, strip = df.select(url_mentions(F.col("t")).alias("k"), url_mentions(F.col("t"), True).alias("s")).first()
+    assert keep == ["https://a.test/x.", "https://b.test/y;"] and strip == ["https://a.test/x", "https://b.test/y"]
+
+
+def test_ad_ownership_with_brand_names(spark, rules):
+    df = spark.createDataFrame([("Token Ltd", "https://review.test/ad")], "advertiser string, url string")
+    assert label_ad_ownership(df, rules).first().ownership == "third_party"
+    assert label_ad_ownership(df, rules, use_brand_names=True).first().ownership == "competitor"
