@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcelens.operators.catalog import add_adhoc, request_manifest, select_catalog, selector_frame, topics_frame
-from sourcelens.plans.answers import answer_sheet, answer_snapshot
-from sourcelens.plans.web import web_sheet, web_snapshot
+from sourcelens.plans.answers import answer_snapshot
+from sourcelens.plans.web import web_snapshot
 from sourcelens.rules import BrandRules
 from sourcelens.sources import readers
 from sourcelens.sources.cache import read_cache, write_cache
@@ -92,7 +92,7 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
     crawled = readers.try_source(readers.read_pages, spark, f"{landing}/pages")
     snap = web_snapshot(recs, read_cache(spark, cache), crawled, rules, as_of, scorer=scorer)
     rid = run_id("web", sources, chosen.count(), note=note)
-    written = write_snapshot(web_sheet(snap), out, "web", rid, {"as_of": as_of, "sources": ",".join(sources)},
+    written = write_snapshot(snap.sheet, out, "web", rid, {"as_of": as_of, "sources": ",".join(sources)},
                              guard=recs)
     if written:
         snap.crawl_list.write.mode("overwrite").parquet(f"{out}/crawl_list/run_id={rid}")
@@ -138,6 +138,5 @@ def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str,
         "surface string, run bigint, prompt string, note string").json(f"{landing}/failures"))
     snap = answer_snapshot(manifest, answers, rules, known, failures=failures, scorer=scorer)
     rid = run_id("answers", surfaces, chosen.count(), runs, note)
-    sheet = answer_sheet(snap)
-    written = write_snapshot(sheet, out, "answers", rid, {"num_runs": runs, "surfaces": ",".join(surfaces)})
+    written = write_snapshot(snap, out, "answers", rid, {"num_runs": runs, "surfaces": ",".join(surfaces)})
     return AnswerRun(rid, written, snap)

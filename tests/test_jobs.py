@@ -82,3 +82,15 @@ def test_answer_visibility_selection_adhoc_runs_and_failures(spark, tmp_path):
     assert {r.prompt: r.intent for r in ok} == {"license monitor": "brand_entity", "license vs Other": "comparison"}
     err = df.where(F.col("status") == "error").collect()
     assert len(err) == 4 and {r.error_note for r in err} == {"no API key"}
+
+
+def test_run_meta_holds_observed_counters(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing / "serp", [{"searchQuery": "license vs Token", "organicResults": [
+        {"url": "https://review.test/a"}, {"url": "https://m.example.net/faq"}]}])
+    out = str(tmp_path / "out")
+    run = web_refresh(spark, CONFIG, str(landing), out, str(tmp_path / "cache"), as_of="2024-01-20")
+    meta = {r.key: r.value for r in spark.read.parquet(out + "/run_meta").where(F.col("run_id") == run.run_id)
+            .collect()}
+    assert meta["count.rows"] == "2" and meta["count.source_web"] == "2" and meta["count.nonprod"] == "1"
+    assert meta["count.fetch_missing"] == "2" and meta["as_of"] == "2024-01-20"
