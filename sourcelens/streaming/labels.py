@@ -48,3 +48,24 @@ def stream_labels(spark: SparkSession, landing: str, schema: T.StructType, rules
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return label_records(reader.load(landing), rules, url, text)
+
+
+def start_label_stream(spark: SparkSession, landing: str, schema: T.StructType, rules: BrandRules, out: str,
+                       checkpoint: str | None = None, fmt: str = "parquet", trigger_seconds: int | None = None,
+                       available_now: bool = False):
+    """Label records as files land and append them to ``out`` (Parquet).
+
+    The file sink plus a checkpoint location gives exactly-once output across restarts and
+    lost executors.  The checkpoint goes under the cluster's ``spark.checkpoint.dir``
+    unless one is given.  ``available_now`` processes what has landed and stops."""
+    from sourcelens.session import checkpoint_dir
+    chk = checkpoint or (f"{checkpoint_dir(spark).rstrip('/')}/label_stream" if checkpoint_dir(spark) else None)
+    if chk is None:
+        raise RuntimeError("no checkpoint location: pass one or set spark.checkpoint.dir")
+    w = (stream_labels(spark, landing, schema, rules, fmt).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", chk).outputMode("append"))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger_seconds:
+        w = w.trigger(processingTime=f"{trigger_seconds} seconds")
+    return w.start()
