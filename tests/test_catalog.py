@@ -90,3 +90,29 @@ def test_selection_join_fallback_agrees(spark, monkeypatch):
     assert chosen(spark, items, ["GAM", "1", "alpha"]) == want == ["gamma", "alpha", "alphabet"]
     with pytest.raises(ValueError):
         chosen(spark, items, ["zzz"])
+
+
+def test_read_topics_json_array_drops_topics_without_query(spark, tmp_path):
+    import json
+    from sourcelens.operators.catalog import read_topics
+    p = tmp_path / "topics.json"
+    p.write_text(json.dumps([{"id": "a", "intent": "brand_entity", "query": "license monitor"},
+                             {"id": "b", "intent": "x"},
+                             {"id": "c", "intent": "comparison", "query": "license vs Token"}], indent=2))
+    t = read_topics(spark, str(p))
+    assert [(r.id, r.query) for r in t.orderBy("seq").collect()] == [("a", "license monitor"),
+                                                                     ("c", "license vs Token")]
+    df = spark.createDataFrame([("license vs Token",)], "query string")
+    assert tag_topics(df, t).first().topic_id == "c"
+
+
+def test_load_config_and_rules(tmp_path):
+    import json
+    from sourcelens.plans.jobs import load_config, rules_from_config
+    p = tmp_path / "config.json"
+    p.write_text(json.dumps({"claim_patterns": {"b": ["x"], "a": ["y"]}, "owned_domains": ["example.net"]}))
+    cfg = load_config(p)
+    with pytest.raises(ValueError):
+        rules_from_config(cfg)
+    r = rules_from_config(cfg, brand="license")
+    assert r.claim_names == ["b", "a"] and r.owned_domains == ("example.net",) and r.brand_lower == "license"

@@ -208,3 +208,10 @@ def test_ad_ownership_with_brand_names(spark, rules):
     df = spark.createDataFrame([("Token Ltd", "https://review.test/ad")], "advertiser string, url string")
     assert label_ad_ownership(df, rules).first().ownership == "third_party"
     assert label_ad_ownership(df, rules, use_brand_names=True).first().ownership == "competitor"
+
+
+def test_with_url_parts(spark):
+    from sourcelens.functions.urls import with_url_parts
+    df = spark.createDataFrame([("HTTPS://WWW.Example.NET/A/b/?q=1",)], "url string")
+    r = with_url_parts(df).first()
+    assert (r.canon_url, r.host, r.path) == ("https://example.net/A/b", "example.net", "/A/b")
