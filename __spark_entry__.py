@@ -271,8 +271,15 @@ def _answers(spark, sf):
     return answer_snapshot(manifest, ans, R, tb.KNOWN_SURFACES, failures=fails)
 
 
+NULLABLE_FLAGS = ("mentioned", "rank", "recommended", "mentions_competition")
+
+
 def q_answer_snapshot(spark, sf):
-    return answer_sheet(_answers(spark, sf))
+    """The 19-column answer sheet; the four columns that are null on blank rows are rendered
+    as text ('true'/'false'/'2', null stays null), as the CSV sheet shows them."""
+    sheet = answer_sheet(_answers(spark, sf))
+    return sheet.select(*[F.col(c).cast("string").alias(c) if c in NULLABLE_FLAGS else F.col(c)
+                          for c in sheet.columns])
 
 
 def q_visibility_rollup(spark, sf):

@@ -517,7 +517,9 @@ FROM first WHERE prompt NOT IN (SELECT label FROM chosen)"""
     web = f"WITH {cte_records().strip()}, {cte_crawled().strip()}, {web_ctes(tb.AS_OF, 'w_').strip()}"
     q["web_snapshot"] = f"{web} SELECT {WEB_COLS}, verdict_source FROM w_sheet"
     ans = f"WITH {answers_ctes().strip()}"
-    q["answer_snapshot"] = f"{ans} SELECT {LLM_COLS} FROM asheet"
+    flags = ("mentioned", "rank", "recommended", "mentions_competition")
+    cols = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in flags else c for c in LLM_COLS.replace(" ", "").split(","))
+    q["answer_snapshot"] = f"{ans} SELECT {cols} FROM asheet"
     q["visibility_rollup"] = f"""{ans}
 SELECT surface, prompt, CAST(count(*) AS BIGINT) AS runs, CAST(count_if(status = 'ok') AS BIGINT) AS ok_runs,
        CAST(count_if(status = 'ok' AND mentioned) AS BIGINT) AS mentioned_runs, CAST(count_if(status = 'ok' AND recommended) AS BIGINT) AS recommended_runs,
