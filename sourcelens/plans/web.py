@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sourcelens.functions.text import best_text, nullif_empty
 from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbound_links
 from sourcelens.operators.dedupe import dedupe_best
-from sourcelens.operators.ownership import ownership
+from sourcelens.operators.ownership import label_ownership_join, ownership
 from sourcelens.operators.verdicts import (merge_verdicts, persist_scores, score_batches, web_fallback,
                                            with_text_labels)
 from sourcelens.rules import CAP_LINKS, BrandRules
@@ -20,6 +20,9 @@ from sourcelens.session import cut_lineage
 from sourcelens.sources.cache import cache_fresh, cache_upsert
 
 LABEL_COLUMNS = ("stale", "prices_seen", "comps")
+# Above this many suffix-matched domains, ownership (J7) runs as the suffix join instead of
+# one CASE expression (each row would otherwise test every domain).
+MAX_INLINE_DOMAINS = 100
 
 
 def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRules, body: str = "body",
@@ -33,13 +36,19 @@ def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRul
     label_url = F.coalesce(nullif_empty(F.col(raw_url)), F.col("url")) if raw_url and raw_url in records.columns \
         else F.col("url")
     preset = nullif_empty(F.col("ownership")) if "ownership" in records.columns else F.lit(None)
+    if len(rules.competitor_domains) + len(rules.owned_domains) > MAX_INLINE_DOMAINS:
+        df = label_ownership_join(df.withColumn("_lu", label_url).withColumn("_lh", host_of(F.col("_lu"))), rules,
+                                  "_lu", "_lh", out="_own").drop("_lu", "_lh")
+        owner = F.col("_own")
+    else:
+        owner = ownership(label_url, host_of(label_url), rules)
     host = host_of(F.col("url"))
     out = df.select(
         F.col("platform").alias("source"), "url",
         F.coalesce(F.col("query"), F.lit("")).alias("query"),
         F.coalesce(F.col("intent"), F.lit("")).alias("intent"),
         F.coalesce(F.col("topic_id"), F.lit("")).alias("topic_id"),
-        F.coalesce(preset, ownership(label_url, host_of(label_url), rules)).alias("ownership"),
+        F.coalesce(preset, owner).alias("ownership"),
         F.coalesce(F.col("says_about_brand"), F.lit("")).alias("says_about_brand"),
         F.coalesce(F.col("mentions_competition"), F.lit(False)).alias("mentions_competition"),
         F.coalesce(F.col("competition_summary"), F.lit("")).alias("competition_summary"),

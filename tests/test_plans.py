@@ -156,3 +156,16 @@ def test_sheet_in_discovery_order_and_raw_vs_canonical_ownership(spark, tmp_path
     assert web_snapshot(precs, empty_cache(spark), None, rules, AS_OF).sheet.first().ownership == "owned"
     assert web_snapshot(precs, empty_cache(spark), None, rules, AS_OF,
                         label_from_raw=False).sheet.first().ownership == "third_party"   # ?id= lost
+
+
+def test_long_domain_lists_use_the_suffix_join(spark, tmp_path, rules):
+    many = rules.with_(competitor_domains=tuple(f"rival{i}.test" for i in range(150)) + ("example.org",))
+    serp = land(tmp_path, "serp.jsonl", [{"searchQuery": "q", "organicResults": [
+        {"url": "https://shop.rival7.test/x"}, {"url": "https://example.org/y"}, {"url": "https://blog.example.net/z"},
+        {"url": "https://other.test/w"}]}])
+    sheet = web_snapshot(readers.read_serp(spark, serp), empty_cache(spark), None, many, AS_OF).sheet
+    got = {r.url: r.ownership for r in sheet.collect()}
+    assert got == {"https://shop.rival7.test/x": "competitor", "https://example.org/y": "competitor",
+                   "https://blog.example.net/z": "owned", "https://other.test/w": "third_party"}
+    plan = sheet._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan or "posexplode" in plan.lower()
