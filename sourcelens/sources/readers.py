@@ -1,8 +1,8 @@
 """Readers for landed scraper output (S1-S9) and the discovery union.
 
 Every reader takes a path of JSON (one item per line, or ``multiLine`` arrays) read with
-an explicit schema, so nothing is inferred and a malformed line lands in
-``_corrupt_record`` (PERMISSIVE mode) instead of failing the job.  Each returns rows of
+an explicit schema, so nothing is inferred; a malformed line becomes an all-null row
+(PERMISSIVE mode) that the required-field filters drop, instead of failing the job.  Each returns rows of
 the ``discovery`` shape (or the answer shape), with ``seq`` giving a total order within
 the source.
 """
