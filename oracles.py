@@ -669,7 +669,7 @@ WHERE rn = 1"""
 SELECT surface, run, prompt, coalesce(response, '') AS response,
        array_to_string(list_filter(citations, lambda u: u IS NOT NULL AND u <> ''), ', ') AS citations,
        conv_id * 100 + turn AS seq
-FROM ans WHERE conv_id % 9 <> 0 AND coalesce(prompt, '') <> ''"""
+FROM ans WHERE coalesce(prompt, '') <> ''"""
     q["answer_api_items"] = f"""WITH {cte_answers().strip()}
 SELECT 'perplexity' AS surface, run, prompt, coalesce(response, '') AS response,
        array_to_string(list_filter(citations, lambda u: u IS NOT NULL AND u <> ''), ', ') AS citations,

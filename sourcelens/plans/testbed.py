@@ -264,14 +264,19 @@ def content_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One answer item per user turn (conversation_answers), citations as structs; items of
-    conversations divisible by 9 carry no prompt and are dropped by the reader."""
+    """One answer item per user turn (conversation_answers), citations as structs, plus one
+    item per system turn: system messages carry no prompt, so the reader drops them."""
     a = conversation_answers(spark, sf_dir)
     cites = F.transform(F.col("citations"), lambda u: F.struct(u.alias("url"), F.lit("src").alias("title")))
     cites = F.concat(cites, F.array(F.struct(F.lit("").alias("url"), F.lit("empty").alias("title"))))
-    item = F.struct("surface", "run", F.when(F.col("conv_id") % 9 == 0, F.lit("")).otherwise(F.col("prompt"))
-                    .alias("prompt"), "response", cites.alias("citations"))
-    return a.select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
+    item = F.struct("surface", "run", "prompt", "response", cites.alias("citations"))
+    system = (table(spark, sf_dir, "conversations").where(F.col("role") == "system")
+              .select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"),
+                      F.to_json(F.struct(F.lit("chatgpt").alias("surface"), F.lit(1).alias("run"),
+                                         F.lit("").alias("prompt"), F.col("text").alias("response")))
+                      .alias("line")))
+    users = a.select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
+    return users.unionByName(system)
 
 
 def answer_api_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
