@@ -4,7 +4,10 @@ The driver's tables carry no scraper output, so each query derives its inputs fr
 (pages as search hits and as a page cache, documents as page bodies, labels as model
 verdicts, conversations as assistant answers, part as a catalog).  Every derivation is a
 plain DataFrame plan over the whole table; the same derivation is written in SQL in
-``__spark_entry__.oracle_sql``.
+``__spark_entry__.oracle_sql``.  Ids are used only to vary the shape of each derived record
+(object or string fields, missing URLs, empty copy, ranks, fetch dates) - never to pick a
+subset: every row of every table read contributes a record, and rows leave only by the
+operators' own rules (a hit without URL, an ad without URL or copy, an item without prompt).
 """
 
 from __future__ import annotations
