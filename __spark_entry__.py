@@ -379,6 +379,10 @@ def q_nonprod_cited(spark, sf):
     return reports.nonprod_cited(_answers(spark, sf), R)
 
 
+def q_competitor_share(spark, sf):
+    return reports.competitor_share(_answers(spark, sf))
+
+
 def q_run_counters(spark, sf):
     return reports.run_counters(_web(spark, sf).sheet)
 
@@ -437,6 +441,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "answer_api_items": q_answer_api_items,
         "run_counters": q_run_counters,
         "nonprod_cited": q_nonprod_cited,
+        "competitor_share": q_competitor_share,
     }
 
 

@@ -579,6 +579,14 @@ SELECT CAST(count(*) AS BIGINT) AS rows, {web_counts}, CAST(count(DISTINCT url)
        CAST(count_if(fetch_status = 'cache') AS BIGINT) AS fetch_cache, CAST(count_if(fetch_status = 'crawl') AS BIGINT) AS fetch_crawl,
        CAST(count_if(fetch_status = 'missing') AS BIGINT) AS fetch_missing
 FROM w_sheet"""
+    q["competitor_share"] = f"""{ans},
+ok AS (SELECT * FROM asheet WHERE status = 'ok'),
+tot AS (SELECT surface, CAST(count(*) AS BIGINT) AS ok_answers FROM ok GROUP BY surface),
+named AS (SELECT surface, brand, CAST(count(*) AS BIGINT) AS answers FROM (
+            SELECT surface, unnest(list_distinct(string_split(competitors_named, '; '))) AS brand FROM ok)
+          WHERE brand <> '' GROUP BY surface, brand)
+SELECT n.surface, n.brand, n.answers, t.ok_answers, round(n.answers / t.ok_answers, 4) AS share
+FROM named n JOIN tot t ON t.surface = n.surface"""
     q["nonprod_cited"] = f"""{ans}
 SELECT DISTINCT src AS url FROM (SELECT unnest(string_split(sources_cited, ', ')) AS src FROM asheet)
 WHERE src <> '' AND {nonprod(host('src'))} ORDER BY url LIMIT 5"""
