@@ -169,3 +169,13 @@ def test_long_domain_lists_use_the_suffix_join(spark, tmp_path, rules):
                    "https://blog.example.net/z": "owned", "https://other.test/w": "third_party"}
     plan = sheet._jdf.queryExecution().executedPlan().toString()
     assert "Generate" in plan or "posexplode" in plan.lower()
+
+
+def test_competitor_share(spark):
+    answers = spark.createDataFrame([
+        ("chatgpt", "ok", "Token; There"), ("chatgpt", "ok", "Token; Token"), ("chatgpt", "ok", ""),
+        ("chatgpt", "error", ""), ("perplexity", "ok", "There")],
+        "surface string, status string, competitors_named string")
+    got = {(r.surface, r.brand): (r.answers, r.ok_answers, r.share) for r in reports.competitor_share(answers).collect()}
+    assert got == {("chatgpt", "Token"): (2, 3, 0.6667), ("chatgpt", "There"): (1, 3, 0.3333),
+                   ("perplexity", "There"): (1, 1, 1.0)}
