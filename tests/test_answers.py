@@ -134,3 +134,11 @@ def test_cluster_conf_only_fills_unset(spark):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10485760")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8")
+
+
+def test_error_note_capped_and_unicode_blank_is_empty(spark, rules):
+    m = manifest(spark, ["p1"], ["chatgpt"], 1)
+    f = spark.createDataFrame([("chatgpt", 1, None, "x" * 500)], "surface string, run long, prompt string, note string")
+    assert len(error_rows(m, f, ["chatgpt"]).first().error_note) == 300
+    df = answers(spark, [("chatgpt", 1, "p1", "  \n ", [], None)])
+    assert classify_answers(df, None, rules).first().status == "empty"

@@ -132,3 +132,8 @@ def test_missing_source_contributes_nothing(spark, tmp_path, rules):
     u = readers.union_discovery(readers.try_source(readers.read_serp, spark, str(tmp_path / "missing")), ads,
                                 readers.try_source(readers.read_forum, spark, forum))
     assert [r.url for r in u.collect()] == ["https://forum.test/p/1"]   # the malformed line is dropped too
+
+
+def test_page_body_capped_at_20000(spark, tmp_path):
+    path = land(tmp_path, "pages.jsonl", [{"url": "https://long.test", "markdown": "ab" * 15000}])
+    assert len(readers.read_pages(spark, path).first().text) == 20000
