@@ -17,10 +17,14 @@ from sourcelens.rules import CAP_ALERTS, BrandRules
 
 
 def nonprod_report(df: DataFrame, url: str = "url", flag: str = "nonprod_url", top: int = CAP_ALERTS) -> DataFrame:
-    """A4: the first ``top`` distinct non-production URLs in string order (the alert shows five).
+    """A4: the first ``top`` distinct non-production URLs (the alert shows five): in sheet
+    order when the frame carries ``first_seen`` (the web sheet), else in string order.
     ``orderBy().limit()`` plans as a distributed top-k (TakeOrderedAndProject)."""
-    return (df.where(F.col(flag)).select(F.col(url).alias("url")).distinct()
-              .orderBy("url").limit(top))
+    hits = df.where(F.col(flag))
+    if "first_seen" in df.columns:
+        first = hits.groupBy(F.col(url).alias("url")).agg(F.min("first_seen").alias("_o"))
+        return first.orderBy("_o", "url").limit(top).select("url")
+    return hits.select(F.col(url).alias("url")).distinct().orderBy("url").limit(top)
 
 
 def nonprod_cited(answers: DataFrame, rules: BrandRules, sources: str = "sources_cited",

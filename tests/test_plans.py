@@ -179,3 +179,11 @@ def test_competitor_share(spark):
     got = {(r.surface, r.brand): (r.answers, r.ok_answers, r.share) for r in reports.competitor_share(answers).collect()}
     assert got == {("chatgpt", "Token"): (2, 3, 0.6667), ("chatgpt", "There"): (1, 3, 0.3333),
                    ("perplexity", "There"): (1, 1, 1.0)}
+
+
+def test_web_alert_in_sheet_order(spark, tmp_path, rules):
+    serp = land(tmp_path, "serp.jsonl", [{"searchQuery": "q", "organicResults": [
+        {"url": f"https://m.example.net/{c}"} for c in "zyxwvu"]}])
+    sheet = web_snapshot(readers.read_serp(spark, serp), empty_cache(spark), None, rules, AS_OF).sheet
+    assert [r.url for r in reports.nonprod_report(sheet).collect()] == [
+        f"https://m.example.net/{c}" for c in "zyxwv"]
