@@ -118,14 +118,14 @@ def citation_rollup(answers: DataFrame, sources: str = "sources_cited") -> DataF
 
 def competitor_share(answers: DataFrame, names: str = "competitors_named") -> DataFrame:
     """Per surface and competitor brand, the ok answers naming it and their share of all
-    ok answers on that surface.  Per-surface totals are a small grouped aggregate joined
-    back on ``surface`` (one row per surface)."""
+    ok answers on that surface.  Per-surface totals are a grouped aggregate (one row per
+    surface) joined back on ``surface``; the planner sees its size at run time (AQE)."""
     ok = answers.where(F.col("status") == "ok")
     totals = ok.groupBy("surface").agg(F.count(F.lit(1)).alias("ok_answers"))
     named = (ok.select("surface", F.explode(F.array_distinct(F.split(F.col(names), "; "))).alias("brand"))
                .where(F.col("brand") != "")
                .groupBy("surface", "brand").agg(F.count(F.lit(1)).alias("answers")))
-    return (named.join(F.broadcast(totals), "surface")
+    return (named.join(totals, "surface")
                  .withColumn("share", F.round(F.col("answers") / F.col("ok_answers"), 4)))
 
 
