@@ -94,3 +94,12 @@ def test_run_meta_holds_observed_counters(spark, tmp_path):
             .collect()}
     assert meta["count.rows"] == "2" and meta["count.source_web"] == "2" and meta["count.nonprod"] == "1"
     assert meta["count.fetch_missing"] == "2" and meta["as_of"] == "2024-01-20"
+
+
+def test_both_tracks_select_the_same_topics(spark):
+    from sourcelens.plans.jobs import select_topics
+    web = select_topics(spark, CONFIG, None)
+    answers = select_topics(spark, CONFIG, ["all"])
+    key = lambda df: sorted((r.id, r.query) for r in df.collect())
+    assert key(web) == key(answers) == [("brand_head", "license monitor"), ("cmp_token", "license vs Token")]
+    assert key(select_topics(spark, CONFIG, ["2"])) == [("cmp_token", "license vs Token")]
