@@ -50,9 +50,14 @@ def claim_flag(ltext, patterns) -> Column:
     return F.coalesce(_c(ltext).rlike(spark_claim_regex(patterns)), F.lit(False))
 
 
-def claim_flags(text, rules: BrandRules) -> dict[str, Column]:
-    """One boolean per claim plus ``current_signal`` (lower-cased text computed once by the caller)."""
-    lt = F.lower(F.coalesce(_c(text), F.lit("")))
+def lowered(text) -> Column:
+    return F.lower(F.coalesce(_c(text), F.lit("")))
+
+
+def claim_flags(text, rules: BrandRules, lower_text=None) -> dict[str, Column]:
+    """One boolean per claim plus ``current_signal``, on the lower-cased text (pass
+    ``lower_text`` when it is already a column, so it is computed once per row)."""
+    lt = lower_text if lower_text is not None else lowered(text)
     out = {name: claim_flag(lt, pats) for name, pats in rules.claim_patterns}
     out["current_signal"] = claim_flag(lt, rules.current_signal_patterns)
     return out
@@ -80,17 +85,19 @@ def brand_hit(ltext, name: str, word_boundary: bool) -> Column:
     return F.coalesce(lt.contains(name.lower()), F.lit(False))
 
 
-def brands_in(text, brands, word_boundary: bool = False) -> Column:
+def brands_in(text, brands, word_boundary: bool = False, lower_text=None) -> Column:
     """F8: brands named in the text, in catalog order (array).  Built as one array of
-    ``when`` columns plus ``array_compact`` so it stays inside whole-stage codegen."""
-    lt = F.lower(F.coalesce(_c(text), F.lit("")))
+    ``when`` columns plus ``array_compact`` so it stays inside whole-stage codegen.  Spark
+    does not share a common subexpression across the ``when`` branches, so pass the
+    lower-cased text as a column (``lower_text``) when it is used more than once."""
+    lt = lower_text if lower_text is not None else lowered(text)
     if not brands:
         return F.array().cast("array<string>")
     return F.array_compact(F.array(*[F.when(brand_hit(lt, b, word_boundary), F.lit(b)) for b in brands]))
 
 
-def mentions_brand(text, rules: BrandRules) -> Column:
-    lt = F.lower(F.coalesce(_c(text), F.lit("")))
+def mentions_brand(text, rules: BrandRules, lower_text=None) -> Column:
+    lt = lower_text if lower_text is not None else lowered(text)
     return brand_hit(lt, rules.brand, rules.word_boundary)
 
 
@@ -107,10 +114,10 @@ def names_summary(comps) -> Column:
     return F.when(F.size(c) > 0, F.concat(F.lit("Names: "), F.array_join(c, ", "))).otherwise(F.lit(""))
 
 
-def narrative(stale, text, rules: BrandRules, stale_note: str) -> Column:
-    """Three-way fallback narrative used by F9 and F10."""
+def narrative(stale, mentioned, rules: BrandRules, stale_note: str) -> Column:
+    """Three-way fallback narrative used by F9 and F10 (``mentioned``: the brand is named)."""
     return (F.when(_c(stale), F.lit(stale_note))
-             .when(mentions_brand(text, rules), F.lit(rules.mentions_note()))
+             .when(_c(mentioned), F.lit(rules.mentions_note()))
              .otherwise(F.lit(rules.no_mention_note())))
 
 

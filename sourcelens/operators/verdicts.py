@@ -16,28 +16,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sourcelens.functions.text import (any_claim, brands_in, cap, claim_flags, mentions_brand, names_summary,
-                                       narrative, prices_seen)
+from sourcelens.functions.text import (any_claim, brands_in, cap, claim_flags, lowered, mentions_brand,
+                                       names_summary, narrative, prices_seen)
 from sourcelens.functions.urls import url_mentions
 from sourcelens.rules import CAP_FALLBACK_SOURCES, CAP_SCORER_TEXT, BrandRules
 from sourcelens.schemas import ANSWER_VERDICT, WEB_VERDICT
 
 
 def with_text_labels(df: DataFrame, rules: BrandRules, text: str = "text") -> DataFrame:
-    """P3, P4, F6, F8 on one text column: claim flags, ``stale``, ``prices_seen``, ``comps``."""
-    flags = claim_flags(F.col(text), rules)
-    out = df
-    for name, c in flags.items():
+    """P3, P4, F6, F8 on one text column: claim flags, ``stale``, ``prices_seen``, ``comps``
+    and ``brand_named``.  The lower-cased text is computed once per row, as a column that
+    every label reads (and dropped at the end)."""
+    out = df.withColumn("_lt", lowered(F.col(text)))
+    lt = F.col("_lt")
+    for name, c in claim_flags(F.col(text), rules, lower_text=lt).items():
         out = out.withColumn(name, c)
     return (out.withColumn("stale", any_claim(rules.stale_claim_names))
                .withColumn("prices_seen", prices_seen(F.col(text), rules))
-               .withColumn("comps", brands_in(F.col(text), list(rules.competitor_brands), rules.word_boundary)))
+               .withColumn("comps", brands_in(F.col(text), list(rules.competitor_brands), rules.word_boundary,
+                                              lower_text=lt))
+               .withColumn("brand_named", mentions_brand(F.col(text), rules, lower_text=lt))
+               .drop("_lt"))
 
 
 def web_fallback(text: str, rules: BrandRules) -> dict:
     """F9 as column expressions over a frame that already has ``with_text_labels``."""
     return {
-        "says_about_brand": narrative(F.col("stale"), F.col(text), rules, rules.stale_note_web),
+        "says_about_brand": narrative(F.col("stale"), F.col("brand_named"), rules, rules.stale_note_web),
         "mentions_competition": F.size("comps") > 0,
         "competition_summary": names_summary(F.col("comps")),
         "competitors_named": F.col("comps"),
@@ -49,10 +54,10 @@ def web_fallback(text: str, rules: BrandRules) -> dict:
 def answer_fallback(text: str, rules: BrandRules) -> dict:
     """F10 as column expressions over a frame that already has ``with_text_labels``."""
     return {
-        "mentioned": mentions_brand(F.col(text), rules),
+        "mentioned": F.col("brand_named"),
         "rank": F.lit(None).cast("bigint"),
         "recommended": F.lit(False),
-        "says_about_brand": narrative(F.col("stale"), F.col(text), rules, rules.stale_note_answer),
+        "says_about_brand": narrative(F.col("stale"), F.col("brand_named"), rules, rules.stale_note_answer),
         "mentions_competition": F.size("comps") > 0,
         "competition_summary": names_summary(F.col("comps")),
         "competitors_named": F.col("comps"),
