@@ -18,7 +18,7 @@ import pandas as pd  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from sourcelens.functions.text import any_claim, brands_in, claim_flags, mentions_brand, prices_seen  # noqa: E402
+from sourcelens.functions.text import any_claim, brands_in, claim_flags, lowered, mentions_brand, prices_seen  # noqa: E402
 from sourcelens.functions.urls import canonical_url, host_of, path_of  # noqa: E402
 from sourcelens.operators.answers import error_rows, with_sources, with_status  # noqa: E402
 from sourcelens.operators.catalog import (add_adhoc, request_manifest, select_catalog, selector_frame,  # noqa: E402
@@ -83,19 +83,19 @@ def q_nonprod_report(spark, sf):
 
 
 def q_claim_flags(spark, sf):
-    d = _t(spark, sf, "documents")
-    flags = claim_flags(F.col("text"), R)
-    cols = [c.alias(n) for n, c in flags.items()]
-    out = d.select("doc_id", *cols)
+    d = _t(spark, sf, "documents").select("doc_id", "text", lowered(F.col("text")).alias("_lt"))
+    flags = claim_flags(F.col("text"), R, lower_text=F.col("_lt"))
+    out = d.select("doc_id", *[c.alias(n) for n, c in flags.items()])
     return out.withColumn("stale", any_claim(R.stale_claim_names))
 
 
 def q_brands_in(spark, sf):
-    d = _t(spark, sf, "documents")
-    comps = brands_in(F.col("text"), list(R.competitor_brands))
-    return d.select("doc_id", F.array_join(comps, "; ").alias("competitors_named"),
-                    (F.size(comps) > 0).alias("mentions_competition"),
-                    mentions_brand(F.col("text"), R).alias("mentions_brand"))
+    d = _t(spark, sf, "documents").select("doc_id", "text", lowered(F.col("text")).alias("_lt"))
+    lt = F.col("_lt")
+    d = d.select("doc_id", brands_in(F.col("text"), list(R.competitor_brands), lower_text=lt).alias("comps"),
+                 mentions_brand(F.col("text"), R, lower_text=lt).alias("mentions_brand"))
+    return d.select("doc_id", F.array_join("comps", "; ").alias("competitors_named"),
+                    (F.size("comps") > 0).alias("mentions_competition"), "mentions_brand")
 
 
 def q_brand_mentions_long(spark, sf):

@@ -37,9 +37,10 @@ def brand_mentions(df: DataFrame, brands, key: str = "doc_id", text: str = "text
     Built as an explode of a fixed-size array of (position, brand-or-null) structs and a
     filter, rather than a join: no pairs are formed, and the brand list (configuration)
     is compiled into the projection."""
-    lt = F.lower(F.coalesce(F.col(text), F.lit("")))
+    lt = F.col("_lt")   # lower-cased once per row: the when branches share no subexpression
     hits = F.array(*[F.struct(F.lit(i + 1).alias("brand_pos"),
                               F.when(brand_hit(lt, b, word_boundary), F.lit(b)).alias("brand"))
                      for i, b in enumerate(brands)])
-    return (df.select(key, F.inline(hits))
+    return (df.select(key, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_lt"))
+              .select(key, F.inline(hits))
               .where(F.col("brand").isNotNull()))

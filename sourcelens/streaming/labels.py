@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sourcelens.functions.text import brands_in, claim_flags, prices_seen
+from sourcelens.functions.text import brands_in, claim_flags, lowered, prices_seen
 from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbound_links
 from sourcelens.operators.ownership import ownership
 from sourcelens.rules import CAP_LINKS, BrandRules
@@ -28,12 +28,14 @@ def label_records(df: DataFrame, rules: BrandRules, url: str = "url", text: str
     out = (out.withColumn("ownership", ownership(F.col(url), F.col("host"), rules))
               .withColumn("nonprod_url", is_nonprod(F.col("host"), rules)))
     if text in df.columns:
-        for name, c in claim_flags(F.col(text), rules).items():
+        out = out.withColumn("_lt", lowered(F.col(text)))
+        for name, c in claim_flags(F.col(text), rules, lower_text=F.col("_lt")).items():
             out = out.withColumn(name, c)
         out = (out.withColumn("prices_seen", F.array_join(prices_seen(F.col(text), rules), ", "))
                   .withColumn("competitors_named",
                               F.array_join(brands_in(F.col(text), list(rules.competitor_brands),
-                                                     rules.word_boundary), "; "))
+                                                     rules.word_boundary, lower_text=F.col("_lt")), "; "))
+                  .drop("_lt")
                   .withColumn("links_on_source",
                               F.array_join(outbound_links(F.col(text), F.col("canon_url"), rules, CAP_LINKS),
                                            ", ")))
