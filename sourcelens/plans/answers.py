@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sourcelens.operators.answers import error_rows, merged_sources, status
+from sourcelens.functions.text import cap
 from sourcelens.functions.urls import any_nonprod
 from sourcelens.operators.catalog import tag_topics
 from sourcelens.operators.verdicts import (answer_fallback, merge_verdicts, persist_scores, score_batches,
                                            with_text_labels)
 from sourcelens.schemas import ANSWER_VERDICT, LLM_COLUMNS
-from sourcelens.rules import BrandRules
+from sourcelens.rules import CAP_ERROR_NOTE, BrandRules
 
 EMPTY_NOTE = "returned no answer text"
 _SEP = "\u001f"
@@ -44,7 +45,7 @@ def classify_answers(answers: DataFrame, verdicts: DataFrame | None, rules: Bran
         return F.when(ok, c).otherwise(blank)
 
     null_b, null_d, null_s = F.lit(None).cast("boolean"), F.lit(None).cast("double"), F.lit(None).cast("string")
-    note = F.when(F.col("status") == "error", F.coalesce(F.col("error"), F.lit(""))) \
+    note = F.when(F.col("status") == "error", cap(F.coalesce(F.col("error"), F.lit("")), CAP_ERROR_NOTE)) \
         .when(F.col("status") == "empty", F.lit(EMPTY_NOTE)).otherwise(F.lit(""))
     return df.select(
         "surface", F.col("run").cast("bigint").alias("run"), "prompt",
@@ -82,17 +83,16 @@ def answer_snapshot(manifest: DataFrame, answers: DataFrame, rules: BrandRules,
     ans = answers.where(F.col("surface").isin(*known))
     prompt_cat = (manifest.select(F.col("prompt").alias("query"), "intent", F.col("topic_id").alias("id"),
                                   F.lit(0).alias("seq")).dropDuplicates(["query"]))
-    ok_or_empty = tag_topics(ans.where(F.col("error").isNull()), prompt_cat, "prompt")
-    failed_calls = ans.where(F.col("error").isNotNull()).select("surface", "run", "prompt",
-                                                                F.col("error").alias("note"))
-    if failures is not None:
-        failed_calls = failed_calls.unionByName(failures.select("surface", "run", "prompt", "note"))
+    # one pass over the answers: ok, empty and per-answer error rows are all classified here;
+    # only whole-call failures (prompt null) need the manifest expansion below
+    tagged = tag_topics(ans, prompt_cat, "prompt")
     if scorer is not None and verdicts is None:
-        to_score = ok_or_empty.withColumn("status", status("response", "error")).where(F.col("status") == "ok")
+        to_score = tagged.withColumn("status", status("response", "error")).where(F.col("status") == "ok")
         verdicts = persist_scores(score_batches(to_score.withColumn("key", answer_key()), scorer, ANSWER_VERDICT,
                                                 "key", "response", ("surface", "prompt")))
-    rows = classify_answers(ok_or_empty, verdicts, rules)
-    errs = error_rows(manifest, failed_calls, known)
+    rows = classify_answers(tagged, verdicts, rules)
+    errs = error_rows(manifest, failures.select("surface", "run", "prompt", "note") if failures is not None
+                      else None, known)
     parts = [rows, errs]
     if include_missing:
         got = ans.select("surface", "run", "prompt").distinct()
