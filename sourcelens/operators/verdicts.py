@@ -100,6 +100,24 @@ def fb_type(field: str) -> T.DataType:
 # ---------------------------------------------------------------------------
 # V1: pluggable scorer
 # ---------------------------------------------------------------------------
+def _ship_by_value(fn) -> None:
+    """A scorer defined in a script, notebook or entry file is not importable on the Python
+    workers; have cloudpickle send its module's code by value (installed packages stay
+    by reference)."""
+    import sys
+    from pyspark import cloudpickle
+    mod = sys.modules.get(getattr(fn, "__module__", None) or "")
+    if mod is None or mod.__name__ in ("__main__", "builtins"):
+        return
+    path = getattr(mod, "__file__", "") or ""
+    if "site-packages" in path or "dist-packages" in path:
+        return
+    try:
+        cloudpickle.register_pickle_by_value(mod)
+    except (ValueError, TypeError):
+        pass
+
+
 def score_batches(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType = WEB_VERDICT,
                   key: str = "key", text: str = "text", hints: tuple[str, ...] = (),
                   text_cap: int = CAP_SCORER_TEXT, parallelism: int | None = None) -> DataFrame:
@@ -112,6 +130,7 @@ def score_batches(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame],
     partitions; ``parallelism`` repartitions the (capped, projected) input to that many
     tasks, e.g. to match a model's rate limit.
     """
+    _ship_by_value(scorer)
     cols = [F.col(key).cast("string").alias("key"), cap(F.col(text), text_cap).alias("text")] + \
            [F.col(h) for h in hints]
     names = [f.name for f in schema.fields]
