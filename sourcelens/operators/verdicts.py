@@ -29,13 +29,12 @@ def with_text_labels(df: DataFrame, rules: BrandRules, text: str = "text") -> Da
     every label reads (and dropped at the end)."""
     out = df.withColumn("_lt", lowered(F.col(text)))
     lt = F.col("_lt")
-    for name, c in claim_flags(F.col(text), rules, lower_text=lt).items():
-        out = out.withColumn(name, c)
-    return (out.withColumn("stale", any_claim(rules.stale_claim_names))
-               .withColumn("prices_seen", prices_seen(F.col(text), rules))
-               .withColumn("comps", brands_in(F.col(text), list(rules.competitor_brands), rules.word_boundary,
-                                              lower_text=lt))
-               .withColumn("brand_named", mentions_brand(F.col(text), rules, lower_text=lt))
+    labels = dict(claim_flags(F.col(text), rules, lower_text=lt))
+    labels["prices_seen"] = prices_seen(F.col(text), rules)
+    labels["comps"] = brands_in(F.col(text), list(rules.competitor_brands), rules.word_boundary, lower_text=lt)
+    labels["brand_named"] = mentions_brand(F.col(text), rules, lower_text=lt)
+    return (out.withColumns(labels)
+               .withColumn("stale", any_claim(rules.stale_claim_names))
                .drop("_lt"))
 
 
@@ -82,10 +81,11 @@ def merge_verdicts(df: DataFrame, verdicts: DataFrame | None, key: str, fallback
         has = F.coalesce(F.col("_has_v"), F.lit(False))
     if use_verdict is not None:
         has = has & use_verdict
-    out = joined.withColumn("verdict_source", F.when(has, F.lit("model")).otherwise(F.lit("fallback")))
+    merged = {"verdict_source": F.when(has, F.lit("model")).otherwise(F.lit("fallback"))}
     for f, fb in fallback.items():
         vcol = F.col(prefix + f) if verdicts is not None and f in verdicts.columns else F.lit(None)
-        out = out.withColumn(f, F.when(has, vcol.cast(fb_type(f))).otherwise(fb))
+        merged[f] = F.when(has, vcol.cast(fb_type(f))).otherwise(fb)
+    out = joined.withColumns(merged)   # one projection: no fallback reads a field it replaces
     drops = [c for c in out.columns if c.startswith(prefix)] + (["_has_v"] if verdicts is not None else [])
     return out.drop(*drops)
 

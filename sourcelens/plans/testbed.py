@@ -44,8 +44,19 @@ def rules() -> BrandRules:
     return test_rules()
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One DataFrame per (session, table): the derivations read some tables several times,
+    and reusing the scan definition avoids listing files and reading footers again (the
+    driver's tables are read-only)."""
+    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
