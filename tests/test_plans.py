@@ -187,3 +187,29 @@ def test_web_alert_in_sheet_order(spark, tmp_path, rules):
     sheet = web_snapshot(readers.read_serp(spark, serp), empty_cache(spark), None, rules, AS_OF).sheet
     assert [r.url for r in reports.nonprod_report(sheet).collect()] == [
         f"https://m.example.net/{c}" for c in "zyxwv"]
+
+
+def test_scorer_from_a_module_only_the_driver_can_import(spark, tmp_path, rules):
+    """A scorer defined in a script or entry file (importable on the driver only) still runs on
+    the Python workers: its module is shipped by value."""
+    import importlib
+    import sys
+    mod_dir = tmp_path / "driver_only"
+    mod_dir.mkdir()
+    (mod_dir / "my_scorer_mod.py").write_text(
+        "import pandas as pd\n"
+        "def scorer(batch):\n"
+        "    return pd.DataFrame({'key': batch['key'], 'says_about_brand': 'from module',\n"
+        "                         'mentions_competition': False, 'competition_summary': None,\n"
+        "                         'competitors_named': [[] for _ in range(len(batch))], 'sentiment': 0.1,\n"
+        "                         'price_mentioned': None})\n")
+    sys.path.insert(0, str(mod_dir))
+    try:
+        mod = importlib.import_module("my_scorer_mod")
+        serp = land(tmp_path, "serp.jsonl", [{"searchQuery": "q", "organicResults": [
+            {"url": "https://a.test", "description": "license text"}]}])
+        snap = web_snapshot(readers.read_serp(spark, serp), empty_cache(spark), None, rules, AS_OF,
+                            scorer=mod.scorer)
+        assert snap.sheet.first().says_about_brand == "from module"
+    finally:
+        sys.path.remove(str(mod_dir))
