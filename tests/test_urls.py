@@ -215,3 +215,13 @@ def test_with_url_parts(spark):
     df = spark.createDataFrame([("HTTPS://WWW.Example.NET/A/b/?q=1",)], "url string")
     r = with_url_parts(df).first()
     assert (r.canon_url, r.host, r.path) == ("https://example.net/A/b", "example.net", "/A/b")
+
+
+def test_suffix_join_with_a_domain_table(spark, rules):
+    domains = spark.createDataFrame([(f"rival{i}.test", 1) for i in range(500)] + [("example.net", 3)],
+                                    "domain string, priority int")
+    df = spark.createDataFrame([("https://a.rival42.test/x",), ("https://rival42.test.evil/x",),
+                                ("https://m.example.net/y",)], "url string").withColumn("host", host_of("url"))
+    got = {r.url: r.ownership for r in label_ownership_join(df, rules, "url", "host", domains=domains).collect()}
+    assert got == {"https://a.rival42.test/x": "competitor", "https://rival42.test.evil/x": "third_party",
+                   "https://m.example.net/y": "owned"}
