@@ -217,3 +217,23 @@ def union_discovery(*sources: DataFrame) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def read_verdicts(spark: SparkSession, path, kind: str = "web", brand: str | None = None) -> DataFrame:
+    """Model verdicts landed as JSON lines (one object per key), for the merge.
+
+    ``kind`` is ``web`` or ``answer``.  Verdicts written with brand-named fields, as a tool
+    schema for one brand would name them (``says_about_<brand>``, ``sentiment_<brand>``,
+    ``<brand>_mentioned``, ``<brand>_rank``, ``<brand>_recommended``), are mapped onto the
+    generic columns when ``brand`` is given."""
+    from sourcelens.schemas import ANSWER_VERDICT, WEB_VERDICT
+    target = WEB_VERDICT if kind == "web" else ANSWER_VERDICT
+    if not brand:
+        return spark.read.schema(target).json(path)
+    b = brand.lower()
+    renames = {f"says_about_{b}": "says_about_brand", f"sentiment_{b}": "sentiment", f"{b}_mentioned": "mentioned",
+               f"{b}_rank": "rank", f"{b}_recommended": "recommended"}
+    back = {v: k for k, v in renames.items()}
+    landed = T.StructType([T.StructField(back.get(f.name, f.name), f.dataType, True) for f in target.fields])
+    df = spark.read.schema(landed).json(path)
+    return df.select(*[F.col(back.get(f.name, f.name)).alias(f.name) for f in target.fields])

@@ -137,3 +137,17 @@ def test_missing_source_contributes_nothing(spark, tmp_path, rules):
 def test_page_body_capped_at_20000(spark, tmp_path):
     path = land(tmp_path, "pages.jsonl", [{"url": "https://long.test", "markdown": "ab" * 15000}])
     assert len(readers.read_pages(spark, path).first().text) == 20000
+
+
+def test_read_verdicts_with_brand_named_fields(spark, tmp_path):
+    path = land(tmp_path, "verdicts.jsonl", [
+        {"key": "chatgpt\u001f1\u001fp", "license_mentioned": True, "license_rank": 2, "license_recommended": True,
+         "says_about_license": "Recommends it.", "mentions_competition": True, "competitors_named": ["Token"],
+         "sentiment_license": 0.5, "sources_cited": ["https://example.net"]}])
+    v = readers.read_verdicts(spark, path, "answer", brand="License").first()
+    assert (v.mentioned, v.rank, v.recommended, v.says_about_brand, v.sentiment) == (True, 2, True, "Recommends it.",
+                                                                                     0.5)
+    assert v.competitors_named == ["Token"] and v.sources_cited == ["https://example.net"]
+    web = land(tmp_path, "web.jsonl", [{"key": "https://a.test", "says_about_brand": "x", "sentiment": -0.2}])
+    w = readers.read_verdicts(spark, web).first()
+    assert (w.key, w.says_about_brand, w.sentiment, w.price_mentioned) == ("https://a.test", "x", -0.2, None)
