@@ -67,8 +67,10 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
                 scorer: Callable | None = None, brand: str | None = None, note: str = "") -> WebRun:
     """Web track: landed search / news / ads / forum items -> snapshot sheet, crawl list, cache.
 
-    ``landing`` holds one folder per source (``serp``, ``news``, ``ads``, ``reddit``) and
-    ``pages`` (the landed crawl).  A missing folder is a failed source and contributes nothing.
+    ``landing`` holds one folder per source (``serp``, ``news``, ``ads``, ``reddit``),
+    ``pages`` (the landed crawl) and optionally ``verdicts_web`` (model verdicts by canonical
+    URL; else ``scorer``, else the rule fallback).  A missing folder is a failed source and
+    contributes nothing.
     """
     rules = rules_from_config(config, brand)
     sources = sources or list(WEB_SOURCES)
@@ -90,7 +92,8 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
                                       "ownership string, source_ord bigint, seq bigint")
     recs = readers.union_discovery(*parts) if parts else empty
     crawled = readers.try_source(readers.read_pages, spark, f"{landing}/pages")
-    snap = web_snapshot(recs, read_cache(spark, cache), crawled, rules, as_of, scorer=scorer)
+    verdicts = readers.try_source(readers.read_verdicts, spark, f"{landing}/verdicts_web", "web", rules.brand)
+    snap = web_snapshot(recs, read_cache(spark, cache), crawled, rules, as_of, verdicts=verdicts, scorer=scorer)
     rid = run_id("web", sources, chosen.count(), note=note)
     written = write_snapshot(snap.sheet, out, "web", rid, {"as_of": as_of, "sources": ",".join(sources)},
                              guard=recs)
@@ -113,7 +116,7 @@ def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str,
                       scorer: Callable | None = None, brand: str | None = None, note: str = "") -> AnswerRun:
     """Answer track: manifest (selected topics + ad-hoc prompts) x surfaces x runs, landed
     answers (``answers`` folder: assistant items; ``answer_api``: API payloads; ``failures``:
-    failed calls) -> the 19-column sheet."""
+    failed calls; optionally ``verdicts_answers``: model verdicts) -> the 19-column sheet."""
     rules = rules_from_config(config, brand)
     known = list(config.get("llm_surfaces", ["chatgpt", "perplexity"]))
     surfaces = surfaces or known
@@ -136,7 +139,8 @@ def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str,
                                             "citations array<string>, error string")
     failures = readers.try_source(lambda: spark.read.schema(
         "surface string, run bigint, prompt string, note string").json(f"{landing}/failures"))
-    snap = answer_snapshot(manifest, answers, rules, known, failures=failures, scorer=scorer)
+    verdicts = readers.try_source(readers.read_verdicts, spark, f"{landing}/verdicts_answers", "answer", rules.brand)
+    snap = answer_snapshot(manifest, answers, rules, known, failures=failures, verdicts=verdicts, scorer=scorer)
     rid = run_id("answers", surfaces, chosen.count(), runs, note)
     written = write_snapshot(snap, out, "answers", rid, {"num_runs": runs, "surfaces": ",".join(surfaces)})
     return AnswerRun(rid, written, snap)

@@ -234,6 +234,9 @@ def read_verdicts(spark: SparkSession, path, kind: str = "web", brand: str | Non
     renames = {f"says_about_{b}": "says_about_brand", f"sentiment_{b}": "sentiment", f"{b}_mentioned": "mentioned",
                f"{b}_rank": "rank", f"{b}_recommended": "recommended"}
     back = {v: k for k, v in renames.items()}
-    landed = T.StructType([T.StructField(back.get(f.name, f.name), f.dataType, True) for f in target.fields])
-    df = spark.read.schema(landed).json(path)
-    return df.select(*[F.col(back.get(f.name, f.name)).alias(f.name) for f in target.fields])
+    fields = list(target.fields) + [T.StructField(back[f.name], f.dataType, True)
+                                    for f in target.fields if f.name in back]
+    df = spark.read.schema(T.StructType(fields)).json(path)
+    # either naming is accepted: the brand-named field wins when both are present
+    return df.select(*[(F.coalesce(F.col(back[f.name]), F.col(f.name)) if f.name in back else F.col(f.name))
+                       .alias(f.name) for f in target.fields])

@@ -103,3 +103,17 @@ def test_both_tracks_select_the_same_topics(spark):
     key = lambda df: sorted((r.id, r.query) for r in df.collect())
     assert key(web) == key(answers) == [("brand_head", "license monitor"), ("cmp_token", "license vs Token")]
     assert key(select_topics(spark, CONFIG, ["2"])) == [("cmp_token", "license vs Token")]
+
+
+def test_web_refresh_uses_landed_verdicts(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing / "serp", [{"searchQuery": "license vs Token", "organicResults": [
+        {"url": "https://review.test/a", "description": "Token beats license"},
+        {"url": "https://other.test/b", "description": "license"}]}])
+    land(landing / "verdicts_web", [{"key": "https://review.test/a", "says_about_license": "Judged.",
+                                     "mentions_competition": False, "sentiment_license": 0.7}])
+    run = web_refresh(spark, CONFIG, str(landing), str(tmp_path / "out"), str(tmp_path / "cache"),
+                      as_of="2024-01-20")
+    rows = {r.url: r for r in run.sheet.collect()}
+    assert rows["https://review.test/a"].says_about_brand == "Judged." and rows["https://review.test/a"].sentiment == 0.7
+    assert rows["https://other.test/b"].verdict_source == "fallback"

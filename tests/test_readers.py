@@ -151,3 +151,9 @@ def test_read_verdicts_with_brand_named_fields(spark, tmp_path):
     web = land(tmp_path, "web.jsonl", [{"key": "https://a.test", "says_about_brand": "x", "sentiment": -0.2}])
     w = readers.read_verdicts(spark, web).first()
     assert (w.key, w.says_about_brand, w.sentiment, w.price_mentioned) == ("https://a.test", "x", -0.2, None)
+
+
+def test_read_verdicts_accepts_generic_names_with_a_brand(spark, tmp_path):
+    path = land(tmp_path, "v.jsonl", [{"key": "k", "says_about_brand": "generic", "sentiment": 0.3}])
+    v = readers.read_verdicts(spark, path, "web", brand="license").first()
+    assert (v.says_about_brand, v.sentiment) == ("generic", 0.3)
