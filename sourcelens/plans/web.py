@@ -66,7 +66,15 @@ def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRul
 class WebSnapshot:
     sheet: DataFrame          # 15 sheet columns + verdict_source, fetch_status (cache/crawl/missing/none), labels
     crawl_list: DataFrame     # url: records to crawl (cache misses)
-    cache_next: DataFrame     # the cache after upserting the crawled bodies (write with write_cache)
+    _next_cache: Callable[[], DataFrame]
+
+    @property
+    def cache_next(self) -> DataFrame:
+        """The cache after upserting the crawled bodies (write with ``write_cache``); built on
+        first use, so runs that only need the sheet do not plan it."""
+        if not hasattr(self, "_cache_next_df"):
+            self._cache_next_df = self._next_cache()
+        return self._cache_next_df
 
 
 def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | None, rules: BrandRules, as_of,
@@ -121,9 +129,10 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     keep = ("fetch_status", "first_seen") if first_seen else ("fetch_status",)
     sheet = classify_web(enriched, verdicts, rules, "body", raw_url="raw_url" if label_from_raw else None,
                          keep=keep)
-    used = crawled.select("url", "text").join(crawl_list, "url", "left_semi") if crawled is not None else None
-    next_cache = cache_upsert(cache, used, as_of)
-    return WebSnapshot(sheet=sheet, crawl_list=crawl_list, cache_next=next_cache)
+    def next_cache() -> DataFrame:
+        used = crawled.select("url", "text").join(crawl_list, "url", "left_semi") if crawled is not None else None
+        return cache_upsert(cache, used, as_of)
+    return WebSnapshot(sheet=sheet, crawl_list=crawl_list, _next_cache=next_cache)
 
 
 def web_sheet(snapshot: WebSnapshot) -> DataFrame:
