@@ -76,6 +76,7 @@ def _versions(spark: SparkSession, base: str, complete_only: bool = True) -> lis
 
 def read_cache(spark: SparkSession, base: str) -> DataFrame:
     """The current (newest complete) cache version; an empty table if none exists."""
+    base = base.rstrip("/")
     vs = _versions(spark, base)
     if not vs:
         return spark.createDataFrame([], "url string, text string, fetch_date date")
@@ -85,6 +86,7 @@ def read_cache(spark: SparkSession, base: str) -> DataFrame:
 def write_cache(df: DataFrame, base: str) -> str:
     """Write ``df`` as the next version and return its path (the old version stays readable).
     A version left incomplete by a failed job is skipped, never reused or read."""
+    base = base.rstrip("/")
     vs = _versions(df.sparkSession, base, complete_only=False)
     path = f"{base}/version={(vs[-1] + 1) if vs else 1}"
     df.select("url", "text", "fetch_date").write.mode("error").partitionBy("fetch_date").parquet(path)
