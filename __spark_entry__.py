@@ -8,6 +8,7 @@ computes the same result in DuckDB SQL from the same tables.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -396,7 +397,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return with_nonprod(best, R).select("url", "host", "platform", "rank", "ownership", "nonprod_url")
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and oracles of the llm subpackage and its pipeline; empty where they have been removed."""
+    if importlib.util.find_spec("sourcelens.llm") is None:
+        return {}, {}
+    from sourcelens.llm.queries import oracles, queries as llm_queries
+    qs, sql = llm_queries(), oracles()
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+        qs["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return qs, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | _llm()[0]
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "canonical_urls": q_canonical_urls,
         "dedupe_best": q_dedupe_best,
@@ -447,4 +466,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     from oracles import oracle_queries
-    return oracle_queries()
+    return oracle_queries() | _llm()[1]
