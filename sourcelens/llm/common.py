@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import sourcelens
 from sourcelens.session import checkpoint_dir
 
 
@@ -26,6 +28,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver found it; on a cluster without
+    that path install the package or pass it with ``--py-files``."""
+    env = df.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(sourcelens.__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df.mapInArrow(fn, schema)
+
+
 def map_rows(df: DataFrame, fn, schema: str, rows: int = 256) -> DataFrame:
     """``fn(columns: dict of lists) -> dict of lists`` over small slices of Arrow batches, so a
     Python worker holds at most ``rows`` texts with their intermediate results."""
@@ -37,7 +50,7 @@ def map_rows(df: DataFrame, fn, schema: str, rows: int = 256) -> DataFrame:
                 out = fn(batch.slice(at, rows).to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:

@@ -30,8 +30,30 @@ def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.topk_search import top_k
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 5, F.col("vec_id") % 50 == 0)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.secret_scan import scan_documents
+    return scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from sourcelens.llm.bpe import encode_documents
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False).drop("text")
+
+
+def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.html_content import extract_text
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op3_histogram_shards)}
+    return {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_histogram_shards, op5_bpe, op6_topk_search, op10_html_content)}
 
 
 def oracles() -> dict[str, str]:
