@@ -47,13 +47,31 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False).drop("text")
 
 
+def held_out(n: int, rest: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n == rest, F.lit(False))
+
+
+def op4_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.crf_language import identify
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs, ~held_out(5, 0)).select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")
+
+
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.pu_quality import fit_quality, learn_rows, score_quality
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), learn_rows)
+    return score_quality(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
 def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sourcelens.llm.html_content import extract_text
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_histogram_shards, op5_bpe, op6_topk_search, op10_html_content)}
+    return {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_histogram_shards, op4_crf_language, op5_bpe, op6_topk_search, op7_pu_quality,
+                                     op10_html_content)}
 
 
 def oracles() -> dict[str, str]:
