@@ -64,6 +64,11 @@ def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.jaccard_join import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, threshold=(90, 100))
+
+
 def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sourcelens.llm.html_content import extract_text
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -71,7 +76,7 @@ def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_histogram_shards, op4_crf_language, op5_bpe, op6_topk_search, op7_pu_quality,
-                                     op10_html_content)}
+                                     op8_jaccard_join, op10_html_content)}
 
 
 def oracles() -> dict[str, str]:
