@@ -16,15 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder of ``spark.checkpoint.dir`` and go on from the copy,
-    so a lost executor rereads it and later jobs don't compute it again.  Only a session
-    that names no folder (tests) gets one of its own."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``.  Only a session that names none (tests) gets one of its own."""
     if checkpoint_dir(spark) is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-checkpoint-"))
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+    return checkpoint_dir(spark).rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the copy, so a lost executor rereads it and later
+    jobs don't compute it again."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -42,7 +46,7 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
 def map_rows(df: DataFrame, fn, schema: str, rows: int = 256) -> DataFrame:
     """``fn(columns: dict of lists) -> dict of lists`` over small slices of Arrow batches, so a
     Python worker holds at most ``rows`` texts with their intermediate results."""
-    arrow = _arrow_schema(df.sparkSession, schema)
+    arrow = arrow_schema(df.sparkSession, schema)
 
     def run(batches):
         for batch in batches:
@@ -53,7 +57,7 @@ def map_rows(df: DataFrame, fn, schema: str, rows: int = 256) -> DataFrame:
     return map_arrow(df, run, schema)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     return to_arrow_schema(StructType.fromDDL(schema))

@@ -69,6 +69,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, threshold=(90, 100))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sourcelens.llm.html_content import extract_text
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -76,7 +81,7 @@ def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_histogram_shards, op4_crf_language, op5_bpe, op6_topk_search, op7_pu_quality,
-                                     op8_jaccard_join, op10_html_content)}
+                                     op8_jaccard_join, op9_decontaminate, op10_html_content)}
 
 
 def oracles() -> dict[str, str]:
