@@ -119,8 +119,8 @@ def segment_keys(tokens: np.ndarray, table: Bands, merged: dict[int, list[int]]
             continue
         for k in merged.get(b, ()):
             low, high = ends[2 * k], ends[2 * k + 2]
-            content = sums[high] - sums[low]
-            left_out = np.concatenate([[content + np.uint64(high - low)], content - mixed[low:high] + np.uint64(high - low) - np.uint64(1)])
+            content = sums[high:high + 1] - sums[low:low + 1]
+            left_out = np.concatenate([content + np.uint64(high - low), content - mixed[low:high] + np.uint64(high - low) - np.uint64(1)])
             out.append((np.full(len(left_out), slots[2 * k]), left_out * _M3))
     if not out:
         return np.zeros(0, np.int64)
