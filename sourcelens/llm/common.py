@@ -25,11 +25,12 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_dir(spark).rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, rows: int | None = None, per_part: int = 25_000) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the copy, so a lost executor rereads it and later
-    jobs don't compute it again."""
+    jobs don't compute it again.  With a bound of its ``rows``, a small table becomes few files, and the shuffles
+    after it few pieces, however many partitions the session uses."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(max(4, -(-rows // per_part)))).checkpoint(eager=True)
 
 
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:

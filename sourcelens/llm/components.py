@@ -21,7 +21,8 @@ def _state(edges: DataFrame) -> tuple:
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, comp) for every node that has a link; ``comp`` is its component's smallest node."""
-    edges = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+    bound = 2 * links.count() + 1  # no step has more edges than this
+    edges = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), bound, 200_000)
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -31,7 +32,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = _minimum(large)
         small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        edges = cut(small)
+        edges = cut(small, bound, 200_000)
         now = _state(edges)
         if now == before:
             break

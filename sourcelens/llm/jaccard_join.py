@@ -281,9 +281,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         more = cut(more)
         more_counts = more.groupBy("key").agg(F.count("*").alias("g")).where("g > 1")
         exact, counts = exact.unionByName(more), counts.unionByName(more_counts)
-    members = cut(exact.join(counts, "key"))
-    active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch"), "node"))
-    sets = cut(_sets(_texts_of(docs, active, id_col, text), width))
+    size = counts.agg(F.sum("g")).first()[0] or 0
+    members = cut(exact.join(counts, "key"), size)
+    active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch"), "node"), size)
+    sets = cut(_sets(_texts_of(docs, active, id_col, text), width), size)
 
     links = comps = tried = None
     for r in range(rounds + 1):
@@ -301,13 +302,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             maybe = _pairs_in_blocks(rest, num, den)
         if tried is not None:
             maybe = maybe.join(tried, ["a", "b"], "left_anti")
-        maybe = cut(maybe)
-        found = cut(_linked(_both(maybe, sets, ["tokens"]), num, den))
+        maybe = cut(maybe, size)
+        found = cut(_linked(_both(maybe, sets, ["tokens"]), num, den), size)
         tried = maybe if tried is None else tried.unionByName(maybe)
         new = found.limit(1).count()
         links = found if links is None else links.unionByName(found)
         if new:
-            comps = cut(components(links))
+            comps = cut(components(links), size)
     named = nodes.select("digest", "node", "id")
     if comps is not None:
         named = named.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
