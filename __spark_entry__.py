@@ -18,27 +18,31 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import pandas as pd  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from sourcelens.functions.text import any_claim, brands_in, claim_flags, lowered, mentions_brand, prices_seen  # noqa: E402
-from sourcelens.functions.urls import canonical_url, host_of, path_of  # noqa: E402
+from sourcelens.functions.urls import canonical_url, host_of, path_of, strip_ws  # noqa: E402
 from sourcelens.operators.answers import error_rows, with_sources, with_status  # noqa: E402
-from sourcelens.operators.catalog import (add_adhoc, request_manifest, select_catalog, selector_frame,  # noqa: E402
+from sourcelens.operators.catalog import (add_adhoc, read_topics, request_manifest, select_catalog,  # noqa: E402
                                           tag_topics, topics_frame)
 from sourcelens.operators.dedupe import dedupe_best  # noqa: E402
-from sourcelens.operators.fetch import enrich, plan_fetch  # noqa: E402
+from sourcelens.operators.fetch import enrich, merge_bodies, plan_fetch  # noqa: E402
 from sourcelens.operators.links import brand_mentions, link_table, with_outbound_links  # noqa: E402
 from sourcelens.operators.ownership import label_ownership, label_ownership_join, with_nonprod  # noqa: E402
 from sourcelens.operators.verdicts import (answer_fallback, merge_verdicts, score_batches,  # noqa: E402
                                            web_fallback, with_text_labels)
 from sourcelens.plans import reports, testbed as tb  # noqa: E402
 from sourcelens.plans.answers import answer_sheet, answer_snapshot  # noqa: E402
-from sourcelens.plans.web import web_snapshot  # noqa: E402
+from sourcelens.plans.web import web_sheet, web_snapshot  # noqa: E402
 from sourcelens.schemas import (AD_ITEM, ANSWER_API_ITEM, ANSWER_ITEM, CONTENT_ITEM, FORUM_ITEM,  # noqa: E402
-                                SERP_ITEM, WEB_COLUMNS, WEB_VERDICT)
+                                LLM_SCHEMA, SERP_ITEM, WEB_SCHEMA, WEB_VERDICT)
 from sourcelens.sources import readers  # noqa: E402
+from sourcelens.session import shared_scratch  # noqa: E402
 from sourcelens.sources.cache import cache_fresh, cache_upsert  # noqa: E402
+from sourcelens.sources.sinks import conform, new_run_id, read_sheet, write_answers, write_snapshot, write_web  # noqa: E402
 
 R = tb.rules()
+REC = ["url", "platform", "query", "intent", "topic_id", "rank", "title", "snippet"]
 
 
 def _t(spark, sf, name):
@@ -119,7 +123,7 @@ def q_price_mentions(spark, sf):
 
 
 def q_price_brand_top5(spark, sf):
-    return reports.price_table(_price_text(spark, sf), R, key="p_brand", text="text", top=5)
+    return reports.price_table(_price_text(spark, sf), R, key="p_brand", text="text")
 
 
 def q_outbound_links(spark, sf):
@@ -135,8 +139,8 @@ def q_link_table(spark, sf):
 
 def q_richer_text(spark, sf):
     d = _t(spark, sf, "documents").select("doc_id", "text")
-    c = (_t(spark, sf, "conversations").where(F.col("turn") == 0)
-         .select(F.col("conv_id").alias("url"), F.col("text")))
+    turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    c = _t(spark, sf, "conversations").groupBy(F.col("conv_id").alias("url")).agg(F.array_join(turns, " ").alias("text"))
     recs = d.select(F.col("doc_id").alias("url"), F.col("text").alias("snippet"))
     out = enrich(recs, c, "url", "snippet", "best")
     return out.select(F.col("url").alias("doc_id"),
@@ -235,12 +239,12 @@ def _catalog(spark, sf):
 
 
 def q_catalog_select(spark, sf):
-    sel = select_catalog(_catalog(spark, sf), selector_frame(spark, tb.SELECTORS), "label", "pos")
+    sel = select_catalog(_catalog(spark, sf), tb.SELECTORS, "label", "pos")
     return sel.select("label", "sel_ord", "pos")
 
 
 def q_adhoc_prompts(spark, sf):
-    sel = select_catalog(_catalog(spark, sf), selector_frame(spark, tb.SELECTORS), "label", "pos")
+    sel = select_catalog(_catalog(spark, sf), tb.SELECTORS, "label", "pos")
     p = _t(spark, sf, "part")
     text = (F.when(F.col("p_size") <= 3, F.col("p_name"))
              .when(F.col("p_size") >= 48, F.lit("  "))
@@ -260,7 +264,8 @@ def _web(spark, sf, as_of=tb.AS_OF):
 
 
 def q_web_snapshot(spark, sf):
-    return _web(spark, sf).sheet.select(*WEB_COLUMNS, "verdict_source")
+    snap = _web(spark, sf)
+    return conform(snap.sheet, T.StructType([*WEB_SCHEMA.fields, T.StructField("verdict_source", T.StringType())]))
 
 
 def _answers(spark, sf):
@@ -296,8 +301,7 @@ def q_citation_rollup(spark, sf):
 
 
 def q_snapshot_diff(spark, sf):
-    a = _web(spark, sf, "2024-01-20").sheet.select(*WEB_COLUMNS)
-    b = _web(spark, sf, "2024-01-24").sheet.select(*WEB_COLUMNS)
+    a, b = web_sheet(_web(spark, sf, "2024-01-20")), web_sheet(_web(spark, sf, "2024-01-24"))
     return reports.snapshot_diff(a, b, ["url"])
 
 
@@ -311,18 +315,16 @@ def q_score_against_gold(spark, sf):
 
 
 def _demo_scorer(batch: pd.DataFrame) -> pd.DataFrame:
-    """A deterministic scorer standing in for a model: fails on texts containing 'zz'."""
-    if batch["text"].str.contains("zz", regex=False).any():
-        raise ValueError("scorer failed")
+    """A deterministic scorer standing in for a model: it reports a failure for texts containing 'zz' and
+    leaves out the optional fields."""
     low = batch["text"].str.lower()
     return pd.DataFrame({
         "key": batch["key"],
         "says_about_brand": "Scored " + batch["text"].str.len().astype(str) + " chars.",
         "mentions_competition": low.str.contains("there", regex=False),
-        "competition_summary": None,
+        "error": batch["text"].str.contains("zz", regex=False).map({True: "no answer", False: None}),
         "competitors_named": [["There"] if x else [] for x in low.str.contains("there", regex=False)],
         "sentiment": 0.5,
-        "price_mentioned": None,
     })
 
 
@@ -343,23 +345,23 @@ def _topics(spark):
 def q_serp_records(spark, sf):
     items = tb.parse_lines(tb.serp_lines(spark, sf), SERP_ITEM)
     return readers.serp_records(items, _topics(spark), "web", True).select(
-        "url", "platform", "query", "intent", "topic_id", "rank", "title", "snippet", "seq")
+        *REC, F.col("seq.item.row").alias("item"), "seq.kind", "seq.pos")
 
 
 def q_news_records(spark, sf):
     items = tb.parse_lines(tb.serp_lines(spark, sf), SERP_ITEM)
     return readers.serp_records(items, _topics(spark), "news", False).select(
-        "url", "platform", "query", "intent", "topic_id", "rank", "title", "snippet", "seq")
+        *REC, F.col("seq.item.row").alias("item"), "seq.kind", "seq.pos")
 
 
 def q_ad_records(spark, sf):
     items = tb.parse_lines(tb.ad_lines(spark, sf), AD_ITEM)
-    return readers.ad_records(items, R).select("url", "title", "snippet", "advertiser", "ownership", "seq")
+    return readers.ad_records(items, R).select("url", "title", "snippet", "advertiser", "ownership", F.col("seq.item.row").alias("item"))
 
 
 def q_forum_records(spark, sf):
     items = tb.parse_lines(tb.forum_lines(spark, sf), FORUM_ITEM)
-    return readers.forum_records(items).select("url", "title", "snippet", "seq")
+    return readers.forum_records(items).select("url", "title", "snippet", F.col("seq.item.row").alias("item"))
 
 
 def q_page_bodies(spark, sf):
@@ -368,12 +370,12 @@ def q_page_bodies(spark, sf):
 
 def q_answer_items(spark, sf):
     a = readers.answer_items(tb.parse_lines(tb.answer_lines(spark, sf), ANSWER_ITEM))
-    return a.select("surface", "run", "prompt", "response", F.array_join("citations", ", ").alias("citations"), "seq")
+    return a.select("surface", "run", "prompt", "response", F.array_join("citations", ", ").alias("citations"), F.col("seq.row").alias("item"))
 
 
 def q_answer_api_items(spark, sf):
     a = readers.answer_api_items(tb.parse_lines(tb.answer_api_lines(spark, sf), ANSWER_API_ITEM))
-    return a.select("surface", "run", "prompt", "response", F.array_join("citations", ", ").alias("citations"), "seq")
+    return a.select("surface", "run", "prompt", "response", F.array_join("citations", ", ").alias("citations"), F.col("seq.row").alias("item"))
 
 
 def q_nonprod_cited(spark, sf):
@@ -384,6 +386,86 @@ def q_competitor_share(spark, sf):
     return reports.competitor_share(_answers(spark, sf))
 
 
+def q_ownership_branches(spark, sf):
+    """Padded app-store and marketplace links through the web classification's ownership rule."""
+    u = tb.app_and_market_urls(spark, sf).withColumn("url", strip_ws("url"))
+    return label_ownership(u, R, "url").select("page_id", "url", "ownership")
+
+
+def q_topics_catalog(spark, sf):
+    """A catalog landed as JSON lines (some without a query) and read back."""
+    p = _t(spark, sf, "part")
+    topic = F.struct(F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_type").alias("intent"),
+                     F.when(F.col("p_size") % 7 != 0, F.col("p_name")).alias("query"))
+    path = tb.land(p.select(F.to_json(topic).alias("line")), "topics")
+    return read_topics(spark, path, multiline=False).select("id", "intent", "query")
+
+
+def q_merged_bodies(spark, sf):
+    """Cached bodies of the requests beside all crawled ones."""
+    plan = plan_fetch(_requests(spark, sf), tb.page_cache(spark, sf), tb.AS_OF, seq="seq")
+    return merge_bodies(plan.hits, tb.crawled_bodies(spark, sf))
+
+
+def q_landed_discovery(spark, sf):
+    """All discovery sources, landed as files, read by their readers and united."""
+    web, news = readers.read_serp(spark, tb.land(tb.serp_lines(spark, sf), "serp"), _topics(spark)), \
+        readers.read_news(spark, tb.land(tb.serp_lines(spark, sf), "news"), _topics(spark))
+    ads = readers.read_ads(spark, tb.land(tb.ad_lines(spark, sf), "ads"), R)
+    forum = readers.read_forum(spark, tb.land(tb.forum_lines(spark, sf), "reddit"))
+    return readers.union_discovery(web, news, ads, forum).select(*REC, "ownership", "source_ord", "seq.kind", "seq.pos")
+
+
+def q_landed_pages(spark, sf):
+    """S7 through its reader, with a URL of its own for every item."""
+    item = F.from_json("line", CONTENT_ITEM)
+    own = F.concat(F.lit("https://crawl.test/"), F.col("item_seq").cast("string"))
+    lines = tb.content_lines(spark, sf).select(F.to_json(F.struct(own.alias("url"), item["markdown"].alias("markdown"),
+                                                                  item["text"].alias("text"))).alias("line"))
+    return readers.read_pages(spark, tb.land(lines, "pages")).select("url", "text")
+
+
+def q_landed_answers(spark, sf):
+    """S8 and S9 through their readers."""
+    a = readers.read_answers(spark, tb.land(tb.answer_lines(spark, sf), "answers"))
+    b = readers.read_answer_api(spark, tb.land(tb.answer_api_lines(spark, sf), "answer_api"))
+    return a.unionByName(b).select("surface", "run", "prompt", "response", F.array_join("citations", ", ").alias("citations"))
+
+
+def q_web_csv(spark, sf):
+    """The web sheet written as CSV and read back."""
+    path = f"{shared_scratch(spark)}/web-{new_run_id()}"
+    write_web(_web(spark, sf).sheet, path)
+    return read_sheet(spark, path, WEB_SCHEMA)
+
+
+def q_answers_csv(spark, sf):
+    """The sorted answer sheet written as CSV and read back."""
+    path = f"{shared_scratch(spark)}/answers-{new_run_id()}"
+    write_answers(_answers(spark, sf), path)
+    sheet = read_sheet(spark, path, LLM_SCHEMA)
+    return sheet.select(*[F.col(c).cast("string").alias(c) if c in NULLABLE_FLAGS else F.col(c) for c in sheet.columns])
+
+
+def q_run_written(spark, sf):
+    """A run written with its counters; an empty run writes nothing."""
+    out, rid = f"{shared_scratch(spark)}/runs-{new_run_id()}", new_run_id()
+    sheet = _web(spark, sf).sheet
+    empty = write_snapshot(sheet.limit(0), out, "web", "empty", guard=sheet.limit(0))
+    write_snapshot(sheet, out, "web", rid, {"empty_written": str(empty).lower()}, guard=_t(spark, sf, "pages"))
+    keys = ["count.rows", "count.source_web", "count.source_news", "count.source_reddit", "count.nonprod", "count.fetch_cache", "empty_written"]
+    return spark.read.parquet(f"{out}/run_meta").where(F.col("key").isin(*keys)).select("key", "value")
+
+
+def q_repeated_verdicts(spark, sf):
+    """J5 with several landed verdicts for a key: the last counts, and no row is multiplied."""
+    lab = _t(spark, sf, "labels").withColumn("key", (F.col("doc_id") % 50).cast("string"))
+    v = tb.label_verdict_columns(lab).withColumnRenamed("doc_id", "seq")
+    d = _t(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 100).cast("string").alias("key"))
+    m = merge_verdicts(with_text_labels(d, R, "text"), v, "key", web_fallback("text", R))
+    return m.select("doc_id", "verdict_source", "says_about_brand")
+
+
 def q_run_counters(spark, sf):
     return reports.run_counters(_web(spark, sf).sheet)
 
@@ -461,6 +543,16 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_counters": q_run_counters,
         "nonprod_cited": q_nonprod_cited,
         "competitor_share": q_competitor_share,
+        "ownership_branches": q_ownership_branches,
+        "topics_catalog": q_topics_catalog,
+        "merged_bodies": q_merged_bodies,
+        "landed_discovery": q_landed_discovery,
+        "landed_pages": q_landed_pages,
+        "landed_answers": q_landed_answers,
+        "web_csv": q_web_csv,
+        "answers_csv": q_answers_csv,
+        "run_written": q_run_written,
+        "repeated_verdicts": q_repeated_verdicts,
     }
 
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from sourcelens.functions.urls import USES_NETLOC
 from sourcelens.plans import testbed as tb
-from sourcelens.rules import CAP_SNIPPET, CAP_STORED_TEXT
 
 R = tb.rules()
 
@@ -99,7 +98,7 @@ def mentions(text: str) -> str:
 
 
 def prices_list(text: str) -> str:
-    return f"list_sort(list_distinct(regexp_extract_all(coalesce({text}, ''), {lit(R.price_pattern)})))[1:5]"
+    return f"list_sort(list_distinct(regexp_extract_all(coalesce({text}, ''), {lit(R.price_pattern)})))"
 
 
 def urls_in(text: str) -> str:
@@ -119,28 +118,29 @@ def narrative(st: str, text: str, note: str) -> str:
 
 
 def dedupe_rank(rank: str) -> str:
-    return f"(CASE WHEN {rank} IS NULL OR {rank} = 0 THEN 999 ELSE {rank} END)"
+    return f"CASE WHEN coalesce({rank}, 0) = 0 THEN 1 ELSE 0 END, coalesce({rank}, 0)"
 
 
 # ---------------------------------------------------------------------------
 # shared CTEs (derived inputs, as in sourcelens.plans.testbed)
 # ---------------------------------------------------------------------------
+N_PAGES = "(SELECT count(*) FROM pages)"
+
+
 def cte_records() -> str:
     return f"""
 base AS (
-  SELECT p.page_id, p.url, p.html, d.text AS doc, c.text AS turn0,
-         regexp_extract(p.html, '<title>(.*?)</title>', 1) AS title,
-         regexp_extract(p.url, '^https?://[^/]+/([a-z]{{2}})/', 1) AS query
-  FROM pages p
-  LEFT JOIN documents d ON d.doc_id = p.page_id
-  LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) c ON c.conv_id = p.page_id),
+  SELECT page_id, url, regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
+         regexp_extract(url, '^https?://[^/]+/([a-z]{{2}})/', 1) AS query FROM pages),
 recs AS (
-  SELECT url, 'web' AS platform, query, CAST(page_id % 20 + 1 AS BIGINT) AS rank, title,
-         left(coalesce(doc, ''), 300) AS snippet, 0 AS source_ord, page_id AS seq FROM base
+  SELECT url, 'web' AS platform, query, CAST(doc_id % 20 + 1 AS BIGINT) AS rank, title,
+         coalesce(text, '') AS snippet, 0 AS source_ord, doc_id AS seq
+  FROM documents JOIN base ON page_id = doc_id % {N_PAGES}
   UNION ALL
   SELECT url, 'news', query, CAST(page_id % 7 + 1 AS BIGINT), title, title, 1, page_id FROM base
   UNION ALL
-  SELECT url, 'reddit', 'reddit', CAST(0 AS BIGINT), title, left(coalesce(turn0, ''), 4000), 3, page_id FROM base)"""
+  SELECT url, 'reddit', 'reddit', CAST(0 AS BIGINT), title, coalesce(text, ''), 3, conv_id * 1000 + turn
+  FROM conversations JOIN base ON page_id = conv_id % {N_PAGES})"""
 
 
 def cte_cache(as_of: str = tb.AS_OF, p: str = "") -> str:
@@ -159,14 +159,14 @@ def cte_crawled() -> str:
     return f"""
 crawled_all AS (
   SELECT url, text FROM (
-    SELECT {canon('p.url')} AS url, left(d.text, {CAP_STORED_TEXT}) AS text,
-           row_number() OVER (PARTITION BY {canon('p.url')} ORDER BY p.page_id DESC) AS rn
-    FROM pages p JOIN documents d ON d.doc_id = p.page_id) WHERE rn = 1)"""
+    SELECT {canon('p.url')} AS url, d.text,
+           row_number() OVER (PARTITION BY {canon('p.url')} ORDER BY d.doc_id DESC) AS rn
+    FROM pages p JOIN documents d ON d.doc_id % {N_PAGES} = p.page_id) WHERE rn = 1)"""
 
 
 def cte_answers() -> str:
     return """
-cu AS (SELECT conv_id, turn, text AS prompt FROM conversations WHERE role = 'user'),
+cu AS (SELECT conv_id, turn, text AS prompt FROM conversations WHERE role <> 'assistant'),
 ca AS (SELECT conv_id, turn - 1 AS turn, text AS answer FROM conversations WHERE role = 'assistant'),
 cj AS (SELECT cu.conv_id, cu.turn, cu.prompt, ca.answer FROM cu LEFT JOIN ca ON ca.conv_id = cu.conv_id AND ca.turn = cu.turn),
 pg AS (SELECT page_id, url FROM pages),
@@ -191,14 +191,14 @@ def status_sql(response: str, error: str) -> str:
 
 def sources_ctes(src: str, out: str, text: str, extra: str, verdict: str) -> str:
     """U4 over rows of ``src``: verdict sources ++ extra ++ text URLs -> http only -> canonical ->
-    ordered distinct -> first 15; plus the non-production flag."""
+    ordered distinct ; plus the non-production flag."""
     return f"""
 {out}_a AS (
   SELECT *, list_transform(list_filter(list_concat(list_concat({verdict}, {extra}), {urls_in(text)}),
                                        lambda s: s IS NOT NULL AND starts_with(s, 'http')),
                            lambda s: {canon('s')}) AS _cl FROM {src}),
 {out} AS (
-  SELECT * EXCLUDE (_cl), list_filter(_cl, lambda x, i: list_position(_cl, x) = i)[1:15] AS srcs FROM {out}_a)"""
+  SELECT * EXCLUDE (_cl), list_filter(_cl, lambda x, i: list_position(_cl, x) = i) AS srcs FROM {out}_a)"""
 
 
 def web_ctes(as_of: str, p: str) -> str:
@@ -240,8 +240,8 @@ def web_ctes(as_of: str, p: str) -> str:
            CASE WHEN l.quality = 1 THEN 'Good page.' ELSE 'Weak page.' END AS says,
            l.toxic = 1 AS mc, CASE WHEN l.toxic = 1 THEN 'There' ELSE '' END AS comps,
            CAST(l.quality - l.toxic AS DOUBLE) AS sentiment,
-           row_number() OVER (PARTITION BY {canon('p.url')} ORDER BY p.page_id DESC) AS rn
-    FROM pages p JOIN labels l ON l.doc_id = p.page_id) WHERE rn = 1),
+           row_number() OVER (PARTITION BY {canon('p.url')} ORDER BY l.doc_id DESC) AS rn
+    FROM pages p JOIN labels l ON l.doc_id % {N_PAGES} = p.page_id) WHERE rn = 1),
 {p}lab AS (
   SELECT e.*, {stale('e.body')} AS st, {prices_list('e.body')} AS prices, {comps_joined('e.body', '; ')} AS cj,
          {comps_joined('e.body', ', ')} AS cn, {any_comp('e.body')} AS anyc,
@@ -265,7 +265,7 @@ def web_ctes(as_of: str, p: str) -> str:
          CASE WHEN has_v THEN comps ELSE cj END AS competitors_named,
          CASE WHEN has_v THEN coalesce(v_sent, 0.0) ELSE 0.0 END AS sentiment,
          prices[1] AS price,
-         array_to_string(list_filter(_fl, lambda x, i: list_position(_fl, x) = i)[1:20], ', ') AS links_on_source,
+         array_to_string(list_filter(_fl, lambda x, i: list_position(_fl, x) = i), ', ') AS links_on_source,
          {nonprod('h')} AS nonprod_url, coalesce(title, '') AS title,
          CASE WHEN has_v THEN 'model' ELSE 'fallback' END AS verdict_source, fetch_status
   FROM {p}links1)"""
@@ -282,7 +282,7 @@ prompts AS (
   SELECT prompt, 'conv' AS intent, topic_id FROM (
     SELECT text AS prompt, 'c' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS topic_id,
            row_number() OVER (PARTITION BY text ORDER BY conv_id, turn) AS rn
-    FROM conversations WHERE role = 'user') WHERE rn = 1),
+    FROM conversations WHERE role <> 'assistant') WHERE rn = 1),
 manifest AS (
   SELECT s.surface, CAST(g.run AS BIGINT) AS run, pr.prompt, pr.intent, pr.topic_id
   FROM prompts pr CROSS JOIN (VALUES ('chatgpt'), ('perplexity'), ('gemini')) s(surface)
@@ -296,7 +296,7 @@ aok AS (
   WHERE a.surface IN ('chatgpt', 'perplexity') AND a.error IS NULL),
 alab AS (
   SELECT *, {stale('response')} AS st, {comps_joined('response', '; ')} AS cj, {comps_joined('response', ', ')} AS cn,
-         {any_comp('response')} AS anyc, {urls_in('response')}[1:10] AS fb_src FROM aok),
+         {any_comp('response')} AS anyc, {urls_in('response')} AS fb_src FROM aok),
 {sources_ctes('alab', 'asrc', 'response', 'citations', 'fb_src').strip()},
 arows AS (
   SELECT surface, run, prompt, intent, topic_id,
@@ -330,7 +330,7 @@ asheet AS (
   SELECT * FROM arows
   UNION ALL
   SELECT surface, run, prompt, intent, topic_id, NULL, NULL, NULL, '', NULL, '', '', NULL, NULL, '', false, '',
-         'error', left(coalesce(note, ''), 300), NULL
+         'error', coalesce(note, ''), NULL
   FROM aerr)"""
 
 
@@ -358,7 +358,7 @@ l0 AS (
          list_transform({urls_in('text')}, lambda x: {canon('x')}) AS _cl FROM lb),
 l1 AS (SELECT page_id, list_filter(_cl, lambda n: n <> '' AND NOT coalesce({host('n')} = ph, false)
                                               AND NOT {asset('n')}) AS _fl FROM l0),
-l2 AS (SELECT page_id, list_filter(_fl, lambda x, i: list_position(_fl, x) = i)[1:20] AS links FROM l1)"""
+l2 AS (SELECT page_id, list_filter(_fl, lambda x, i: list_position(_fl, x) = i) AS links FROM l1)"""
 
 
 def price_text_cte() -> str:
@@ -409,8 +409,7 @@ SELECT url, platform, rank, page_id FROM (
     q["ownership_labels"] = f"WITH {parts} SELECT page_id, canon_url, host, {ownership('url', 'host')} AS ownership FROM ph"
     q["ownership_suffix_join"] = q["ownership_labels"]
     q["nonprod_flags"] = f"WITH {parts} SELECT page_id, canon_url, host, {nonprod('host')} AS nonprod_url FROM ph"
-    q["nonprod_report"] = (f"WITH {parts} SELECT DISTINCT canon_url AS url FROM ph WHERE {nonprod('host')} "
-                           f"ORDER BY url LIMIT 5")
+    q["nonprod_report"] = (f"WITH {parts} SELECT DISTINCT canon_url AS url FROM ph WHERE {nonprod('host')}")
     claims = ", ".join(f"{claim('text', pats)} AS {name}" for name, pats in R.claim_patterns)
     q["claim_flags"] = (f"SELECT doc_id, {claims}, {claim('text', R.current_signal_patterns)} AS current_signal, "
                         f"{stale('text')} AS stale FROM documents")
@@ -427,8 +426,7 @@ FROM pl"""
 ex AS (SELECT DISTINCT p_brand, price FROM (
   SELECT p_brand, unnest(regexp_extract_all(text, {lit(R.price_pattern)})) AS price FROM pt))
 SELECT p_brand, price, price_rank FROM (
-  SELECT p_brand, price, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY price) AS BIGINT) AS price_rank FROM ex)
-WHERE price_rank <= 5"""
+  SELECT p_brand, price, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY price) AS BIGINT) AS price_rank FROM ex)"""
     q["outbound_links"] = f"""WITH {link_body_cte().strip()}
 SELECT page_id, array_to_string(links, ', ') AS links_on_source, CAST(len(links) AS BIGINT) AS n_links FROM l2"""
     q["link_table"] = f"""WITH {link_body_cte().strip()},
@@ -438,7 +436,8 @@ SELECT page_id, CAST(link_pos AS BIGINT) AS link_pos, link_url, {host('link_url'
   SELECT d.doc_id, coalesce(d.text, '') AS snip,
          CASE WHEN length(coalesce(c.text, '')) >= length(coalesce(d.text, '')) THEN coalesce(c.text, '')
               ELSE coalesce(d.text, '') END AS best
-  FROM documents d LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) c ON c.conv_id = d.doc_id)
+  FROM documents d LEFT JOIN (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id) c
+  ON c.conv_id = d.doc_id)
 SELECT doc_id, CASE WHEN best = snip THEN 'snippet' ELSE 'body' END AS best_from, best FROM j"""
     q["cache_fresh"] = f"""WITH {cte_cache().strip()}
 SELECT url, strftime(fetch_date, '%Y-%m-%d') AS fetch_date, CAST(length(text) AS BIGINT) AS text_chars FROM fresh"""
@@ -477,7 +476,7 @@ e AS (
   SELECT m.surface, m.run, m.prompt, m.intent, m.topic_id, f.note
   FROM manifest m JOIN fails f ON m.surface = f.surface AND m.run = f.run AND (f.prompt IS NULL OR m.prompt = f.prompt)
   WHERE m.surface IN ({known}))
-SELECT surface, run, prompt, intent, topic_id, 'error' AS status, left(coalesce(note, ''), 300) AS error_note FROM e"""
+SELECT surface, run, prompt, intent, topic_id, 'error' AS status, coalesce(note, '') AS error_note FROM e"""
     q["answer_status"] = f"""WITH {cte_answers().strip()}
 SELECT conv_id, turn, surface, run, {status_sql('response', 'error')} AS status FROM ans"""
     q["verdict_merge"] = f"""WITH lab AS (
@@ -498,7 +497,7 @@ SELECT doc_id, CASE WHEN has_v THEN 'model' ELSE 'fallback' END AS verdict_sourc
        prices[1] AS price
 FROM d"""
     q["citations_merge"] = f"""WITH {cte_answers().strip()},
-aa AS (SELECT conv_id, turn, response, citations, {urls_in('response')}[1:10] AS fb_src FROM ans WHERE response <> ''),
+aa AS (SELECT conv_id, turn, response, citations, {urls_in('response')} AS fb_src FROM ans WHERE response <> ''),
 {sources_ctes('aa', 's', 'response', 'citations', 'fb_src').strip()}
 SELECT conv_id, turn, array_to_string(srcs, ', ') AS sources_cited,
        len(list_filter(srcs, lambda x: {nonprod(host('x'))})) > 0 AS nonprod_url, CAST(len(srcs) AS BIGINT) AS n_sources
@@ -519,7 +518,8 @@ FROM first WHERE prompt NOT IN (SELECT label FROM chosen)"""
     ans = f"WITH {answers_ctes().strip()}"
     flags = ("mentioned", "rank", "recommended", "mentions_competition")
     cols = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in flags else c for c in LLM_COLS.replace(" ", "").split(","))
-    q["answer_snapshot"] = f"{ans} SELECT {cols} FROM asheet"
+    cols_text = cols
+    q["answer_snapshot"] = f"{ans} SELECT {cols_text} FROM asheet"
     q["visibility_rollup"] = f"""{ans}
 SELECT surface, prompt, CAST(count(*) AS BIGINT) AS runs, CAST(count_if(status = 'ok') AS BIGINT) AS ok_runs,
        CAST(count_if(status = 'ok' AND mentioned) AS BIGINT) AS mentioned_runs, CAST(count_if(status = 'ok' AND recommended) AS BIGINT) AS recommended_runs,
@@ -558,7 +558,7 @@ UNION ALL
 SELECT 'mentions_brand', CAST(count_if(p_mb AND g_mb) AS BIGINT), CAST(count_if(p_mb AND NOT g_mb) AS BIGINT), CAST(count_if(NOT p_mb AND g_mb) AS BIGINT),
        CAST(count_if(NOT p_mb AND NOT g_mb) AS BIGINT) FROM j"""
     q["scored_verdicts"] = f"""WITH d AS (
-  SELECT doc_id, text, left(text, 8000) AS t8, {stale('text')} AS st, {comps_joined('text', '; ')} AS cj,
+  SELECT doc_id, text, text AS t8, {stale('text')} AS st, {comps_joined('text', '; ')} AS cj,
          {any_comp('text')} AS anyc FROM documents),
 m AS (SELECT *, coalesce(text <> '' AND NOT contains(t8, 'zz'), false) AS has_v FROM d)
 SELECT doc_id, CASE WHEN has_v THEN 'model' ELSE 'fallback' END AS verdict_source,
@@ -570,8 +570,34 @@ SELECT doc_id, CASE WHEN has_v THEN 'model' ELSE 'fallback' END AS verdict_sourc
        CAST(CASE WHEN has_v THEN 0.5 ELSE 0.0 END AS DOUBLE) AS sentiment
 FROM m"""
     q.update(landing_oracles())
+    u = f"""(CASE WHEN page_id % 5 = 0 THEN ' https://Apps.Apple.com/us/app/reader/id' || CAST(page_id AS VARCHAR) || '?mt=8'
+             WHEN page_id % 5 = 1 THEN 'https://play.google.com/store/apps/details?id=net.example.r'
+                                       || CASE WHEN page_id % 2 = 0 THEN 'eader' ELSE CAST(page_id AS VARCHAR) END
+             WHEN page_id % 10 = 2 THEN 'https://www.amazon.com/x/dp/B' || CAST(page_id AS VARCHAR)
+             WHEN page_id % 10 = 7 THEN 'https://www.amazon.com/s?k=/dp' || CAST(page_id AS VARCHAR) ELSE url END)"""
+    q["ownership_branches"] = f"""WITH a AS (SELECT page_id, {strip(u)} AS u FROM pages)
+SELECT page_id, u AS url, {ownership('u', host('u'))} AS ownership FROM a"""
+    q["topics_catalog"] = """SELECT 't' || CAST(p_partkey AS VARCHAR) AS id, p_type AS intent, p_name AS query FROM part WHERE p_size % 7 <> 0"""
+    q["merged_bodies"] = f"""WITH {cte_cache().strip()}, {req}, {cte_crawled().strip()},
+hits AS (SELECT r.url, f.text FROM req r JOIN fresh f ON f.url = r.url)
+SELECT coalesce(h.url, c.url) AS url, coalesce(c.text, h.text) AS text FROM hits h FULL OUTER JOIN crawled_all c ON c.url = h.url"""
+    q["web_csv"] = f"{web} SELECT {WEB_COLS} FROM w_sheet"
+    q["answers_csv"] = f"{ans} SELECT {cols_text} FROM asheet"
+    q["run_written"] = f"""{web}
+SELECT k AS key, v AS value FROM (
+  SELECT unnest(['count.rows', 'count.source_web', 'count.source_news', 'count.source_reddit', 'count.nonprod', 'count.fetch_cache', 'empty_written']) AS k,
+         unnest([CAST(n AS VARCHAR), CAST(w AS VARCHAR), CAST(nw AS VARCHAR), CAST(rd AS VARCHAR), CAST(np AS VARCHAR), CAST(fc AS VARCHAR), 'false']) AS v
+  FROM (SELECT count(*) AS n, count_if(source = 'web') AS w, count_if(source = 'news') AS nw, count_if(source = 'reddit') AS rd,
+               count_if(nonprod_url) AS np, count_if(fetch_status = 'cache') AS fc FROM w_sheet))"""
+    q["repeated_verdicts"] = f"""WITH v AS (
+  SELECT doc_id % 50 AS key, doc_id, quality, row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id DESC) AS rn FROM labels)
+SELECT d.doc_id, CASE WHEN v.key IS NOT NULL THEN 'model' ELSE 'fallback' END AS verdict_source,
+       CASE WHEN v.key IS NOT NULL THEN CASE WHEN v.quality = 1 THEN 'Good page.' ELSE 'Weak page.' END
+            ELSE {narrative(stale('d.text'), 'd.text', R.stale_note_web)} END AS says_about_brand
+FROM documents d LEFT JOIN (SELECT * FROM v WHERE rn = 1) v ON v.key = d.doc_id % 100"""
     web_counts = ", ".join(f"CAST(count_if(source = {lit(x)}) AS BIGINT) AS source_{x}" for x in
                            ("web", "ai_overview", "chatgpt_search", "perplexity_search", "news", "ads", "reddit"))
+    web_counts += ", CAST(0 AS BIGINT) AS source_other"
     q["run_counters"] = f"""{web}
 SELECT CAST(count(*) AS BIGINT) AS rows, {web_counts}, CAST(count(DISTINCT url) AS BIGINT) AS unique_urls,
        CAST(count_if(nonprod_url) AS BIGINT) AS nonprod,
@@ -589,98 +615,115 @@ SELECT n.surface, n.brand, n.answers, t.ok_answers, round(n.answers / t.ok_answe
 FROM named n JOIN tot t ON t.surface = n.surface"""
     q["nonprod_cited"] = f"""{ans}
 SELECT DISTINCT src AS url FROM (SELECT unnest(string_split(sources_cited, ', ')) AS src FROM asheet)
-WHERE src <> '' AND {nonprod(host('src'))} ORDER BY url LIMIT 5"""
+WHERE src <> '' AND {nonprod(host('src'))}"""
     return q
 
 
 def page_base_cte() -> str:
-    return """
+    return f"""
 pb AS (
-  SELECT p.page_id, p.url, p.html, d.text AS doc, c.text AS turn0, n.next_url,
+  SELECT d.doc_id AS page_id, p.url, p.html, d.text AS doc, c.turns, n.url AS next_url,
          regexp_extract(p.html, '<title>(.*?)</title>', 1) AS title,
-         regexp_extract(p.url, '^https?://[^/]+/([a-z]{2})/', 1) AS lang
-  FROM pages p
-  LEFT JOIN documents d ON d.doc_id = p.page_id
-  LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) c ON c.conv_id = p.page_id
-  LEFT JOIN (SELECT page_id - 1 AS page_id, url AS next_url FROM pages) n ON n.page_id = p.page_id)"""
-
-
-def landing_oracles() -> dict[str, str]:
-    q: dict[str, str] = {}
-    topics = ", ".join(f"({lit(t['id'])}, {lit(t['intent'])}, {lit(t['query'])}, {i})"
-                       for i, t in enumerate(tb.LANG_TOPICS))
-    tcte = f"""
-lt AS (
-  SELECT id, intent, query FROM (
-    SELECT *, row_number() OVER (PARTITION BY query ORDER BY seq DESC) AS rn
-    FROM (VALUES {topics}) t(id, intent, query, seq)) WHERE rn = 1)"""
-    organic = """
-SELECT url, 'PLATFORM' AS platform, lang AS query, CAST(1 AS BIGINT) AS rank, coalesce(title, '') AS title,
-       left(coalesce(doc, ''), 200) AS snippet, page_id * 1000 AS seq FROM pb WHERE coalesce(url, '') <> ''
+         regexp_extract(p.url, '^https?://[^/]+/([a-z]{{2}})/', 1) AS lang
+  FROM documents d
+  JOIN pages p ON p.page_id = d.doc_id % {N_PAGES}
+  JOIN pages n ON n.page_id = (d.doc_id + 1) % {N_PAGES}
+  LEFT JOIN (SELECT conv_id, list(text ORDER BY turn) AS turns FROM conversations GROUP BY conv_id) c ON c.conv_id = d.doc_id)"""
+
+
+def serp_ctes(platform: str, overviews: bool) -> str:
+    """Records of the landed search items as CTE ``r`` (over ``pb``, with query ``q``)."""
+    q = "CASE WHEN page_id % 10 = 4 THEN '' ELSE lang END"
+    rows = f"""
+SELECT url, '{platform}' AS platform, q AS query, CAST(1 AS BIGINT) AS rank, coalesce(title, '') AS title,
+       coalesce(doc, '') AS snippet, page_id AS item, 0 AS kind, 0 AS pos FROM pq WHERE coalesce(url, '') <> ''
 UNION ALL
-SELECT next_url, 'PLATFORM', lang, CAST(3 AS BIGINT), 'next', '', page_id * 1000 + 2 FROM pb
-WHERE coalesce(next_url, '') <> ''"""
-    ai = ("(CASE WHEN page_id % 3 = 0 THEN '{\"n\":' || CAST(page_id AS VARCHAR) || '}' "
-          "WHEN page_id % 3 = 1 THEN nullif(title, '') ELSE nullif(left(coalesce(doc, ''), 500), '') END)")
-    overview = f"""
-SELECT 'aioverview::' || lang, 'ai_overview', lang, CAST(0 AS BIGINT), 'Google AI Overview',
-       CASE WHEN starts_with(ai, '{{') OR starts_with(ai, '[') THEN left(ai, {CAP_SNIPPET}) ELSE ai END,
-       page_id * 1000 + 900
-FROM (SELECT *, {ai} AS ai FROM pb) WHERE ai IS NOT NULL
+SELECT next_url, '{platform}', q, CAST(3 AS BIGINT), 'next', '', page_id, 0, 2 FROM pq WHERE coalesce(next_url, '') <> ''"""
+    if overviews:
+        ai = ("(CASE WHEN page_id % 3 = 0 THEN '{\"n\":' || CAST(page_id AS VARCHAR) || '}' "
+              "WHEN page_id % 3 = 1 THEN '[1] ' || title ELSE nullif(coalesce(doc, ''), '') END)")
+        rows += f"""
 UNION ALL
-SELECT 'chatgptsearch::' || lang, 'chatgpt_search', lang, CAST(0 AS BIGINT), 'ChatGPT Search Panel',
-       left(left(coalesce(turn0, ''), 100), {CAP_SNIPPET}), page_id * 1000 + 901 FROM pb
-WHERE left(coalesce(turn0, ''), 100) <> ''
+SELECT 'aioverview::' || q, 'ai_overview', q, CAST(0 AS BIGINT), 'Google AI Overview', ai, page_id, 1, 0
+FROM (SELECT *, {ai} AS ai FROM pq) WHERE ai IS NOT NULL
 UNION ALL
-SELECT 'perplexitysearch::' || lang, 'perplexity_search', lang, CAST(0 AS BIGINT), 'Perplexity Search Panel',
-       left('px ' || title, {CAP_SNIPPET}), page_id * 1000 + 950 FROM pb WHERE page_id % 2 = 0"""
-    cols = "r.url, r.platform, r.query, coalesce(t.intent, 'unknown') AS intent, coalesce(t.id, '') AS topic_id, " \
-           "r.rank, r.title, r.snippet, r.seq"
-    q["serp_records"] = f"""WITH {page_base_cte().strip()}, {tcte.strip()},
-r AS ({organic.replace("PLATFORM", "web")} UNION ALL {overview})
-SELECT {cols} FROM r LEFT JOIN lt t ON t.query = r.query"""
-    q["news_records"] = f"""WITH {page_base_cte().strip()}, {tcte.strip()},
-r AS ({organic.replace("PLATFORM", "news")})
-SELECT {cols} FROM r LEFT JOIN lt t ON t.query = r.query"""
+SELECT 'chatgptsearch::' || q, 'chatgpt_search', q, CAST(0 AS BIGINT), 'ChatGPT Search Panel', t, page_id, 2, i - 1
+FROM (SELECT q, page_id, unnest(turns) AS t, CAST(unnest(generate_series(1, len(turns))) AS INTEGER) AS i FROM pq WHERE turns IS NOT NULL)
+WHERE coalesce(t, '') <> ''
+UNION ALL
+SELECT 'perplexitysearch::' || q, 'perplexity_search', q, CAST(0 AS BIGINT), 'Perplexity Search Panel',
+       'px ' || title, page_id, 3, 0 FROM pq WHERE page_id % 2 = 0"""
+    topics = ", ".join(f"({lit(t['id'])}, {lit(t['intent'])}, {lit(t['query'])}, {i})" for i, t in enumerate(tb.LANG_TOPICS))
+    return f"""
+lt AS (
+  SELECT id, intent, query FROM (
+    SELECT *, row_number() OVER (PARTITION BY query ORDER BY seq DESC) AS rn
+    FROM (VALUES {topics}) t(id, intent, query, seq)) WHERE rn = 1),
+pq AS (SELECT *, {q} AS q FROM pb),
+r0 AS ({rows}),
+r AS (SELECT r0.* EXCLUDE (kind, pos), coalesce(lt.intent, 'unknown') AS intent, coalesce(lt.id, '') AS topic_id,
+             CAST(kind AS INTEGER) AS kind, CAST(pos AS INTEGER) AS pos FROM r0 LEFT JOIN lt ON lt.query = r0.query)"""
+
+
+def ads_sql() -> str:
+    """Landed ads over ``pb``: url, title, snippet, advertiser, ownership, item."""
     adv = ("(CASE WHEN page_id % 4 = 0 THEN 'License Corp' WHEN page_id % 4 = 1 THEN 'Example Ads' "
            "WHEN page_id % 4 = 2 THEN 'AR' || CAST(page_id AS VARCHAR) ELSE 'Shop ' || CAST(page_id AS VARCHAR) END)")
     raw = ("(CASE WHEN page_id % 3 = 0 AND coalesce(url, '') <> '' THEN url "
            "WHEN page_id % 6 = 1 AND coalesce(next_url, '') <> '' THEN next_url ELSE '' END)")
-    copy = ("(CASE WHEN page_id % 7 = 0 THEN '' ELSE concat_ws(' ', nullif(title, ''), "
-            "nullif(left(coalesce(doc, ''), 80), '')) END)")
+    copy = "(CASE WHEN page_id % 7 = 0 THEN '' ELSE concat_ws(' ', nullif(title, ''), nullif(coalesce(doc, ''), '')) END)"
     comp_tokens = [d.split(".")[-2] if "." in d else d for d in R.competitor_domains]
     comp = " OR ".join(f"contains(lower(adv), {lit(t.lower())})" for t in comp_tokens) or "false"
-    q["ad_records"] = f"""WITH {page_base_cte().strip()},
-a AS (SELECT page_id, {adv} AS adv, {raw} AS raw_url, {copy} AS cp,
-             CASE WHEN page_id % 5 = 0 THEN {adv} ELSE 'CR' || CAST(page_id AS VARCHAR) END AS creative FROM pb)
-SELECT CASE WHEN raw_url <> '' THEN raw_url ELSE 'ad::' || creative END AS url, adv AS title,
-       left(cp, {CAP_SNIPPET}) AS snippet, adv AS advertiser,
+    return f"""
+SELECT CASE WHEN raw_url <> '' THEN raw_url ELSE 'ad::' || creative END AS url, adv AS title, cp AS snippet, adv AS advertiser,
        CASE WHEN contains(lower(adv), {lit(R.brand_lower)}) THEN 'owned' WHEN {comp} THEN 'competitor'
-            ELSE {ownership('raw_url', host('raw_url'))} END AS ownership,
-       page_id AS seq
-FROM a WHERE raw_url <> '' OR cp <> ''"""
-    q["forum_records"] = f"""WITH f AS (
+            ELSE {ownership('raw_url', host('raw_url'))} END AS ownership, page_id AS item
+FROM (SELECT page_id, {adv} AS adv, {raw} AS raw_url, {copy} AS cp,
+             CASE WHEN page_id % 5 = 0 THEN {adv} ELSE 'CR' || CAST(page_id AS VARCHAR) END AS creative FROM pb)
+WHERE raw_url <> '' OR cp <> ''"""
+
+
+def forum_sql() -> str:
+    return f"""
+SELECT u AS url, 'Thread ' || CAST(conv_id AS VARCHAR) AS title, coalesce(text, '') AS snippet, conv_id * 1000 + turn AS item
+FROM (
   SELECT c.conv_id, c.turn, c.text,
          coalesce(nullif(CASE WHEN c.conv_id % 2 = 0 THEN p.url END, ''),
                   CASE WHEN c.role <> 'system' THEN 'https://forum.test/p/' || CAST(c.conv_id AS VARCHAR) || '/'
                        || CAST(c.turn AS VARCHAR) END) AS u
-  FROM conversations c LEFT JOIN pages p ON p.page_id = c.conv_id)
-SELECT u AS url, 'Thread ' || CAST(conv_id AS VARCHAR) AS title, left(coalesce(nullif(text, ''), ''), {CAP_SNIPPET})
-       AS snippet, conv_id * 100 + turn AS seq
-FROM f WHERE u IS NOT NULL"""
-    q["page_bodies"] = f"""WITH {page_base_cte().strip()},
-b AS (SELECT {canon('url')} AS url, left(coalesce(CASE WHEN page_id % 2 = 0 THEN nullif(doc, '') END,
-                                                   nullif(html, ''), ''), {CAP_STORED_TEXT}) AS text, page_id FROM pb)
+  FROM conversations c JOIN pages p ON p.page_id = c.conv_id % {N_PAGES})
+WHERE u IS NOT NULL"""
+
+
+def landing_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    pb = page_base_cte().strip()
+    cols = "url, platform, query, intent, topic_id, rank, title, snippet"
+    q["serp_records"] = f"WITH {pb}, {serp_ctes('web', True).strip()} SELECT {cols}, item, kind, pos FROM r"
+    q["news_records"] = f"WITH {pb}, {serp_ctes('news', False).strip()} SELECT {cols}, item, kind, pos FROM r"
+    q["ad_records"] = f"WITH {pb} {ads_sql()}"
+    q["forum_records"] = forum_sql()
+    news = serp_ctes("news", False).strip().replace("lt AS", "nlt AS").replace("JOIN lt ", "JOIN nlt ").replace("lt.", "nlt.") \
+        .replace("pq AS", "npq AS").replace("FROM pq", "FROM npq").replace("r0", "n0").replace("r AS", "nr AS")
+    q["landed_discovery"] = f"""WITH {pb}, {serp_ctes('web', True).strip()}, {news}
+SELECT {cols}, CAST(NULL AS VARCHAR) AS ownership, CAST(0 AS BIGINT) AS source_ord, kind, pos FROM r
+UNION ALL SELECT {cols}, NULL, 1, kind, pos FROM nr
+UNION ALL SELECT url, 'ads', 'ads', 'ads', '', 0, title, snippet, ownership, 2, 0, 0 FROM ({ads_sql()})
+UNION ALL SELECT url, 'reddit', 'reddit', 'community', '', 0, title, snippet, NULL, 3, 0, 0 FROM ({forum_sql()})"""
+    body = "coalesce(CASE WHEN page_id % 2 = 0 THEN nullif(doc, '') END, nullif(html, ''), '')"
+    q["page_bodies"] = f"""WITH {pb},
+b AS (SELECT {canon('url')} AS url, {body} AS text, page_id FROM pb)
 SELECT url, text FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn FROM b)
 WHERE rn = 1"""
+    q["landed_pages"] = f"""WITH {pb}
+SELECT 'https://crawl.test/' || CAST(page_id AS VARCHAR) AS url, {body} AS text FROM pb"""
+    items = """SELECT surface, run, prompt, coalesce(response, '') AS response,
+       array_to_string(list_filter(citations, lambda u: u IS NOT NULL AND u <> ''), ', ') AS citations"""
     q["answer_items"] = f"""WITH {cte_answers().strip()}
-SELECT surface, run, prompt, coalesce(response, '') AS response,
-       array_to_string(list_filter(citations, lambda u: u IS NOT NULL AND u <> ''), ', ') AS citations,
-       conv_id * 100 + turn AS seq
-FROM ans WHERE coalesce(prompt, '') <> ''"""
-    q["answer_api_items"] = f"""WITH {cte_answers().strip()}
-SELECT 'perplexity' AS surface, run, prompt, coalesce(response, '') AS response,
-       array_to_string(list_filter(citations, lambda u: u IS NOT NULL AND u <> ''), ', ') AS citations,
-       conv_id * 100 + turn AS seq
-FROM ans"""
+{items}, conv_id * 1000 + turn AS item FROM ans WHERE coalesce(prompt, '') <> ''"""
+    api = items.replace("SELECT surface", "SELECT 'perplexity' AS surface")
+    q["answer_api_items"] = f"WITH {cte_answers().strip()} {api}, conv_id * 1000 + turn AS item FROM ans"
+    q["landed_answers"] = f"""WITH {cte_answers().strip()}
+{items} FROM ans WHERE coalesce(prompt, '') <> ''
+UNION ALL {api} FROM ans"""
     return q

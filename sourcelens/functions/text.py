@@ -29,9 +29,9 @@ def spark_price_regex(pattern: str) -> str:
     return "(?U)" + pattern
 
 
-def cap(col, n: int) -> Column:
-    """P10: first ``n`` characters (code points)."""
-    return F.left(_c(col), F.lit(n))
+def cap(col, n: int | None = None) -> Column:
+    """P10: first ``n`` characters (code points); the whole text unless ``n`` is given."""
+    return _c(col) if n is None else F.left(_c(col), F.lit(n))
 
 
 def nullif_empty(col) -> Column:
@@ -71,10 +71,11 @@ def any_claim(cols) -> Column:
     return reduce(lambda a, b: a | b, cols)
 
 
-def prices_seen(text, rules: BrandRules, n: int = 5) -> Column:
-    """F6 + O2: distinct price strings, sorted as strings, first ``n``."""
+def prices_seen(text, rules: BrandRules, n: int | None = None) -> Column:
+    """F6 + O2: distinct price strings, sorted as strings; all of them unless ``n`` is given."""
     found = F.regexp_extract_all(F.coalesce(_c(text), F.lit("")), F.lit(spark_price_regex(rules.price_pattern)), 0)
-    return F.slice(F.array_sort(F.array_distinct(found)), 1, n)
+    prices = F.array_sort(F.array_distinct(found))
+    return prices if n is None else F.slice(prices, 1, n)
 
 
 def brand_hit(ltext, name: str, word_boundary: bool) -> Column:
@@ -126,29 +127,3 @@ def ad_copy(variants) -> Column:
     parts = F.flatten(F.transform(
         _c(variants), lambda v: F.array(v["text"], v["headline"], v["description"], v["body"])))
     return F.coalesce(F.array_join(F.filter(parts, lambda x: x.isNotNull() & (x != "")), " "), F.lit(""))
-
-
-# ---------------------------------------------------------------------------
-# DataFrame-level forms (job in, job out) of the expressions above
-# ---------------------------------------------------------------------------
-def with_claim_flags(df, text: str, rules: BrandRules, stale: str = "stale"):
-    """P3 + P4: one boolean column per claim, ``current_signal`` and ``stale``."""
-    out = df
-    for name, c in claim_flags(F.col(text), rules).items():
-        out = out.withColumn(name, c)
-    return out.withColumn(stale, any_claim(rules.stale_claim_names))
-
-
-def with_prices(df, text: str, rules: BrandRules, out: str = "prices_seen"):
-    """distinct price strings in string order, first five."""
-    return df.withColumn(out, prices_seen(F.col(text), rules))
-
-
-def with_brands(df, text: str, rules: BrandRules, out: str = "competitors_named"):
-    """F8: competitor brands named in the text, in catalog order."""
-    return df.withColumn(out, brands_in(F.col(text), list(rules.competitor_brands), rules.word_boundary))
-
-
-def with_best_text(df, body: str = "body", snippet: str = "snippet", out: str = "best_text"):
-    """the richer of body and snippet."""
-    return df.withColumn(out, best_text(F.col(body), F.col(snippet)))

@@ -119,14 +119,16 @@ def is_asset(host, path, rules: BrandRules) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
-def outbound_links(text, page_url, rules: BrandRules, cap: int = 20, strip_punct: bool = False) -> Column:
-    """canonical outbound links of a body: not on the page's host, not assets, ordered distinct, first ``cap``.
+def outbound_links(text, page_url, rules: BrandRules, cap: int | None = None, strip_punct: bool = False) -> Column:
+    """canonical outbound links of a body: not on the page's host, not assets, ordered distinct; all of them
+    unless ``cap`` is given.  Each link is taken apart once, into a struct of canonical URL, host and path.
 
     Array form (for the sheet); ``operators.links.link_table`` explodes it into edges.
     """
     page_host = F.when(F.coalesce(_c(page_url), F.lit("")) == "", F.lit(None)).otherwise(host_of(page_url))
-    canon = F.transform(url_mentions(text, strip_punct), canonical_url)
-    kept = F.filter(canon, lambda n: (n != "")
-                    & ~F.coalesce(host_of(n) == page_host, F.lit(False))
-                    & ~is_asset(host_of(n), path_of(n), rules))
-    return F.slice(F.array_distinct(kept), 1, cap)
+    canon = F.array_distinct(F.transform(url_mentions(text, strip_punct), canonical_url))
+    parts = F.transform(canon, lambda n: F.struct(n.alias("u"), host_of(n).alias("h"), path_of(n).alias("p")))
+    kept = F.filter(parts, lambda x: (x["u"] != "") & ~F.coalesce(x["h"] == page_host, F.lit(False))
+                    & ~is_asset(x["h"], x["p"], rules))
+    links = F.transform(kept, lambda x: x["u"])
+    return links if cap is None else F.slice(links, 1, cap)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sourcelens.functions.text import cap
 from sourcelens.functions.urls import any_nonprod, canonical_url, strip_ws, url_mentions
-from sourcelens.rules import CAP_ERROR_NOTE, CAP_SOURCES, BrandRules
+from sourcelens.rules import BrandRules
 
 
 def status(response, error) -> Column:
@@ -23,15 +23,16 @@ def with_status(df: DataFrame, response: str = "response", error: str = "error")
     return df.withColumn("status", status(response, error))
 
 
-def merged_sources(verdict_sources, extra_sources, text, n: int = CAP_SOURCES) -> Column:
+def merged_sources(verdict_sources, extra_sources, text, n: int | None = None) -> Column:
     """U4: verdict sources ++ extra citations ++ URLs in the text, in that order; only
-    http(s) values, canonicalised, ordered distinct, first ``n``."""
+    http(s) values, canonicalised, ordered distinct; all of them unless ``n`` is given."""
     def arr(c):
         c = F.col(c) if isinstance(c, str) else c
         return F.coalesce(c, F.array().cast("array<string>"))
     allv = F.concat(arr(verdict_sources), arr(extra_sources), url_mentions(text))
     http = F.filter(allv, lambda s: s.isNotNull() & s.startswith("http"))
-    return F.slice(F.array_distinct(F.transform(http, canonical_url)), 1, n)
+    sources = F.array_distinct(F.transform(http, canonical_url))
+    return sources if n is None else F.slice(sources, 1, n)
 
 
 def with_sources(df: DataFrame, rules: BrandRules, verdict_sources: str, extra_sources: str, text: str,
@@ -40,24 +41,26 @@ def with_sources(df: DataFrame, rules: BrandRules, verdict_sources: str, extra_s
               .withColumn("nonprod_url", any_nonprod(F.col(out), rules)))
 
 
-def error_rows(manifest: DataFrame, failures: DataFrame | None, known_surfaces) -> DataFrame:
+def error_rows(manifest: DataFrame, failures: DataFrame | None, known_surfaces, note_cap: int | None = None) -> DataFrame:
     """One error row per manifest prompt of every failed (surface, run).
 
-    ``failures`` rows are (surface, run, prompt, note); a null prompt fails the whole
-    (surface, run) call, a set prompt fails only that prompt.  Surfaces outside
-    ``known_surfaces`` fail for every run and prompt.  Notes are capped at 300 chars.
-    """
+    ``failures`` rows are (surface, run, prompt, note); a null prompt fails the whole (surface, run) call, a set
+    prompt fails only that prompt (of several notes the greatest counts; a whole call's note comes first).
+    Surfaces outside ``known_surfaces`` fail for every run and prompt.
+
+    Two equi-joins: whole calls are a distinct (surface, run) set, a row per call; single prompts join on
+    (surface, run, prompt).  Neither compares a prompt with another prompt's failure."""
     m = manifest.select("surface", "run", "prompt", "intent", "topic_id")
-    unknown = (m.where(~F.col("surface").isin(*known_surfaces)) if known_surfaces else m) \
-        .withColumn("error_note", F.concat(F.lit("unknown surface '"), F.col("surface"), F.lit("'")))
-    out = unknown
-    if failures is not None:
-        f = failures.select(F.col("surface").alias("_fs"), F.col("run").alias("_fr"),
-                            F.col("prompt").alias("_fp"), F.col("note").alias("error_note"))
-        cond = ((m.surface == f._fs) & (m.run == f._fr)
-                & (f._fp.isNull() | (m.prompt == f._fp)))
-        failed = m.where(F.col("surface").isin(*known_surfaces)) if known_surfaces else m
-        hit = failed.join(f, cond, "inner").drop("_fs", "_fr", "_fp")
-        out = out.unionByName(hit)
-    return (out.withColumn("error_note", cap(F.coalesce(F.col("error_note"), F.lit("")), CAP_ERROR_NOTE))
-               .withColumn("status", F.lit("error")))
+    known = F.col("surface").isin(*known_surfaces) if known_surfaces else F.lit(False)
+    unknown_note = F.when(~known, F.concat(F.lit("unknown surface '"), F.col("surface"), F.lit("'")))
+    if failures is None:
+        out = m.withColumn("error_note", unknown_note).where(F.col("error_note").isNotNull())
+    else:
+        note = F.max(F.coalesce("note", F.lit("")))
+        calls = failures.where(F.col("prompt").isNull()).groupBy("surface", "run").agg(note.alias("_call"))
+        prompts = failures.where(F.col("prompt").isNotNull()).groupBy("surface", "run", "prompt").agg(note.alias("_one"))
+        j = m.join(calls, ["surface", "run"], "left").join(prompts, ["surface", "run", "prompt"], "left")
+        out = (j.withColumn("error_note", F.coalesce(unknown_note, F.col("_call"), F.col("_one")))
+                .where(F.col("error_note").isNotNull()).drop("_call", "_one"))
+    return (out.withColumn("error_note", cap(F.col("error_note"), note_cap)).withColumn("status", F.lit("error"))
+               .select("surface", "run", "prompt", "intent", "topic_id", "error_note", "status"))

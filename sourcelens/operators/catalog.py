@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcelens.functions.urls import strip_ws
 from sourcelens.operators.dedupe import keep_first, last_by_key
-from sourcelens.schemas import TOPIC
-
-# Selector lists are typed by a user; up to this many tokens are compiled into the plan.
-MAX_INLINE_SELECTORS = 1000
+from sourcelens.schemas import TOPIC, landing_order
 
 
 def topics_frame(spark: SparkSession, topics: list[dict]) -> DataFrame:
@@ -21,16 +19,11 @@ def topics_frame(spark: SparkSession, topics: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, "id string, intent string, query string, seq bigint")
 
 
-def read_topics(spark: SparkSession, path: str) -> DataFrame:
+def read_topics(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """A JSON array (or JSON lines) of topics; topics without a query are dropped.
-    ``seq`` keeps file order for last-wins lookups."""
-    df = spark.read.schema(TOPIC).option("multiLine", "true").json(path)
-    return (df.where(F.col("query").isNotNull() & (F.col("query") != ""))
-              .withColumn("seq", F.monotonically_increasing_id()))
-
-
-def _small(df: DataFrame, spark_list_built: bool) -> DataFrame:
-    return F.broadcast(df) if spark_list_built else df
+    ``seq`` is the landing order (file time, path, place in the file), for last-wins lookups."""
+    df = spark.read.schema(TOPIC).option("multiLine", str(multiline).lower()).json(path)
+    return df.withColumn("seq", landing_order()).where(F.col("query").isNotNull() & (F.col("query") != ""))
 
 
 def tag_topics(df: DataFrame, topics: DataFrame, query: str = "query", broadcast: bool = False) -> DataFrame:
@@ -40,7 +33,7 @@ def tag_topics(df: DataFrame, topics: DataFrame, query: str = "query", broadcast
     planner decides from the catalog's size statistics (and AQE at run time)."""
     cat = last_by_key(topics.where(F.col("query").isNotNull()), "query", "seq") \
         .select(F.col("query").alias("_tq"), F.col("intent").alias("_ti"), F.col("id").alias("_tid"))
-    cat = _small(cat, broadcast)
+    cat = F.broadcast(cat) if broadcast else cat
     j = df.join(cat, df[query] == cat["_tq"], "left")
     return (j.withColumn("intent", F.coalesce(F.col("_ti"), F.lit("unknown")))
              .withColumn("topic_id", F.coalesce(F.col("_tid"), F.lit("")))
@@ -57,72 +50,50 @@ def request_manifest(prompts: DataFrame, surfaces: list[str], num_runs: int) ->
                    .withColumn("run", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(num_runs).cast("bigint")))))
 
 
-def selector_frame(spark: SparkSession, tokens: list[str]) -> DataFrame:
-    """Selector rows (ord, token) from a list of tokens; blank tokens are skipped."""
-    rows = [(i, t.strip()) for i, t in enumerate(tokens) if t is not None and t.strip()]
-    return spark.createDataFrame(rows, "ord bigint, token string")
+def _tokens(tokens: list[str] | None) -> list[tuple[int, str]] | None:
+    """(place, token) of a typed selector list; None selects everything (no list, blanks only, ``all`` or ``*`` alone)."""
+    kept = [(i, t.strip()) for i, t in enumerate(tokens or []) if t is not None and t.strip()]
+    return None if not kept or len(kept) == 1 and kept[0][1].lower() in ("all", "*") else kept
 
 
-def select_catalog(catalog: DataFrame, selectors: DataFrame | None, label: str = "label",
-                   pos: str = "pos", check: bool = True) -> DataFrame:
-    """Keep catalog rows chosen by the selectors.
+def _matches(tokens: list[tuple[int, str]], label: str, pos: str) -> Column:
+    """Places of the tokens that select a row, as an array.  The typed list is one literal, whatever its length: digits
+    are a position, any other token is a part of the label."""
+    numbers = [{"o": i, "n": int(t)} for i, t in tokens if re.fullmatch("[0-9]+", t) and int(t) < 2**63]
+    names = [{"o": i, "t": t.lower()} for i, t in tokens if not re.fullmatch("[0-9]+", t)]
+    by_number = F.filter(F.from_json(F.lit(json.dumps(numbers)), "array<struct<o:bigint,n:bigint>>"), lambda x: x["n"] == F.col(pos))
+    by_name = F.filter(F.from_json(F.lit(json.dumps(names)), "array<struct<o:bigint,t:string>>"),
+                       lambda x: F.lower(F.col(label)).contains(x["t"]))
+    return F.concat(F.transform(by_number, lambda x: x["o"]), F.transform(by_name, lambda x: x["o"]))
 
-    A token of ASCII digits is a 1-based catalog position; any other token selects every
-    row whose label contains it (case-insensitive).  No selectors, or ``all``/``*`` as
-    the only token, selects everything.  Result order key: (``sel_ord``, ``pos``); each
-    label is kept once, at its first selection.  With ``check`` a token that matches
-    nothing raises ``ValueError``.
 
-    Selector lists are typed by a user.  Up to ``MAX_INLINE_SELECTORS`` tokens (count
-    checked) are compiled into the projection: each catalog row gets the ord of its first
-    matching token, so the catalog streams through without a join; unmatched tokens come
-    from one partial aggregate.  Longer lists fall back to joins (``_select_by_join``).
-    """
-    if selectors is None:
-        return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
-    toks = selectors.select("ord", strip_ws(F.col("token")).alias("token")).where(F.col("token") != "")
-    n = toks.count()  # the selector list is a handful of user-typed rows
-    if n == 0:
-        return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
-    if n == 1 and toks.first().token.lower() in ("all", "*"):
+def select_catalog(catalog: DataFrame, tokens: list[str] | None, label: str = "label", pos: str = "pos") -> DataFrame:
+    """Keep catalog rows chosen by the typed ``tokens``.
+
+    A token of ASCII digits is a 1-based catalog position; any other token selects every row whose label contains
+    it (case-insensitive).  No tokens, or ``all``/``*`` as the only one, select everything.  Result order key:
+    (``sel_ord``, ``pos``); each label is kept once, at its first selection.  Planning runs no job, and the catalog
+    streams through without a join; ``unmatched_selectors`` tells what selected nothing."""
+    kept = _tokens(tokens)
+    if kept is None:
         return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
-    if n > MAX_INLINE_SELECTORS:
-        return _select_by_join(catalog, toks, label, pos, check)
-    rows = sorted(((r.ord, r.token) for r in toks.collect()), key=lambda t: t[0])
-    lab = F.lower(F.col(label))
-
-    def hit(token: str):
-        if re.fullmatch(r"[0-9]+", token):
-            return F.col(pos) == F.lit(int(token))
-        return lab.contains(token.lower())
-
-    conds = [(o, hit(t)) for o, t in rows]
-    if check:
-        seen = catalog.agg(*[F.max(F.when(c, F.lit(1)).otherwise(F.lit(0))).alias(f"t{i}")
-                             for i, (_, c) in enumerate(conds)]).first()
-        bad = [rows[i][1] for i in range(len(rows)) if not seen[f"t{i}"]]
-        if bad:
-            raise ValueError(f"no match for selection: {bad}")
-    first_ord = F.array_min(F.array_compact(F.array(*[F.when(c, F.lit(o).cast("bigint")) for o, c in conds])))
-    matched = catalog.withColumn("ord", first_ord).where(F.col("ord").isNotNull())
-    return keep_first(matched, label, ["ord", pos]).withColumnRenamed("ord", "sel_ord")
-
-
-def _select_by_join(catalog: DataFrame, toks: DataFrame, label: str, pos: str, check: bool) -> DataFrame:
-    """J12 for very long selector lists: positions by equi-join, names by a substring join."""
-    is_num = F.col("token").rlike("^[0-9]+$")
-    by_pos = catalog.join(toks.where(is_num).select("ord", F.col("token").try_cast("bigint").alias("_pos")),
-                          F.col(pos) == F.col("_pos"), "inner").drop("_pos")
-    by_name = catalog.join(toks.where(~is_num), F.lower(F.col(label)).contains(F.lower(F.col("token"))),
-                           "inner").drop("token")
-    matched = by_pos.unionByName(by_name)
-    if check:
-        unmatched = toks.join(matched.select(F.col("ord").alias("_mo")).distinct(),
-                              F.col("ord") == F.col("_mo"), "left_anti")
-        bad = [r.token for r in unmatched.limit(20).collect()]
-        if bad:
-            raise ValueError(f"no match for selection: {bad}")
-    return keep_first(matched, label, ["ord", pos]).withColumnRenamed("ord", "sel_ord")
+    matched = catalog.withColumn("sel_ord", F.array_min(_matches(kept, label, pos))).where(F.col("sel_ord").isNotNull())
+    return keep_first(matched, label, ["sel_ord", pos])
+
+
+def unmatched_selectors(catalog: DataFrame, tokens: list[str] | None, label: str = "label", pos: str = "pos") -> DataFrame:
+    """(ord, token) of the typed tokens that select no catalog row."""
+    kept = _tokens(tokens) or []
+    typed = catalog.sparkSession.createDataFrame(kept, "ord bigint, token string")
+    hit = catalog.select(F.explode(_matches(kept, label, pos)).alias("ord")).distinct() if kept else typed.select("ord").limit(0)
+    return typed.join(hit, "ord", "left_anti")
+
+
+def require_matched(catalog: DataFrame, tokens: list[str] | None, label: str = "label", pos: str = "pos") -> None:
+    """Raise ``ValueError`` if a typed token selects nothing."""
+    bad = [r.token for r in unmatched_selectors(catalog, tokens, label, pos).orderBy("ord").collect()]  # at most the typed list
+    if bad:
+        raise ValueError(f"no match for selection: {bad}")
 
 
 def add_adhoc(selected: DataFrame, extra: DataFrame, prompt: str = "prompt") -> DataFrame:

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sourcelens.rules import UNRANKED
-
 
 def _first_per_key(df: DataFrame, keys, order: list[Column]) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -21,9 +19,9 @@ def _first_per_key(df: DataFrame, keys, order: list[Column]) -> DataFrame:
 
 
 def rank_key(rank: str = "rank") -> Column:
-    """Rank 0 (overviews, panels, ads, forum posts) counts as 999 and never displaces a ranked record."""
-    r = F.col(rank)
-    return F.when(r.isNull() | (r == 0), F.lit(UNRANKED)).otherwise(r)
+    """(is unranked, rank): rank 0 (overviews, panels, ads, forum posts) never displaces a ranked record."""
+    r = F.coalesce(F.col(rank), F.lit(0))
+    return F.struct((r == 0).alias("unranked"), r.alias("rank"))
 
 
 def dedupe_best(df: DataFrame, key: str = "url", rank: str = "rank",
@@ -31,17 +29,14 @@ def dedupe_best(df: DataFrame, key: str = "url", rank: str = "rank",
     """One record per ``key``: lowest non-zero rank; ties keep the first seen
     (total order ``order``).
 
-    With ``first_seen`` the result also carries ``first_seen`` = the key's first appearance
-    (min of ``order``), for an output in discovery order.  That form is one aggregation
-    (``min_by`` of the record, ``min`` of the order struct) - still one shuffle, still
-    combined map-side, so a hot key leaves each map task as one row."""
+    With ``first_seen`` the result also carries ``first_seen`` = the key's first appearance (the ``order`` columns of
+    its first record), for an output in discovery order.  Both are ``row_number() = 1`` windows, cut down map-side;
+    the second one carries only the key and the order, and the join needs no further shuffle."""
+    best = _first_per_key(df, key, [rank_key(rank).asc()] + [F.col(c).asc() for c in order])
     if not first_seen:
-        return _first_per_key(df, key, [rank_key(rank).asc()] + [F.col(c).asc() for c in order])
-    cols = [c for c in df.columns if c != key]
-    best_by = F.struct(rank_key(rank).alias("_r"), *[F.col(c) for c in order])
-    agg = df.groupBy(key).agg(F.min_by(F.struct(*cols), best_by).alias("_best"),
-                              F.min(F.struct(*[F.col(c) for c in order])).alias("first_seen"))
-    return agg.select(key, *[F.col(f"_best.{c}").alias(c) for c in cols], "first_seen")
+        return best
+    first = _first_per_key(df.select(key, *order), key, [F.col(c).asc() for c in order])
+    return best.join(first.select(key, F.struct(*order).alias("first_seen")), key)
 
 
 def last_by_key(df: DataFrame, key, seq: str = "seq") -> DataFrame:

@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 from sourcelens.functions.text import brand_hit
 from sourcelens.functions.urls import host_of, outbound_links
-from sourcelens.rules import CAP_LINKS, BrandRules
+from sourcelens.rules import BrandRules
 
 
 def with_outbound_links(df: DataFrame, rules: BrandRules, text: str = "text", page_url: str = "url",
-                        out: str = "links", cap: int = CAP_LINKS) -> DataFrame:
+                        out: str = "links", cap: int | None = None) -> DataFrame:
     """F5 array form: one array column per page."""
     return df.withColumn(out, outbound_links(F.col(text), F.col(page_url), rules, cap))
 
 
 def link_table(df: DataFrame, rules: BrandRules, key: str = "page_id", text: str = "text",
-               page_url: str = "url", cap: int = CAP_LINKS) -> DataFrame:
+               page_url: str = "url", cap: int | None = None) -> DataFrame:
     """F5 long form: (key, link_pos, link_url, link_host) edges, one row per kept link.
 
     The ordered-distinct cut happens inside each row (all links of a body live in one

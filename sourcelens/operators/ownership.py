@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from sourcelens.functions.urls import host_of, host_under, is_nonprod
 from sourcelens.rules import BrandRules
 
+# A domain list from the rules is broadcast up to this length; a longer one is left to the planner.
+MAX_BROADCAST_DOMAINS = 100_000
 # label priorities of the first-match-wins chain
 _P_COMPETITOR, _P_APPSTORE, _P_OWNED, _P_MARKET = 1, 2, 3, 4
 
@@ -42,7 +44,7 @@ def ownership(url, host, rules: BrandRules) -> Column:
     h = F.col(host) if isinstance(host, str) else host
     app, market = _url_rules(u, h, rules)
     return (F.when(host_under(h, rules.competitor_domains), F.lit("competitor"))
-             .when(h.isin(*rules.app_store_hosts), app)
+             .when(h.isin(*[x.lower() for x in rules.app_store_hosts]), app)
              .when(host_under(h, rules.owned_domains), F.lit("owned"))
              .when(market, F.lit("owned_marketplace"))
              .otherwise(F.lit("third_party")))
@@ -75,7 +77,8 @@ def label_ownership_join(df: DataFrame, rules: BrandRules, url: str = "url", hos
             F.sequence(F.lit(1), F.size(F.split("h", r"\.", -1))),
             lambda i: F.array_join(F.slice(F.split("h", r"\.", -1), i, F.size(F.split("h", r"\.", -1))), ".")))
         .alias("depth", "suffix"))
-    hit = labels.join(F.broadcast(dim) if domains is None else dim, labels.suffix == dim.domain)
+    few = domains is None and len(rules.competitor_domains) + len(rules.owned_domains) <= MAX_BROADCAST_DOMAINS
+    hit = labels.join(F.broadcast(dim) if few else dim, labels.suffix == dim.domain)
     # app-store hosts only match the whole host
     hit = hit.where((F.col("priority") != _P_APPSTORE) | (F.col("depth") == 0))
     best = hit.groupBy("h").agg(F.min("priority").alias("_prio"))

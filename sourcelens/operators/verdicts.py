@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from sourcelens.functions.text import (any_claim, brands_in, cap, claim_flags, lowered, mentions_brand,
                                        names_summary, narrative, prices_seen)
 from sourcelens.functions.urls import url_mentions
-from sourcelens.rules import CAP_FALLBACK_SOURCES, CAP_SCORER_TEXT, BrandRules
+from sourcelens.operators.dedupe import last_by_key
+from sourcelens.rules import BrandRules
 from sourcelens.schemas import ANSWER_VERDICT, WEB_VERDICT
 
 
@@ -62,19 +63,25 @@ def answer_fallback(text: str, rules: BrandRules) -> dict:
         "competitors_named": F.col("comps"),
         "sentiment": F.lit(0.0),
         "price_mentioned": F.lit(None).cast("string"),
-        "sources_cited": F.slice(url_mentions(F.col(text)), 1, CAP_FALLBACK_SOURCES),
+        "sources_cited": url_mentions(F.col(text)),
     }
 
 
 def merge_verdicts(df: DataFrame, verdicts: DataFrame | None, key: str, fallback: dict,
                    use_verdict=None, prefix: str = "v_") -> DataFrame:
     """Left join on ``key``; where a verdict row exists (and ``use_verdict`` holds) every
-    field comes from it, otherwise every field comes from ``fallback``."""
+    field comes from it, otherwise every field comes from ``fallback``.  Of several verdicts for a key the last
+    counts (by ``seq`` if the table has it, else the greatest row, so that a re-run picks the same), and those with
+    a ``score_status`` other than ``ok`` don't count."""
     fields = list(fallback)
     if verdicts is None:
         has = F.lit(False)
         joined = df
     else:
+        if "score_status" in verdicts.columns:
+            verdicts = verdicts.where(F.col("score_status") == "ok")
+        order = F.col("seq") if "seq" in verdicts.columns else F.to_json(F.struct(*verdicts.columns))
+        verdicts = last_by_key(verdicts.withColumn("_order", order), "key", "_order")
         v = verdicts.select(F.col("key").alias("_vkey"), F.lit(True).alias("_has_v"),
                             *[F.col(f).alias(prefix + f) for f in fields if f in verdicts.columns])
         joined = df.join(v, df[key] == v["_vkey"], "left").drop("_vkey")
@@ -118,51 +125,71 @@ def _ship_by_value(fn) -> None:
         pass
 
 
+def _plain(value, kind: T.DataType):
+    """A scorer's value as the declared type, or None: missing values are NaN in pandas, numbers may be text."""
+    if isinstance(kind, T.ArrayType):
+        if value is None or isinstance(value, (str, float)):
+            return None
+        return [str(x) for x in value if x is not None]
+    if value is None or value is pd.NaT or isinstance(value, float) and value != value:
+        return None
+    if isinstance(kind, T.StringType):
+        return str(value)
+    if isinstance(kind, T.BooleanType):
+        return value if isinstance(value, bool) else str(value).strip().lower() in ("true", "1", "1.0", "yes")
+    try:
+        return int(float(value)) if isinstance(kind, T.LongType) else float(value)
+    except (TypeError, ValueError):
+        return None
+
+
 def score_batches(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType = WEB_VERDICT,
                   key: str = "key", text: str = "text", hints: tuple[str, ...] = (),
-                  text_cap: int = CAP_SCORER_TEXT, parallelism: int | None = None) -> DataFrame:
+                  text_cap: int | None = None, parallelism: int | None = None) -> DataFrame:
     """V1: run a caller-supplied scorer over Arrow batches (``mapInPandas``).
 
-    ``scorer(batch)`` gets a pandas frame with ``key``, ``text`` (capped at ``text_cap``)
-    and the ``hints`` columns, and returns verdict rows matching ``schema`` (must include
-    ``key``).  A batch that raises is split in halves until the failing rows are isolated;
-    a row that raises yields no verdict, so the merge (J5) gives it the fallback.  Parallelism is the number of
-    partitions; ``parallelism`` repartitions the (capped, projected) input to that many
-    tasks, e.g. to match a model's rate limit.
+    ``scorer(batch)`` gets a pandas frame with ``key``, ``text`` (whole unless ``text_cap`` is given) and the ``hints``
+    columns, and returns verdict rows with ``key`` and any of the fields of ``schema``; a column ``error`` may name what
+    failed for a row.  Every input row gives one output row (per returned verdict) with ``score_status``: ``ok``, ``failed``
+    (the row's error, or the exception of the whole call) or ``missing`` (no verdict came back), and ``score_error``.  A
+    failed call is not repeated: the scorer is a paid model, and rows it did score must not be paid twice.  Fields that are
+    missing or of the wrong type are null.  ``parallelism`` repartitions the projected input to that many tasks, e.g.
+    to match a model's rate limit.
     """
     _ship_by_value(scorer)
     cols = [F.col(key).cast("string").alias("key"), cap(F.col(text), text_cap).alias("text")] + \
            [F.col(h) for h in hints]
-    names = [f.name for f in schema.fields]
+    fields = [(f.name, f.dataType) for f in schema.fields if f.name != "key"]
+    names = ["key", *[n for n, _ in fields], "score_status", "score_error"]
 
-    def score(batch: pd.DataFrame) -> list[pd.DataFrame]:
-        """Score a batch; on failure split it in halves, so k failing rows cost
-        O(k log n) scorer calls instead of one call per row."""
+    def rows(batch: pd.DataFrame) -> list[tuple]:
+        blank = [None] * len(fields)
         try:
-            out = scorer(batch)
-            return [] if out is None or len(out) == 0 else [out]
-        except Exception:
-            if len(batch) <= 1:
-                return []
-            mid = len(batch) // 2
-            return score(batch.iloc[:mid]) + score(batch.iloc[mid:])
+            got = scorer(batch)
+            records = [] if got is None else got.to_dict("records")
+        except Exception as e:  # a model call may fail in any way; every row says so
+            return [(k, *blank, "failed", f"{type(e).__name__}: {e}") for k in batch["key"]]
+        out, seen = [], set()
+        for r in records:
+            k, error = _plain(r.get("key"), T.StringType()), _plain(r.get("error"), T.StringType())
+            seen.add(k)
+            out.append((k, *blank, "failed", error) if error else (k, *[_plain(r.get(n), t) for n, t in fields], "ok", None))
+        return out + [(k, *blank, "missing", None) for k in batch["key"] if k not in seen]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for out in score(batch):
-                yield out.reindex(columns=names)
+            yield pd.DataFrame(rows(batch), columns=names, dtype=object)
 
     inp = df.select(*cols)
     if parallelism:
         inp = inp.repartition(parallelism)
-    return inp.mapInPandas(run, schema)
+    out = T.StructType([f for f in schema.fields if f.name == "key"] + [f for f in schema.fields if f.name != "key"]
+                       + [T.StructField("score_status", T.StringType()), T.StructField("score_error", T.StringType())])
+    return inp.mapInPandas(run, out)
 
 
 def persist_scores(verdicts: DataFrame) -> DataFrame:
-    """Save scorer output once: with a shared checkpoint folder configured
-    (``spark.checkpoint.dir``) the verdicts are checkpointed there, so a lost executor
-    re-reads them instead of calling the scorer (a paid, slow model) again."""
-    from sourcelens.session import checkpoint_dir
-    if checkpoint_dir(verdicts.sparkSession):
-        return verdicts.checkpoint(eager=True)
-    return verdicts
+    """Save scorer output once in the shared checkpoint folder, so a lost executor re-reads it instead of
+    calling the scorer (a paid, slow model) again.  Without a folder this fails before any call is paid."""
+    from sourcelens.session import cut_lineage
+    return cut_lineage(verdicts)

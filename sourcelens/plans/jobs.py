@@ -18,13 +18,16 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sourcelens.operators.catalog import add_adhoc, request_manifest, select_catalog, selector_frame, topics_frame
+from sourcelens.operators.catalog import add_adhoc, request_manifest, require_matched, select_catalog, topics_frame
 from sourcelens.plans.answers import answer_snapshot
+from sourcelens.plans.reports import nonprod_cited, nonprod_report
 from sourcelens.plans.web import web_snapshot
 from sourcelens.rules import BrandRules
+from sourcelens.schemas import DISCOVERY, LANDING
 from sourcelens.sources import readers
-from sourcelens.sources.cache import read_cache, write_cache
-from sourcelens.sources.sinks import run_id, write_snapshot
+from sourcelens.session import checkpoint_dir, cut_lineage
+from sourcelens.sources.cache import append_cache, read_cache
+from sourcelens.sources.sinks import new_run_id, write_answers, write_snapshot, write_web
 
 WEB_SOURCES = ["serp", "news", "ads", "reddit"]
 DEFAULT_RUNS = 5
@@ -49,9 +52,10 @@ def _catalog(spark: SparkSession, config: dict) -> DataFrame:
 
 
 def select_topics(spark: SparkSession, config: dict, selectors: list[str] | None) -> DataFrame:
-    """J12 over the catalog: ``None`` or ``['all']`` selects every topic."""
-    sel = None if selectors is None else selector_frame(spark, selectors)
-    return select_catalog(_catalog(spark, config), sel, label="query", pos="pos")
+    """J12 over the catalog: ``None`` or ``['all']`` selects every topic; a token that selects none is an error."""
+    catalog = _catalog(spark, config)
+    require_matched(catalog, selectors, label="query", pos="pos")
+    return select_catalog(catalog, selectors, label="query", pos="pos")
 
 
 @dataclass
@@ -62,44 +66,53 @@ class WebRun:
     crawl_list: DataFrame
 
 
+def _reports(sources: list[readers.Source]) -> dict[str, str]:
+    return {k: v for s in sources for k, v in s.report().items()}
+
+
+def _score_counts(scores: DataFrame | None) -> dict[str, str]:
+    if scores is None:
+        return {}
+    return {f"scores.{r['score_status']}": str(r["count"]) for r in scores.groupBy("score_status").count().collect()}
+
+
 def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache: str, *,
                 sources: list[str] | None = None, queries: list[str] | None = None, as_of: str | None = None,
-                scorer: Callable | None = None, brand: str | None = None, note: str = "") -> WebRun:
-    """Web track: landed search / news / ads / forum items -> snapshot sheet, crawl list, cache.
-
-    ``landing`` holds one folder per source (``serp``, ``news``, ``ads``, ``reddit``),
-    ``pages`` (the landed crawl) and optionally ``verdicts_web`` (model verdicts by canonical
-    URL; else ``scorer``, else the rule fallback).  A missing folder is a failed source and
-    contributes nothing.
+                scorer: Callable | None = None, brand: str | None = None, note: str = "", run_id: str | None = None) -> WebRun:
+    """Web track: landed search / news / ads / forum items -> snapshot sheet, alert, crawl list, cache.
+
+    ``landing`` holds one folder per source (``serp``, ``news``, ``ads``, ``reddit``), ``pages`` (the landed crawl) and
+    optionally ``verdicts_web`` (model verdicts by canonical URL; else ``scorer``, else the rule fallback).  A missing
+    folder is a failed source: it contributes nothing, and ``run_meta`` says so, as it says how many lines were unreadable.
+    Written: the sheet (``web``, and in discovery order as CSV, ``web_csv``), every non-production URL (``nonprod_web``),
+    ``crawl_list``, ``run_meta``, and the crawled pages in the cache.
     """
     rules = rules_from_config(config, brand)
     sources = sources or list(WEB_SOURCES)
     as_of = as_of or dt.date.today().isoformat()
     chosen = select_topics(spark, config, queries)
     topics = chosen.select("id", "intent", "query", "seq")
-    parts = []
-    if "serp" in sources:
-        parts.append(readers.try_source(readers.read_serp, spark, f"{landing}/serp", topics))
-    if "news" in sources:
-        parts.append(readers.try_source(readers.read_news, spark, f"{landing}/news", topics))
-    if "ads" in sources:
-        parts.append(readers.try_source(readers.read_ads, spark, f"{landing}/ads", rules))
-    if "reddit" in sources:
-        parts.append(readers.try_source(readers.read_forum, spark, f"{landing}/reddit"))
-    parts = [p for p in parts if p is not None]
-    empty = spark.createDataFrame([], "url string, platform string, query string, intent string, topic_id string, "
-                                      "rank bigint, title string, snippet string, advertiser string, "
-                                      "ownership string, source_ord bigint, seq bigint")
-    recs = readers.union_discovery(*parts) if parts else empty
-    crawled = readers.try_source(readers.read_pages, spark, f"{landing}/pages")
-    verdicts = readers.try_source(readers.read_verdicts, spark, f"{landing}/verdicts_web", "web", rules.brand)
-    snap = web_snapshot(recs, read_cache(spark, cache), crawled, rules, as_of, verdicts=verdicts, scorer=scorer)
-    rid = run_id("web", sources, chosen.count(), note=note)
-    written = write_snapshot(snap.sheet, out, "web", rid, {"as_of": as_of, "sources": ",".join(sources)},
-                             guard=recs)
+    read = {"serp": (readers.read_serp, topics), "news": (readers.read_news, topics), "ads": (readers.read_ads, rules),
+            "reddit": (readers.read_forum,)}
+    found = [readers.try_source(n, read[n][0], spark, f"{landing}/{n}", *read[n][1:]) for n in WEB_SOURCES if n in sources]
+    pages = readers.try_source("pages", readers.read_pages, spark, f"{landing}/pages")
+    judged = readers.try_source("verdicts_web", lambda s, p, observe: readers.read_verdicts(s, p, "web", rules.brand, observe),
+                                spark, f"{landing}/verdicts_web")
+    rid = run_id or new_run_id()
+    parts = [s.rows for s in found if s.rows is not None]
+    recs = readers.union_discovery(*parts) if parts else spark.createDataFrame([], DISCOVERY)
+    snap = web_snapshot(recs, read_cache(spark, cache, as_of), pages.rows, rules, as_of, verdicts=judged.rows, scorer=scorer,
+                        checkpoint=checkpoint_dir(spark) is not None, cache_seq="seq")
+    meta = {"as_of": as_of, "sources": ",".join(sources), "queries": ",".join(queries or ["all"]), "note": note}
+    written = write_snapshot(snap.sheet, out, "web", rid, meta, guard=recs,
+                             after=lambda: _reports([*found, pages, judged]) | _score_counts(snap.scores))
     if written:
+        stored = spark.read.parquet(f"{out}/web").where(F.col("run_id") == rid)
+        write_web(snap.sheet, f"{out}/web_csv/run_id={rid}", mode="overwrite")
+        nonprod_report(stored).write.mode("overwrite").parquet(f"{out}/nonprod_web/run_id={rid}")
         snap.crawl_list.write.mode("overwrite").parquet(f"{out}/crawl_list/run_id={rid}")
-        write_cache(snap.cache_next, cache)
+        if snap.crawled is not None:
+            append_cache(snap.crawled, cache, as_of)
     return WebRun(rid, written, snap.sheet, snap.crawl_list)
 
 
@@ -113,34 +126,39 @@ class AnswerRun:
 def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str, *,
                       surfaces: list[str] | None = None, prompts: list[str] | None = None,
                       extra_prompts: list[tuple[str, str]] | None = None, num_runs: int | None = None,
-                      scorer: Callable | None = None, brand: str | None = None, note: str = "") -> AnswerRun:
-    """Answer track: manifest (selected topics + ad-hoc prompts) x surfaces x runs, landed
-    answers (``answers`` folder: assistant items; ``answer_api``: API payloads; ``failures``:
-    failed calls; optionally ``verdicts_answers``: model verdicts) -> the 19-column sheet."""
+                      scorer: Callable | None = None, brand: str | None = None, note: str = "", run_id: str | None = None) -> AnswerRun:
+    """Answer track: manifest (selected topics + ad-hoc prompts) x surfaces x runs, landed answers (``answers`` folder:
+    assistant items, raw ones under ``surface=.../run=...``; ``answer_api``: API payloads; ``failures``: failed calls;
+    optionally ``verdicts_answers``: model verdicts) -> the 19-column sheet (``answers``; sorted, as CSV: ``answers_csv``),
+    the cited non-production URLs (``nonprod_answers``) and ``run_meta``."""
     rules = rules_from_config(config, brand)
     known = list(config.get("llm_surfaces", ["chatgpt", "perplexity"]))
     surfaces = surfaces or known
     runs = num_runs or config.get("llm_num_runs", DEFAULT_RUNS)
     chosen = select_topics(spark, config, prompts).select(F.col("query").alias("prompt"), "intent",
-                                                           F.col("id").alias("topic_id"))
+                                                           F.col("id").alias("topic_id"), F.col("seq"))
     if extra_prompts:
         extra = spark.createDataFrame([(t, i, n) for n, (t, i) in enumerate(extra_prompts)],
                                       "text string, intent string, ord bigint")
-        chosen = chosen.unionByName(add_adhoc(chosen, extra).drop("ord"))
-    manifest = request_manifest(chosen, surfaces, runs)
-    parts = [readers.try_source(readers.read_answers, spark, f"{landing}/answers"),
-             readers.try_source(readers.read_answer_api, spark, f"{landing}/answer_api")]
-    parts = [p.drop("seq") for p in parts if p is not None]
-    answers = parts[0] if parts else None
-    for p in parts[1:]:
+        chosen = chosen.unionByName(add_adhoc(chosen, extra).withColumnRenamed("ord", "seq"))
+    manifest = request_manifest(chosen.drop("seq"), surfaces, runs)
+    landed = [readers.try_source("answers", readers.read_answers, spark, f"{landing}/answers"),
+              readers.try_source("answer_api", readers.read_answer_api, spark, f"{landing}/answer_api")]
+    parts = [s.rows for s in landed if s.rows is not None]
+    answers = spark.createDataFrame([], "surface string, run bigint, prompt string, response string, citations array<string>, "
+                                        f"error string, seq {LANDING.simpleString()}")
+    for p in parts:
         answers = answers.unionByName(p)
-    if answers is None:
-        answers = spark.createDataFrame([], "surface string, run bigint, prompt string, response string, "
-                                            "citations array<string>, error string")
-    failures = readers.try_source(lambda: spark.read.schema(
-        "surface string, run bigint, prompt string, note string").json(f"{landing}/failures"))
-    verdicts = readers.try_source(readers.read_verdicts, spark, f"{landing}/verdicts_answers", "answer", rules.brand)
-    snap = answer_snapshot(manifest, answers, rules, known, failures=failures, verdicts=verdicts, scorer=scorer)
-    rid = run_id("answers", surfaces, chosen.count(), runs, note)
-    written = write_snapshot(snap, out, "answers", rid, {"num_runs": runs, "surfaces": ",".join(surfaces)})
+    failed = readers.try_source("failures", readers.read_failures, spark, f"{landing}/failures")
+    judged = readers.try_source("verdicts_answers", lambda s, p, observe: readers.read_verdicts(s, p, "answer", rules.brand, observe),
+                                spark, f"{landing}/verdicts_answers")
+    snap = answer_snapshot(manifest, answers, rules, known, failures=failed.rows, verdicts=judged.rows, scorer=scorer, prompts=chosen)
+    if checkpoint_dir(spark) is not None:  # once, for the guard, the sheet, the CSV and the alert
+        snap = cut_lineage(snap)
+    rid = run_id or new_run_id()
+    meta = {"num_runs": runs, "surfaces": ",".join(surfaces), "prompts": ",".join(prompts or ["all"]), "note": note}
+    written = write_snapshot(snap, out, "answers", rid, meta, after=lambda: _reports([*landed, failed, judged]))
+    if written:
+        write_answers(snap, f"{out}/answers_csv/run_id={rid}", mode="overwrite")
+        nonprod_cited(snap, rules).write.mode("overwrite").parquet(f"{out}/nonprod_answers/run_id={rid}")
     return AnswerRun(rid, written, snap)

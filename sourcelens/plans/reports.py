@@ -13,33 +13,38 @@ from pyspark.sql import functions as F
 
 from sourcelens.functions.text import spark_price_regex
 from sourcelens.functions.urls import host_of
-from sourcelens.rules import CAP_ALERTS, BrandRules
+from sourcelens.rules import BrandRules
 
 
-def nonprod_report(df: DataFrame, url: str = "url", flag: str = "nonprod_url", top: int = CAP_ALERTS) -> DataFrame:
-    """A4: the first ``top`` distinct non-production URLs (the alert shows five): in sheet
-    order when the frame carries ``first_seen`` (the web sheet), else in string order.
-    ``orderBy().limit()`` plans as a distributed top-k (TakeOrderedAndProject)."""
+def nonprod_report(df: DataFrame, url: str = "url", flag: str = "nonprod_url", top: int | None = None) -> DataFrame:
+    """A4: the distinct non-production URLs, each once.  With ``top``, the first ones: in sheet order when the frame
+    carries ``first_seen`` (the web sheet), else in string order; that plans as a distributed top-k."""
     hits = df.where(F.col(flag))
+    if top is None:
+        return hits.select(F.col(url).alias("url")).distinct()
     if "first_seen" in df.columns:
         first = hits.groupBy(F.col(url).alias("url")).agg(F.min("first_seen").alias("_o"))
         return first.orderBy("_o", "url").limit(top).select("url")
     return hits.select(F.col(url).alias("url")).distinct().orderBy("url").limit(top)
 
 
-def nonprod_cited(answers: DataFrame, rules: BrandRules, sources: str = "sources_cited",
-                  top: int = CAP_ALERTS) -> DataFrame:
-    """A4 for the answer sheet: cited sources (", "-joined) that are non-production URLs."""
+def nonprod_cited(answers: DataFrame, rules: BrandRules, sources: str = "sources_cited", top: int | None = None) -> DataFrame:
+    """A4 for the answer sheet: cited sources (an array) that are non-production URLs."""
     from sourcelens.functions.urls import is_nonprod_url
-    s = answers.select(F.explode(F.split(F.col(sources), ", ")).alias("url")).where(F.col("url") != "")
+    s = answers.select(F.explode(sources).alias("url"))
     return nonprod_report(s.withColumn("nonprod_url", is_nonprod_url(F.col("url"), rules)), top=top)
 
 
+# The sources that this library reads; anything else is counted as other.
+SOURCES = ("web", "ai_overview", "chatgpt_search", "perplexity_search", "news", "ads", "reddit")
+
+
 def _counter_exprs(cols: list[str], distinct: bool = True) -> list:
     exprs = [F.count(F.lit(1)).alias("rows")]
     if "source" in cols:
-        for s in ("web", "ai_overview", "chatgpt_search", "perplexity_search", "news", "ads", "reddit"):
+        for s in SOURCES:
             exprs.append(F.count_if(F.col("source") == s).alias(f"source_{s}"))
+        exprs.append(F.count_if(~F.coalesce(F.col("source").isin(*SOURCES), F.lit(False))).alias("source_other"))
     if "url" in cols and distinct:  # observed metrics allow no distinct aggregates
         exprs.append(F.count_distinct(F.col("url")).alias("unique_urls"))
     if "status" in cols:
@@ -68,16 +73,16 @@ def run_counters(df: DataFrame) -> DataFrame:
     return df.agg(*_counter_exprs(df.columns))
 
 
-def price_table(df: DataFrame, rules: BrandRules, key: str, text: str = "text", top: int = 5) -> DataFrame:
-    """F6 long form: per ``key``, the first ``top`` distinct price strings in string order.
+def price_table(df: DataFrame, rules: BrandRules, key: str, text: str = "text", top: int | None = None) -> DataFrame:
+    """F6 long form: per ``key``, the distinct price strings with their place in string order (the first ``top`` if given).
     Distinct (key, price) is a partial aggregate; the per-key top-k is a WindowGroupLimit."""
     prices = (df.select(key, F.explode(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")),
                                                             F.lit(spark_price_regex(rules.price_pattern)), 0))
                         .alias("price"))
                 .distinct())
     w = Window.partitionBy(key).orderBy("price")
-    return (prices.withColumn("price_rank", F.row_number().over(w))
-                  .where(F.col("price_rank") <= top)
+    ranked = prices.withColumn("price_rank", F.row_number().over(w))
+    return ((ranked if top is None else ranked.where(F.col("price_rank") <= top))
                   .withColumn("price_rank", F.col("price_rank").cast("bigint")))
 
 
@@ -106,27 +111,23 @@ def ownership_rollup(web: DataFrame) -> DataFrame:
 
 
 def citation_rollup(answers: DataFrame, sources: str = "sources_cited") -> DataFrame:
-    """Citations per host and their share of all citations (ok rows)."""
-    cites = (answers.where(F.col("status") == "ok")
-                    .select(F.explode(F.split(F.col(sources), ", ")).alias("src"))
-                    .where(F.col("src") != "")
-                    .select(host_of(F.col("src")).alias("host")))
-    total = cites.select(F.count(F.lit(1))).scalar()
-    per = cites.groupBy("host").agg(F.count(F.lit(1)).alias("citations"))
+    """Citations per host and their share of all citations (ok rows).  The answers are aggregated once; the
+    total is a sum over that small aggregate, whose exchange Spark reuses."""
+    per = (answers.where(F.col("status") == "ok").select(F.explode(sources).alias("src"))
+                  .groupBy(host_of(F.col("src")).alias("host")).agg(F.count(F.lit(1)).alias("citations")))
+    total = per.select(F.sum("citations")).scalar()
     return per.withColumn("share", F.round(F.col("citations") / total, 4))
 
 
 def competitor_share(answers: DataFrame, names: str = "competitors_named") -> DataFrame:
-    """Per surface and competitor brand, the ok answers naming it and their share of all
-    ok answers on that surface.  Per-surface totals are a grouped aggregate (one row per
-    surface) joined back on ``surface``; the planner sees its size at run time (AQE)."""
-    ok = answers.where(F.col("status") == "ok")
-    totals = ok.groupBy("surface").agg(F.count(F.lit(1)).alias("ok_answers"))
-    named = (ok.select("surface", F.explode(F.array_distinct(F.split(F.col(names), "; "))).alias("brand"))
-               .where(F.col("brand") != "")
-               .groupBy("surface", "brand").agg(F.count(F.lit(1)).alias("answers")))
-    return (named.join(totals, "surface")
-                 .withColumn("share", F.round(F.col("answers") / F.col("ok_answers"), 4)))
+    """Per surface and competitor brand, the ok answers naming it and their share of all ok answers on that
+    surface.  One aggregate counts both: every answer also counts under the null brand, which is the surface's total."""
+    brands = F.array_union(F.filter(F.col(names), lambda b: b.isNotNull() & (b != "")), F.array(F.lit(None).cast("string")))
+    counts = (answers.where(F.col("status") == "ok").select("surface", F.explode(brands).alias("brand"))
+                     .groupBy("surface", "brand").agg(F.count(F.lit(1)).alias("answers")))
+    totals = counts.where(F.col("brand").isNull()).select("surface", F.col("answers").alias("ok_answers"))
+    return (counts.where(F.col("brand").isNotNull()).join(totals, "surface")
+                  .withColumn("share", F.round(F.col("answers") / F.col("ok_answers"), 4)))
 
 
 def snapshot_diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,17 +6,21 @@ verdicts, conversations as assistant answers, part as a catalog).  Every derivat
 plain DataFrame plan over the whole table; the same derivation is written in SQL in
 ``__spark_entry__.oracle_sql``.  Ids are used only to vary the shape of each derived record
 (object or string fields, missing URLs, empty copy, ranks, fetch dates) - never to pick a
-subset: every row of every table read contributes a record, and rows leave only by the
+subset: every row of every table read contributes a record, with its whole text.  A document, label or
+conversation stands beside page ``id % number of pages``, so none is left over, and rows leave only by the
 operators' own rules (a hit without URL, an ad without URL or copy, an item without prompt).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcelens.functions.urls import canonical_url, host_of
-from sourcelens.rules import BrandRules, test_rules
+from sourcelens.rules import BrandRules
+from sourcelens.schemas import given_order
 
 AS_OF = "2024-01-20"
 SURFACES = ["chatgpt", "perplexity", "gemini"]   # gemini has no runner: it fails as an unknown surface
@@ -41,46 +45,49 @@ FAILURES = [("perplexity", 2, None, "api 500"), ("chatgpt", 1, "NATION_3", "time
 
 
 def rules() -> BrandRules:
-    return test_rules()
+    """The test brand of the driver's synthetic tables."""
+    return BrandRules(
+        brand="license",
+        owned_domains=("example.net",),
+        competitor_domains=("example.org",),
+        competitor_brands=("Token", "There", "example.com"),
+        claim_patterns=(
+            ("only_the", ("only.{0,20}the",)),
+            ("the_only", ("the.{0,12}only",)),
+            ("license_the", ("license.{0,20}the",)),
+        ),
+        current_signal_patterns=("that the",),
+        nonprod_prefixes=("m", "blog"),
+        owned_app_ids=("id7", "net.example.reader"),
+    )
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One DataFrame per (session, table): the derivations read some tables several times,
-    and reusing the scan definition avoids listing files and reading footers again (the
-    driver's tables are read-only)."""
-    path = f"{str(sf_dir).rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+def beside_page(df: DataFrame, pages: DataFrame, id_col: str, plus: int = 0) -> DataFrame:
+    """``df`` with the columns of page ``(id + plus) % number of pages``."""
+    n = pages.select(F.count(F.lit(1))).scalar()
+    return df.withColumn("_page", (F.col(id_col) + plus) % n).join(pages, F.col("_page") == F.col("page_id")).drop("_page")
 
 
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as three discovery sources (web, news, forum) with ranks derived from page_id.
-
-    One scan of each table: every page row is turned into its three records by an
-    ``inline`` of a three-element array (no union of three scans)."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.col("text").alias("doc"))
-    conv0 = (table(spark, sf_dir, "conversations").where(F.col("turn") == 0)
-             .select(F.col("conv_id").alias("page_id"), F.col("text").alias("turn0")))
-    base = (pages.join(docs, "page_id", "left").join(conv0, "page_id", "left")
-                 .withColumn("title", F.regexp_extract("html", r"<title>(.*?)</title>", 1))
-                 .withColumn("query", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1)))
-
-    def rec(platform, query, rank, snippet, source_ord):
-        return F.struct(F.lit(platform).alias("platform"), query.alias("query"), rank.cast("bigint").alias("rank"),
-                        snippet.alias("snippet"), F.lit(source_ord).cast("bigint").alias("source_ord"))
-    three = F.array(
-        rec("web", F.col("query"), F.col("page_id") % 20 + 1, F.left(F.coalesce("doc", F.lit("")), F.lit(300)), 0),
-        rec("news", F.col("query"), F.col("page_id") % 7 + 1, F.col("title"), 1),
-        rec("reddit", F.lit("reddit"), F.lit(0), F.left(F.coalesce("turn0", F.lit("")), F.lit(4000)), 3))
-    return base.select("url", "title", F.col("page_id").alias("seq"), F.inline(three)).select(
-        "url", "platform", "query", "rank", "title", "snippet", "source_ord", "seq")
+    """Three discovery sources: every document as a web hit for a page, every page as a news hit, every conversation
+    turn as a forum post on a page."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),
+        F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1).alias("query"))
+    web = beside_page(table(spark, sf_dir, "documents").select("doc_id", "text"), pages, "doc_id").select(
+        "url", F.lit("web").alias("platform"), "query", (F.col("doc_id") % 20 + 1).alias("rank"), "title",
+        F.coalesce("text", F.lit("")).alias("snippet"), F.lit(0).cast("bigint").alias("source_ord"), F.col("doc_id").alias("seq"))
+    news = pages.select("url", F.lit("news").alias("platform"), "query", (F.col("page_id") % 7 + 1).alias("rank"), "title",
+                        F.col("title").alias("snippet"), F.lit(1).cast("bigint").alias("source_ord"), F.col("page_id").alias("seq"))
+    forum = beside_page(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), pages, "conv_id").select(
+        "url", F.lit("reddit").alias("platform"), F.lit("reddit").alias("query"), F.lit(0).cast("bigint").alias("rank"), "title",
+        F.coalesce("text", F.lit("")).alias("snippet"), F.lit(3).cast("bigint").alias("source_ord"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
+    return web.unionByName(news).unionByName(forum)
 
 
 def page_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,22 +99,18 @@ def page_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crawled_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A landed crawl: every page URL answered with the document of the same id (last page wins)."""
+    """A landed crawl: every document is a body of its page's URL (the last document wins)."""
     from sourcelens.operators.dedupe import last_by_key
     pages = table(spark, sf_dir, "pages").select("page_id", canonical_url("url").alias("url"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), "text")
-    j = pages.join(docs, "page_id", "inner").select("url", F.left("text", F.lit(20000)).alias("text"),
-                                                   F.col("page_id").alias("seq"))
-    return last_by_key(j, "url", "seq").drop("seq")
+    docs = beside_page(table(spark, sf_dir, "documents").select("doc_id", "text"), pages, "doc_id")
+    return last_by_key(docs.select("url", "text", F.col("doc_id").alias("seq")), "url", "seq").drop("seq")
 
 
 def label_verdicts_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels as model verdicts keyed by canonical page URL (last page wins)."""
-    from sourcelens.operators.dedupe import last_by_key
+    """Labels as model verdicts keyed by canonical page URL, several for a key; ``seq`` orders them."""
     pages = table(spark, sf_dir, "pages").select("page_id", canonical_url("url").alias("key"))
-    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), "quality", "toxic")
-    v = label_verdict_columns(pages.join(lab, "page_id", "inner"))
-    return last_by_key(v.withColumn("seq", F.col("page_id")), "key", "seq").drop("seq", "page_id")
+    lab = beside_page(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), pages, "doc_id")
+    return label_verdict_columns(lab).withColumnRenamed("doc_id", "seq").drop("page_id")
 
 
 def label_verdict_columns(df: DataFrame) -> DataFrame:
@@ -123,9 +126,9 @@ def label_verdict_columns(df: DataFrame) -> DataFrame:
 
 
 def conversation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns as a prompt catalog (first turn of equal texts kept)."""
+    """User and system turns as a prompt catalog (first turn of equal texts kept)."""
     from sourcelens.operators.dedupe import keep_first
-    u = (table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    u = (table(spark, sf_dir, "conversations").where(F.col("role") != "assistant")
          .select(F.col("text").alias("prompt"), F.lit("conv").alias("intent"),
                  F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
                  .alias("topic_id"), "conv_id", "turn"))
@@ -133,11 +136,11 @@ def conversation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn answered by the next assistant turn ('' when none), with two page URLs
+    """Each user or system turn answered by the next assistant turn ('' when none), with two page URLs
     appended to the text and one page URL as a citation."""
     conv = table(spark, sf_dir, "conversations")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("prompt"))
+    u = conv.where(F.col("role") != "assistant").select("conv_id", "turn", F.col("text").alias("prompt"))
     a = conv.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
                                                         F.col("text").alias("answer"))
     j = u.join(a, ["conv_id", "turn"], "left")
@@ -187,37 +190,40 @@ def _json_str(c):
 
 
 def _page_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item per document: its text, its page, the next page, and all turns of the conversation of its id."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.col("text").alias("doc"))
-    conv0 = (table(spark, sf_dir, "conversations").where(F.col("turn") == 0)
-             .select(F.col("conv_id").alias("page_id"), F.col("text").alias("turn0")))
-    nxt = table(spark, sf_dir, "pages").select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
-    return (pages.join(docs, "page_id", "left").join(conv0, "page_id", "left").join(nxt, "page_id", "left")
-                 .withColumn("title", F.regexp_extract("html", r"<title>(.*?)</title>", 1))
-                 .withColumn("lang", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1)))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item"), F.col("text").alias("doc"))
+    turns = (table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("item"))
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("turns")))
+    b = beside_page(docs, pages, "item").drop("page_id")
+    b = beside_page(b, pages.select("page_id", F.col("url").alias("next_url")), "item", plus=1).drop("page_id")
+    return (b.join(turns, "item", "left").withColumn("page_id", F.col("item"))
+             .withColumn("title", F.regexp_extract("html", r"<title>(.*?)</title>", 1))
+             .withColumn("lang", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1)))
 
 
 def serp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One search-result item per page: searchQuery as an object (even ids) or a string,
-    three organic hits (this page, a hit without URL, the next page), an overview that is
-    an object, a string or absent, and assistant panels."""
+    """One search-result item per document: searchQuery as an object (even ids; every tenth without a term) or a string,
+    three organic hits (its page, a hit without URL, the next page), an overview that is an object, a string or absent,
+    and assistant panels (one for each turn of a conversation)."""
     b = _page_base(spark, sf_dir)
     pid = F.col("page_id")
-    sq = F.when(pid % 2 == 0, F.to_json(F.struct(F.col("lang").alias("term")))).otherwise(_json_str(F.col("lang")))
+    sq = (F.when(pid % 10 == 4, F.lit('{"other": 1}'))
+           .when(pid % 2 == 0, F.to_json(F.struct(F.col("lang").alias("term")))).otherwise(_json_str(F.col("lang"))))
     organic = F.to_json(F.array(
-        F.struct(F.col("url").alias("url"), F.col("title").alias("title"),
-                 F.left(F.coalesce("doc", F.lit("")), F.lit(200)).alias("description")),
+        F.struct(F.col("url").alias("url"), F.col("title").alias("title"), F.coalesce("doc", F.lit("")).alias("description")),
         F.struct(F.lit(None).cast("string").alias("url"), F.lit("ad slot").alias("title"),
                  F.lit(None).cast("string").alias("description")),
         F.struct(F.col("next_url").alias("url"), F.lit("next").alias("title"),
                  F.lit(None).cast("string").alias("description"))))
     ai = (F.when(pid % 3 == 0, F.to_json(F.struct(pid.alias("n"))))
-           .when(pid % 3 == 1, _json_str(F.col("title"))).otherwise(F.lit("null")))
-    ai_text = F.when(pid % 3 == 2, _json_str(F.left(F.coalesce("doc", F.lit("")), F.lit(500)))).otherwise(F.lit("null"))
-    chat = F.to_json(F.array(
-        F.struct(F.lit(None).cast("string").alias("text"), F.left(F.coalesce("turn0", F.lit("")), F.lit(100))
-                 .alias("answer")),
-        F.struct(F.lit("").alias("text"), F.lit("").alias("answer"))))
+           .when(pid % 3 == 1, _json_str(F.concat(F.lit("[1] "), F.col("title")))).otherwise(F.lit("null")))
+    ai_text = F.when(pid % 3 == 2, _json_str(F.coalesce("doc", F.lit("")))).otherwise(F.lit("null"))
+    panel = "array<struct<text:string,answer:string>>"
+    chat = F.to_json(F.concat(
+        F.transform(F.coalesce("turns", F.array().cast("array<string>")),
+                    lambda t: F.struct(F.lit(None).cast("string").alias("text"), t.alias("answer"))).cast(panel),
+        F.array(F.struct(F.lit("").alias("text"), F.lit("").alias("answer"))).cast(panel)))
     px = F.when(pid % 2 == 0, F.to_json(F.array(F.struct(F.concat(F.lit("px "), F.col("title")).alias("text")))))\
         .otherwise(F.lit("null"))
     line = F.concat(F.lit('{"searchQuery": '), sq, F.lit(', "organicResults": '), organic,
@@ -227,8 +233,8 @@ def serp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ad item per page: own / competitor / id-only / other advertisers, landing URL or
-    preview URL or neither, and variants whose copy may be empty."""
+    """One ad item per document: own / competitor / id-only / other advertisers, landing URL or preview URL or neither, and
+    variants whose copy may be empty."""
     b = _page_base(spark, sf_dir)
     pid = F.col("page_id")
     name = (F.when(pid % 4 == 0, F.lit("License Corp")).when(pid % 4 == 1, F.lit("Example Ads"))
@@ -244,15 +250,15 @@ def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.struct(F.col("title").alias("text"), F.lit(None).cast("string").alias("headline"),
                       F.lit(None).cast("string").alias("description")),
              F.struct(F.lit(None).cast("string").alias("text"), F.lit("").alias("headline"),
-                      F.left(F.coalesce("doc", F.lit("")), F.lit(80)).alias("description")))).alias("variants"))
+                      F.coalesce("doc", F.lit("")).alias("description")))).alias("variants"))
     return b.select(F.col("page_id").alias("item_seq"), F.to_json(item).alias("line"))
 
 
 def forum_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One forum post per conversation turn: url (even conversations) or link, body or text."""
     c = table(spark, sf_dir, "conversations")
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), F.col("url").alias("purl"))
-    j = c.join(pages, "conv_id", "left")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("purl"))
+    j = beside_page(c, pages, "conv_id")
     item = F.struct(
         F.when(F.col("conv_id") % 2 == 0, F.col("purl")).alias("url"),
         F.when(F.col("role") != "system", F.concat(F.lit("https://forum.test/p/"), F.col("conv_id").cast("string"),
@@ -260,11 +266,11 @@ def forum_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Thread "), F.col("conv_id").cast("string")).alias("title"),
         F.when(F.col("role") == "user", F.col("text")).alias("body"),
         F.col("text").alias("text"))
-    return j.select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
+    return j.select((F.col("conv_id") * 1000 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
 
 
 def content_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One crawled page per page: redirected URLs report the requested URL, markdown
+    """One crawled page per document: redirected URLs report the requested URL, markdown
     (the document) on even ids, html as plain text."""
     b = _page_base(spark, sf_dir)
     pid = F.col("page_id")
@@ -285,11 +291,11 @@ def answer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cites = F.concat(cites, F.array(F.struct(F.lit("").alias("url"), F.lit("empty").alias("title"))))
     item = F.struct("surface", "run", "prompt", "response", cites.alias("citations"))
     system = (table(spark, sf_dir, "conversations").where(F.col("role") == "system")
-              .select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"),
+              .select((F.col("conv_id") * 1000 + F.col("turn")).alias("item_seq"),
                       F.to_json(F.struct(F.lit("chatgpt").alias("surface"), F.lit(1).alias("run"),
                                          F.lit("").alias("prompt"), F.col("text").alias("response")))
                       .alias("line")))
-    users = a.select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
+    users = a.select((F.col("conv_id") * 1000 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
     return users.unionByName(system)
 
 
@@ -306,9 +312,30 @@ def answer_api_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(even, F.concat(F.col("citations"), F.array(F.lit("")))).alias("citations"),
         F.concat(F.transform(F.col("citations"), lambda u: F.struct(u.alias("url"))),
                  F.array(F.struct(F.lit("").alias("url")))).alias("search_results"))
-    return a.select((F.col("conv_id") * 100 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
+    return a.select((F.col("conv_id") * 1000 + F.col("turn")).alias("item_seq"), F.to_json(item).alias("line"))
 
 
 def parse_lines(lines: DataFrame, schema) -> DataFrame:
-    """Parse landed JSON lines with a reader schema; ``item_seq`` keeps the landing order."""
-    return lines.select(F.from_json("line", schema).alias("i"), "item_seq").select("i.*", "item_seq")
+    """Parse landed JSON lines with a reader schema; ``item_seq`` keeps the given order."""
+    return lines.select(F.from_json("line", schema).alias("i"), given_order(F.col("item_seq")).alias("item_seq")).select("i.*", "item_seq")
+
+
+def land(lines: DataFrame, name: str) -> str:
+    """Write lines as a landing folder of JSON files, for queries that go through a ``read_*`` function."""
+    from sourcelens.session import shared_scratch
+    path = f"{shared_scratch(lines.sparkSession)}/landing-{uuid.uuid4().hex}/{name}"
+    lines.select("line").write.text(path)
+    return path
+
+
+def app_and_market_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page URLs, two fifths of them turned into app-store links and one into marketplace links."""
+    pid, url = F.col("page_id"), F.col("url")
+    s = pid.cast("string")
+    u = (F.when(pid % 5 == 0, F.concat(F.lit(" https://Apps.Apple.com/us/app/reader/id"), s, F.lit("?mt=8")))
+          .when(pid % 5 == 1, F.concat(F.lit("https://play.google.com/store/apps/details?id=net.example.r"),
+                                       F.when(pid % 2 == 0, F.lit("eader")).otherwise(s)))
+          .when(pid % 10 == 2, F.concat(F.lit("https://www.amazon.com/x/dp/B"), s))
+          .when(pid % 10 == 7, F.concat(F.lit("https://www.amazon.com/s?k=/dp"), s))
+          .otherwise(url))
+    return table(spark, sf_dir, "pages").select("page_id", u.alias("url"))

@@ -9,39 +9,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sourcelens.functions.text import best_text, nullif_empty
-from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbound_links
+from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbound_links, strip_ws
 from sourcelens.operators.dedupe import dedupe_best
-from sourcelens.operators.ownership import label_ownership_join, ownership
+from sourcelens.operators.ownership import ownership
 from sourcelens.operators.verdicts import (merge_verdicts, persist_scores, score_batches, web_fallback,
                                            with_text_labels)
-from sourcelens.rules import CAP_LINKS, BrandRules
-from sourcelens.schemas import WEB_COLUMNS, WEB_VERDICT
+from sourcelens.rules import BrandRules
+from sourcelens.schemas import WEB_SCHEMA, WEB_VERDICT
 from sourcelens.session import cut_lineage
 from sourcelens.sources.cache import cache_fresh, cache_upsert
+from sourcelens.sources.sinks import conform
 
 LABEL_COLUMNS = ("stale", "prices_seen", "comps")
-# Above this many suffix-matched domains, ownership (J7) runs as the suffix join instead of
-# one CASE expression (each row would otherwise test every domain).
-MAX_INLINE_DOMAINS = 100
 
 
 def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRules, body: str = "body",
                  raw_url: str | None = "raw_url", keep: tuple[str, ...] = ()) -> DataFrame:
     """One sheet row per record: claims, prices, brands, links, ownership, non-production
     flag and the verdict (model verdict by URL when the body is non-empty, else the
-    whole rule-based fallback).  Two joins at most (verdicts; ownership is an expression)."""
+    whole rule-based fallback).  One join (verdicts); ownership is one expression at any number of domains.  Lists stay
+    arrays: the sink joins them to text."""
     df = with_text_labels(records, rules, body)
     b = F.coalesce(F.col(body), F.lit(""))
     df = merge_verdicts(df, verdicts, "url", web_fallback(body, rules), use_verdict=(b != ""))
-    label_url = F.coalesce(nullif_empty(F.col(raw_url)), F.col("url")) if raw_url and raw_url in records.columns \
+    label_url = F.coalesce(nullif_empty(strip_ws(F.col(raw_url))), F.col("url")) if raw_url and raw_url in records.columns \
         else F.col("url")
     preset = nullif_empty(F.col("ownership")) if "ownership" in records.columns else F.lit(None)
-    if len(rules.competitor_domains) + len(rules.owned_domains) > MAX_INLINE_DOMAINS:
-        df = label_ownership_join(df.withColumn("_lu", label_url).withColumn("_lh", host_of(F.col("_lu"))), rules,
-                                  "_lu", "_lh", out="_own").drop("_lu", "_lh")
-        owner = F.col("_own")
-    else:
-        owner = ownership(label_url, host_of(label_url), rules)
+    owner = ownership(label_url, host_of(label_url), rules)
     host = host_of(F.col("url"))
     out = df.select(
         F.col("platform").alias("source"), "url",
@@ -52,10 +46,10 @@ def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRul
         F.coalesce(F.col("says_about_brand"), F.lit("")).alias("says_about_brand"),
         F.coalesce(F.col("mentions_competition"), F.lit(False)).alias("mentions_competition"),
         F.coalesce(F.col("competition_summary"), F.lit("")).alias("competition_summary"),
-        F.coalesce(F.array_join(F.col("competitors_named"), "; "), F.lit("")).alias("competitors_named"),
+        F.coalesce(F.col("competitors_named"), F.array().cast("array<string>")).alias("competitors_named"),
         F.coalesce(F.col("sentiment"), F.lit(0.0)).alias("sentiment"),
         F.coalesce(nullif_empty(F.col("price_mentioned")), F.get(F.col("prices_seen"), 0)).alias("price"),
-        F.array_join(outbound_links(b, F.col("url"), rules, CAP_LINKS), ", ").alias("links_on_source"),
+        outbound_links(b, F.col("url"), rules).alias("links_on_source"),
         is_nonprod(host, rules).alias("nonprod_url"),
         F.coalesce(F.col("title"), F.lit("")).alias("title"),
         "verdict_source", *LABEL_COLUMNS, *keep)
@@ -66,12 +60,14 @@ def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRul
 class WebSnapshot:
     sheet: DataFrame          # 15 sheet columns + verdict_source, fetch_status (cache/crawl/missing/none), labels
     crawl_list: DataFrame     # url: records to crawl (cache misses)
+    crawled: DataFrame | None  # url, text: landed bodies of the crawl list, to be stored (``append_cache``)
+    scores: DataFrame | None  # the scorer's rows with their status, if a scorer ran
     _next_cache: Callable[[], DataFrame]
 
     @property
     def cache_next(self) -> DataFrame:
-        """The cache after upserting the crawled bodies (write with ``write_cache``); built on
-        first use, so runs that only need the sheet do not plan it."""
+        """The cache after upserting the crawled bodies, as one frame; built on first use, so runs that only need
+        the sheet do not plan it."""
         if not hasattr(self, "_cache_next_df"):
             self._cache_next_df = self._next_cache()
         return self._cache_next_df
@@ -90,7 +86,7 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     writes its sheet in (``write_web`` sorts by it).
 
     ``crawled`` is the landed crawl (``read_pages``); only its bodies for this run's crawl
-    list (cache misses) are used and upserted into the next cache version; ``cache_seq``
+    list (cache misses) are used and stored; ``cache_seq``
     orders cache rows of equal URL and date (last wins); when a
     ``scorer`` is given, verdicts come from V1 over the non-empty bodies.  Shuffles: the
     dedupe (by URL), the cache/body joins (by URL) and the verdict join (by URL) - all on
@@ -99,8 +95,6 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     recs = (discovery.withColumn("raw_url", F.col("url"))
                      .withColumn("url", canonical_url(F.col("url"))))
     best = dedupe_best(recs, "url", first_seen=first_seen)
-    if checkpoint:
-        best = cut_lineage(best)
     # E5 folded into the record plan: the fresh cache and the crawl join straight onto the
     # deduped records (both on url, the key the dedupe already partitioned by), so the
     # dedupe runs once for the sheet and the crawl list alike.
@@ -119,21 +113,26 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
               .otherwise(F.lit("none")))
     j = j.withColumn("_miss", miss).withColumn("fetch_status", fetch)
     enriched = j.withColumn("body", best_text(body, F.col("snippet"))).drop("_cached", "_crawled")
+    if checkpoint:  # once, for the sheet, the crawl list, the scorer and the cache
+        enriched = cut_lineage(enriched)
     crawl_list = enriched.where(F.col("_miss")).select("url")
     enriched = enriched.drop("_miss")
+    scores = None
     if scorer is not None and verdicts is None:
         labelled = with_text_labels(enriched.where(F.col("body") != ""), rules, "body")
         hints = tuple(rules.claim_names) + ("current_signal", "prices_seen")
-        verdicts = persist_scores(score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT,
-                                                "key", "body", hints))
+        verdicts = scores = persist_scores(score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT,
+                                                         "key", "body", hints))
     keep = ("fetch_status", "first_seen") if first_seen else ("fetch_status",)
     sheet = classify_web(enriched, verdicts, rules, "body", raw_url="raw_url" if label_from_raw else None,
                          keep=keep)
+    used = crawled.select("url", "text").join(crawl_list, "url", "left_semi") if crawled is not None else None
+
     def next_cache() -> DataFrame:
-        used = crawled.select("url", "text").join(crawl_list, "url", "left_semi") if crawled is not None else None
         return cache_upsert(cache, used, as_of)
-    return WebSnapshot(sheet=sheet, crawl_list=crawl_list, _next_cache=next_cache)
+    return WebSnapshot(sheet=sheet, crawl_list=crawl_list, crawled=used, scores=scores, _next_cache=next_cache)
 
 
 def web_sheet(snapshot: WebSnapshot) -> DataFrame:
-    return snapshot.sheet.select(*WEB_COLUMNS)
+    """The 15 columns as written: lists joined to text."""
+    return conform(snapshot.sheet, WEB_SCHEMA)

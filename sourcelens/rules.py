@@ -31,21 +31,9 @@ DEFAULT_APP_STORE_HOSTS = ("apps.apple.com", "play.google.com")
 DEFAULT_MARKETPLACE_HOST = "amazon.com"
 DEFAULT_MARKETPLACE_MARKER = "/dp/"
 # Price strings as written in text.
-DEFAULT_PRICE_PATTERN = r"\$\s?\d{2,4}"
-# Text caps (characters): stored page body, text sent to a scorer, panel/snippet text, error note.
-CAP_STORED_TEXT = 20000
-CAP_SCORER_TEXT = 8000
-CAP_SNIPPET = 4000
-CAP_ERROR_NOTE = 300
-# List caps: outbound links, cited sources, fallback sources, shown alerts.
-CAP_LINKS = 20
-CAP_SOURCES = 15
-CAP_FALLBACK_SOURCES = 10
-CAP_ALERTS = 5
+DEFAULT_PRICE_PATTERN = r"\$\s?\d{2,}"
 # Page-cache time to live in days; entries older than twice this are evicted.
 CACHE_TTL_DAYS = 7
-# Rank that a rank-0 record (overview, panel, ad, forum post) counts as when choosing the best record.
-UNRANKED = 999
 # ---------------------------------------------------------------------------
 
 
@@ -124,20 +112,3 @@ class BrandRules:
     @staticmethod
     def from_json(path: str | Path) -> "BrandRules":
         return BrandRules.from_dict(json.loads(Path(path).read_text()))
-
-
-def test_rules() -> BrandRules:
-    """Rules used against the driver's synthetic tables (FIXTURES.md section C)."""
-    return BrandRules(
-        brand="license",
-        owned_domains=("example.net",),
-        competitor_domains=("example.org",),
-        competitor_brands=("Token", "There", "example.com"),
-        claim_patterns=(
-            ("only_the", ("only.{0,20}the",)),
-            ("the_only", ("the.{0,12}only",)),
-            ("license_the", ("license.{0,20}the",)),
-        ),
-        current_signal_patterns=("that the",),
-        nonprod_prefixes=("m", "blog"),
-    )

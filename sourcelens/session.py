@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,9 +83,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
+def shared_scratch(spark: SparkSession) -> str:
+    """The checkpoint folder; a session that names none (a local one) gets a folder of its own."""
+    d = checkpoint_dir(spark)
+    return (d or ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="sourcelens-"))).rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a local checkpoint), so a
     lost executor re-reads the checkpoint instead of recomputing a long lineage."""
     if checkpoint_dir(df.sparkSession) is None:
         raise RuntimeError("spark.checkpoint.dir is not set; call ensure_checkpoint_dir first")
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -1,9 +1,7 @@
 """Page cache (S11, S12, J6): a Parquet table ``url, text, fetch_date`` partitioned by
 ``fetch_date`` so the TTL filter prunes whole partitions at the scan.
 
-Versions are written side by side (``<base>/version=<n>``) and a version counts only once
-its ``_SUCCESS`` marker exists, so a reader never sees a half-written cache and the
-current version is never overwritten while it is being read.
+A run appends the pages it crawled to its day's partition; the newest entry of a URL wins at read.
 """
 
 from __future__ import annotations
@@ -12,9 +10,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sourcelens.operators.dedupe import last_by_key
 from sourcelens.rules import CACHE_TTL_DAYS
+from sourcelens.schemas import LANDING, PAGE_CACHE, landing_order
 
 
 def _as_date(as_of) -> Column:
@@ -47,47 +47,25 @@ def cache_upsert(cache: DataFrame, new: DataFrame | None, as_of, ttl: int = CACH
 
 
 # ---------------------------------------------------------------------------
-# storage: versioned Parquet folders
+# storage: one append-only Parquet table, a partition per day
 # ---------------------------------------------------------------------------
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def _versions(spark: SparkSession, base: str, complete_only: bool = True) -> list[int]:
-    """Version numbers under ``base``; with ``complete_only`` only those with ``_SUCCESS``."""
-    fs, p, jvm = _fs(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not name.startswith("version="):
-            continue
-        if complete_only and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            continue
-        try:
-            out.append(int(name.split("=", 1)[1]))
-        except ValueError:
-            pass
-    return sorted(out)
-
-
-def read_cache(spark: SparkSession, base: str) -> DataFrame:
-    """The current (newest complete) cache version; an empty table if none exists."""
-    base = base.rstrip("/")
-    vs = _versions(spark, base)
-    if not vs:
-        return spark.createDataFrame([], "url string, text string, fetch_date date")
-    return spark.read.parquet(f"{base}/version={vs[-1]}").select("url", "text", "fetch_date")
-
-
-def write_cache(df: DataFrame, base: str) -> str:
-    """Write ``df`` as the next version and return its path (the old version stays readable).
-    A version left incomplete by a failed job is skipped, never reused or read."""
-    base = base.rstrip("/")
-    vs = _versions(df.sparkSession, base, complete_only=False)
-    path = f"{base}/version={(vs[-1] + 1) if vs else 1}"
-    df.select("url", "text", "fetch_date").write.mode("error").partitionBy("fetch_date").parquet(path)
-    return path
+def read_cache(spark: SparkSession, base: str, as_of=None, ttl: int = CACHE_TTL_DAYS) -> DataFrame:
+    """The stored entries with their write order ``seq``; an empty table if nothing has been stored.  With ``as_of`` partitions
+    older than ``2 * ttl`` days (evicted entries) are not read."""
+    from pyspark.errors import AnalysisException
+    try:
+        df = spark.read.schema(PAGE_CACHE).parquet(base)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], T.StructType([*PAGE_CACHE.fields, T.StructField("seq", LANDING)]))
+    df = df.withColumn("seq", landing_order())
+    return df if as_of is None else df.where(F.col("fetch_date") >= F.date_sub(_as_date(as_of), 2 * ttl))
+
+
+def append_cache(new: DataFrame, base: str, as_of) -> None:
+    """Add crawled bodies as entries of the day ``as_of``.  Nothing stored is rewritten: of several entries for a URL the newest wins when
+    the cache is read (``cache_fresh``), so a repeated run does no harm.  Old days are whole folders, to be
+    dropped by the storage's own lifecycle rule; they are never read."""
+    rows = new.select("url", F.coalesce(F.col("text"), F.lit("")).alias("text"), _as_date(as_of).alias("fetch_date"))
+    rows.write.mode("append").partitionBy("fetch_date").parquet(base)

@@ -1,41 +1,56 @@
 """Readers for landed scraper output (S1-S9) and the discovery union.
 
-Every reader takes a path of JSON (one item per line, or ``multiLine`` arrays) read with
-an explicit schema, so nothing is inferred; a malformed line becomes an all-null row
-(PERMISSIVE mode) that the required-field filters drop, instead of failing the job.  Each returns rows of
-the ``discovery`` shape (or the answer shape), with ``seq`` giving a total order within
-the source.
+Every reader takes a path of JSON (one item per line, or ``multiLine`` arrays) read with an explicit schema, so nothing is
+inferred.  An unreadable line doesn't fail the job: it is counted (``Source.corrupt``) and dropped.  Each reader
+returns rows of the ``discovery`` shape (or the answer shape), with ``seq`` giving a total order within the source: by file
+time, path and place in the file, then by kind and place within an item.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sourcelens.functions.text import ad_copy, cap, first_nonempty
+from sourcelens.functions.text import ad_copy, first_nonempty
 from sourcelens.functions.urls import canonical_url
 from sourcelens.operators.catalog import tag_topics
 from sourcelens.operators.dedupe import last_by_key
 from sourcelens.operators.ownership import label_ad_ownership
-from sourcelens.rules import CAP_SNIPPET, CAP_STORED_TEXT, BrandRules
+from sourcelens.rules import BrandRules
 from sourcelens.schemas import (AD_ITEM, ANSWER_API_ITEM, ANSWER_ITEM, CONTENT_ITEM, DISCOVERY, FORUM_ITEM,
-                                SERP_ITEM)
+                                PLACE, SERP_ITEM, landing_order)
 
 # Position of each source in the discovery union (a fixed total order for ties).
 SOURCE_ORDER = {"serp": 0, "news": 1, "ads": 2, "reddit": 3}
 
 
-def read_items(spark: SparkSession, path, schema: T.StructType, multiline: bool = False) -> DataFrame:
-    """Landed JSON with an explicit schema; ``item_seq`` keeps a stable order per file."""
-    df = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("multiLine", str(multiline).lower())
-          .json(path))
-    return df.withColumn("item_seq", F.monotonically_increasing_id())
+def read_items(spark: SparkSession, path, schema: T.StructType, multiline: bool = False,
+               observe: Observation | None = None) -> DataFrame:
+    """Landed JSON with an explicit schema; ``item_seq`` is the landing order.  Unreadable lines are dropped; ``observe``
+    counts them, and all lines, while the items are first used."""
+    corrupt = "_corrupt_record"
+    df = (spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+          .option("multiLine", str(multiline).lower()).json(path).withColumn("item_seq", landing_order()))
+    if observe is not None:
+        df = df.observe(observe, F.count(F.lit(1)).alias("lines"), F.count(corrupt).alias("corrupt"))
+    return df.where(F.col(corrupt).isNull()).drop(corrupt)
+
+
+def _text_of(v: Column) -> Column:
+    """A value that may be text or an object: text as it is, an object or list as JSON, null as null."""
+    kind = F.schema_of_variant(v)
+    return (F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v))
+             .when(kind != "VOID", F.try_variant_get(v, "$", "string")))
 
 
-def _search_query(sq: Column) -> Column:
-    """``searchQuery`` may be an object ``{"term": ...}`` or a plain string."""
-    return F.coalesce(F.get_json_object(sq, "$.term"), sq, F.lit(""))
+def _search_query(v: Column) -> Column:
+    """``searchQuery`` is an object ``{"term": ...}`` (without a term: no query) or a plain string."""
+    term = F.when(F.schema_of_variant(v).startswith("OBJECT"), F.try_variant_get(v, "$.term", "string")).otherwise(_text_of(v))
+    return F.coalesce(term, F.lit(""))
 
 
 def _conform(df: DataFrame) -> DataFrame:
@@ -43,7 +58,14 @@ def _conform(df: DataFrame) -> DataFrame:
                        for f in DISCOVERY.fields])
 
 
-_REC = "struct<url:string,platform:string,query:string,rank:bigint,title:string,snippet:string,seq:bigint>"
+_REC = ("struct<url:string,platform:string,query:string,rank:bigint,title:string,snippet:string,"
+        f"seq:{PLACE.simpleString()}>")
+
+
+def place(kind: int, pos) -> Column:
+    """Order of a record: its item, then its kind (0 hits, 1 overview, 2 and 3 panels), then its place."""
+    pos = F.lit(pos) if isinstance(pos, int) else pos
+    return F.struct(F.col("item_seq").alias("item"), F.lit(kind).alias("kind"), pos.cast("int").alias("pos"))
 
 
 def serp_records(items: DataFrame, topics: DataFrame | None, platform: str = "web",
@@ -57,7 +79,7 @@ def serp_records(items: DataFrame, topics: DataFrame | None, platform: str = "we
     scanned once, not once per record kind."""
     q = _search_query(F.col("searchQuery"))
     base = items.withColumn("query", q)
-    qc, seq0 = F.col("query"), F.col("item_seq") * 1000
+    qc = F.col("query")
 
     def rec(url, plat, rank, title, snippet, seq):
         return F.struct(url.alias("url"), F.lit(plat).alias("platform"), qc.alias("query"),
@@ -70,25 +92,20 @@ def serp_records(items: DataFrame, topics: DataFrame | None, platform: str = "we
     organic = F.filter(
         F.transform(F.col("organicResults"), lambda r, i: rec(
             r["url"], platform, i + 1, F.coalesce(r["title"], F.lit("")), F.coalesce(r["description"], F.lit("")),
-            seq0 + i)),
+            place(0, i))),
         lambda x: x["url"].isNotNull() & (x["url"] != ""))
     parts = [arr(organic)]
     if overviews:
-        ai = first_nonempty(F.col("aiOverview"), F.col("aiOverviewText"))
-        # object payloads (raw JSON text) are cut at 4000; strings are kept whole
-        ai_text = F.when(ai.startswith("{") | ai.startswith("["), cap(ai, CAP_SNIPPET)).otherwise(ai)
+        ai = first_nonempty(_text_of(F.col("aiOverview")), F.col("aiOverviewText"))
         ov = F.when(ai.isNotNull(), F.array(rec(F.concat(F.lit("aioverview::"), qc), "ai_overview", 0,
-                                                F.lit("Google AI Overview"), ai_text, seq0 + 900)))
+                                                F.lit("Google AI Overview"), ai, place(1, 0))))
         parts.append(arr(ov))
-        for col, prefix, plat, title, off in (
-                ("chatGptSearchResults", "chatgptsearch::", "chatgpt_search", "ChatGPT Search Panel", 901),
-                ("perplexitySearchResults", "perplexitysearch::", "perplexity_search", "Perplexity Search Panel",
-                 950)):
-            def panel(prefix=prefix, plat=plat, title=title, off=off):
+        for kind, col, prefix, plat, title in (
+                (2, "chatGptSearchResults", "chatgptsearch::", "chatgpt_search", "ChatGPT Search Panel"),
+                (3, "perplexitySearchResults", "perplexitysearch::", "perplexity_search", "Perplexity Search Panel")):
+            def panel(kind=kind, prefix=prefix, plat=plat, title=title):
                 return lambda p, i: rec(F.concat(F.lit(prefix), qc), plat, 0, F.lit(title),
-                                        cap(F.coalesce(first_nonempty(p["text"], p["answer"]), F.lit("")),
-                                            CAP_SNIPPET),
-                                        seq0 + off + i)
+                                        F.coalesce(first_nonempty(p["text"], p["answer"]), F.lit("")), place(kind, i))
             panels = F.filter(F.transform(F.col(col), panel()), lambda x: x["snippet"] != "")
             parts.append(arr(panels))
     out = base.select(F.inline(F.concat(*parts)))
@@ -99,12 +116,12 @@ def serp_records(items: DataFrame, topics: DataFrame | None, platform: str = "we
     return _conform(out.withColumn("source_ord", F.lit(SOURCE_ORDER["news" if platform == "news" else "serp"])))
 
 
-def read_serp(spark: SparkSession, path, topics: DataFrame | None = None) -> DataFrame:
-    return serp_records(read_items(spark, path, SERP_ITEM), topics, "web", True)
+def read_serp(spark: SparkSession, path, topics: DataFrame | None = None, observe: Observation | None = None) -> DataFrame:
+    return serp_records(read_items(spark, path, SERP_ITEM, observe=observe), topics, "web", True)
 
 
-def read_news(spark: SparkSession, path, topics: DataFrame | None = None) -> DataFrame:
-    return serp_records(read_items(spark, path, SERP_ITEM), topics, "news", False)
+def read_news(spark: SparkSession, path, topics: DataFrame | None = None, observe: Observation | None = None) -> DataFrame:
+    return serp_records(read_items(spark, path, SERP_ITEM, observe=observe), topics, "news", False)
 
 
 def ad_records(items: DataFrame, rules: BrandRules) -> DataFrame:
@@ -120,52 +137,54 @@ def ad_records(items: DataFrame, rules: BrandRules) -> DataFrame:
                      .otherwise(F.concat(F.lit("ad::"), F.col("_creative"))).alias("url"),
                     F.lit("ads").alias("platform"), F.lit("ads").alias("query"), F.lit("ads").alias("intent"),
                     F.lit("").alias("topic_id"), F.lit(0).cast("bigint").alias("rank"),
-                    F.col("advertiser").alias("title"), cap(F.col("_copy"), CAP_SNIPPET).alias("snippet"),
+                    F.col("advertiser").alias("title"), F.col("_copy").alias("snippet"),
                     "advertiser", "ownership", F.lit(SOURCE_ORDER["ads"]).alias("source_ord"),
-                    F.col("item_seq").alias("seq"))
+                    place(0, 0).alias("seq"))
     return _conform(out)
 
 
-def read_ads(spark: SparkSession, path, rules: BrandRules) -> DataFrame:
-    return ad_records(read_items(spark, path, AD_ITEM), rules)
+def read_ads(spark: SparkSession, path, rules: BrandRules, observe: Observation | None = None) -> DataFrame:
+    return ad_records(read_items(spark, path, AD_ITEM, observe=observe), rules)
 
 
 def forum_records(items: DataFrame) -> DataFrame:
-    """url = url or link; text = body or text, cut at 4000; query ``reddit``, intent ``community``."""
+    """url = url or link; text = body or text; query ``reddit``, intent ``community``."""
     url = first_nonempty(F.col("url"), F.col("link"))
     out = (items.where(url.isNotNull())
                 .select(url.alias("url"), F.lit("reddit").alias("platform"), F.lit("reddit").alias("query"),
                         F.lit("community").alias("intent"), F.lit("").alias("topic_id"),
                         F.lit(0).cast("bigint").alias("rank"), F.coalesce(F.col("title"), F.lit("")).alias("title"),
-                        cap(F.coalesce(first_nonempty(F.col("body"), F.col("text")), F.lit("")), CAP_SNIPPET)
-                        .alias("snippet"),
-                        F.lit(SOURCE_ORDER["reddit"]).alias("source_ord"), F.col("item_seq").alias("seq")))
+                        F.coalesce(first_nonempty(F.col("body"), F.col("text")), F.lit("")).alias("snippet"),
+                        F.lit(SOURCE_ORDER["reddit"]).alias("source_ord"), place(0, 0).alias("seq")))
     return _conform(out)
 
 
-def read_forum(spark: SparkSession, path) -> DataFrame:
-    return forum_records(read_items(spark, path, FORUM_ITEM))
+def read_forum(spark: SparkSession, path, observe: Observation | None = None) -> DataFrame:
+    return forum_records(read_items(spark, path, FORUM_ITEM, observe=observe))
 
 
 def page_bodies(items: DataFrame) -> DataFrame:
     """Crawled bodies keyed by canonical URL; markdown preferred over plain text (it keeps
-    the links); cut at 20000; the last item per URL wins.  A crawler that reports the URL it
+    the links); the last landed item per URL wins.  A crawler that reports the URL it
     was asked for (``requested_url``) is keyed by that, so redirects still find their record."""
     key = first_nonempty(F.col("requested_url"), F.col("url"))
     df = (items.where(key.isNotNull())
                .select(canonical_url(key).alias("url"),
-                       cap(F.coalesce(first_nonempty(F.col("markdown"), F.col("text")), F.lit("")), CAP_STORED_TEXT)
-                       .alias("text"),
+                       F.coalesce(first_nonempty(F.col("markdown"), F.col("text")), F.lit("")).alias("text"),
                        F.col("item_seq").alias("seq")))
     return last_by_key(df, "url", "seq").drop("seq")
 
 
-def read_pages(spark: SparkSession, path) -> DataFrame:
-    return page_bodies(read_items(spark, path, CONTENT_ITEM))
+def read_pages(spark: SparkSession, path, observe: Observation | None = None) -> DataFrame:
+    return page_bodies(read_items(spark, path, CONTENT_ITEM, observe=observe))
 
 
 def answer_items(items: DataFrame) -> DataFrame:
-    """Answers with citations; items without a prompt dropped; non-empty citation URLs kept."""
+    """Answers with citations; items without a prompt dropped; non-empty citation URLs kept.
+
+    A raw item names neither surface nor run: the landing folder does (``answers/surface=chatgpt/run=2/...``), and
+    partition columns fill these fields.  An item that has neither keeps a null surface, which the snapshot
+    (E4) reports as an error row."""
     return (items.where(F.col("prompt").isNotNull() & (F.col("prompt") != ""))
                  .select("surface", F.col("run").cast("bigint").alias("run"), "prompt",
                          F.coalesce(F.col("response"), F.lit("")).alias("response"),
@@ -174,8 +193,8 @@ def answer_items(items: DataFrame) -> DataFrame:
                          "error", F.col("item_seq").alias("seq")))
 
 
-def read_answers(spark: SparkSession, path) -> DataFrame:
-    return answer_items(read_items(spark, path, ANSWER_ITEM))
+def read_answers(spark: SparkSession, path, observe: Observation | None = None) -> DataFrame:
+    return answer_items(read_items(spark, path, ANSWER_ITEM, observe=observe))
 
 
 def answer_api_items(items: DataFrame) -> DataFrame:
@@ -190,22 +209,38 @@ def answer_api_items(items: DataFrame) -> DataFrame:
                         "error", F.col("item_seq").alias("seq"))
 
 
-def read_answer_api(spark: SparkSession, path) -> DataFrame:
-    return answer_api_items(read_items(spark, path, ANSWER_API_ITEM))
+def read_answer_api(spark: SparkSession, path, observe: Observation | None = None) -> DataFrame:
+    return answer_api_items(read_items(spark, path, ANSWER_API_ITEM, observe=observe))
 
 
-def try_source(read, *args, **kwargs) -> DataFrame | None:
-    """U1 failure isolation: a source whose landing folder is missing or unreadable
-    contributes nothing (returns None, which ``union_discovery`` skips) instead of failing
-    the run.  Malformed lines inside a readable source are already absorbed by PERMISSIVE
-    parsing and the readers' required-field filters."""
+@dataclass
+class Source:
+    """One landed source of a run: its rows (None if nothing is there) and what became of them."""
+    name: str
+    rows: DataFrame | None
+    seen: Observation | None = None
+
+    def report(self) -> dict[str, str]:
+        """Status for ``run_meta``, once the rows have been used: missing, or ok with line counts."""
+        if self.rows is None:
+            return {f"source.{self.name}": "missing"}
+        out = {f"source.{self.name}": "ok"}
+        if self.seen is not None:
+            out |= {f"source.{self.name}.{k}": str(v) for k, v in self.seen.get.items()}
+        return out
+
+
+def try_source(name: str, read, *args) -> Source:
+    """U1 failure isolation: a source whose landing folder is missing contributes nothing, and its report says so.  Any other
+    error is one of ours and fails the run."""
     from pyspark.errors import AnalysisException
+    seen = Observation(f"source_{name}")
     try:
-        df = read(*args, **kwargs)
-        df.schema  # resolve the scan now, so a missing path fails here
-        return df
-    except AnalysisException:
-        return None
+        return Source(name, read(*args, observe=seen), seen)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Source(name, None)
 
 
 def union_discovery(*sources: DataFrame) -> DataFrame:
@@ -219,24 +254,31 @@ def union_discovery(*sources: DataFrame) -> DataFrame:
     return out
 
 
-def read_verdicts(spark: SparkSession, path, kind: str = "web", brand: str | None = None) -> DataFrame:
+def read_failures(spark: SparkSession, path, observe: Observation | None = None) -> DataFrame:
+    """Failed calls: surface, run, prompt (null: the whole call), note."""
+    schema = T._parse_datatype_string("surface string, run bigint, prompt string, note string")
+    return read_items(spark, path, schema, observe=observe).drop("item_seq")
+
+
+def read_verdicts(spark: SparkSession, path, kind: str = "web", brand: str | None = None,
+                  observe: Observation | None = None) -> DataFrame:
     """Model verdicts landed as JSON lines (one object per key), for the merge.
 
     ``kind`` is ``web`` or ``answer``.  Verdicts written with brand-named fields, as a tool
     schema for one brand would name them (``says_about_<brand>``, ``sentiment_<brand>``,
     ``<brand>_mentioned``, ``<brand>_rank``, ``<brand>_recommended``), are mapped onto the
-    generic columns when ``brand`` is given."""
+    generic columns when ``brand`` is given.  ``seq`` is the landing order: the last verdict of a key counts."""
     from sourcelens.schemas import ANSWER_VERDICT, WEB_VERDICT
     target = WEB_VERDICT if kind == "web" else ANSWER_VERDICT
     if not brand:
-        return spark.read.schema(target).json(path)
+        return read_items(spark, path, target, observe=observe).withColumnRenamed("item_seq", "seq")
     b = brand.lower()
     renames = {f"says_about_{b}": "says_about_brand", f"sentiment_{b}": "sentiment", f"{b}_mentioned": "mentioned",
                f"{b}_rank": "rank", f"{b}_recommended": "recommended"}
     back = {v: k for k, v in renames.items()}
     fields = list(target.fields) + [T.StructField(back[f.name], f.dataType, True)
                                     for f in target.fields if f.name in back]
-    df = spark.read.schema(T.StructType(fields)).json(path)
+    df = read_items(spark, path, T.StructType(fields), observe=observe)
     # either naming is accepted: the brand-named field wins when both are present
     return df.select(*[(F.coalesce(F.col(back[f.name]), F.col(f.name)) if f.name in back else F.col(f.name))
-                       .alias(f.name) for f in target.fields])
+                       .alias(f.name) for f in target.fields], F.col("item_seq").alias("seq"))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from sourcelens.functions.text import brands_in, claim_flags, lowered, prices_seen
 from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbound_links
 from sourcelens.operators.ownership import ownership
-from sourcelens.rules import CAP_LINKS, BrandRules
+from sourcelens.rules import BrandRules
 
 
 def label_records(df: DataFrame, rules: BrandRules, url: str = "url", text: str = "text") -> DataFrame:
@@ -37,8 +37,7 @@ def label_records(df: DataFrame, rules: BrandRules, url: str = "url", text: str
                                                      rules.word_boundary, lower_text=F.col("_lt")), "; "))
                   .drop("_lt")
                   .withColumn("links_on_source",
-                              F.array_join(outbound_links(F.col(text), F.col("canon_url"), rules, CAP_LINKS),
-                                           ", ")))
+                              F.array_join(outbound_links(F.col(text), F.col("canon_url"), rules), ", ")))
     return out
 
 

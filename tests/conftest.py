@@ -7,7 +7,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sourcelens.rules import BrandRules, test_rules  # noqa: E402
+from sourcelens.plans.testbed import rules as testbed_rules  # noqa: E402
+from sourcelens.rules import BrandRules  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -28,15 +29,15 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def rules() -> BrandRules:
-    """The test brand of FIXTURES.md section C, plus app ids for the app-store rules."""
-    return test_rules().with_(owned_app_ids=("id1183700001", "net.example.reader"))
+    """The test brand, with app ids for the app-store rules."""
+    return testbed_rules().with_(owned_app_ids=("id4410", "test.pocket.app"))
 
 
 @pytest.fixture(scope="session")
 def prod_rules() -> BrandRules:
     """Test brand with the default non-production prefixes (preprod, staging, dev, ...)."""
     from sourcelens.rules import DEFAULT_NONPROD_PREFIXES
-    return test_rules().with_(nonprod_prefixes=DEFAULT_NONPROD_PREFIXES)
+    return testbed_rules().with_(nonprod_prefixes=DEFAULT_NONPROD_PREFIXES)
 
 
 def col_values(spark, values, expr_fn, schema="v string"):

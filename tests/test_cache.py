@@ -3,7 +3,7 @@
 import datetime as dt
 
 from sourcelens.operators.fetch import enrich, merge_bodies, plan_fetch, split_cache
-from sourcelens.sources.cache import cache_fresh, cache_upsert, read_cache, write_cache
+from sourcelens.sources.cache import append_cache, cache_fresh, cache_upsert, read_cache
 
 AS_OF = "2024-01-20"
 
@@ -38,16 +38,19 @@ def test_upsert_empty_batch_only_evicts(spark):
     assert [r.url for r in cache_upsert(c, None, AS_OF).collect()] == ["https://a.test"]
 
 
-def test_roundtrip_versions(spark, tmp_path):
+def test_appended_days_newest_wins(spark, tmp_path):
     base = str(tmp_path / "cache")
+    batch = lambda *rows: spark.createDataFrame(rows, "url string, text string")
     assert read_cache(spark, base).count() == 0
-    write_cache(cache_df(spark, [("https://a.test", "page text", "2024-01-20")]), base)
-    c1 = read_cache(spark, base)
-    nxt = cache_upsert(c1, spark.createDataFrame([("https://x.test", "other")], "url string, text string"), AS_OF)
-    p2 = write_cache(nxt, base)
-    assert p2.endswith("version=2")
-    got = {r.url: r.text for r in read_cache(spark, base).collect()}
-    assert got == {"https://a.test": "page text", "https://x.test": "other"}
+    append_cache(batch(), base, "2024-01-01")   # a run that crawled nothing
+    assert read_cache(spark, base).count() == 0
+    append_cache(batch(("https://a.test", "first"), ("https://b.test", None)), base, "2024-01-18")
+    append_cache(batch(("https://a.test", "second")), base, "2024-01-19")
+    append_cache(batch(("https://a.test", "second")), base, "2024-01-19")   # repeated after a failure
+    append_cache(batch(("https://old.test", "old")), base, "2024-01-02")
+    got = {r.url: r.text for r in cache_fresh(read_cache(spark, base, AS_OF), AS_OF, seq="seq").collect()}
+    assert got == {"https://a.test": "second", "https://b.test": ""}
+    assert "https://old.test" not in {r.url for r in read_cache(spark, base, AS_OF).collect()}   # evicted: older than two TTLs
 
 
 def test_hits_and_misses_partition_requests(spark):
@@ -76,14 +79,3 @@ def test_crawled_body_wins_and_enrich_picks_richer(spark):
     got = {r.url: r.body for r in enrich(recs, bodies).collect()}
     assert got == {"https://a.test": "crawled longer text", "https://b.test": "a much longer snippet",
                    "https://c.test": "only snippet"}
-
-
-def test_incomplete_version_is_skipped(spark, tmp_path):
-    base = tmp_path / "cache"
-    write_cache(cache_df(spark, [("https://a.test", "v1", "2024-01-20")]), str(base))
-    (base / "version=2").mkdir()          # a write that died before its _SUCCESS marker
-    (base / "version=2" / "part-0.parquet").write_text("garbage")
-    assert [r.text for r in read_cache(spark, str(base)).collect()] == ["v1"]
-    p = write_cache(cache_df(spark, [("https://a.test", "v3", "2024-01-20")]), str(base))
-    assert p.endswith("version=3")
-    assert [r.text for r in read_cache(spark, str(base)).collect()] == ["v3"]

@@ -2,8 +2,8 @@
 
 import pytest
 
-from sourcelens.operators.catalog import (add_adhoc, request_manifest, select_catalog, selector_frame, tag_topics,
-                                          topics_frame)
+from sourcelens.operators.catalog import (add_adhoc, request_manifest, require_matched, select_catalog, tag_topics,
+                                          topics_frame, unmatched_selectors)
 
 
 def catalog(spark, labels):
@@ -11,8 +11,8 @@ def catalog(spark, labels):
 
 
 def chosen(spark, labels, tokens):
-    sel = None if tokens is None else selector_frame(spark, tokens)
-    return [r.label for r in select_catalog(catalog(spark, labels), sel).orderBy("sel_ord", "pos").collect()]
+    require_matched(catalog(spark, labels), tokens)
+    return [r.label for r in select_catalog(catalog(spark, labels), tokens).orderBy("sel_ord", "pos").collect()]
 
 
 def test_selection_all_and_blank(spark):
@@ -82,14 +82,15 @@ def test_request_manifest(spark):
         request_manifest(prompts, ["chatgpt"], 0)
 
 
-def test_selection_join_fallback_agrees(spark, monkeypatch):
-    import sourcelens.operators.catalog as cat_mod
-    items = ["alpha", "beta", "gamma", "alphabet"]
-    want = chosen(spark, items, ["GAM", "1", "alpha"])
-    monkeypatch.setattr(cat_mod, "MAX_INLINE_SELECTORS", 0)
-    assert chosen(spark, items, ["GAM", "1", "alpha"]) == want == ["gamma", "alpha", "alphabet"]
-    with pytest.raises(ValueError):
-        chosen(spark, items, ["zzz"])
+def test_selection_is_one_plan_at_any_length(spark):
+    """No job runs while planning, no join compares labels with tokens, and a long list behaves like a short one."""
+    tokens = ["gam", "1"] + [f"none{i}" for i in range(3000)] + ["9" * 30]
+    df = select_catalog(catalog(spark, ["alpha", "beta", "gamma"]), tokens)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Join" not in plan
+    assert [r.label for r in df.orderBy("sel_ord", "pos").collect()] == ["gamma", "alpha"]
+    missed = unmatched_selectors(catalog(spark, ["alpha", "beta", "gamma"]), tokens)
+    assert missed.count() == 3001 and missed.where(missed.token == "9" * 30).count() == 1
 
 
 def test_read_topics_json_array_drops_topics_without_query(spark, tmp_path):

@@ -41,8 +41,12 @@ def test_web_refresh_writes_run_crawl_list_and_cache(spark, tmp_path):
     land(landing / "pages", [{"url": "https://review.test/a", "markdown": "Token beats license. $149 "
                                                                          "[buy](https://shop.test/x)"}])
     out, cache = str(tmp_path / "out"), str(tmp_path / "cache")
-    run = web_refresh(spark, CONFIG, str(landing), out, cache, as_of="2024-01-20", note="first")
-    assert run.written and run.run_id.endswith("__web__serp+news+ads+reddit__2items__first")
+    run = web_refresh(spark, CONFIG, str(landing), out, cache, as_of="2024-01-20", note="first", run_id="run-1")
+    assert run.written and run.run_id == "run-1"
+    meta = {r.key: r.value for r in spark.read.parquet(out + "/run_meta").collect()}
+    assert (meta["note"], meta["sources"], meta["source.news"], meta["source.serp"]) == ("first", "serp,news,ads,reddit", "missing", "ok")
+    assert meta["source.serp.lines"] == "1" and meta["source.serp.corrupt"] == "0"
+    assert {r.url for r in spark.read.parquet(out + "/nonprod_web").collect()} == {"https://m.example.net/faq"}
     sheet = {r.url: r for r in spark.read.parquet(out + "/web").collect()}
     a = sheet["https://review.test/a"]
     assert a.topic_id == "cmp_token" and a.competitors_named == "Token" and a.price == "$149"
@@ -117,3 +121,31 @@ def test_web_refresh_uses_landed_verdicts(spark, tmp_path):
     rows = {r.url: r for r in run.sheet.collect()}
     assert rows["https://review.test/a"].says_about_brand == "Judged." and rows["https://review.test/a"].sentiment == 0.7
     assert rows["https://other.test/b"].verdict_source == "fallback"
+
+
+def test_web_refresh_twice_before_any_crawl(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing / "serp", [{"searchQuery": "license vs Token", "organicResults": [{"url": "https://a.test"}]}])
+    for day in ("2024-01-20", "2024-01-21"):
+        run = web_refresh(spark, CONFIG, str(landing), str(tmp_path / "out"), str(tmp_path / "cache"), as_of=day)
+        assert run.written and [r.url for r in run.crawl_list.collect()] == ["https://a.test"]
+
+
+def test_answer_job_writes_a_sorted_sheet_and_the_alert(spark, tmp_path):
+    from sourcelens.schemas import LLM_SCHEMA
+    from sourcelens.sources.sinks import read_sheet
+    folder = tmp_path / "landing" / "answers" / "surface=chatgpt"
+    for run in (2, 1):
+        land(folder / f"run={run}", [{"prompt": p, "response": f"line one\nsee https://m.example.net/{p[-1]} ({run})"} for p in ("license vs Token", "license monitor")])
+    out = str(tmp_path / "out")
+    answer_visibility(spark, CONFIG, str(tmp_path / "landing"), out, run_id="r1")
+    rows = read_sheet(spark, out + "/answers_csv/run_id=r1", LLM_SCHEMA).collect()
+    ok = [(r.prompt, r.run) for r in rows if r.status == "ok"]
+    assert ok == [("license monitor", 1), ("license monitor", 2), ("license vs Token", 1), ("license vs Token", 2)]
+    assert {r.url for r in spark.read.parquet(out + "/nonprod_answers").collect()} == {"https://m.example.net/r", "https://m.example.net/n"}
+
+
+def test_a_selection_that_matches_nothing_is_an_error(spark, tmp_path):
+    import pytest
+    with pytest.raises(ValueError, match="nothing like it"):
+        web_refresh(spark, CONFIG, str(tmp_path), str(tmp_path / "out"), str(tmp_path / "cache"), queries=["nothing like it"])

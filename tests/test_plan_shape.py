@@ -1,5 +1,7 @@
 """Physical plan checks: native expressions only (no Python outside V1), pushdown, top-k shapes."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.01"
@@ -10,7 +12,7 @@ def plan(df):
 
 
 def test_no_python_outside_scorer(spark):
-    for name, fn in E.queries().items():
+    for name, fn in E._own_queries().items():
         p = plan(fn(spark, SF))
         if name == "scored_verdicts":
             assert "MapInPandas" in p or "PythonMapInArrow" in p or "MapInArrow" in p
@@ -31,18 +33,31 @@ def test_scan_prunes_columns(spark):
 
 
 def test_cache_ttl_filter_pushed_to_scan(spark, tmp_path):
-    import datetime as dt
-    from sourcelens.sources.cache import cache_fresh, read_cache, write_cache
+    from sourcelens.sources.cache import append_cache, cache_fresh, read_cache
     base = str(tmp_path / "c")
-    write_cache(spark.createDataFrame([("https://a.test", "t", dt.date(2024, 1, 19))],
-                                      "url string, text string, fetch_date date"), base)
+    append_cache(spark.createDataFrame([("https://a.test", "t")], "url string, text string"), base, "2024-01-19")
     p = cache_fresh(read_cache(spark, base), "2024-01-20")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in p and "fetch_date" in p
 
 
 def test_report_top_k_is_distributed(spark):
-    p = plan(E.q_nonprod_report(spark, SF))
-    assert "TakeOrderedAndProject" in p
+    from sourcelens.operators.ownership import with_nonprod
+    from sourcelens.plans.reports import nonprod_report
+    df = with_nonprod(E._pages_parts(spark, SF), E.R).select(F.col("canon_url").alias("url"), "nonprod_url")
+    assert "TakeOrderedAndProject" in plan(nonprod_report(df, top=5))
+    assert nonprod_report(df).count() == E.q_nonprod_report(spark, SF).count() > 5
+
+
+def test_web_snapshot_sorts_no_whole_records_to_aggregate(spark):
+    assert "SortAggregate" not in plan(E._web(spark, SF).sheet)
+
+
+def test_roll_ups_scan_the_answers_once(spark):
+    for df in (E.q_citation_rollup(spark, SF), E.q_competitor_share(spark, SF)):
+        df.collect()
+        p = df._jdf.queryExecution().executedPlan().toString()
+        final = p.split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in final or final.count("conversations.parquet") <= 4, final[:3000]
 
 
 def test_dedupe_with_a_hot_url(spark):
@@ -71,7 +86,7 @@ def test_citation_share_with_a_hot_host(spark):
     df = spark.range(9000).select(
         F.lit("ok").alias("status"),
         F.when(F.col("id") % 3 == 0, F.lit("https://hot.test/a")).otherwise(
-            F.concat(F.lit("https://h"), (F.col("id") % 100).cast("string"), F.lit(".test/x"))).alias("sources_cited"))
+            F.concat(F.lit("https://h"), (F.col("id") % 100).cast("string"), F.lit(".test/x"))).alias("s")).select("status", F.array("s").alias("sources_cited"))
     out = citation_rollup(df)
     rows = {r.host: r.citations for r in out.collect()}
     assert rows["hot.test"] == 3000 and sum(rows.values()) == 9000

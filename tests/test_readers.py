@@ -1,14 +1,15 @@
 """Readers of landed scraper output (JSON lines written by the test into a temp folder)."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from sourcelens.operators.catalog import topics_frame
 from sourcelens.sources import readers
 
-TOPICS = [{"id": "cmp_token", "intent": "comparison", "query": "license vs Token"},
-          {"id": "brand_reviews", "intent": "brand_entity", "query": "license reviews"}]
+TOPICS = [{"id": "t1", "intent": "price", "query": "reader price"}, {"id": "t2", "intent": "trust", "query": "reader safe"}]
 
 
 def land(tmp_path, name, items):
@@ -17,58 +18,57 @@ def land(tmp_path, name, items):
     return str(p)
 
 
-def test_serp_dict_and_string_query_overview_and_topics(spark, tmp_path):
+def places(rows):
+    """Records in landing order as (platform, query, rank, url)."""
+    return [(r.platform, r.query, r["rank"], r.url) for r in sorted(rows, key=lambda r: (r.seq.item.row, r.seq.kind, r.seq.pos))]
+
+
+def test_search_items_of_either_query_shape(spark, tmp_path):
+    hit = lambda u: {"url": u, "title": u[-1]}
     path = land(tmp_path, "serp.jsonl", [
-        {"searchQuery": {"term": "license vs Token"},
-         "organicResults": [{"url": "https://example.org/x", "title": "t", "description": "d"}],
-         "aiOverview": "license works only with the old phone"},
-        {"searchQuery": "license reviews", "organicResults": [{"url": "https://review.test/license-review"}]},
-    ])
+        {"searchQuery": {"term": "reader price", "page": 2}, "organicResults": [hit("https://s.test/a"), {"title": "no link"}, hit("https://s.test/b")]},
+        {"searchQuery": "reader safe", "organicResults": [hit("https://s.test/c")]},
+        {"searchQuery": {"page": 1}, "organicResults": [hit("https://s.test/d")]},      # an object without a term: no query
+        {"searchQuery": "{not json", "organicResults": None},
+        {"organicResults": [hit("https://s.test/e"), {"url": ""}]}])
     rows = readers.read_serp(spark, path, topics_frame(spark, TOPICS)).collect()
-    urls = [r.url for r in rows]
-    assert "https://example.org/x" in urls
-    assert "aioverview::license vs Token" in urls
-    by_q = {r.query: (r.intent, r.topic_id) for r in rows}
-    assert by_q["license vs Token"] == ("comparison", "cmp_token")
-    assert by_q["license reviews"] == ("brand_entity", "brand_reviews")
+    assert places(rows) == [("web", "reader price", 1, "https://s.test/a"), ("web", "reader price", 3, "https://s.test/b"),
+                            ("web", "reader safe", 1, "https://s.test/c"), ("web", "", 1, "https://s.test/d"), ("web", "", 1, "https://s.test/e")]
+    assert [(r.intent, r.topic_id) for r in sorted(rows, key=lambda r: r.url)] == [("price", "t1")] * 2 + [("trust", "t2")] + [("unknown", "")] * 2
 
 
-def test_serp_rank_counts_hits_without_url_and_panels(spark, tmp_path):
+def test_overviews_and_panels_are_rank_zero_records(spark, tmp_path):
+    long = "[1] " + "cited text " * 900
     path = land(tmp_path, "serp.jsonl", [
-        {"searchQuery": "unknown q",
-         "organicResults": [{"title": "no url"}, {"url": "https://a.test"}, {"url": ""}, {"url": "https://b.test"}],
-         "aiOverviewText": "", "chatGptSearchResults": [{"text": ""}, {"answer": "panel answer"}],
-         "perplexitySearchResults": [{"text": "px text"}]},
-    ])
-    rows = {r.url: r for r in readers.read_serp(spark, path, topics_frame(spark, TOPICS)).collect()}
-    assert rows["https://a.test"].rank == 2 and rows["https://b.test"].rank == 4
-    assert rows["chatgptsearch::unknown q"].snippet == "panel answer"
-    assert rows["perplexitysearch::unknown q"].platform == "perplexity_search"
-    assert rows["https://a.test"].intent == "unknown" and rows["https://a.test"].topic_id == ""
-    assert not any(u.startswith("aioverview::") for u in rows)
+        {"searchQuery": "q1", "aiOverview": long, "chatGptSearchResults": [{"text": "one"}, {"text": "", "answer": "two"}, {"text": ""}]},
+        {"searchQuery": "q2", "aiOverview": {"parts": ["x"]}, "perplexitySearchResults": [{"answer": "three"}] + [{"text": f"p{i}"} for i in range(60)]},
+        {"searchQuery": "q3", "aiOverview": "", "aiOverviewText": "plain"}, {"searchQuery": "q4", "aiOverview": None}])
+    rows = readers.read_serp(spark, path).collect()
+    by = {(r.platform, r.query, r.seq.pos): r.snippet for r in rows}
+    assert by["ai_overview", "q1", 0] == long and by["ai_overview", "q2", 0] == '{"parts":["x"]}' and by["ai_overview", "q3", 0] == "plain"
+    assert (by["chatgpt_search", "q1", 0], by["chatgpt_search", "q1", 1]) == ("one", "two") and ("chatgpt_search", "q1", 2) not in by
+    assert by["perplexity_search", "q2", 60] == "p59" and not any(q == "q4" for _, q, _ in by)
+    assert len({tuple(r.seq) for r in rows}) == len(rows) and {r["rank"] for r in rows} == {0}
 
 
-def test_news_has_no_overviews(spark, tmp_path):
-    path = land(tmp_path, "news.jsonl", [{"searchQuery": "license reviews", "aiOverview": "x",
-                                          "organicResults": [{"url": "https://news.test/a"}]}])
-    rows = readers.read_news(spark, path, topics_frame(spark, TOPICS)).collect()
-    assert [(r.url, r.platform, r.rank) for r in rows] == [("https://news.test/a", "news", 1)]
+def test_news_items_give_hits_only(spark, tmp_path):
+    path = land(tmp_path, "news.jsonl", [{"searchQuery": "q", "aiOverview": "not here", "organicResults": [{"url": "https://n.test/1"}]}])
+    assert places(readers.read_news(spark, path).collect()) == [("news", "q", 1, "https://n.test/1")]
 
 
-def test_ads_parse_and_ownership(spark, tmp_path, rules):
+def test_ads_take_the_first_of_each_choice(spark, tmp_path, rules):
+    copy = lambda **k: [k]
     path = land(tmp_path, "ads.jsonl", [
-        {"advertiserName": "License", "creativeId": "c1", "format": "TEXT", "url": "https://example.net/lp",
-         "variants": [{"text": "license clips to your phone camera", "headline": "New"}]},
-        {"advertiserId": "AR123", "creativeId": "c2", "variants": []},
-        {"advertiserName": "Other Co", "creativeId": "c3", "variants": [{"body": "buy now"}]},
-    ])
-    rows = readers.read_ads(spark, path, rules).collect()
-    assert len(rows) == 2
-    own = [r for r in rows if r.title == "License"][0]
-    assert own.platform == "ads" and own.ownership == "owned" and own.rank == 0
-    assert own.snippet == "license clips to your phone camera New"
-    other = [r for r in rows if r.title == "Other Co"][0]
-    assert other.url == "ad::c3" and other.ownership == "third_party"
+        {"advertiserName": "A", "advertiserId": "id-a", "creativeId": "c1", "url": "https://own.test/x", "previewUrl": "https://pre.test", "variants": []},
+        {"advertiserId": "id-b", "creativeId": "c2", "previewUrl": "https://pre.test/b", "variants": copy(text="t", headline="", body="b", description="d")},
+        {"advertiserName": "", "advertiserId": "id-c", "url": "", "variants": copy(headline="h") + copy(text="z")},
+        {"advertiserName": "D", "creativeId": "c4", "url": "", "variants": copy(text="")},      # neither link nor copy: no record
+        {"advertiserName": f"{rules.brand} outlet", "creativeId": "c5", "variants": copy(body="x" * 9000)}])
+    rows = {r.url: r for r in readers.read_ads(spark, path, rules).collect()}
+    assert {u: (r.title, r.snippet) for u, r in rows.items() if u != "ad::c5"} == {
+        "https://own.test/x": ("A", ""), "https://pre.test/b": ("id-b", "t d b"), "ad::id-c": ("id-c", "h z")}
+    assert len(rows["ad::c5"].snippet) == 9000 and rows["ad::c5"].ownership == "owned" and rows["ad::id-c"].ownership == "third_party"
+    assert {(r.platform, r["rank"], r.intent) for r in rows.values()} == {("ads", 0, "ads")}
 
 
 def test_ads_empty_input(spark, tmp_path, rules):
@@ -81,18 +81,29 @@ def test_forum_posts(spark, tmp_path):
                                           {"title": "no url"}])
     rows = readers.read_forum(spark, path).collect()
     assert len(rows) == 1 and rows[0].url == "https://forum.test/p/1"
-    assert rows[0].query == "reddit" and rows[0].intent == "community" and len(rows[0].snippet) == 4000
+    assert rows[0].query == "reddit" and rows[0].intent == "community" and len(rows[0].snippet) == 5000
 
 
-def test_pages_prefer_markdown_so_links_survive(spark, tmp_path):
-    path = land(tmp_path, "pages.jsonl", [
-        {"url": "https://rev.test/license/", "text": "plain text with no links at all",
-         "markdown": "Review. See [buy](https://example.net/buy) and [Token](https://example.org/x)."},
-        {"url": "https://junk.test", "text": "Not Found"},
-    ])
-    rows = {r.url: r.text for r in readers.read_pages(spark, path).collect()}
-    assert "https://example.net/buy" in rows["https://rev.test/license"]
-    assert rows["https://junk.test"] == "Not Found"
+def test_page_bodies_are_whole_and_markdown_comes_first(spark, tmp_path):
+    marked = "# Title\n" + "word [link](https://far.test/1) " * 2000
+    path = land(tmp_path, "pages.jsonl", [{"url": "https://p.test/1/", "markdown": marked, "text": "flat"}, {"url": "https://p.test/2", "markdown": "", "text": "flat"},
+                                          {"url": "https://p.test/3"}, {"markdown": "no address"}])
+    assert {r.url: r.text for r in readers.read_pages(spark, path).collect()} == {
+        "https://p.test/1": marked, "https://p.test/2": "flat", "https://p.test/3": ""}
+
+
+def test_the_last_landed_body_wins_whatever_its_size(spark, tmp_path):
+    """Two landing files name the same pages; the later one wins though it is larger and its name sorts first."""
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    def write(name, note, at, filler):
+        items = [{"url": f"https://p.test/{i}", "text": f"{note} {i}"} for i in range(3)] + [{"url": f"https://fill.test/{note}{i}", "text": "f"} for i in range(filler)]
+        (folder / name).write_text("\n".join(json.dumps(i) for i in items + [{"url": "https://p.test/2", "text": f"{note} again"}]))
+        os.utime(folder / name, (at, at))
+    write("part-b.json", "early", 1_700_000_000, 0)
+    write("part-a.json", "late", 1_700_000_500, 4000)
+    got = {r.url: r.text for r in readers.read_pages(spark, str(folder)).where("url like 'https://p.test/%'").collect()}
+    assert got == {"https://p.test/0": "late 0", "https://p.test/1": "late 1", "https://p.test/2": "late again"}
 
 
 def test_pages_keyed_by_requested_url(spark, tmp_path):
@@ -125,18 +136,33 @@ def test_union_skips_missing_sources(spark, tmp_path):
     assert u.count() == 1 and u.where(F.col("source_ord") == 3).count() == 1
 
 
-def test_missing_source_contributes_nothing(spark, tmp_path, rules):
-    forum = land(tmp_path, "forum.jsonl", [{"url": "https://forum.test/p/1"}, "not json at all"])
-    ads = readers.try_source(readers.read_ads, spark, str(tmp_path / "no-such-folder"), rules)
-    assert ads is None
-    u = readers.union_discovery(readers.try_source(readers.read_serp, spark, str(tmp_path / "missing")), ads,
-                                readers.try_source(readers.read_forum, spark, forum))
-    assert [r.url for r in u.collect()] == ["https://forum.test/p/1"]   # the malformed line is dropped too
+def test_a_missing_source_and_unreadable_lines_are_reported(spark, tmp_path, rules):
+    path = tmp_path / "forum.jsonl"
+    path.write_text('{"url": "https://forum.test/p/1"}\nnot json at all\n{"url": "https://forum.test/p/2"}\n')
+    ads = readers.try_source("ads", readers.read_ads, spark, str(tmp_path / "no-such-folder"), rules)
+    forum = readers.try_source("reddit", readers.read_forum, spark, str(path))
+    u = readers.union_discovery(ads.rows, forum.rows)
+    assert sorted(r.url for r in u.collect()) == ["https://forum.test/p/1", "https://forum.test/p/2"]
+    assert ads.report() == {"source.ads": "missing"}
+    assert forum.report() == {"source.reddit": "ok", "source.reddit.lines": "3", "source.reddit.corrupt": "1"}
 
 
-def test_page_body_capped_at_20000(spark, tmp_path):
-    path = land(tmp_path, "pages.jsonl", [{"url": "https://long.test", "markdown": "ab" * 15000}])
-    assert len(readers.read_pages(spark, path).first().text) == 20000
+def test_an_error_of_our_own_is_not_taken_for_a_missing_source(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    path = land(tmp_path, "forum.jsonl", [{"url": "https://forum.test/p/1"}])
+    with pytest.raises(AnalysisException):
+        readers.try_source("x", lambda s, p, observe: readers.read_items(s, p, readers.FORUM_ITEM).select("no_such_column"), spark, path)
+
+
+def test_raw_answers_take_surface_and_run_from_their_folder(spark, tmp_path):
+    for surface, run in (("chatgpt", 1), ("perplexity", 2)):
+        folder = tmp_path / "answers" / f"surface={surface}" / f"run={run}"
+        folder.mkdir(parents=True)
+        (folder / "items.json").write_text(json.dumps({"prompt": "p", "response": f"r {surface}", "citations": [{"url": "https://c.test"}]}))
+    got = {(r.surface, r.run, r.prompt, r.response) for r in readers.read_answers(spark, str(tmp_path / "answers")).collect()}
+    assert got == {("chatgpt", 1, "p", "r chatgpt"), ("perplexity", 2, "p", "r perplexity")}
+    bare = land(tmp_path, "bare.jsonl", [{"prompt": "p", "response": "r"}])
+    assert [(r.surface, r.run) for r in readers.read_answers(spark, bare).collect()] == [(None, None)]
 
 
 def test_read_verdicts_with_brand_named_fields(spark, tmp_path):
