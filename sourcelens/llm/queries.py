@@ -85,4 +85,26 @@ def queries() -> dict:
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL can express; the others are tested against brute force in tests/llm."""
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
+    url_filter = f"""
+WITH p0 AS (SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS h,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+p AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM p0),
+c AS (SELECT *, host || regexp_replace(path, '/+$', '') AS canon, regexp_extract(path, '/([0-9]{{1,18}})(?:\.html)?/*$', 1) AS num FROM p),
+bad AS (SELECT DISTINCT canon FROM c JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) t ON t.doc_id = TRY_CAST(c.num AS BIGINT)),
+r AS (SELECT * FROM (VALUES {rules}) r(verdict, h, p)),
+f AS (SELECT c.page_id, r.h || r.p AS rule, r.verdict,
+             row_number() OVER (PARTITION BY c.page_id ORDER BY length(r.h || r.p) DESC, r.h || r.p DESC) AS rn
+      FROM c JOIN r ON (c.host = r.h OR ends_with(c.host, '.' || r.h)) AND starts_with(c.path, r.p))
+SELECT c.page_id, c.host, c.path, f.rule, bad.canon IS NOT NULL AS listed,
+       CASE WHEN f.rule IS NOT NULL THEN f.verdict WHEN bad.canon IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM c LEFT JOIN f ON f.page_id = c.page_id AND f.rn = 1 LEFT JOIN bad ON bad.canon = c.canon AND c.canon <> ''"""
+    top_k = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 5"""
+    return {"op1_url_filter": url_filter, "op6_topk_search": top_k}

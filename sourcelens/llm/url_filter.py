@@ -7,7 +7,7 @@ passes is joined exactly, so false positives of the filter change nothing.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits no rule and is
 allowed; repeated URLs are judged once and joined back to every row; of several rules that fit, the
-longest string wins and, at equal length, the smaller string; a rule given twice with different
+longest string wins and, at equal length, the greater string; a rule given twice with different
 verdicts blocks; empty lists allow everything; columns of the input stay as they are, so its
 names must not include ``host``, ``path``, ``rule``, ``verdict``, ``listed`` (these are replaced).
 """
