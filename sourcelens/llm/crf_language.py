@@ -224,8 +224,11 @@ def fit(texts: list[tuple[str, str]], iterations: int = ITERATIONS, rate: float
 def training_sample(labelled: DataFrame, id_col: str, text: str, lang: str, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
     """At most ``per_language`` texts of each label, those whose ids hash lowest."""
     fits = labelled.where(F.col(lang).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & F.col(text).rlike(r"\p{L}"))
-    hashed = fits.select(F.col(id_col).alias("i"), F.col(lang).alias("l")).distinct().withColumn(
-        "n", F.row_number().over(W.partitionBy("l").orderBy(F.xxhash64("i"), "i")))
+    ids = fits.select(F.col(id_col).alias("i"), F.col(lang).alias("l"), F.pmod(F.xxhash64(id_col, F.lit(2)), F.lit(1 << 30)).alias("h"))
+    # of a frequent label only about eight times the sample is ranked, so ranking is small however many rows there are
+    share = ids.groupBy("l").agg(F.count("*").alias("c")).select(F.col("l").alias("k"), (8.0 * per_language * (1 << 30) / F.col("c")).alias("top"))
+    near = ids.join(F.broadcast(share), ids["l"] == share["k"]).where("h < top")  # one row per label
+    hashed = near.select("i", "l", "h").distinct().withColumn("n", F.row_number().over(W.partitionBy("l").orderBy("h", "i")))
     chosen = hashed.where(F.col("n") <= per_language).select("i", "l")
     rows = (fits.join(F.broadcast(chosen), (fits[id_col] == chosen["i"]) & (fits[lang] == chosen["l"]))
             .groupBy("i", "l").agg(F.min(text).alias("t")).orderBy("l", "i").collect())  # bounded by the sample
