@@ -2,7 +2,7 @@
 
 A document is its set of shingle hashes (64 bits).  Equal sets become one *node* first, so copies are never paired.
 Sets whose sizes allow a link fall into a common size band.  A band's largest possible symmetric difference of linked
-sets is H; its hash universe is cut into H + 1 segments, so linked sets agree in at least one segment entirely.  Segment
+sets is H; its hash universe is cut into somewhat more than H segments, so linked sets agree in at least one segment entirely.  Segment
 contents are the index keys.  Where a key pair costs more than it should (measured: pairs under the keys of two
 neighbouring segments against the keys that the other way adds), the two segments are allocated as one with
 its one-deletion neighbourhood: over segments with exact and one-deletion keys, the allowed differences still sum to H.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from functools import lru_cache
+from math import ceil, exp
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,15 @@ from sourcelens.llm.url_filter import bloom_blocks, bloom_pass
 SHINGLE = 5
 THRESHOLD = (80, 100)
 BAND_RATIO = 1.3
-BUCKETS = 64
+BUCKETS = 64  # of the sketch of a small set
+PER_BUCKET = 8
 ROUNDS = 3
 BLOCK = 256
 #: What writing and reading one more index key costs, in compared pairs.
 KEY_COST = 4.0
 #: Part of the pairs of two exact segments that is left when they become one with one deletion.
 DELETION_SHARE = 0.25
-HASH_BITS = 43
+HASH_BITS = 32
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))  # odd multipliers
 
 
@@ -69,11 +71,15 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 
 class Bands:
-    """Size bands for a threshold of num / den: lower ends, H, numbers of segments, first slot numbers."""
+    """Size bands for a threshold of num / den: lower ends, H, numbers of segments, first slot numbers.
+
+    There are some more than H + 1 segments, so linked sets agree in several.  A set leaves out the keys of its empty
+    segments, which many sets share, if it has no more of them than that surplus: then it still agrees with a linked set in one
+    that isn't empty."""
 
     def __init__(self, num: int, den: int, ratio: float = BAND_RATIO):
         self.num, self.den, self.ratio = num, den, ratio
-        self.lower, self.apart, self.first = [1], [], [0]
+        self.lower, self.apart, self.segments, self.first = [1], [], [], [0]
 
     def grow(self, size: int) -> None:
         while self.lower[-1] <= size:
@@ -82,7 +88,9 @@ class Bands:
             top = nxt - 1
             both = top + top * self.den // self.num  # sizes of the largest pair that meets in this band
             self.apart.append(self.distance(both))
-            self.first.append(self.first[-1] + self.apart[-1] + 1)
+            m = self.apart[-1] + 1
+            self.segments.append(m + (ceil(1 + 1.5 * m * exp(-low / m)) if m > 1 else 0))  # the rest covers empty ones
+            self.first.append(self.first[-1] + self.segments[-1])
             self.lower.append(nxt)
 
     def distance(self, both: int) -> int:
@@ -102,51 +110,78 @@ def bands(num: int, den: int) -> Bands:
 
 
 def segment_keys(tokens: np.ndarray, table: Bands, merged: dict[int, list[int]] | None = None) -> np.ndarray:
-    """Index keys: slot number (band and segment) in the upper bits, hash of the segment's content below.
+    """Index keys: slot number (band and segment) in the upper bits, hash of the segment's content below (0: left out).
 
     ``merged`` None: the exact keys of all segments.  Else: for each band, the numbers k of the segment pairs (2k, 2k + 1) that are one
     segment with one-deletion neighbourhoods; only their keys are given."""
     out = []
+    if not len(tokens):
+        return np.zeros(0, np.int64)
     mixed = _mix(tokens * _M1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
     upper = (tokens >> np.uint64(33)).astype(np.int64)
     for b in table.of(len(tokens)):
-        m = table.apart[b] + 1
+        m = table.segments[b]
         ends = np.searchsorted(upper, -(-(np.arange(m + 1) << 31) // m))
         slots = table.first[b] + np.arange(m)
         if merged is None:
-            out.append((slots, sums[ends[1:]] - sums[ends[:-1]] + (ends[1:] - ends[:-1]).astype(np.uint64)))
+            sizes = ends[1:] - ends[:-1]
+            empty = sizes == 0
+            skipped = empty & (empty.sum() < m - table.apart[b])
+            out.append((slots, sums[ends[1:]] - sums[ends[:-1]] + sizes.astype(np.uint64), skipped))
             continue
         for k in merged.get(b, ()):
             low, high = ends[2 * k], ends[2 * k + 2]
             content = sums[high:high + 1] - sums[low:low + 1]
             left_out = np.concatenate([content + np.uint64(high - low), content - mixed[low:high] + np.uint64(high - low) - np.uint64(1)])
-            out.append((np.full(len(left_out), slots[2 * k]), left_out * _M3))
+            out.append((np.full(len(left_out), slots[2 * k]), left_out * _M3, np.zeros(len(left_out), bool)))
     if not out:
         return np.zeros(0, np.int64)
-    slot, content = (np.concatenate(x) for x in zip(*out, strict=True))
-    hashed = _mix(_mix(content) + slot.astype(np.uint64) * _M1) >> np.uint64(64 - HASH_BITS)
-    return (slot << HASH_BITS) + hashed.astype(np.int64)
+    slot, content, skipped = (np.concatenate(x) for x in zip(*out, strict=True))
+    hashed = np.maximum(_mix(_mix(content) + slot.astype(np.uint64) * _M1) >> np.uint64(64 - HASH_BITS), np.uint64(1))
+    return (slot << HASH_BITS) + np.where(skipped, 0, hashed.astype(np.int64))
 
 
 def _sketch(tokens: np.ndarray) -> bytes:
-    """Tokens per bucket, cut off at 255: the sum of differences never exceeds the symmetric difference."""
-    return np.minimum(np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+    """Tokens per bucket, cut off at 255: the sum of differences never exceeds the symmetric difference.  The number of buckets, a
+    power of two, grows with the set, so that sets without much in common differ by more than a link allows."""
+    buckets = max(BUCKETS, 1 << (len(tokens) // PER_BUCKET).bit_length())
+    return np.minimum(np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
+def _folded(sketch: bytes, buckets: int) -> np.ndarray:
+    return np.frombuffer(sketch, np.uint8).reshape(-1, buckets).sum(axis=0, dtype=np.int64)
+
+
+def _least_difference(x: bytes, y: bytes) -> int:
+    """At most the symmetric difference of the two sets (a bucket that was cut off makes it smaller)."""
+    buckets = min(len(x), len(y))
+    return int(np.abs(_folded(x, buckets) - _folded(y, buckets)).sum())
 
 
 def _signatures(docs: DataFrame, id_col: str, text: str, width: int, num: int, den: int) -> DataFrame:
     def run(c):
-        table, out = bands(num, den), {"id": c["id"], "n": [], "digest": [], "sketch": [], "keys": []}
+        table, out = bands(num, den), {"id": c["id"], "n": [], "digest": [], "sketch": [], "small": [], "slot": [], "hashes": []}
         for t in c["t"]:
             x = shingles(t, width)
             out["n"].append(len(x))
             out["digest"].append(xxhash.xxh3_128_digest(x.tobytes()))
-            out["sketch"].append(_sketch(x) if len(x) else b"")
-            out["keys"].append(segment_keys(x, table) if len(x) else [])
+            out["sketch"].append(sketch := _sketch(x))
+            out["small"].append(np.minimum(_folded(sketch, BUCKETS), 255).astype(np.uint8).tobytes())
+            keys = segment_keys(x, table)
+            out["slot"].append(int(keys[0]) >> HASH_BITS if len(keys) else 0)
+            out["hashes"].append(keys.astype(np.int32))  # the lower half; a set's slots are consecutive
         return out
 
     return map_rows(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("t")), run,
-                    "id bigint, n bigint, digest binary, sketch binary, keys array<bigint>")
+                    "id bigint, n bigint, digest binary, sketch binary, small binary, slot bigint, hashes array<int>")
+
+
+def _exploded(nodes: DataFrame) -> DataFrame:
+    """(node, key): the index keys of the nodes."""
+    rows = nodes.select("node", "slot", F.posexplode("hashes").alias("p", "h")).where("h <> 0")
+    upper = F.shiftleft(F.col("slot") + F.col("p"), HASH_BITS)
+    return rows.select("node", upper.bitwiseOR(F.col("h").cast("bigint").bitwiseAND(F.lit((1 << HASH_BITS) - 1))).alias("key"))
 
 
 def _merged_keys(nodes: DataFrame, merged: dict[int, list[int]], width: int, num: int, den: int) -> DataFrame:
@@ -169,8 +204,8 @@ def _allocation(counts: DataFrame, nodes: DataFrame, table: Bands) -> dict[int,
     slot = F.shiftright("key", HASH_BITS)
     pairs = {r["slot"]: r["pairs"] for r in counts.groupBy(slot.alias("slot")).agg(F.sum(F.col("g") * (F.col("g") - 1.0) / 2).alias("pairs")).collect()}
     out: dict[int, list[int]] = {}
-    for b, apart in enumerate(table.apart):
-        m = apart + 1
+    for b in range(len(table.apart)):
+        m = table.segments[b]
         for k in range(m // 2):
             s = table.first[b] + 2 * k
             exact = pairs.get(s, 0) + pairs.get(s + 1, 0)
@@ -207,10 +242,9 @@ def _possible(pairs: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b, n_a, n_b, sketch_a, sketch_b) whose sizes and bucket counts allow a link."""
     def run(batches):
         for c in batches:
-            n = c.column("n_a").to_numpy() + c.column("n_b").to_numpy()
-            x, y = (np.frombuffer(b"".join(c.column(s).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for s in ("sketch_a", "sketch_b"))
-            keep = np.abs(x - y).sum(axis=1) <= n * (den - num) // (den + num)
-            yield c.select(["a", "b"]).filter(pa.array(keep))
+            most = (c.column("n_a").to_numpy() + c.column("n_b").to_numpy()) * (den - num) // (den + num)
+            keep = [_least_difference(x.as_py(), y.as_py()) <= m for x, y, m in zip(c.column("sketch_a"), c.column("sketch_b"), most, strict=True)]
+            yield c.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return map_arrow(pairs.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"), run, "a bigint, b bigint")
 
@@ -230,29 +264,34 @@ def _linked(pairs: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _pairs_in_blocks(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of different components under one key that may be linked.  Groups are cut into blocks; each pair of blocks is one row."""
+    """Pairs of different components under one key that may be linked, by the sketches folded to ``BUCKETS``.  Groups are
+    cut into blocks; each pair of blocks is one row, of bounded size."""
     g = F.ceil(F.col("g") / BLOCK).cast("int")
     x = F.pmod(F.xxhash64("node", F.lit(3)), g).cast("int")
-    dealt = (members.withColumns({"x": x, "nb": g}).select("key", "x", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("y"), "node", "comp", "n", "sketch")
+    dealt = (members.withColumns({"x": x, "nb": g}).select("key", "x", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("y"), "node", "comp", "n", "small")
              .groupBy("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"))
-             .agg(F.collect_list(F.struct("x", "node", "comp", "n", "sketch")).alias("m")))  # at most two blocks
+             .agg(F.collect_list(F.struct("x", "node", "comp", "n", "small")).alias("m")))
 
-    def run(c):
-        out_a, out_b = [], []
-        for i, j, m in zip(c["i"], c["j"], c["m"], strict=True):
-            left, right = [r for r in m if r["x"] == i], [r for r in m if r["x"] == j]
-            if not left or not right:
+    def run(batches):
+        for c in batches:
+            lists = c.column("m")
+            ends, fields = lists.offsets.to_numpy(), lists.values
+            if not c.num_rows:
                 continue
-            u, v = ([np.array([r[f] for r in s]) for f in ("node", "comp", "n")] for s in (left, right))
-            p, q = (np.frombuffer(b"".join(r["sketch"] for r in s), np.uint8).reshape(-1, BUCKETS).astype(np.int16) for s in (left, right))
-            apart = np.abs(p[:, None, :] - q[None, :, :]).sum(axis=2)
-            ok = (apart <= (u[2][:, None] + v[2][None, :]) * (den - num) // (den + num)) & (u[1][:, None] != v[1][None, :])
-            s, t = np.nonzero(ok)
-            out_a += np.minimum(u[0][s], v[0][t]).tolist()
-            out_b += np.maximum(u[0][s], v[0][t]).tolist()
-        return {"a": out_a, "b": out_b}
-
-    return map_rows(dealt.select("i", "j", "m"), run, "a bigint, b bigint", rows=16).distinct()
+            x, node, comp, n = (fields.field(k).to_numpy(zero_copy_only=False) for k in ("x", "node", "comp", "n"))
+            small = np.frombuffer(b"".join(fields.field("small").to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+            found = [np.zeros((0, 2), np.int64)]
+            for r, (i, j) in enumerate(zip(c.column("i").to_pylist(), c.column("j").to_pylist(), strict=True)):
+                own = np.arange(ends[r], ends[r + 1])
+                u, v = own[x[own] == i], own[x[own] == j]
+                apart = np.abs(small[u][:, None, :] - small[v][None, :, :]).sum(axis=2)
+                most = (n[u][:, None] + n[v][None, :]) * (den - num) // (den + num)
+                s, t = np.nonzero((apart <= most) & (comp[u][:, None] != comp[v][None, :]))
+                found.append(np.unique(np.sort(np.stack([node[u[s]], node[v[t]]], axis=1), axis=1), axis=0))
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return map_arrow(dealt.select("i", "j", "m"), run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
@@ -262,9 +301,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     signed = cut(_signatures(docs, id_col, text, width, num, den))
     # copies: one node per set; first() of equal sets is the same whichever row it is
     nodes = cut(signed.where("n > 0 and id is not null").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("small").alias("small"), F.first("slot").alias("slot"), F.first("hashes").alias("hashes"))
         .withColumn("node", F.monotonically_increasing_id()))
-    exact = nodes.select("node", F.explode("keys").alias("key"))
+    exact = _exploded(nodes)
     counts = cut(exact.groupBy("key").agg(F.count("*").alias("g")).where("g > 1"))
     table = Bands(num, den)
     merged = _allocation(counts, nodes, table)
@@ -282,8 +321,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         more_counts = more.groupBy("key").agg(F.count("*").alias("g")).where("g > 1")
         exact, counts = exact.unionByName(more), counts.unionByName(more_counts)
     size = counts.agg(F.sum("g")).first()[0] or 0
-    members = cut(exact.join(counts, "key"), size)
-    active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch"), "node"), size)
+    shared, blocks = bloom_blocks(counts.select("key"))  # most keys belong to one set only and need no shuffle
+    members = cut(bloom_pass(exact, shared, blocks).join(counts, "key"), size)
+    active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch", "small"), "node"), size)
     sets = cut(_sets(_texts_of(docs, active, id_col, text), width), size)
 
     links = comps = tried = None
@@ -292,18 +332,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         if comps is None:
             label = label.withColumn("comp", F.col("node"))
         pivots = label.groupBy("key").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(r))).alias("p"),
-                                          F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+                                          F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                          F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"), F.max("g").alias("g")).where("low < high")
         if r < rounds:
             pairs = (label.join(pivots.select("key", "p"), "key").where("comp <> p.comp")
                      .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct())
             maybe = _possible(_both(pairs, active, ["n", "sketch"]), num, den)
-        else:  # a key of two members has been tried
-            rest = label.where("g > 2").join(pivots.select("key"), "key", "left_semi").join(active.select("node", "n", "sketch"), "node")
-            maybe = _pairs_in_blocks(rest, num, den)
+        else:  # a key of two members has been tried; of keys with the same members one is enough
+            keys = pivots.where("g > 2").groupBy("g", "who").agg(F.min("key").alias("key")).select("key")
+            rest = label.join(keys, "key", "left_semi").join(active.select("node", "n", "small"), "node")
+            maybe = _possible(_both(_pairs_in_blocks(rest, num, den), active, ["n", "sketch"]), num, den)
         if tried is not None:
             maybe = maybe.join(tried, ["a", "b"], "left_anti")
         maybe = cut(maybe, size)
-        found = cut(_linked(_both(maybe, sets, ["tokens"]), num, den), size)
+        asked = maybe.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        own = bloom_pass(sets.withColumnRenamed("node", "key"), *bloom_blocks(asked)).withColumnRenamed("key", "node")
+        found = cut(_linked(_both(maybe, own, ["tokens"]), num, den), size)
         tried = maybe if tried is None else tried.unionByName(maybe)
         new = found.limit(1).count()
         links = found if links is None else links.unionByName(found)

@@ -87,7 +87,7 @@ def queries() -> dict:
 def oracles() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express; the others are tested against brute force in tests/llm."""
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
-    url_filter = f"""
+    url_filter = rf"""
 WITH p0 AS (SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS h,
                    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 p AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM p0),
