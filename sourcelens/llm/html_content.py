@@ -6,7 +6,8 @@ navigation, headers, footers, side columns, forms, scripts, styles, and inside e
 advert, notice, menu or comments are never content.  Over the other lines the text-to-tag ratio is smoothed by a Gaussian
 and split by a threshold into clusters.  A region (the lines directly under one container; all lines of an article) is content
 if any of its lines is in the high cluster, so short paragraphs of an article stay with it.  On a page with an article
-element, lines outside of it are no candidates.
+element, lines outside of it are no candidates, and the clusters decide once more inside: a block of an article (the lines directly
+under one of its sections or divs) is dropped if all its lines have little text outside of links for their inline tags.
 
 Defined cases: null or empty html gives an empty text; unclosed and stray tags follow the parser's events;
 a page cut off in the middle gives what came before; very long pages are read in full; extra columns are kept.
@@ -37,6 +38,10 @@ NAMES = re.compile(r"(?:^|\s)(?:(?:site|page|main|top|bottom|left|right|post|art
                    r"navigation|breadcrumb|breadcrumbs|footer|masthead|share|sharing|social|comment|comments|reply|replies|"
                    r"disqus|discussion|toolbar|pagination|pager|hidden)(?=$|[\s_-])", re.I)
 CONTAINERS = frozenset("article main section div body td".split())
+#: Containers that are blocks of their own inside an article; a cell belongs to its table's block.
+INNER = frozenset("article main section div".split())
+#: Tags that shape text; inside an article they don't count against it.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 hgroup li ul ol dl dt dd table thead tbody tfoot tr td th caption br pre blockquote figcaption".split())
 #: Sources whose end tags may be left out: a new one ends the open one.
 CLOSES = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"},
           "dd": {"dt", "dd"}, "option": {"option"}}
@@ -44,31 +49,42 @@ SPACE = re.compile(r"\s+")
 SIGMA = 1.0
 #: A line is in the high cluster from this part of the standard deviation of the smoothed ratios on, as the method's authors do.
 THRESHOLD = 1.0
+#: Inside an article ratios count up to ENOUGH, so one long paragraph makes no other block look thin, and the threshold is smaller.
+ENOUGH = 40.0
+IN_ARTICLE = 0.25
 
 
 class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple]] = []  # text, tags, container
-        self.open: list[tuple[str, bool, int]] = []  # name, skipped, number
+        self.lines: list[tuple[str, int, tuple, float]] = []  # text, tags, region, characters outside of links for each inline tag
+        self.open: list[tuple[str, bool, bool]] = []  # name, skipped, a link
         self.parts: list[str] = []
         self.tags = 0
+        self.inline = 0
+        self.links = 0
+        self.linked = 0
         self.skipped = 0
         self.articles = 0
         self.number = 0
-        self.where: list[tuple[int, bool]] = [(0, False)]  # region: its number, in an article
+        self.where: list[tuple[int, int]] = [(0, 0)]  # region: its number, that of the outermost article or 0
 
     def line(self):
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.lines.append((text, self.tags, self.where[-1]))
-            self.tags = 0
+            self.lines.append((text, self.tags, self.where[-1], max(0, len(text) - self.linked) / max(1, self.inline)))
+            self.tags = self.inline = 0
         self.parts = []
+        self.linked = 0
 
-    def handle_starttag(self, tag, attrs):
+    def count(self, tag):
         self.tags += 1
+        self.inline += tag not in TEXTUAL
         if tag in BLOCKS:
             self.line()
+
+    def handle_starttag(self, tag, attrs):
+        self.count(tag)
         if tag in VOID:
             return
         ends = CLOSES.get(tag)
@@ -80,31 +96,31 @@ class _Lines(HTMLParser):
                 or "hidden" in said or (said.get("aria-hidden") or "") == "true"
                 or tag not in ("html", "body", "article", "main") and bool(NAMES.search(names)))
         self.number += 1
-        self.open.append((tag, skip, self.number))
+        link = tag == "a" and "href" in said
+        self.open.append((tag, skip, link))
         self.skipped += skip
         if tag in CONTAINERS:
-            self.where.append(self.where[-1] if self.articles else (self.number, tag == "article"))
+            article = self.where[-1][1] or (self.number if tag == "article" else 0)
+            self.where.append(self.where[-1] if self.articles and tag not in INNER else (self.number, article))
         self.articles += tag == "article"
+        self.links += link
 
     def handle_startendtag(self, tag, attrs):
-        self.tags += 1
-        if tag in BLOCKS:
-            self.line()
+        self.count(tag)
 
     def close_from(self, at):
-        for tag, skip, number in reversed(self.open[at:]):
+        for tag, skip, link in reversed(self.open[at:]):
             if tag in BLOCKS:
                 self.line()
             self.skipped -= skip
             self.articles -= tag == "article"
+            self.links -= link
             if tag in CONTAINERS and len(self.where) > 1:
                 self.where.pop()
         del self.open[at:]
 
     def handle_endtag(self, tag):
-        self.tags += 1
-        if tag in BLOCKS:
-            self.line()
+        self.count(tag)
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
                 self.close_from(at)
@@ -115,12 +131,14 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if not self.skipped:
             self.parts.append(data)
+            if self.links:
+                self.linked += len(SPACE.sub(" ", data))
 
     def unknown_decl(self, data):
         pass
 
 
-def lines_of(html: str | None) -> list[tuple[str, int, tuple]]:
+def lines_of(html: str | None) -> list[tuple[str, int, tuple, float]]:
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
@@ -135,15 +153,29 @@ def _smoothed(x: np.ndarray, sigma: float) -> np.ndarray:
     return total / np.convolve(np.ones(len(x)), kernel, "full")[reach:-reach]
 
 
-def content_lines(lines: list[tuple[str, int, tuple]], sigma: float = SIGMA, threshold: float = THRESHOLD) -> list[str]:
-    if any(where[1] for _, _, where in lines):
+def _blocks_of_articles(lines: list[tuple[str, int, tuple, float]], sigma: float, threshold: float) -> list[tuple[str, int, tuple, float]]:
+    """The lines without those of blocks that hold little but links.  Each block is smoothed alone, so it isn't lifted by its neighbours."""
+    own: dict[tuple, list[float]] = {}
+    for _, _, where, ratio in lines:
+        own.setdefault(where, []).append(min(ratio, ENOUGH))
+    smooth = {where: _smoothed(np.array(x), sigma) for where, x in own.items()}
+    every = np.concatenate(list(smooth.values()))
+    least = min(IN_ARTICLE * threshold * every.std(), every.max())
+    return [x for x in lines if smooth[x[2]].max() >= least]
+
+
+def content_lines(lines: list[tuple[str, int, tuple, float]], sigma: float = SIGMA, threshold: float = THRESHOLD) -> list[str]:
+    articles = any(where[1] for _, _, where, _ in lines)
+    if articles:
         lines = [x for x in lines if x[2][1]]
     if not lines:
         return []
-    smooth = _smoothed(np.array([len(text) / max(1, tags) for text, tags, _ in lines]), sigma)
+    smooth = _smoothed(np.array([len(text) / max(1, tags) for text, tags, _, _ in lines]), sigma)
     high = smooth >= min(threshold * smooth.std(), smooth.max())
-    regions = {where for (_, _, where), h in zip(lines, high, strict=True) if h}
-    return [text for text, _, where in lines if where in regions]
+    region = [where[1] or where for _, _, where, _ in lines]  # all lines of an article are one
+    regions = {r for r, h in zip(region, high, strict=True) if h}
+    lines = [x for x, r in zip(lines, region, strict=True) if r in regions]
+    return [x[0] for x in (_blocks_of_articles(lines, sigma, threshold) if articles else lines)]
 
 
 def main_text(html: str | None) -> str:

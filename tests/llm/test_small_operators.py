@@ -193,3 +193,15 @@ def test_html(spark):
     want = ["", "", "", "just text", "cut off &am", "x", "deep", "a<b é c"]
     assert got == {i: (t, len(t)) for i, t in enumerate(want)}
     assert html_content.extract_text(df.limit(0)).count() == 0
+
+
+def test_html_clusters_decide_inside_an_article():
+    prose = "<p>" + "long text of the article " * 30 + "</p>"
+    links = "<div class=xq7><ul>" + "".join(f"<li><a href=/{i}>Other page {i}</a></li>" for i in range(6)) + "</ul></div>"
+    soup = "<div class=b2><span>Tags</span> <a href=/x>x</a> <i></i><i></i><a href=/y>y</a></div>"
+    kept = "<section><h2>Notes</h2><p>None.</p></section><div><ul><li>2 eggs</li><li>flour</li></ul></div><table><tr><td><a href=/c>cell</a></td><td>7</td></tr></table>"
+    text = html_content.main_text(f"<body><article><h1>Head</h1>{prose}{links}{kept}{soup}<div>{prose}</div></article></body>")
+    long = ("long text of the article " * 30).strip()
+    assert text.split("\n") == ["Head", long, "Notes", "None.", "2 eggs", "flour", "cell", "7", long]
+    only = "<article><div><ul><li><a href=/1>one link</a></li></ul></div></article>"
+    assert html_content.main_text(only) == "one link"
