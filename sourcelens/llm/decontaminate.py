@@ -1,23 +1,24 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: shared word pairs as seeds, then Smith-Waterman alignment.
 
-Test items become words (lower case, letters and digits).  One pass over the corpus counts the items' words; an
-n-gram of an item is *rare* if its words, drawn independently at those rates, would seldom meet by chance.  (The n-gram's own
-count is no measure: copies of a leaked item would make its seeds look common.)  An item without enough rare seeds uses its rarest.
-A second pass finds seeds in the documents, which joins passages to items, and aligns item and passage
-locally (match 1, mismatch and gap -1); a pair is contaminated if the score reaches a share of the item's length, so edited
-copies are found and chance meetings are not.
+Test items become words (lower case, letters and digits); every pair of neighbouring words of an item is a seed, however frequent.
+Item and passage are aligned locally (match 1, mismatch and gap -1); a pair is contaminated if the score reaches a share of the item's
+length, so edited copies are found and chance meetings are not.
+
+Seeds lose nothing.  An alignment of M matches and E errors has at most E + 1 runs, so at least M - E - 1 neighbouring
+words of the item stand side by side in the passage too; with M - E >= T that is T - 1 seeds, within 2m - T words (M <= m, the item's length).
+Only items with so many seeds so near each other are aligned, in the region that such a passage can reach.  No seed is chosen by its
+frequency, so neither leaked copies nor items of frequent words change what is found.
 
 The benchmark side is small; it goes to the tasks in blocks of checked size (a further pass over the
-documents for each), so neither pass shuffles documents and no key can be hot.
+documents for each), so no pass shuffles documents and no key can be hot.
 
-Defined cases: null and empty texts have no words; items without words match nothing; items shorter than an n-gram
-are one seed; repeated items and rows give a row each pair only once; spans are code points, end exclusive; texts are read whole.
+Defined cases: null and empty texts have no words; items without words match nothing; an item of one word
+is its own seed; repeated items and rows give a row each pair only once; spans are code points, end exclusive; texts are read whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +28,11 @@ from pyspark.sql import functions as F
 from sourcelens.llm.common import arrow_schema, map_arrow
 
 WORD = re.compile(r"[^\W_]+")
-GRAM = 3
-#: An n-gram is rare if the product of its words' rates is at most this.
-RARE = 1e-8
-#: Each item has at least so many seeds (all, if fewer), the rarest first.
-MIN_SEEDS = 6
 MIN_SCORE = 0.5
 #: Items shorter than this must be found word for word.
 SHORT = 8
+#: Seeds of all items that are looked at in one step of a document.
+HITS = 1_000_000
 #: Items and characters that a block of the benchmark may have.
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 16_000_000
 
@@ -44,17 +42,29 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Items:
-    """A block of the benchmark: vocabulary, word ids of each item, and (after ``choose``) its seeds."""
+    """A block of the benchmark: vocabulary, word ids of each item, its seeds and how many of them a copy must hold."""
 
-    def __init__(self, rows: list[tuple[int, str | None]]):
+    def __init__(self, rows: list[tuple[int, str | None]], min_score: float = MIN_SCORE):
         self.ids, self.words, self.vocab = [], [], {}
         for item, text in rows:
             own = words_of(text)
             if own:
                 self.ids.append(item)
                 self.words.append(np.array([self.vocab.setdefault(w, len(self.vocab)) for w in own], np.int64))
-        self.seeds: dict[int, dict[int, list]] = {}  # n -> code -> [(item, offset)]
-        self.sorted: dict[int, np.ndarray] = {}
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        #: The score that makes a copy.
+        self.least = np.where(sizes < SHORT, sizes, np.ceil(min_score * sizes - 1e-9).astype(np.int64))
+        grams = np.where(self.least < 2, 1, 2)
+        #: Seeds that a copy holds at least, and the number of words that it has at most.
+        self.need, self.reach = np.maximum(1, self.least - (grams - 1)), 2 * sizes - self.least
+        self.index: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # n -> codes, where each one's items begin, items
+        for n in sorted(set(grams.tolist())):
+            own = np.flatnonzero(grams == n)
+            found = [np.unique(self.code(self.words[i], n)) for i in own]
+            codes, items = np.concatenate(found), np.repeat(own, [len(c) for c in found])
+            order = np.lexsort((items, codes))
+            codes, starts = np.unique(codes[order], return_index=True)
+            self.index[n] = codes, np.append(starts, len(items)), items[order]
 
     def code(self, ids: np.ndarray, n: int) -> np.ndarray:
         """A number for each n-gram, -1 if it has a word outside the vocabulary."""
@@ -64,21 +74,49 @@ class Items:
         base, out, known = len(self.vocab) + 1, np.zeros(count, np.int64), np.ones(count, bool)
         for i in range(n):
             part = ids[i:i + count]
-            out = out * base + part  # exact: base ** 3 < 2 ** 63
+            out = out * base + part  # exact: base ** 2 < 2 ** 63
             known &= part >= 0
         return np.where(known, out, -1)
 
-    def choose(self, counts: np.ndarray, total: int, rare: float = RARE, least: int = MIN_SEEDS) -> None:
-        rate = np.log(np.maximum(counts, 1) / max(total, 1))
-        for i, ids in enumerate(self.words):
-            n = min(GRAM, len(ids))
+    def candidates(self, ids: np.ndarray):
+        """(item, regions): where a document has enough of an item's seeds near each other."""
+        for n, (known, starts, owners) in self.index.items():
             codes = self.code(ids, n)
-            chance = sum(rate[ids[j:j + len(codes)]] for j in range(n))
-            order = np.argsort(chance, kind="stable")
-            keep = np.union1d(order[:least], np.flatnonzero(chance <= np.log(rare)))
-            for at in keep:
-                self.seeds.setdefault(n, defaultdict(list))[int(codes[at])].append((i, int(at)))
-        self.sorted = {n: np.array(sorted(s), np.int64) for n, s in self.seeds.items()}
+            place = np.searchsorted(known, codes)
+            at = np.flatnonzero(known[np.minimum(place, len(known) - 1)] == codes)
+            place = place[at]
+            sizes = starts[place + 1] - starts[place]
+            ends = np.cumsum(sizes)
+
+            def owning(part):
+                size = sizes[part]
+                return owners[np.repeat(starts[place[part]] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+
+            # however long the text, only a part's hits are held before items are sorted out
+            parts = np.split(np.arange(len(at)), np.flatnonzero(np.diff(ends // HITS)) + 1)
+            counts = np.zeros(len(self.need), np.int64)
+            for part in parts:
+                counts += np.bincount(owning(part), minlength=len(counts))
+            enough = counts >= self.need
+            if not enough.any():
+                continue
+            kept = [(own[keep := enough[own]], np.repeat(at[part], sizes[part])[keep]) for part in parts for own in [owning(part)]]
+            hits, places = (np.concatenate(x) for x in zip(*kept, strict=True))
+            order = np.argsort(hits, kind="stable")  # of one item, places stay in order
+            hits, places = hits[order], places[order]
+            for own in np.split(np.arange(len(hits)), np.flatnonzero(np.diff(hits)) + 1):
+                item, p = int(hits[own[0]]), places[own]
+                need, reach = int(self.need[item]), int(self.reach[item])
+                first, last = p[:len(p) - need + 1], p[need - 1:]
+                near = last + n - first <= reach
+                if near.any():
+                    yield item, _joined(last[near] + n - reach, first[near] + reach)
+
+
+def _joined(low: np.ndarray, high: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges in order become ranges that don't overlap."""
+    cuts = np.flatnonzero(low[1:] > high[:-1]) + 1
+    return list(zip(low[np.append(0, cuts)].tolist(), high[np.append(cuts - 1, len(high) - 1)].tolist(), strict=True))
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -97,35 +135,18 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _matches(items: Items, ids: np.ndarray, min_score: float) -> list[tuple[int, int, int, int]]:
+def _matches(items: Items, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(item, score, first, last word) of each contaminated item in a document."""
-    hits: dict[int, list[int]] = defaultdict(list)  # item -> where it would begin
-    for n, seeds in items.sorted.items():
-        codes = items.code(ids, n)
-        at = np.flatnonzero(codes >= 0)
-        place = np.searchsorted(seeds, codes[at])
-        ok = (place < len(seeds)) & (seeds[np.minimum(place, len(seeds) - 1)] == codes[at])
-        for p in at[ok]:
-            for item, offset in items.seeds[n][int(codes[p])]:
-                hits[item].append(int(p) - offset)
     out = []
-    for item, begins in hits.items():
-        words = items.words[item]
-        m, best = len(words), None
-        slack = m // 2 + 2
-        begins.sort()
-        i = 0
-        while i < len(begins):  # hits near each other are one passage
-            j = i
-            while j + 1 < len(begins) and begins[j + 1] - begins[j] <= slack:
-                j += 1
-            low, high = max(0, begins[i] - slack), min(len(ids), begins[j] + m + slack)
+    for item, regions in items.candidates(ids):
+        words, best = items.words[item], None
+        for low, high in regions:
+            low = max(0, low)
             score, a, b = align(words, ids[low:high])
             if best is None or score > best[0]:
                 best = (score, a, b, low)
-            i = j + 1
         score, a, b, low = best
-        if score >= (m if m < SHORT else min_score * m):
+        if score >= items.least[item]:
             back = align(words[:a + 1][::-1], ids[low:low + b + 1][::-1])
             out.append((item, score, low + b - back[2], low + b))
     return out
@@ -140,35 +161,15 @@ def _each_text(batches):
             yield part.column("id").to_pylist(), texts, own
 
 
-def _counts(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
-    """How often each vocabulary word stands in the corpus, and the corpus's number of words (place -1)."""
-    vocab = items.vocab
-
-    def run(batches):
-        counts = np.zeros(len(vocab) + 1, np.int64)
-        for _, _, own in _each_text(batches):
-            ids = [vocab.get(w, -1) for words in own for w in words]
-            counts[:-1] += np.bincount(np.array([i for i in ids if i >= 0], np.int64), minlength=len(vocab))
-            counts[-1] += len(ids)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(counts[at])], ["w", "n"])
-
-    rows = map_arrow(docs, run, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")).collect()  # the block's vocabulary
-    counts = np.zeros(len(vocab) + 1, np.int64)
-    for r in rows:
-        counts[r["w"]] = r["n"]
-    return counts[:-1], int(counts[-1])
-
-
-def _blocks(benchmark: DataFrame, item_col: str, text: str):
+def _blocks(benchmark: DataFrame, item_col: str, text: str, min_score: float):
     rows, chars = [], 0
     for r in benchmark.select(F.col(item_col).alias("i"), F.col(text).alias("t")).distinct().orderBy("i", "t").toLocalIterator():
         rows.append((r["i"], r["t"]))
         chars += len(r["t"] or "")
         if len(rows) >= BLOCK_ITEMS or chars >= BLOCK_CHARS:
-            yield Items(rows)
+            yield Items(rows, min_score)
             rows, chars = [], 0
-    yield Items(rows)
+    yield Items(rows, min_score)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id",
@@ -180,10 +181,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     schema = f"{kinds}, score double, start bigint, end bigint"
     arrow = arrow_schema(spark, schema)
     found = None
-    for items in _blocks(benchmark, item_col, item_text):
+    for items in _blocks(benchmark, item_col, item_text, min_score):
         if not items.words:
             continue
-        items.choose(*_counts(own, items))
         held = spark.sparkContext.broadcast(items)  # one block: of checked size
 
         def run(batches, held=held):
@@ -192,7 +192,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             for ids, texts, words in _each_text(batches):
                 out = []
                 for doc, t, w in zip(ids, texts, words, strict=True):
-                    got = _matches(items, np.array([vocab.get(x, -1) for x in w], np.int64), min_score)
+                    got = _matches(items, np.array([vocab.get(x, -1) for x in w], np.int64))
                     if got:
                         places = [m.span() for m in WORD.finditer(t.lower())]
                         shift = len(t.lower()) != len(t)

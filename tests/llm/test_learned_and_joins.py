@@ -206,6 +206,35 @@ def test_decontamination(spark):
     assert {(r["doc_id"], r["item_id"]) for r in _in_blocks(df, bench)} == set(got)
 
 
+def test_every_copy_within_the_threshold_is_found(monkeypatch):
+    rng = np.random.default_rng(11)
+    for hits in (7, decontaminate.HITS):
+        monkeypatch.setattr(decontaminate, "HITS", hits)
+        for _ in range(40):
+            words = [f"w{i}" for i in range(int(rng.integers(5, 40)))]
+            rows = [(i, " ".join(rng.choice(words, int(rng.integers(1, 30))))) for i in range(5)]
+            items = decontaminate.Items(rows)
+            doc = list(rng.choice(words, 60))
+            for _, text in rows:
+                copy = text.split()
+                for at in reversed(range(int(rng.integers(0, 4)), len(copy), int(rng.integers(3, 6)))):
+                    copy[at:at + 1] = [["zz"], [], [copy[at], "zz"]][int(rng.integers(3))]
+                doc[(at := int(rng.integers(len(doc)))):at] = copy
+            ids = np.array([items.vocab.get(w, -1) for w in doc], np.int64)
+            want = {i: s for i, w in enumerate(items.words) if (s := decontaminate.align(w, ids)[0]) >= items.least[i]}
+            assert {i: s for i, s, *_ in decontaminate._matches(items, ids)} == want
+
+
+def test_hot_copies_hide_no_edited_copy(spark):
+    item = [f"word{i}" for i in range(40)]
+    edited, spread = list(item), [w for i, x in enumerate(item) for w in ([x, "new"] if i % 2 and i < 38 else [x])]
+    edited[2] = edited[5] = "other"  # all of the first six 3-grams are gone
+    docs = [(i, " ".join(item)) for i in range(200)] + [(500, " ".join(edited)), (501, " ".join(spread)), (502, " ".join(reversed(item)))]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id int, text string"))
+    scores = {r["doc_id"]: r["score"] for r in got.collect()}
+    assert set(scores) == {*range(200), 500, 501} and scores[500] == 36 / 40 and scores[501] == 21 / 40
+
+
 def _in_blocks(df, bench):
     before, decontaminate.BLOCK_ITEMS = decontaminate.BLOCK_ITEMS, 2
     try:
