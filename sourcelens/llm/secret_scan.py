@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns plus a guess-cost model for values in credential context.
 
 Fixed patterns (``assign``, ``access``, ``hex``) are as the caller's contract gives them.  Besides, each value that stands
-in credential context (``password: ...``, ``pwd=...``, ``https://user:...@host``) and isn't inside such a match is priced: dynamic
+in credential context (``password: ...``, ``pwd=...``, ``https://user:...@host``) and isn't wholly inside one such match is priced whole: dynamic
 programming finds the cheapest way to write it as words, dates, repeats, keyboard walks and brute-force spans, in powers
 of ten of guesses.  Values that cost at least ``MIN_GUESSES`` are spans of kind ``guess``; cheap ones
 (``password: example``) are left alone.
@@ -29,7 +29,7 @@ KINDS = ("assign", "access", "hex", "guess")
 CONTEXT = re.compile(r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_-]?key|access[_-]?key|client[_-]?secret|"""
                      r"""auth(?:orization)?|credentials?|private[_-]?key)["']?\s{0,8}(?:=>|:=|[:=])\s{0,8}(?:bearer\s{1,8}|basic\s{1,8})?["']?"""
                      r"""([^\s"'<>,;|()\[\]{}]{6,})""", re.I | re.A)
-USERINFO = re.compile(r"://[^\s/:@]{1,256}:([^\s/@]{6,256})@")
+USERINFO = re.compile(r"://[^\s/:@]++:([^\s/@]{6,}+)@")  # possessive: linear, however long
 HINTS = ("pass", "pwd", "pin", "secret", "token", "key", "auth", "credential")
 #: A value is a secret from so many guesses on (a power of ten).
 MIN_GUESSES = 10.0
@@ -115,13 +115,18 @@ def guess_spans(text: str, low: str, base: list[tuple[int, int, int]], least: fl
     values = [(m.start(1), m.end(1)) for m in CONTEXT.finditer(text)] if any(h in low for h in HINTS) else []
     if "://" in text and "@" in text:
         values += [(m.start(1), m.end(1)) for m in USERINFO.finditer(text)]
-    for start, end in sorted(set(values)):
+    at = covered = 0  # covered: the farthest end of a base span or guess that begins no later
+    for start, end in sorted(set(values), key=lambda v: (v[0], -v[1])):
+        while at < len(base) and base[at][0] <= start:
+            covered = max(covered, base[at][2])
+            at += 1
         value = text[start:end].rstrip(".:!?*#$%&")
         end = start + len(value)
-        if any(s < end and start < e for s, _, e in base) or found and start < found[-1][2]:
+        if end <= covered:
             continue
         if guess_cost(value) >= least:
             found.append((start, 3, end))
+            covered = end
     return found
 
 

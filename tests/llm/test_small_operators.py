@@ -132,6 +132,19 @@ def test_secrets(spark):
     assert "Tr0ub4dor" not in clean[7] and clean[6] == SECRETS[6] and clean[10] is None
 
 
+def test_values_that_reach_beyond_a_base_span_are_secrets_whole():
+    long = "kW9!xQz7#mPe2" * 30
+    for text, value in (('password="abcdefghijkl12!Qz#9w@Lk" x', "abcdefghijkl12!Qz#9w@Lk"), ("pwd = Q!z0123456789abcdef&Kw#9", "Q!z0123456789abcdef&Kw#9"),
+                        (f"db https://me:{long}@host/", long), (f"db https://{'u' * 300}:{long}@host/", long)):
+        base, spans = secret_scan.scan(text)
+        at = text.index(value)
+        assert (at, 3, at + len(value)) in spans and set(base) <= set(spans)
+        hidden = secret_scan.redact(text, spans)
+        assert not any(value[i:i + 4] in hidden for i in range(len(value) - 3)) and hidden.count("[secret]") == 1
+    inside = "password=abcdefghijkl12QzxKw9wLk"
+    assert secret_scan.scan(inside)[1] == secret_scan.base_spans(inside)
+
+
 def test_guess_cost_is_the_cheapest_segmentation():
     assert secret_scan.guess_cost("password") < secret_scan.guess_cost("passw0rd") < secret_scan.guess_cost("pxsswjrd")
     assert secret_scan.guess_cost("qwertyuiop") < 4 and secret_scan.guess_cost("aaaaaaaaaaaa") < 4 and secret_scan.guess_cost("20240131") < 6
