@@ -21,11 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sourcelens.llm.common import map_rows
+from sourcelens.llm.common import cut, map_rows
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
-#: The model is fitted on at most so many labelled texts of each language, of at most so many characters.
+#: The model is fitted on at most so many labelled texts of each language, and on so many characters of each from its first letter on.
 SAMPLE_PER_LANGUAGE = 150
 SAMPLE_CHARS = 20_000
 BUCKETS = 1 << 16
@@ -222,16 +222,25 @@ def fit(texts: list[tuple[str, str]], iterations: int = ITERATIONS, rate: float
 
 
 def training_sample(labelled: DataFrame, id_col: str, text: str, lang: str, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """At most ``per_language`` texts of each label, those whose ids hash lowest."""
-    fits = labelled.where(F.col(lang).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & F.col(text).rlike(r"\p{L}"))
-    ids = fits.select(F.col(id_col).alias("i"), F.col(lang).alias("l"), F.pmod(F.xxhash64(id_col, F.lit(2)), F.lit(1 << 30)).alias("h"))
-    # of a frequent label only about eight times the sample is ranked, so ranking is small however many rows there are
-    share = ids.groupBy("l").agg(F.count("*").alias("c")).select(F.col("l").alias("k"), (8.0 * per_language * (1 << 30) / F.col("c")).alias("top"))
+    """At most ``per_language`` texts of each label, those whose distinct ids hash lowest; of a long text the span of
+    ``SAMPLE_CHARS`` characters from its first letter on."""
+    fits = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    # written once: the distinct ids of each label, without texts
+    ids = cut(fits.select(F.col(id_col).alias("i"), F.col(lang).alias("l"), F.pmod(F.xxhash64(id_col, F.lit(2)), F.lit(1 << 30)).alias("h")).distinct())
+    # of a frequent label only about eight times the sample is ranked, so ranking is small however many ids there are
+    top = F.lit(8.0 * per_language * (1 << 30)) / F.col("c")
+    share = ids.groupBy("l").agg(F.count("*").alias("c")).select(F.col("l").alias("k"), "c", top.alias("top"))
     near = ids.join(F.broadcast(share), ids["l"] == share["k"]).where("h < top")  # one row per label
-    hashed = near.select("i", "l", "h").distinct().withColumn("n", F.row_number().over(W.partitionBy("l").orderBy("h", "i")))
+    # a label with fewer ids than asked for under its threshold has all its ids ranked
+    under = near.groupBy("k").agg(F.count("*").alias("m"))
+    short = [r["k"] for r in share.join(under, "k", "left").where(F.coalesce("m", F.lit(0)) < F.least("c", F.lit(per_language))).select("k").collect()]
+    if short:
+        near = near.where(~F.col("l").isin(short)).select("i", "l", "h").unionByName(ids.where(F.col("l").isin(short)))
+    hashed = near.select("i", "l", "h").withColumn("n", F.row_number().over(W.partitionBy("l").orderBy("h", "i")))
     chosen = hashed.where(F.col("n") <= per_language).select("i", "l")
+    span = F.when(F.length(text) <= SAMPLE_CHARS, F.col(text)).otherwise(F.substring(F.regexp_replace(text, r"^\P{L}++", ""), 1, SAMPLE_CHARS))
     rows = (fits.join(F.broadcast(chosen), (fits[id_col] == chosen["i"]) & (fits[lang] == chosen["l"]))
-            .groupBy("i", "l").agg(F.min(text).alias("t")).orderBy("l", "i").collect())  # bounded by the sample
+            .groupBy("i", "l").agg(F.min(span).alias("t")).orderBy("l", "i").collect())  # bounded by the sample
     return [(r["t"], r["l"]) for r in rows]
 
 

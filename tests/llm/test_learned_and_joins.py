@@ -47,6 +47,17 @@ def test_language(docs, rows, none):
     assert {r["lang_pred"] for r in crf_language.identify(docs.withColumn("lang", F.lit(None).cast("string")), ~held_out(5, 0)).collect()} == {"und"}
 
 
+def test_repeated_rows_and_long_texts_thin_no_label(spark):
+    rng = random.Random(4)
+    once = spark.createDataFrame([(i, sentence(rng, EN, 20), "en") for i in range(300)], "doc_id bigint, text string, lang string")
+    again = spark.range(400_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("the same row again").alias("text"), F.lit("en").alias("lang"))
+    long = spark.createDataFrame([(1000 + i, "12 " * 8000 + sentence(rng, DE, 6000), "de") for i in range(3)], once.schema)
+    found = crf_language.training_sample(once.unionByName(again).unionByName(long), "doc_id", "text", "lang")
+    assert [lang for _, lang in found].count("en") == crf_language.SAMPLE_PER_LANGUAGE
+    spans = [t for t, lang in found if lang == "de"]
+    assert len(spans) == 3 and all(len(t) == crf_language.SAMPLE_CHARS and t[0].isalpha() for t in spans)
+
+
 def test_code_switched_words_get_their_languages():
     rng = random.Random(2)
     model = crf_language.fit([(sentence(rng, w, 60), lang) for w, lang in ((EN, "en"), (DE, "de")) for _ in range(20)])
