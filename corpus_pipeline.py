@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sourcelens.llm.bpe import encode_documents
 from sourcelens.llm.common import shared_folder, table
 from sourcelens.llm.crf_language import UNDETERMINED, identify
-from sourcelens.llm.decontaminate import contaminated
+from sourcelens.llm.decontaminate import without_items
 from sourcelens.llm.jaccard_join import near_duplicates
 from sourcelens.llm.queries import held_out
 from sourcelens.llm.secret_scan import scan_documents
@@ -32,22 +32,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one of the smallest id."""
-    groups = near_duplicates(docs)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    # rows that repeat an id whole: pre-aggregated where there are any, not at all otherwise
-    twice = groups.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
-    if twice.isEmpty():
-        return kept.select(*COLUMNS)
-    return (kept.join(twice, "doc_id", "left_anti").select(*COLUMNS)
-            .unionByName(kept.join(twice, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])))
+    """One row of each group of near copies stays: the one of the smallest id, a null id being the largest.  Rows are told apart
+    by a key of their own, so null ids and ids that stand for several texts change nothing."""
+    folder = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
+    docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    groups = near_duplicates(rows, "_row").select("_row", "component_id")
+    named = groups.join(rows.select("_row", "doc_id"), "_row")
+    stays = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("s")).select(F.col("s._row").alias("_row"))
+    gone = groups.select("_row").join(stays, "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select(*COLUMNS)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a test item go."""
-    gone = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Rows that hold a test item go, each by its own text."""
+    return without_items(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ def cut(df: DataFrame, rows: int | None = None, per_part: int = 25_000) -> DataF
     return (df if rows is None else df.coalesce(max(4, -(-rows // per_part)))).checkpoint(eager=True)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` whose workers find this package where the driver found it; on a cluster without
     that path install the package or pass it with ``--py-files``."""
     env = df.sparkSession.sparkContext.environment

@@ -208,3 +208,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     best = found.groupBy("id", "item").agg(F.max(F.struct("score", (-F.col("start")).alias("s"), (-F.col("end")).alias("e"))).alias("b"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("b.score").alias("score"),
                        (-F.col("b.s")).alias("start"), (-F.col("b.e")).alias("end"))
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_col: str = "item_id", item_text: str = "text",
+                  min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` that hold no copy of a test item, each judged by its own text, whatever its id."""
+    spark = docs.sparkSession
+    for items in _blocks(benchmark, item_col, item_text, min_score):
+        if not items.words:
+            continue
+        held = spark.sparkContext.broadcast(items)  # one block: of checked size
+
+        def run(batches, held=held):
+            items = held.value
+            vocab = items.vocab
+            for batch in batches:
+                for at in range(0, batch.num_rows, 256):
+                    part = batch.slice(at, 256)
+                    texts = part.column(part.schema.get_field_index(text)).to_pylist()
+                    yield part.filter(pa.array([not _matches(items, np.array([vocab.get(w, -1) for w in words_of(t)], np.int64)) for t in texts], pa.bool_()))
+
+        docs = map_arrow(docs, run, docs.schema)
+    return docs

@@ -255,6 +255,26 @@ def _in_blocks(df, bench):
 
 
 # ---- pipeline -----------------------------------------------------------------------------------------------
+def test_pipeline_tells_rows_apart_without_ids(spark, tmp_path):
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline as cp
+    rng = random.Random(21)
+    alone = [sentence(rng, [f"w{i}" for i in range(300)], 40) for _ in range(5)]
+    leak, copied = sentence(rng, [f"b{i}" for i in range(300)], 30), sentence(rng, [f"c{i}" for i in range(300)], 60)
+    rows = [(None, copied), (None, copied), (None, copied + " more"), (9, copied), (1, copied + " end"),  # one group; 1 stays
+            (9, alone[0]), (9, alone[1] + " " + leak), (None, alone[2] + " " + leak), (None, alone[3]), (9, alone[4]), (9, alone[4])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA).repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    order = lambda found: sorted(found, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    near = cp.near_copies(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert near.columns == cp.COLUMNS
+    assert order((r["doc_id"], r["text"]) for r in near.collect()) == order([rows[4], *rows[5:10]])
+    clean = cp.benchmark_leaks(spark, near, str(tmp_path))
+    assert clean.columns == cp.COLUMNS
+    assert order((r["doc_id"], r["text"]) for r in clean.collect()) == order([rows[4], rows[5], rows[8], rows[9]])
+
+
 def test_pipeline(spark, rows, tmp_path):
     pytest.importorskip("public_tokenizers")
     import corpus_pipeline as cp
