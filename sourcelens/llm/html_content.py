@@ -2,8 +2,9 @@
 
 The standard library's streaming parser turns a page into events; the events become *lines*, one per
 block element (a paragraph, heading, list item, cell, ...), each with its text and its number of tags.  Lines inside
-navigation, headers, footers, side columns, forms, scripts, styles, and inside elements whose class, id or role says
-advert, notice, menu or comments are never content.  Over the other lines the text-to-tag ratio is smoothed by a Gaussian
+navigation, headers, footers, side columns, forms, scripts, styles, and inside boxes whose class, id or role says
+advert, notice, menu or comments are never content.  (Headings are no boxes; inside an article an id is a place that links
+lead to, named by its subject, so only classes count there, and of boxes that aren't sections.)  Over the other lines the text-to-tag ratio is smoothed by a Gaussian
 and split by a threshold into clusters.  A region (the lines directly under one container; all lines of an article) is content
 if any of its lines is in the high cluster, so short paragraphs of an article stay with it.  On a page with an article
 element, lines outside of it are no candidates, and the clusters decide once more inside: a block of an article (the lines directly
@@ -42,9 +43,21 @@ CONTAINERS = frozenset("article main section div body td".split())
 INNER = frozenset("article main section div".split())
 #: Tags that shape text; inside an article they don't count against it.
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 hgroup li ul ol dl dt dd table thead tbody tfoot tr td th caption br pre blockquote figcaption".split())
-#: Sources whose end tags may be left out: a new one ends the open one.
-CLOSES = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"},
-          "dd": {"dt", "dd"}, "option": {"option"}}
+#: Elements whose class or id can make them boilerplate.
+BOXES = frozenset("a aside center dd details div dl dt fieldset figure li ol p section span table tbody td th tr ul".split())
+#: Sources whose end tags may be left out: a new one ends the open one, through what is open inside it, but not beyond a barrier.
+CLOSES = {"li": {"li"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
+          "tbody": {"thead", "tbody"}, "tfoot": {"thead", "tbody"}}
+BARRIERS = {"li": {"ul", "ol", "menu", "table", "td"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "dt": {"dl", "table", "td"},
+            "dd": {"dl", "table", "td"}, "option": {"select", "datalist"}, "tbody": {"table"}, "tfoot": {"table"}}
+#: These end an open paragraph.
+ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+                   "header hgroup hr li dt dd main menu nav ol p pre section table ul".split())
+P_BARRIERS = frozenset("table caption td th button object template".split())
+#: Any other element ends an open head.
+IN_HEAD = frozenset("head title meta link base basefont bgsound script style noscript template".split())
+#: Whose end tags go through open cells.
+AROUND_CELLS = frozenset("tr tbody thead tfoot table".split())
 SPACE = re.compile(r"\s+")
 SIGMA = 1.0
 #: A line is in the high cluster from this part of the standard deviation of the smoothed ratios on, as the method's authors do.
@@ -67,6 +80,7 @@ class _Lines(HTMLParser):
         self.skipped = 0
         self.articles = 0
         self.number = 0
+        self.kinds: dict[str, int] = {}  # how many of each name are open
         self.where: list[tuple[int, int]] = [(0, 0)]  # region: its number, that of the outermost article or 0
 
     def line(self):
@@ -84,17 +98,21 @@ class _Lines(HTMLParser):
             self.line()
 
     def handle_starttag(self, tag, attrs):
+        self.end_head(tag)
         self.count(tag)
+        if tag in ENDS_P:
+            self.close_open({"p"}, P_BARRIERS)
         if tag in VOID:
             return
-        ends = CLOSES.get(tag)
-        if ends and self.open and self.open[-1][0] in ends:
-            self.close_from(len(self.open) - 1)
+        if tag in CLOSES:
+            self.close_open(CLOSES[tag], BARRIERS[tag])
         said = dict(attrs)
-        names = f"{said.get('class') or ''} {said.get('id') or ''}"
+        names = said.get("class") or ""
+        if not self.articles:
+            names += " " + (said.get("id") or "")
         skip = (tag in (SKIP_IN_ARTICLE if self.articles else SKIP) or (said.get("role") or "").lower() in ROLES
                 or "hidden" in said or (said.get("aria-hidden") or "") == "true"
-                or tag not in ("html", "body", "article", "main") and bool(NAMES.search(names)))
+                or tag in BOXES and not (self.articles and tag == "section") and bool(NAMES.search(names)))
         self.number += 1
         link = tag == "a" and "href" in said
         self.open.append((tag, skip, link))
@@ -104,15 +122,32 @@ class _Lines(HTMLParser):
             self.where.append(self.where[-1] if self.articles and tag not in INNER else (self.number, article))
         self.articles += tag == "article"
         self.links += link
+        self.kinds[tag] = self.kinds.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
+        self.end_head(tag)
         self.count(tag)
 
+    def end_head(self, tag):
+        if self.kinds.get("head") and tag not in IN_HEAD and (self.open[-1][0] == "head" or tag == "body"):
+            self.close_open({"head"}, ())
+
+    def close_open(self, ends, barriers):
+        """Ends the innermost of ``ends`` with all that is open inside it, unless a barrier is nearer."""
+        if not any(self.kinds.get(tag) for tag in ends):
+            return
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] in ends:
+                return self.close_from(at)
+            if self.open[at][0] in barriers:
+                return
+
     def close_from(self, at):
         for tag, skip, link in reversed(self.open[at:]):
             if tag in BLOCKS:
                 self.line()
             self.skipped -= skip
+            self.kinds[tag] -= 1
             self.articles -= tag == "article"
             self.links -= link
             if tag in CONTAINERS and len(self.where) > 1:
@@ -125,10 +160,13 @@ class _Lines(HTMLParser):
             if self.open[at][0] == tag:
                 self.close_from(at)
                 break
-            if self.open[at][0] in CONTAINERS and tag not in CONTAINERS and tag not in SKIP:
+            if self.open[at][0] in CONTAINERS and tag not in CONTAINERS and tag not in SKIP and not (
+                    self.open[at][0] == "td" and tag in AROUND_CELLS):
                 break  # a stray end tag doesn't close what holds it
 
     def handle_data(self, data):
+        if self.open and self.open[-1][0] == "head" and not data.isspace():
+            self.end_head("")
         if not self.skipped:
             self.parts.append(data)
             if self.links:

@@ -218,3 +218,19 @@ def test_html_clusters_decide_inside_an_article():
     assert text.split("\n") == ["Head", long, "Notes", "None.", "2 eggs", "flour", "cell", "7", long]
     only = "<article><div><ul><li><a href=/1>one link</a></li></ul></div></article>"
     assert html_content.main_text(only) == "one link"
+
+
+def test_html_skip_rules_lose_no_article_text():
+    prose = "long text of the page " * 20
+    said = prose.strip()
+    for head in ("<html><head><title>t</title><body>", "<html><head><meta charset=utf-8><script>var a</script>", "<head><title>t</title><style>p{}</style>"):
+        assert html_content.main_text(f"{head}<p>{prose}</p>") == said
+    assert html_content.main_text("<head><title>t</title>Bare text") == "Bare text"
+    inside = f"<section id=discussion><h2 id=comments>Comments</h2><p>{prose}</p></section><div id=related-work><p>{prose}</p></div><section class=related><p>{prose}</p></section>"
+    assert html_content.main_text(f"<article><h1>Head</h1>{inside}<div class='ad slot'>buy</div></article>").split("\n") == ["Head", "Comments", *[said] * 3]
+    cells = f"<table><tr><td class=menu><p>one<span>two<td><p>{prose}</table>"
+    assert html_content.main_text(f"<body>{cells}") == said
+    assert html_content.main_text(f"<body><table><tr><td class=menu>x</table><p>{prose}</p>") == said
+    assert html_content.main_text(f"<body><ul><li class=share><p>x<b>y<li>{prose}</ul>") == said
+    assert html_content.main_text(f"<body><p class=share>x<div>{prose}</div>") == said
+    assert html_content.main_text(f"<body><ul><li class=share>x<ul><li>y</ul>z<li>{prose}</ul>") == said
