@@ -38,9 +38,3 @@ def prod_rules() -> BrandRules:
     """Test brand with the default non-production prefixes (preprod, staging, dev, ...)."""
     from sourcelens.rules import DEFAULT_NONPROD_PREFIXES
     return testbed_rules().with_(nonprod_prefixes=DEFAULT_NONPROD_PREFIXES)
-
-
-def col_values(spark, values, expr_fn, schema="v string"):
-    """Evaluate a Column expression over a one-column frame of literal values."""
-    df = spark.createDataFrame([(v,) for v in values], schema)
-    return [r[0] for r in df.select(expr_fn(df.columns[0])).collect()]

@@ -5,7 +5,7 @@ from urllib.parse import urlsplit, urlunsplit
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import col_values
+from helpers import col_values
 from sourcelens.functions.urls import canonical_url, host_of, host_under, is_nonprod_url, outbound_links
 from sourcelens.operators.links import link_table
 from sourcelens.operators.ownership import label_ad_ownership, label_ownership, label_ownership_join
