@@ -79,9 +79,21 @@ def op10_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.grace_dedup import exact_duplicates
+    return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from sourcelens.llm.cross_tokenizer import align_corpus
+    return align_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_histogram_shards, op4_crf_language, op5_bpe, op6_topk_search, op7_pu_quality,
-                                     op8_jaccard_join, op9_decontaminate, op10_html_content)}
+                                     op8_jaccard_join, op9_decontaminate, op10_html_content, op11_grace_dedup, op13_cross_tokenizer)}
 
 
 def oracles() -> dict[str, str]:
@@ -107,4 +119,8 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
 o AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 5"""
-    return {"op1_url_filter": url_filter, "op6_topk_search": top_k}
+    copies = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)"""
+    return {"op1_url_filter": url_filter, "op6_topk_search": top_k, "op11_grace_dedup": copies}
