@@ -84,6 +84,11 @@ def op11_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sourcelens.llm.spelling_trie import spelling_variants
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from sourcelens.llm.cross_tokenizer import align_corpus
@@ -93,7 +98,8 @@ def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_histogram_shards, op4_crf_language, op5_bpe, op6_topk_search, op7_pu_quality,
-                                     op8_jaccard_join, op9_decontaminate, op10_html_content, op11_grace_dedup, op13_cross_tokenizer)}
+                                     op8_jaccard_join, op9_decontaminate, op10_html_content, op11_grace_dedup, op12_spelling_trie,
+                                     op13_cross_tokenizer)}
 
 
 def oracles() -> dict[str, str]:
