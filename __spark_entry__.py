@@ -39,6 +39,7 @@ from sourcelens.schemas import (AD_ITEM, ANSWER_API_ITEM, ANSWER_ITEM, CONTENT_I
 from sourcelens.sources import readers  # noqa: E402
 from sourcelens.session import shared_scratch  # noqa: E402
 from sourcelens.sources.cache import cache_fresh, cache_upsert  # noqa: E402
+from sourcelens.sources.ledger import read_ledger, score_with_ledger  # noqa: E402
 from sourcelens.sources.sinks import conform, new_run_id, read_sheet, write_answers, write_snapshot, write_web  # noqa: E402
 
 R = tb.rules()
@@ -338,6 +339,26 @@ def q_scored_verdicts(spark, sf):
                     "sentiment")
 
 
+def _two_scored_runs(spark, sf):
+    """A ledger after a run over the documents and one over documents and conversations, and the second run's verdicts."""
+    docs = _t(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), "text")
+    turns = _t(spark, sf, "conversations").select(F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("key"), "text")
+    path = f"{shared_scratch(spark)}/ledger-{new_run_id()}"
+    score_with_ledger(docs, _demo_scorer, path, WEB_VERDICT, "demo-1")
+    return path, score_with_ledger(docs.unionByName(turns), _demo_scorer, path, WEB_VERDICT, "demo-1", retry_failed=False)
+
+
+def q_ledger_verdicts(spark, sf):
+    """V1 by content: verdicts of a second run, which asks only for texts that the first did not."""
+    return _two_scored_runs(spark, sf)[1].select("key", "score_status", "says_about_brand", "mentions_competition", "sentiment")
+
+
+def q_ledger_entries(spark, sf):
+    """What was paid for in two runs: one entry for each distinct text."""
+    path, _ = _two_scored_runs(spark, sf)
+    return read_ledger(spark, path, WEB_VERDICT).groupBy("score_status").agg(F.count(F.lit(1)).alias("entries"), F.count_distinct("fingerprint").alias("texts"))
+
+
 def _topics(spark):
     return topics_frame(spark, tb.LANG_TOPICS)
 
@@ -553,6 +574,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "answers_csv": q_answers_csv,
         "run_written": q_run_written,
         "repeated_verdicts": q_repeated_verdicts,
+        "ledger_verdicts": q_ledger_verdicts,
+        "ledger_entries": q_ledger_entries,
     }
 
 

@@ -595,6 +595,14 @@ SELECT d.doc_id, CASE WHEN v.key IS NOT NULL THEN 'model' ELSE 'fallback' END AS
        CASE WHEN v.key IS NOT NULL THEN CASE WHEN v.quality = 1 THEN 'Good page.' ELSE 'Weak page.' END
             ELSE {narrative(stale('d.text'), 'd.text', R.stale_note_web)} END AS says_about_brand
 FROM documents d LEFT JOIN (SELECT * FROM v WHERE rn = 1) v ON v.key = d.doc_id % 100"""
+    scored = """t AS (SELECT 'd' || CAST(doc_id AS VARCHAR) AS key, text FROM documents
+      UNION ALL SELECT concat_ws('-', 'c', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR)), text FROM conversations),
+v AS (SELECT *, NOT contains(text, 'zz') AS ok, contains(lower(text), 'there') AS there FROM t)"""
+    q["ledger_verdicts"] = f"""WITH {scored} SELECT key, CASE WHEN ok THEN 'ok' ELSE 'failed' END AS score_status,
+       CASE WHEN ok THEN 'Scored ' || CAST(length(text) AS VARCHAR) || ' chars.' END AS says_about_brand,
+       CASE WHEN ok THEN there END AS mentions_competition, CAST(CASE WHEN ok THEN 0.5 END AS DOUBLE) AS sentiment FROM v"""
+    q["ledger_entries"] = f"""WITH {scored} SELECT CASE WHEN ok THEN 'ok' ELSE 'failed' END AS score_status,
+       count(DISTINCT text) AS entries, count(DISTINCT text) AS texts FROM v GROUP BY 1"""
     web_counts = ", ".join(f"CAST(count_if(source = {lit(x)}) AS BIGINT) AS source_{x}" for x in
                            ("web", "ai_overview", "chatgpt_search", "perplexity_search", "news", "ads", "reddit"))
     web_counts += ", CAST(0 AS BIGINT) AS source_other"

@@ -125,21 +125,31 @@ def _ship_by_value(fn) -> None:
         pass
 
 
+def _utf8(value) -> str:
+    """As text that Arrow can hold: a lone surrogate becomes a question mark."""
+    return str(value).encode("utf-8", "replace").decode()
+
+
 def _plain(value, kind: T.DataType):
     """A scorer's value as the declared type, or None: missing values are NaN in pandas, numbers may be text."""
     if isinstance(kind, T.ArrayType):
         if value is None or isinstance(value, (str, float)):
             return None
-        return [str(x) for x in value if x is not None]
+        if isinstance(value, (bool, int, dict)):
+            raise TypeError(f"{value!r} is no list")
+        return [_utf8(x) for x in value if x is not None]
     if value is None or value is pd.NaT or isinstance(value, float) and value != value:
         return None
     if isinstance(kind, T.StringType):
-        return str(value)
+        return _utf8(value)
     if isinstance(kind, T.BooleanType):
         return value if isinstance(value, bool) else str(value).strip().lower() in ("true", "1", "1.0", "yes")
     try:
-        return int(float(value)) if isinstance(kind, T.LongType) else float(value)
-    except (TypeError, ValueError):
+        if isinstance(kind, T.LongType):
+            whole = int(float(value))
+            return whole if -(1 << 63) <= whole < 1 << 63 else None
+        return float(value)
+    except (TypeError, ValueError, OverflowError):
         return None
 
 
@@ -171,9 +181,13 @@ def score_batches(df: DataFrame, scorer: Callable[[pd.DataFrame], pd.DataFrame],
             return [(k, *blank, "failed", f"{type(e).__name__}: {e}") for k in batch["key"]]
         out, seen = [], set()
         for r in records:
-            k, error = _plain(r.get("key"), T.StringType()), _plain(r.get("error"), T.StringType())
-            seen.add(k)
-            out.append((k, *blank, "failed", error) if error else (k, *[_plain(r.get(n), t) for n, t in fields], "ok", None))
+            k = None
+            try:
+                k, error = _plain(r.get("key"), T.StringType()), _plain(r.get("error"), T.StringType())
+                seen.add(k)
+                out.append((k, *blank, "failed", error) if error else (k, *[_plain(r.get(n), t) for n, t in fields], "ok", None))
+            except Exception as e:  # a value that no field can hold; the other rows of the call have been paid for
+                out.append((k, *blank, "failed", f"{type(e).__name__}: {e}"))
         return out + [(k, *blank, "missing", None) for k in batch["key"] if k not in seen]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

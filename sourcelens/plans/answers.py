@@ -15,6 +15,7 @@ from sourcelens.operators.verdicts import (answer_fallback, merge_verdicts, pers
 from sourcelens.operators.dedupe import last_by_key
 from sourcelens.rules import BrandRules
 from sourcelens.schemas import ANSWER_VERDICT, LLM_SCHEMA
+from sourcelens.sources.ledger import score_with_ledger, scorer_name
 from sourcelens.sources.sinks import conform
 
 EMPTY_NOTE = "returned no answer text"
@@ -77,7 +78,8 @@ def classify_answers(answers: DataFrame, verdicts: DataFrame | None, rules: Bran
 
 def answer_snapshot(manifest: DataFrame, answers: DataFrame, rules: BrandRules, known_surfaces,
                     failures: DataFrame | None = None, verdicts: DataFrame | None = None,
-                    scorer: Callable | None = None, include_missing: bool = False, prompts: DataFrame | None = None) -> DataFrame:
+                    scorer: Callable | None = None, include_missing: bool = False, prompts: DataFrame | None = None,
+                    ledger: str | None = None, scorer_id: str | None = None) -> DataFrame:
     """Manifest (J9) + landed answers (S8/S9) + failed calls (J10) -> 19-column rows.
 
     ``answers``: surface, run, prompt, response, citations, error.  An answer with
@@ -85,6 +87,7 @@ def answer_snapshot(manifest: DataFrame, answers: DataFrame, rules: BrandRules,
     a prompt or a whole (surface, run) call; unknown surfaces fail everywhere, and a landed answer without a
     known surface is an error row.  Intent and topic come from ``prompts`` (prompt, intent, topic_id, and ``seq``: the last
     entry of a repeated prompt wins), or else from the manifest; unmatched -> unknown.
+    With a ``ledger`` folder the ``scorer`` is asked once for equal (response, surface, prompt), over all runs.
     With ``include_missing``, manifest requests with no answer get a ``missing`` row.
     """
     known = list(known_surfaces)
@@ -104,8 +107,9 @@ def answer_snapshot(manifest: DataFrame, answers: DataFrame, rules: BrandRules,
     if scorer is not None and verdicts is None:
         to_score = tagged.withColumn("status", status("response", "error")).where(F.col("status") == "ok")
         key = scored_key()
-        verdicts = persist_scores(score_batches(to_score.withColumn("key", key), scorer, ANSWER_VERDICT,
-                                                "key", "response", ("surface", "prompt")))
+        to_score, hints = to_score.withColumn("key", key), ("surface", "prompt")
+        verdicts = (persist_scores(score_batches(to_score, scorer, ANSWER_VERDICT, "key", "response", hints)) if ledger is None else
+                    score_with_ledger(to_score, scorer, ledger, ANSWER_VERDICT, scorer_id or scorer_name(scorer), "key", "response", hints))
     rows = classify_answers(tagged, verdicts, rules, key)
     errs = error_rows(manifest, failures.select("surface", "run", "prompt", "note") if failures is not None
                       else None, known)

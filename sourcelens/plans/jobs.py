@@ -78,14 +78,16 @@ def _score_counts(scores: DataFrame | None) -> dict[str, str]:
 
 def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache: str, *,
                 sources: list[str] | None = None, queries: list[str] | None = None, as_of: str | None = None,
-                scorer: Callable | None = None, brand: str | None = None, note: str = "", run_id: str | None = None) -> WebRun:
+                scorer: Callable | None = None, brand: str | None = None, note: str = "", run_id: str | None = None,
+                ledger: str | None = None, scorer_id: str | None = None) -> WebRun:
     """Web track: landed search / news / ads / forum items -> snapshot sheet, alert, crawl list, cache.
 
     ``landing`` holds one folder per source (``serp``, ``news``, ``ads``, ``reddit``), ``pages`` (the landed crawl) and
     optionally ``verdicts_web`` (model verdicts by canonical URL; else ``scorer``, else the rule fallback).  A missing
     folder is a failed source: it contributes nothing, and ``run_meta`` says so, as it says how many lines were unreadable.
     Written: the sheet (``web``, and in discovery order as CSV, ``web_csv``), every non-production URL (``nonprod_web``),
-    ``crawl_list``, ``run_meta``, and the crawled pages in the cache.
+    ``crawl_list``, ``run_meta``, and the crawled pages in the cache.  The scorer's verdicts go to a ``ledger`` (``scores_web``
+    unless given) as they come, so a failed run started again asks only for what is left.
     """
     rules = rules_from_config(config, brand)
     sources = sources or list(WEB_SOURCES)
@@ -102,7 +104,7 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
     parts = [s.rows for s in found if s.rows is not None]
     recs = readers.union_discovery(*parts) if parts else spark.createDataFrame([], DISCOVERY)
     snap = web_snapshot(recs, read_cache(spark, cache, as_of), pages.rows, rules, as_of, verdicts=judged.rows, scorer=scorer,
-                        checkpoint=checkpoint_dir(spark) is not None, cache_seq="seq")
+                        checkpoint=checkpoint_dir(spark) is not None, cache_seq="seq", ledger=ledger or f"{out}/scores_web", scorer_id=scorer_id)
     meta = {"as_of": as_of, "sources": ",".join(sources), "queries": ",".join(queries or ["all"]), "note": note}
     written = write_snapshot(snap.sheet, out, "web", rid, meta, guard=recs,
                              after=lambda: _reports([*found, pages, judged]) | _score_counts(snap.scores))
@@ -126,7 +128,8 @@ class AnswerRun:
 def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str, *,
                       surfaces: list[str] | None = None, prompts: list[str] | None = None,
                       extra_prompts: list[tuple[str, str]] | None = None, num_runs: int | None = None,
-                      scorer: Callable | None = None, brand: str | None = None, note: str = "", run_id: str | None = None) -> AnswerRun:
+                      scorer: Callable | None = None, brand: str | None = None, note: str = "", run_id: str | None = None,
+                      ledger: str | None = None, scorer_id: str | None = None) -> AnswerRun:
     """Answer track: manifest (selected topics + ad-hoc prompts) x surfaces x runs, landed answers (``answers`` folder:
     assistant items, raw ones under ``surface=.../run=...``; ``answer_api``: API payloads; ``failures``: failed calls;
     optionally ``verdicts_answers``: model verdicts) -> the 19-column sheet (``answers``; sorted, as CSV: ``answers_csv``),
@@ -152,7 +155,8 @@ def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str,
     failed = readers.try_source("failures", readers.read_failures, spark, f"{landing}/failures")
     judged = readers.try_source("verdicts_answers", lambda s, p, observe: readers.read_verdicts(s, p, "answer", rules.brand, observe),
                                 spark, f"{landing}/verdicts_answers")
-    snap = answer_snapshot(manifest, answers, rules, known, failures=failed.rows, verdicts=judged.rows, scorer=scorer, prompts=chosen)
+    snap = answer_snapshot(manifest, answers, rules, known, failures=failed.rows, verdicts=judged.rows, scorer=scorer, prompts=chosen,
+                           ledger=ledger or f"{out}/scores_answers", scorer_id=scorer_id)
     if checkpoint_dir(spark) is not None:  # once, for the guard, the sheet, the CSV and the alert
         snap = cut_lineage(snap)
     rid = run_id or new_run_id()

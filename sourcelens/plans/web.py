@@ -18,6 +18,7 @@ from sourcelens.rules import BrandRules
 from sourcelens.schemas import WEB_SCHEMA, WEB_VERDICT
 from sourcelens.session import cut_lineage
 from sourcelens.sources.cache import cache_fresh, cache_upsert
+from sourcelens.sources.ledger import score_with_ledger, scorer_name
 from sourcelens.sources.sinks import conform
 
 LABEL_COLUMNS = ("stale", "prices_seen", "comps")
@@ -76,7 +77,7 @@ class WebSnapshot:
 def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | None, rules: BrandRules, as_of,
                  verdicts: DataFrame | None = None, scorer: Callable | None = None,
                  checkpoint: bool = False, cache_seq: str | None = None, label_from_raw: bool = True,
-                 first_seen: bool = True) -> WebSnapshot:
+                 first_seen: bool = True, ledger: str | None = None, scorer_id: str | None = None) -> WebSnapshot:
     """Union of sources -> canonical URL -> best record per URL -> cache hits / crawl list
     -> bodies (crawled wins) -> richer of body and snippet -> E1.
 
@@ -88,7 +89,8 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     ``crawled`` is the landed crawl (``read_pages``); only its bodies for this run's crawl
     list (cache misses) are used and stored; ``cache_seq``
     orders cache rows of equal URL and date (last wins); when a
-    ``scorer`` is given, verdicts come from V1 over the non-empty bodies.  Shuffles: the
+    ``scorer`` is given, verdicts come from V1 over the non-empty bodies: with a ``ledger`` folder equal texts are
+    scored once and texts scored by an earlier or failed run not again.  Shuffles: the
     dedupe (by URL), the cache/body joins (by URL) and the verdict join (by URL) - all on
     the same key, so AQE can keep one partitioning.
     """
@@ -121,8 +123,11 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     if scorer is not None and verdicts is None:
         labelled = with_text_labels(enriched.where(F.col("body") != ""), rules, "body")
         hints = tuple(rules.claim_names) + ("current_signal", "prices_seen")
-        verdicts = scores = persist_scores(score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT,
-                                                         "key", "body", hints))
+        if ledger is not None:
+            verdicts = scores = score_with_ledger(labelled, scorer, ledger, WEB_VERDICT, scorer_id or scorer_name(scorer), "url", "body", hints)
+        else:
+            verdicts = scores = persist_scores(score_batches(labelled.withColumnRenamed("url", "key"), scorer, WEB_VERDICT,
+                                                             "key", "body", hints))
     keep = ("fetch_status", "first_seen") if first_seen else ("fetch_status",)
     sheet = classify_web(enriched, verdicts, rules, "body", raw_url="raw_url" if label_from_raw else None,
                          keep=keep)
