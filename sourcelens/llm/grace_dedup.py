@@ -1,14 +1,15 @@
-"""Exact deduplication by Grace hashing: partition to spill files until a bucket fits a table in memory, then compare whole contents there.
+"""Exact deduplication by Grace hashing: partition until a bucket fits a table in memory, then compare whole contents there.
 
-1. Each task puts its texts into a small open-addressing table and writes them as spill files in the shared folder.  Of equal texts within a
-   table only the row of the largest id carries the content; so a hot text leaves a task once, however many rows have it.
-2. Buckets are the leading bits of a content hash.  A bucket whose distinct contents exceed the size of a table is partitioned again: its rows are
-   written to the next level's files under more bits, until every bucket fits or holds a single content.
-3. One exchange deals out the buckets.  A task streams its buckets one after the other through an open-addressing table with linear probing.
-   Equal hashes decide nothing: a row joins an entry only if the complete contents are equal.
-4. The remaining rows, repeats within a table, take their group by that table's number.
+1. A scan takes hash and size of every text.  Buckets are the leading bits of the hash; a bucket whose distinct contents exceed the size of a table is
+   partitioned again by more bits, level by level, until every bucket fits or holds a single content.  Only hashes and sizes move so far.
+2. Each task puts its texts into a small open-addressing table.  Of equal texts within a table only the row of the largest id carries the content, compressed; so
+   a hot text leaves a task once, however many rows have it.
+3. One exchange deals the contents out: its files are the buckets' spill files, and each content is written and moved once.  A task streams its buckets,
+   sorted one after the other, through an open-addressing table with linear probing.  Equal hashes decide nothing: a row joins an entry only if
+   the complete contents are equal.
+4. The other rows, repeats within a first table, take their group by that table's number of the content.
 
-Contents in spill files are compressed.  Nothing of a group is ever gathered but one content for each first-level table.
+Nothing of a group is ever gathered but one content for each first table.
 
 Defined cases: null counts as empty, and empty texts are equal; only A-Z is lower-cased; of equal texts the row of the largest id stays, of several such rows
 exactly one; a null id is smaller than any other, so ``keep_id`` is null only if all ids of a group are; an empty table gives an empty
@@ -24,9 +25,8 @@ from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sourcelens.llm.common import arrow_schema, map_arrow, shared_folder
@@ -38,8 +38,9 @@ FIRST_TABLE_ROWS = 50_000
 #: Bits of the hash that each level adds to the first one's.
 LEVEL_BITS = 4
 
-SPILL = "id bigint, place bigint, top boolean, n bigint, hash bigint, size bigint, content binary, sha256 binary"
-GROUPS = "id bigint, place bigint, keep_id bigint, group_size bigint, kept boolean, sha256 binary"
+ROWS = "bucket string, id bigint, place bigint, top boolean, n bigint, hash bigint, content binary, sha256 binary"
+GROUPS = "id bigint, place bigint, top boolean, keep_id bigint, group_size bigint, kept boolean, sha256 binary"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def normalised(text: str | None) -> bytes:
@@ -78,61 +79,62 @@ class Table:
         return number, True
 
 
-def _hash(content: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(content) - (1 << 63)
-
-
 def _less(a: int | None, b: int | None) -> bool:
     return b is not None and (a is None or a < b)
 
 
-def _first_tables(docs: DataFrame, id_col: str, text: str, table_bytes: int, table_rows: int, hash_of) -> DataFrame:
-    """The rows of the spill files.  ``place`` numbers the contents of all first tables; the row with ``top`` carries a place's content."""
-    schema = arrow_schema(docs.sparkSession, SPILL)
+def _first_tables(rows: DataFrame, table_bytes: int, table_rows: int) -> DataFrame:
+    """(id, text, hash, bucket) to rows of the exchange.  ``place`` numbers the contents of all first tables; the row with ``top`` carries a place's
+    content, the others go where their place sends them."""
+    schema = arrow_schema(rows.sparkSession, ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId() << 40
+        contents: list[bytes] = []
+        ids: list[list] = []
+        tops: list[int] = []
+        buckets: list[str] = []
 
         def flush():
             cols = [[] for _ in schema]
             for number, content in enumerate(contents):
                 for row, id_ in enumerate(ids[number]):
-                    top = row == tops[number]
-                    own = (table.hashes[number], len(content), zlib.compress(content, 1), hashlib.sha256(content).digest()) if top else (None,) * 4
-                    for col, x in zip(cols, (id_, place + number, top, len(ids[number]), *own), strict=True):
+                    if row == tops[number]:
+                        own = (buckets[number], id_, place + number, True, len(ids[number]), table.hashes[number], zlib.compress(content, 1), hashlib.sha256(content).digest())
+                    else:
+                        own = (f"-{place + number}", id_, place + number, False, None, None, None, None)
+                    for col, x in zip(cols, own, strict=True):
                         col.append(x)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-        contents: list[bytes] = []
-        ids: list[list] = []
-        tops: list[int] = []
-        table, held, rows = Table(lambda i, x: contents[i] == x), 0, 0
+        table, held, count = Table(lambda i, x: contents[i] == x), 0, 0
         for batch in batches:
-            for id_, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for id_, value, h, bucket in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 content = normalised(value.as_py())
-                number, new = table.find_or_add(hash_of(content), content)
+                number, new = table.find_or_add(h, content)
                 if new:
                     contents.append(content)
                     ids.append([])
                     tops.append(0)
+                    buckets.append(bucket)
                     held += len(content)
                 elif _less(ids[number][tops[number]], id_):
                     tops[number] = len(ids[number])
                 ids[number].append(id_)
-                rows += 1
-                if held >= table_bytes or rows >= table_rows:
+                count += 1
+                if held >= table_bytes or count >= table_rows:
                     yield flush()
                     place += len(contents)
-                    contents, ids, tops, held, rows = [], [], [], 0, 0
+                    contents, ids, tops, buckets, held, count = [], [], [], [], 0, 0
                     table = Table(lambda i, x: contents[i] == x)
-        if rows:
+        if count:
             yield flush()
 
-    return map_arrow(docs.select(F.col(id_col).cast("bigint"), F.col(text)), run, SPILL)
+    return map_arrow(rows.select("id", "text", "hash", "bucket"), run, ROWS)
 
 
 def _last_tables(rows: DataFrame) -> DataFrame:
-    """A row for each place, of the rows with contents sorted by bucket: its group.  Each bucket has a table of its own."""
+    """A row for each row, those with contents sorted by bucket: its group, or only its place.  Each bucket has a table of its own."""
     schema = arrow_schema(rows.sparkSession, GROUPS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,32 +143,40 @@ def _last_tables(rows: DataFrame) -> DataFrame:
         def same(i: int, packed: bytes) -> bool:
             return contents[i] == packed or zlib.decompress(contents[i]) == zlib.decompress(packed)
 
-        def groups():
+        def groups() -> list[tuple]:
             out = []
             for own in members:  # (id, place, n, sha256) of one content
                 top = own[0]
                 for m in own:
                     top = m if _less(top[0], m[0]) or top[0] == m[0] and m[1] < top[1] else top
                 size = sum(m[2] for m in own)
-                out += [(m[0], m[1], top[0], size, m is top, m[3]) for m in own]
+                out += [(m[0], m[1], True, top[0], size, m is top, m[3]) for m in own]
+            return out
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for r in zip(*(batch.column(k).to_pylist() for k in ("bucket", "id", "place", "n", "hash", "sha256", "content")), strict=True):
+            out = []
+            for r in zip(*(batch.column(k).to_pylist() for k in ("bucket", "id", "place", "top", "n", "hash", "sha256", "content")), strict=True):
+                if not r[3]:
+                    out.append((r[1], r[2], False, None, None, False, None))
+                    continue
                 if r[0] != bucket:
-                    if members:
-                        yield groups()
+                    out += groups()
                     bucket, members, contents = r[0], [], []
                     table = Table(same)
-                number, new = table.find_or_add(r[4], r[6])
+                number, new = table.find_or_add(r[5], r[7])
                 if new:
                     members.append([])
-                    contents.append(r[6])
-                members[number].append((r[1], r[2], r[3], r[5]))
+                    contents.append(r[7])
+                members[number].append((r[1], r[2], r[4], r[6]))
+            if out:
+                yield batch_of(out)
         if members:
-            yield groups()
+            yield batch_of(groups())
 
-    return map_arrow(rows.select("bucket", "id", "place", "n", "hash", "sha256", "content"), run, GROUPS)
+    return map_arrow(rows.select("bucket", "id", "place", "top", "n", "hash", "sha256", "content"), run, GROUPS)
 
 
 def _written(df: DataFrame, folder: str) -> DataFrame:
@@ -174,38 +184,55 @@ def _written(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
-def _buckets(spill: DataFrame, folder: str, table_bytes: int, first_bits: int) -> DataFrame:
-    """The rows with contents and the name of a bucket that fits.  Rows of overfull buckets go to the next level's files."""
-    level, bits, rows, fitting = 0, first_bits, spill.where("top"), []
+def _leading(bits: int) -> Column:
+    return F.shiftrightunsigned("hash", 64 - bits)
+
+
+def overfull(sizes: DataFrame, folder: str, table_bytes: int, first_bits: int) -> list[tuple[int, DataFrame | None]]:
+    """For each level its bits and the table (bucket) of those of its buckets that must be partitioned again; the last level has none.  ``sizes``: (hash, size) of
+    distinct contents."""
+    levels, bits, rows = [], first_bits, sizes
     while True:
-        rows = rows.withColumn("bucket", F.concat(F.lit(f"{level}."), F.shiftrightunsigned("hash", 64 - bits).cast("string")))
-        sizes = rows.groupBy("bucket", "hash").agg(F.max("size").alias("size"))  # equal hashes count once; a hot content has a row for each first table
-        over = _written(sizes.groupBy("bucket").agg(F.sum("size").alias("bytes"), F.count("*").alias("contents"))
-                        .where((F.col("bytes") > table_bytes) & (F.col("contents") > 1)).select("bucket"), f"{folder}/over-{level}")
-        if bits >= 60 or over.isEmpty():
-            fitting.append(rows)
-            break
-        fitting.append(rows.join(over, "bucket", "left_anti"))
-        rows = _written(rows.join(over, "bucket", "left_semi").drop("bucket"), f"{folder}/spill-{level + 1}")
-        level, bits = level + 1, min(60, bits + LEVEL_BITS)
-    out = fitting[0]
-    for more in fitting[1:]:
-        out = out.unionByName(more)
-    return out
+        full = (rows.groupBy(_leading(bits).alias("bucket")).agg(F.sum("size").alias("bytes"), F.count("*").alias("contents"))
+                .where((F.col("bytes") > table_bytes) & (F.col("contents") > 1)).select("bucket"))
+        if bits >= 60 or full.isEmpty():
+            return [*levels, (bits, None)]
+        full = _written(full, f"{folder}/overfull-{len(levels)}")
+        levels.append((bits, full))
+        rows = rows.withColumn("bucket", _leading(bits)).join(full, "bucket", "left_semi").drop("bucket")
+        bits = min(60, bits + LEVEL_BITS)
+
+
+def with_bucket(rows: DataFrame, levels: list[tuple[int, DataFrame | None]]) -> DataFrame:
+    """``rows`` plus the name of the bucket that fits.  Each overfull bucket holds more than a table's bytes, so their number is bounded by the input's size over
+    that of a table; Spark broadcasts them while they are small."""
+    name = None
+    for level, (bits, full) in enumerate(levels):
+        here = F.concat(F.lit(f"{level}."), _leading(bits).cast("string"))
+        if full is None:
+            last = here
+        else:
+            rows = rows.join(full.select(F.col("bucket").alias(f"_full{level}")), _leading(bits) == F.col(f"_full{level}"), "left")
+            done = F.col(f"_full{level}").isNull()
+            name = F.when(done, here) if name is None else name.when(done, here)
+    return rows.withColumn("bucket", last if name is None else name.otherwise(last)).drop(*[f"_full{i}" for i in range(len(levels))])
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", table_bytes: int = TABLE_BYTES, first_table_bytes: int = FIRST_TABLE_BYTES,
-                     first_table_rows: int = FIRST_TABLE_ROWS, hash_of: Callable[[bytes], int] = _hash) -> DataFrame:
+                     first_table_rows: int = FIRST_TABLE_ROWS, hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256), a row for every row of ``docs``."""
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/grace-{uuid.uuid4().hex}"
-    spill = _written(_first_tables(docs, id_col, text, first_table_bytes, first_table_rows, hash_of), f"{folder}/spill-0")
-    total = spill.agg(F.sum("size")).first()[0] or 0
+    lower = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"), hash_of(lower).alias("hash"))
+    sizes = _written(rows.groupBy("hash").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size")), f"{folder}/sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    first_bits = max(1, max(2 * total // table_bytes, 8 * parts).bit_length())  # buckets are half full on average
-    rows = _buckets(spill, folder, table_bytes, first_bits)
-    groups = _written(_last_tables(rows.repartition("bucket").sortWithinPartitions("bucket")), f"{folder}/groups")
-    own = groups.select("id", "keep_id", "group_size", "kept", "sha256")
-    repeats = (spill.where("not top").select("id", "place").join(groups.select("place", "keep_id", "group_size", "sha256"), "place")
+    levels = overfull(sizes, folder, table_bytes, max(1, max(2 * total // table_bytes, 8 * parts).bit_length()))  # half full on average
+    dealt = _first_tables(with_bucket(rows, levels), first_table_bytes, first_table_rows).repartition("bucket")
+    groups = _written(_last_tables(dealt.sortWithinPartitions("bucket")), f"{folder}/groups")
+    found = groups.where("top")
+    repeats = (groups.where("not top").select("id", "place").join(found.select("place", "keep_id", "group_size", "sha256"), "place")
                .select("id", "keep_id", "group_size", F.lit(False).alias("kept"), "sha256"))
-    return own.unionByName(repeats).select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("sha256")).alias("text_sha256"))
+    return found.select("id", "keep_id", "group_size", "kept", "sha256").unionByName(repeats).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("sha256")).alias("text_sha256"))

@@ -57,15 +57,16 @@ def test_exact_duplicates(spark, limits):
 def test_equal_hashes_decide_nothing(spark):
     rows = copies()[:300]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    same_groups(rows, gd.exact_duplicates(docs, hash_of=lambda content: len(content) % 3).collect())
+    same_groups(rows, gd.exact_duplicates(docs, hash_of=lambda c: (F.length(c) % 3).cast("bigint")).collect())
 
 
 def test_overfull_buckets_are_partitioned_again(spark, tmp_path):
-    rows = spark.range(400).select((F.xxhash64("id")).alias("hash"), F.lit(1000).cast("bigint").alias("size"), F.lit(True).alias("top"))
-    out = gd._buckets(rows, str(tmp_path), 20_000, 1)
-    sizes = out.groupBy("bucket").agg(F.sum("size").alias("s")).collect()
-    assert sum(r["s"] for r in sizes) == 400_000 and max(r["s"] for r in sizes) <= 20_000
-    assert len({r["bucket"].split(".")[0] for r in sizes}) >= 1 and not any(r["bucket"].startswith("0.") for r in sizes)
+    rows = spark.range(400).select(F.xxhash64("id").alias("hash"), F.lit(1000).cast("bigint").alias("size"))
+    rows = rows.unionByName(spark.createDataFrame([(5, 50_000)], "hash bigint, size bigint"))   # one content larger than a table
+    levels = gd.overfull(rows, str(tmp_path), 20_000, 1)
+    out = gd.with_bucket(rows, levels).groupBy("bucket").agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()
+    assert sum(r["s"] for r in out) == 450_000 and all(r["s"] <= 20_000 or r["n"] == 1 for r in out)
+    assert len(levels) > 2 and len({r["bucket"].split(".")[0] for r in out}) > 1
 
 
 def test_open_addressing_table():
