@@ -278,6 +278,7 @@ def _answers(spark, sf):
     return answer_snapshot(manifest, ans, R, tb.KNOWN_SURFACES, failures=fails)
 
 
+RUN_COLUMNS = ("status", "mentioned", "competitors_named", "sentiment", "sources_cited", "response_text")
 NULLABLE_FLAGS = ("mentioned", "rank", "recommended", "mentions_competition")
 
 
@@ -303,7 +304,14 @@ def q_citation_rollup(spark, sf):
 
 def q_snapshot_diff(spark, sf):
     a, b = web_sheet(_web(spark, sf, "2024-01-20")), web_sheet(_web(spark, sf, "2024-01-24"))
-    return reports.snapshot_diff(a, b, ["url"])
+    return reports.snapshot_diff(a, b, ["url"]).select("url", "change", "changed_columns")
+
+
+def q_answer_runs_diff(spark, sf):
+    """R3 on keys that repeat: what two assistants answered to the same prompts, each as often as it was asked."""
+    sheet = answer_sheet(_answers(spark, sf)).select("surface", "prompt", *RUN_COLUMNS)
+    one, other = (sheet.where(F.col("surface") == x).drop("surface") for x in ("chatgpt", "perplexity"))
+    return reports.snapshot_diff(one, other, ["prompt"])
 
 
 def q_score_against_gold(spark, sf):
@@ -315,6 +323,17 @@ def q_score_against_gold(spark, sf):
     return reports.score_against_gold(pred, gold, "doc_id", ["mentions_competition", "mentions_brand"])
 
 
+def q_gold_agreement(spark, sf):
+    """R4 with abstentions: no vote on brand texts that name a competitor; the number of prices seen stands for a rank."""
+    d = _t(spark, sf, "documents").select("doc_id", "text", F.size(prices_seen(F.col("text"), R)).cast("bigint").alias("rank"))
+    comps, own = F.size(brands_in(F.col("text"), list(R.competitor_brands))) > 0, mentions_brand(F.col("text"), R)
+    pred = d.select("doc_id", comps.alias("mentions_competition"), F.when(~comps, own).alias("mentions_brand"), F.when(own, F.col("rank")).alias("rank"))
+    lab = _t(spark, sf, "labels")
+    gold = lab.select("doc_id", (F.col("toxic") == 1).alias("mentions_competition"), (F.col("quality") == 1).alias("mentions_brand"),
+                      F.col("quality").cast("bigint").alias("rank"))
+    return reports.gold_agreement(pred, gold.unionByName(gold), "doc_id", ["mentions_competition", "mentions_brand"], ["rank"])
+
+
 def _demo_scorer(batch: pd.DataFrame) -> pd.DataFrame:
     """A deterministic scorer standing in for a model: it reports a failure for texts containing 'zz' and
     leaves out the optional fields."""
@@ -576,6 +595,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "repeated_verdicts": q_repeated_verdicts,
         "ledger_verdicts": q_ledger_verdicts,
         "ledger_entries": q_ledger_entries,
+        "answer_runs_diff": q_answer_runs_diff,
+        "gold_agreement": q_gold_agreement,
     }
 
 

@@ -595,6 +595,35 @@ SELECT d.doc_id, CASE WHEN v.key IS NOT NULL THEN 'model' ELSE 'fallback' END AS
        CASE WHEN v.key IS NOT NULL THEN CASE WHEN v.quality = 1 THEN 'Good page.' ELSE 'Weak page.' END
             ELSE {narrative(stale('d.text'), 'd.text', R.stale_note_web)} END AS says_about_brand
 FROM documents d LEFT JOIN (SELECT * FROM v WHERE rn = 1) v ON v.key = d.doc_id % 100"""
+    run_cols = ("status", "mentioned", "competitors_named", "sentiment", "sources_cited", "response_text")
+    one_col = " ".join(f"""LEFT JOIN (SELECT prompt, bool_or(d <> 0) AS differs FROM (SELECT prompt, {c}, sum(nb - na) AS d FROM r GROUP BY prompt, {c}) GROUP BY prompt) c{i}
+       ON c{i}.prompt IS NOT DISTINCT FROM k.prompt""" for i, c in enumerate(run_cols))
+    differing = ", ".join(f"CASE WHEN c{i}.differs THEN {lit(c)} END" for i, c in enumerate(run_cols))
+    q["answer_runs_diff"] = f"""{ans},
+r AS (SELECT prompt, {", ".join(run_cols)}, count_if(surface = 'chatgpt') AS na, count_if(surface = 'perplexity') AS nb
+      FROM asheet WHERE surface IN ('chatgpt', 'perplexity') GROUP BY ALL),
+k AS (SELECT prompt, CAST(sum(na) AS BIGINT) AS rows_before, CAST(sum(nb) AS BIGINT) AS rows_after, CAST(sum(least(na, nb)) AS BIGINT) AS rows_same FROM r GROUP BY prompt),
+c AS (SELECT *, CASE WHEN rows_before = 0 THEN 'added' WHEN rows_after = 0 THEN 'removed'
+                     WHEN rows_same = rows_before AND rows_before = rows_after THEN 'same' ELSE 'changed' END AS change FROM k)
+SELECT k.prompt, k.change, CASE WHEN k.change = 'changed' THEN concat_ws(',', {differing}) ELSE '' END AS changed_columns, k.rows_before, k.rows_after, k.rows_same
+FROM c k {one_col}"""
+    votes = {"yes": "{x}", "no": "NOT {x}", "none": "{x} IS NULL"}
+    def nine(f):
+        return ", ".join(f"CAST(count_if(({votes[x].format(x='g_' + f)}) AND ({votes[y].format(x='p_' + f)})) AS BIGINT) AS {x}_{y}" for x in votes for y in votes)
+    def flag_row(f, name):
+        return f"""SELECT {lit(name)} AS field, {", ".join(f"{x}_{y}" for x in votes for y in votes)}, rated, round(agree, 6) AS accuracy,
+  round(CASE WHEN chance < 1 THEN (agree - chance) / (1 - chance) END, 6) AS kappa, round(rated / nullif(rated + yes_none + no_none, 0), 6) AS coverage,
+  CAST(NULL AS DOUBLE) AS mae, CAST(NULL AS DOUBLE) AS bias
+FROM (SELECT *, gy * py + (1 - gy) * (1 - py) AS chance FROM (SELECT *, (yes_yes + no_no) / nullif(rated, 0) AS agree, (yes_yes + yes_no) / nullif(rated, 0) AS gy,
+  (yes_yes + no_yes) / nullif(rated, 0) AS py FROM (SELECT *, yes_yes + yes_no + no_yes + no_no AS rated FROM (SELECT {nine(f)} FROM j))))"""
+    prices = "len(list_distinct(regexp_extract_all(d.text, '\\$\\s?\\d{2,}')))"
+    q["gold_agreement"] = f"""WITH j0 AS (
+  SELECT {any_comp('d.text')} AS p_mc, {mentions('d.text')} AS own, {prices} AS n, l.toxic = 1 AS g_mc, l.quality = 1 AS g_mb, l.quality AS g_rank
+  FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id),
+j AS (SELECT *, CASE WHEN NOT p_mc THEN own END AS p_mb, CASE WHEN own THEN n END AS p_rank FROM j0)
+{flag_row('mc', 'mentions_competition')} UNION ALL {flag_row('mb', 'mentions_brand')}
+UNION ALL SELECT 'rank', {", ".join(["CAST(0 AS BIGINT)"] * 9)}, count(p_rank - g_rank), NULL, NULL, round(count(p_rank - g_rank) / nullif(count(g_rank), 0), 6),
+  round(avg(abs(CAST(p_rank AS DOUBLE) - g_rank)), 6), round(avg(CAST(p_rank AS DOUBLE) - g_rank), 6) FROM j"""
     scored = """t AS (SELECT 'd' || CAST(doc_id AS VARCHAR) AS key, text FROM documents
       UNION ALL SELECT concat_ws('-', 'c', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR)), text FROM conversations),
 v AS (SELECT *, NOT contains(text, 'zz') AS ok, contains(lower(text), 'there') AS there FROM t)"""

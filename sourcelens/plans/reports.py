@@ -8,11 +8,13 @@ single-partition windows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sourcelens.functions.text import spark_price_regex
 from sourcelens.functions.urls import host_of
+from sourcelens.operators.dedupe import keep_first
 from sourcelens.rules import BrandRules
 
 
@@ -130,35 +132,121 @@ def competitor_share(answers: DataFrame, names: str = "competitors_named") -> Da
                   .withColumn("share", F.round(F.col("answers") / F.col("ok_answers"), 4)))
 
 
+# of null in the row hash; any number that xxhash64 is unlikely to give
+_NULL_HASH = -0x61C8864680B583EB
+# column hashes are summed in two halves of 31 bits, so that no sum of fewer than 2^32 rows overflows
+_HALF = 0x7FFFFFFF
+
+
+def _value_hash(name: str, kind: T.DataType, seed: int) -> Column:
+    """64-bit hash of one value.  Null counts as a value of its own; 0.0 equals -0.0; nested values are hashed as JSON, where nulls
+    keep their place."""
+    c = F.col(name)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+        v = F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        v = c + F.lit(0.0)
+    else:
+        v = c
+    return F.when(c.isNull(), F.lit(_NULL_HASH)).otherwise(F.xxhash64(F.lit(seed), v))
+
+
 def snapshot_diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Compare two snapshots on ``keys``: added / removed / changed / same, with the list of
-    changed columns (null-safe comparison per column)."""
+    """Compare two snapshots on ``keys`` as multisets of rows.  One row for each key of either side (null keys equal each other):
+
+    ``change``: ``added`` (no row in ``a``), ``removed`` (no row in ``b``), ``same`` (equal rows, equally often) or ``changed``;
+    ``changed_columns``: for a changed key, the columns whose values differ as multisets, in the order of ``a``, comma-joined; it is empty where the same
+    values of all columns are only combined differently;
+    ``rows_before``, ``rows_after``, ``rows_same``: rows of the key in ``a``, in ``b``, and those that pair off.
+
+    Both sides are stacked and cut down to hashes of the row (128 bits) and of each column before anything moves.  Signed counts per (key, row hash)
+    are a partial aggregate, so a key that holds a third of all rows leaves each task as its distinct rows; the second aggregate has one row for each key
+    and task.  Nothing is joined, so repeated keys make no product."""
+    kinds = {f.name: f.dataType for f in a.schema.fields}
     cols = [c for c in a.columns if c not in keys and c in b.columns]
-    la = a.select(*keys, F.struct(*cols).alias("_a"), F.lit(True).alias("_in_a"))
-    lb = b.select(*keys, F.struct(*cols).alias("_b"), F.lit(True).alias("_in_b"))
-    j = la.join(lb, keys, "full_outer")
-    changed = F.array_compact(F.array(*[F.when(~F.col(f"_a.{c}").eqNullSafe(F.col(f"_b.{c}")), F.lit(c))
-                                        for c in cols]))
-    change = (F.when(F.col("_in_a").isNull(), F.lit("added"))
-               .when(F.col("_in_b").isNull(), F.lit("removed"))
-               .when(F.size(changed) > 0, F.lit("changed"))
-               .otherwise(F.lit("same")))
-    return j.select(*keys, change.alias("change"),
-                    F.when(F.col("_in_a").isNotNull() & F.col("_in_b").isNotNull(), F.array_join(changed, ","))
-                    .otherwise(F.lit("")).alias("changed_columns"))
+    hashed = [_value_hash(c, kinds[c], i) for i, c in enumerate(cols)]
+
+    def side(df: DataFrame, in_a: int) -> DataFrame:
+        h = df.select(*keys, F.lit(in_a).alias("_a"), F.lit(1 - in_a).alias("_b"), *[x.alias(f"_h{i}") for i, x in enumerate(hashed)])
+        both = [F.xxhash64(F.lit(seed), *[f"_h{i}" for i in range(len(cols))]).alias(f"_row{seed}") for seed in (1, 2)]
+        return h.select("*", *both)
+
+    rows = side(a, 1).unionByName(side(b, 0))
+    per_row = rows.groupBy(*keys, "_row1", "_row2").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"), *[F.first(f"_h{i}").alias(f"_h{i}") for i in range(len(cols))])
+    more = F.col("_b") - F.col("_a")
+    halves = [(i, k, F.shiftrightunsigned(f"_h{i}", 33 * k).bitwiseAND(F.lit(_HALF))) for i in range(len(cols)) for k in (0, 1)]
+    per_key = per_row.groupBy(*keys).agg(
+        F.sum("_a").alias("rows_before"), F.sum("_b").alias("rows_after"), F.sum(F.least("_a", "_b")).alias("rows_same"),
+        *[F.sum(more * h).alias(f"_s{i}_{k}") for i, k, h in halves])
+    before, after = F.col("rows_before"), F.col("rows_after")
+    change = (F.when(before == 0, F.lit("added")).when(after == 0, F.lit("removed"))
+               .when((F.col("rows_same") == before) & (before == after), F.lit("same")).otherwise(F.lit("changed")))
+    names = F.array_compact(F.array(*[F.when((F.col(f"_s{i}_0") != 0) | (F.col(f"_s{i}_1") != 0), F.lit(c)) for i, c in enumerate(cols)])) \
+        if cols else F.array().cast("array<string>")
+    return per_key.select(*keys, change.alias("change"), F.when(change == "changed", F.array_join(names, ",")).otherwise(F.lit("")).alias("changed_columns"),
+                          "rows_before", "rows_after", "rows_same")
+
+
+def _one_gold(gold: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """A gold row for each key; one of several is that of the greatest values, so that a re-run picks the same."""
+    return keep_first(gold.select(key, *fields), key, [F.to_json(F.struct(*fields)).desc()])
 
 
 def score_against_gold(pred: DataFrame, gold: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Per boolean field, the confusion counts of predictions against a labelled set
-    (inner join on ``key``; one aggregation pass for all fields)."""
+    """Per boolean field, the confusion counts of predictions against a labelled set (inner join on ``key``, where a key labelled twice counts once;
+    one aggregation pass for all fields).  A null on either side is no vote: it counts neither as true nor as false (see ``gold_agreement``)."""
     p = pred.select(key, *[F.col(f).alias(f"p_{f}") for f in fields])
-    g = gold.select(key, *[F.col(f).alias(f"g_{f}") for f in fields])
+    g = _one_gold(gold, key, fields).select(key, *[F.col(f).alias(f"g_{f}") for f in fields])
     j = p.join(g, key, "inner")
     aggs = []
     for f in fields:
-        pp, gg = F.coalesce(F.col(f"p_{f}"), F.lit(False)), F.coalesce(F.col(f"g_{f}"), F.lit(False))
+        pp, gg = F.col(f"p_{f}"), F.col(f"g_{f}")
         aggs += [F.count_if(pp & gg).alias(f"{f}__tp"), F.count_if(pp & ~gg).alias(f"{f}__fp"),
                  F.count_if(~pp & gg).alias(f"{f}__fn"), F.count_if(~pp & ~gg).alias(f"{f}__tn")]
     wide = j.agg(*aggs)
     stack = ", ".join(f"'{f}', `{f}__tp`, `{f}__fp`, `{f}__fn`, `{f}__tn`" for f in fields)
     return wide.selectExpr(f"stack({len(fields)}, {stack}) as (field, tp, fp, fn, tn)")
+
+
+def gold_agreement(pred: DataFrame, gold: DataFrame, key: str, flags: list[str], numbers: list[str] = ()) -> DataFrame:
+    """R4 with abstentions: one row for each field, from one join and one aggregate.
+
+    For a flag the nine counts ``<gold>_<predicted>`` of ``yes``, ``no`` and ``none`` (null), ``rated`` (both sides voted), ``accuracy`` and Cohen's
+    ``kappa`` over the rated, and ``coverage``: the share of labelled rows with a vote.  For a number (rank, sentiment) ``rated``, ``coverage``, the mean absolute error ``mae``
+    and the mean ``bias`` of prediction less gold.  Counts that a kind of field doesn't have are 0, its rates null, as are rates over nothing; kappa is null where chance alone
+    agrees always.  A key labelled twice counts once; predictions count as often as they come, and a labelled row without prediction as ``none``."""
+    p = pred.select(key, *[F.col(f).alias(f"p_{f}") for f in (*flags, *numbers)])
+    g = _one_gold(gold, key, [*flags, *numbers]).select(key, *[F.col(f).alias(f"g_{f}") for f in (*flags, *numbers)])
+    j = g.join(p, key, "left")
+    votes = ("yes", "no", "none")
+
+    def is_(col: str, vote: str) -> Column:
+        return {"yes": F.coalesce(F.col(col), F.lit(False)), "no": F.coalesce(~F.col(col), F.lit(False)), "none": F.col(col).isNull()}[vote]
+
+    aggs = [F.count_if(is_(f"g_{f}", x) & is_(f"p_{f}", y)).alias(f"{f}__{x}_{y}") for f in flags for x in votes for y in votes]
+    for f in numbers:
+        off = F.col(f"p_{f}").cast("double") - F.col(f"g_{f}").cast("double")
+        aggs += [F.count(off).alias(f"{f}__rated"), F.count(F.col(f"g_{f}")).alias(f"{f}__labelled"), F.avg(F.abs(off)).alias(f"{f}__mae"), F.avg(off).alias(f"{f}__bias")]
+    wide = j.agg(*aggs)
+
+    def ratio(x: Column, y: Column) -> Column:
+        return F.when(y > 0, x / y)
+
+    out = []
+    for f in flags:
+        n = {(x, y): F.col(f"{f}__{x}_{y}") for x in votes for y in votes}
+        rated = n["yes", "yes"] + n["yes", "no"] + n["no", "yes"] + n["no", "no"]
+        agree = ratio(n["yes", "yes"] + n["no", "no"], rated)
+        gold_yes, pred_yes = ratio(n["yes", "yes"] + n["yes", "no"], rated), ratio(n["yes", "yes"] + n["no", "yes"], rated)
+        chance = gold_yes * pred_yes + (1 - gold_yes) * (1 - pred_yes)
+        out.append(F.struct(F.lit(f).alias("field"), *[n[k].alias("_".join(k)) for k in n], rated.alias("rated"), F.round(agree, 6).alias("accuracy"),
+                            F.round(F.when(chance < 1, (agree - chance) / (1 - chance)), 6).alias("kappa"),
+                            F.round(ratio(rated, rated + n["yes", "none"] + n["no", "none"]), 6).alias("coverage"),
+                            F.lit(None).cast("double").alias("mae"), F.lit(None).cast("double").alias("bias")))
+    none = F.lit(0).cast("bigint")
+    for f in numbers:
+        out.append(F.struct(F.lit(f).alias("field"), *[none.alias(f"{x}_{y}") for x in votes for y in votes], F.col(f"{f}__rated").alias("rated"),
+                            F.lit(None).cast("double").alias("accuracy"), F.lit(None).cast("double").alias("kappa"),
+                            F.round(ratio(F.col(f"{f}__rated"), F.col(f"{f}__labelled")), 6).alias("coverage"),
+                            F.round(f"{f}__mae", 6).alias("mae"), F.round(f"{f}__bias", 6).alias("bias")))
+    return wide.select(F.inline(F.array(*out)))
