@@ -23,6 +23,7 @@ from pyspark.sql import types as T  # noqa: E402
 from sourcelens.functions.text import any_claim, brands_in, claim_flags, lowered, mentions_brand, prices_seen  # noqa: E402
 from sourcelens.functions.urls import canonical_url, host_of, path_of, strip_ws  # noqa: E402
 from sourcelens.operators.answers import error_rows, with_sources, with_status  # noqa: E402
+from sourcelens.operators.brand_index import catalog_mentions, with_catalog_brands  # noqa: E402
 from sourcelens.operators.catalog import (add_adhoc, read_topics, request_manifest, select_catalog,  # noqa: E402
                                           tag_topics, topics_frame)
 from sourcelens.operators.dedupe import dedupe_best  # noqa: E402
@@ -108,6 +109,24 @@ def q_brand_mentions_long(spark, sf):
     return brand_mentions(_t(spark, sf, "documents"), R.competitor_brands, "doc_id", "text")
 
 
+def _brand_catalog(spark, sf):
+    """The first two words of every conversation turn as a brand name; the first turn that has a name gives its place."""
+    c = _t(spark, sf, "conversations")
+    name = F.array_join(F.slice(F.split("text", " "), 1, 2), " ")
+    return c.groupBy(name.alias("brand")).agg(F.min(F.col("conv_id") * 1000 + F.col("turn")).cast("bigint").alias("brand_pos"))
+
+
+def q_catalog_mentions(spark, sf):
+    """J11 with a catalog that grows with the data."""
+    return catalog_mentions(_t(spark, sf, "documents").select("doc_id", "text"), _brand_catalog(spark, sf))
+
+
+def q_catalog_brands(spark, sf):
+    """F8 with a catalog that grows with the data, whole words only."""
+    d = with_catalog_brands(_t(spark, sf, "documents").select("doc_id", "text"), _brand_catalog(spark, sf), word_boundary=True)
+    return d.select("doc_id", F.array_join("comps", "; ").alias("competitors_named"), F.size("comps").cast("bigint").alias("n_brands"))
+
+
 def _price_text(spark, sf):
     p = _t(spark, sf, "part")
     fl = F.floor("p_retailprice").cast("bigint").cast("string")
@@ -596,6 +615,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ledger_verdicts": q_ledger_verdicts,
         "ledger_entries": q_ledger_entries,
         "answer_runs_diff": q_answer_runs_diff,
+        "catalog_mentions": q_catalog_mentions,
+        "catalog_brands": q_catalog_brands,
         "gold_agreement": q_gold_agreement,
     }
 

@@ -607,6 +607,17 @@ c AS (SELECT *, CASE WHEN rows_before = 0 THEN 'added' WHEN rows_after = 0 THEN
                      WHEN rows_same = rows_before AND rows_before = rows_after THEN 'same' ELSE 'changed' END AS change FROM k)
 SELECT k.prompt, k.change, CASE WHEN k.change = 'changed' THEN concat_ws(',', {differing}) ELSE '' END AS changed_columns, k.rows_before, k.rows_after, k.rows_same
 FROM c k {one_col}"""
+    catalog = """cat AS (SELECT array_to_string(string_split(text, ' ')[1:2], ' ') AS brand, CAST(min(conv_id * 1000 + turn) AS BIGINT) AS brand_pos
+             FROM conversations GROUP BY 1)"""
+    q["catalog_mentions"] = f"""WITH {catalog} SELECT d.doc_id, brand_pos, brand FROM documents d JOIN cat ON contains(lower(d.text), lower(brand))"""
+    w = r"[\pL\pN_]"
+    word = (f"regexp_matches(lower(d.text), CASE WHEN regexp_matches(brand, '^{w}') THEN '(^|[^\\pL\\pN_])' ELSE '{w}' END || regexp_escape(lower(brand)) "
+            f"|| CASE WHEN regexp_matches(brand, '{w}$') THEN '([^\\pL\\pN_]|$)' ELSE '{w}' END)")
+    q["catalog_brands"] = f"""WITH {catalog},
+near AS MATERIALIZED (SELECT d.doc_id, d.text, brand_pos, brand FROM documents d JOIN cat ON contains(lower(d.text), lower(brand))),
+hit AS (SELECT doc_id, brand_pos, brand FROM near d WHERE {word}),
+l AS (SELECT doc_id, string_agg(brand, '; ' ORDER BY brand_pos) AS names, count(*) AS n FROM hit GROUP BY doc_id)
+SELECT d.doc_id, coalesce(names, '') AS competitors_named, coalesce(n, 0) AS n_brands FROM documents d LEFT JOIN l ON l.doc_id = d.doc_id"""
     votes = {"yes": "{x}", "no": "NOT {x}", "none": "{x} IS NULL"}
     def nine(f):
         return ", ".join(f"CAST(count_if(({votes[x].format(x='g_' + f)}) AND ({votes[y].format(x='p_' + f)})) AS BIGINT) AS {x}_{y}" for x in votes for y in votes)
