@@ -29,7 +29,8 @@ from sourcelens.operators.catalog import (add_adhoc, read_topics, request_manife
 from sourcelens.operators.dedupe import dedupe_best  # noqa: E402
 from sourcelens.operators.fetch import enrich, merge_bodies, plan_fetch  # noqa: E402
 from sourcelens.operators.links import brand_mentions, link_table, with_outbound_links  # noqa: E402
-from sourcelens.operators.ownership import label_ownership, label_ownership_join, with_nonprod  # noqa: E402
+from sourcelens.operators.ownership import (label_ownership, label_ownership_domains, label_ownership_join,  # noqa: E402
+                                            with_nonprod)
 from sourcelens.operators.verdicts import (answer_fallback, merge_verdicts, score_batches,  # noqa: E402
                                            web_fallback, with_text_labels)
 from sourcelens.plans import reports, testbed as tb  # noqa: E402
@@ -80,6 +81,19 @@ def q_ownership_suffix_join(spark, sf):
                                                                                    "ownership")
 
 
+def q_ownership_domain_table(spark, sf):
+    """J7 and P6 against a table of domains that grows with the data: suppliers are competitors, some nations are owned."""
+    name = F.concat(F.col("c_custkey").cast("string"), F.lit(".n"), F.col("c_nationkey").cast("string"), F.lit(".shop.test"))
+    first = F.when(F.col("c_custkey") % 3 == 0, F.lit("m.c")).when(F.col("c_custkey") % 3 == 1, F.lit("blog.www.c")).otherwise(F.lit("c"))
+    urls = _t(spark, sf, "customer").select("c_custkey", F.concat(first, name).alias("host"))
+    s, n = _t(spark, sf, "supplier"), _t(spark, sf, "nation")
+    rivals = s.select(F.concat(F.lit("C"), F.col("s_suppkey").cast("string"), F.lit(".n"), F.col("s_nationkey").cast("string"), F.lit(".shop.test")).alias("domain"),
+                      F.lit("competitor").alias("kind"))
+    owned = n.where("n_regionkey < 3").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string"), F.lit(".shop.test")).alias("domain"), F.lit("owned").alias("kind"))
+    return label_ownership_domains(urls.withColumn("url", F.concat(F.lit("https://"), "host", F.lit("/p"))), R, domains=rivals.unionByName(owned),
+                                   nonprod="nonprod_url").select("c_custkey", "host", "ownership", "nonprod_url")
+
+
 def q_nonprod_flags(spark, sf):
     return with_nonprod(_pages_parts(spark, sf), R).select("page_id", "canon_url", "host", "nonprod_url")
 
@@ -562,6 +576,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedupe_best": q_dedupe_best,
         "ownership_labels": q_ownership_labels,
         "ownership_suffix_join": q_ownership_suffix_join,
+        "ownership_domain_table": q_ownership_domain_table,
         "nonprod_flags": q_nonprod_flags,
         "nonprod_report": q_nonprod_report,
         "claim_flags": q_claim_flags,

@@ -607,6 +607,14 @@ c AS (SELECT *, CASE WHEN rows_before = 0 THEN 'added' WHEN rows_after = 0 THEN
                      WHEN rows_same = rows_before AND rows_before = rows_after THEN 'same' ELSE 'changed' END AS change FROM k)
 SELECT k.prompt, k.change, CASE WHEN k.change = 'changed' THEN concat_ws(',', {differing}) ELSE '' END AS changed_columns, k.rows_before, k.rows_after, k.rows_same
 FROM c k {one_col}"""
+    prefixes = ", ".join(lit(x) for x in R.nonprod_prefixes)
+    q["ownership_domain_table"] = f"""WITH u AS (
+  SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'm.c' WHEN 1 THEN 'blog.www.c' ELSE 'c' END || CAST(c_custkey AS VARCHAR) || '.n' || CAST(c_nationkey AS VARCHAR) || '.shop.test' AS host FROM customer),
+rival AS (SELECT 'c' || CAST(s_suppkey AS VARCHAR) || '.n' || CAST(s_nationkey AS VARCHAR) || '.shop.test' AS d FROM supplier),
+own AS (SELECT 'n' || CAST(n_nationkey AS VARCHAR) || '.shop.test' AS d FROM nation WHERE n_regionkey < 3)
+SELECT c_custkey, host, CASE WHEN EXISTS (SELECT 1 FROM rival WHERE host = d OR ends_with(host, '.' || d)) THEN 'competitor'
+                             WHEN EXISTS (SELECT 1 FROM own WHERE host = d OR ends_with(host, '.' || d)) THEN 'owned' ELSE 'third_party' END AS ownership,
+       EXISTS (SELECT 1 FROM own WHERE ends_with(host, '.' || d)) AND split_part(host, '.', 1) IN ({prefixes}) AS nonprod_url FROM u"""
     catalog = """cat AS (SELECT array_to_string(string_split(text, ' ')[1:2], ' ') AS brand, CAST(min(conv_id * 1000 + turn) AS BIGINT) AS brand_pos
              FROM conversations GROUP BY 1)"""
     q["catalog_mentions"] = f"""WITH {catalog} SELECT d.doc_id, brand_pos, brand FROM documents d JOIN cat ON contains(lower(d.text), lower(brand))"""

@@ -1,6 +1,6 @@
 """Ownership labels (J7, J8) and non-production flags.
 
-Two plans for J7 give the same labels:
+Three plans for J7 give the same labels:
 
 * ``label_ownership`` - one ``CASE`` expression over literal domain lists; no join, no
   shuffle.  Right for the usual handful of domains.
@@ -8,6 +8,9 @@ Two plans for J7 give the same labels:
   into their dot-suffixes (``a.b.c -> a.b.c, b.c, c``) and equi-joined to the domain
   dimension, turning a theta (suffix) match into a hash join; the winning priority
   per host is a partial aggregate, and the per-host label joins back on ``host``.
+* ``label_ownership_domains`` - for long domain lists, without joining back: the last k labels of each row's host are
+  looked up in the domain table, one hash join for each number of labels that domains have.  No row is multiplied and,
+  with a broadcast table, none moves, however hot its host.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from sourcelens.rules import BrandRules
 
 # A domain list from the rules is broadcast up to this length; a longer one is left to the planner.
 MAX_BROADCAST_DOMAINS = 100_000
+# Up to so many domains the labels are expressions over literals; longer lists are looked up in a table.
+MAX_LITERAL_DOMAINS = 64
 # label priorities of the first-match-wins chain
 _P_COMPETITOR, _P_APPSTORE, _P_OWNED, _P_MARKET = 1, 2, 3, 4
 
@@ -93,6 +98,64 @@ def label_ownership_join(df: DataFrame, rules: BrandRules, url: str = "url", hos
     return joined.withColumn(out, label).drop("_prio")
 
 
+def long_lists(rules: BrandRules) -> bool:
+    return len(rules.competitor_domains) + len(rules.owned_domains) > MAX_LITERAL_DOMAINS
+
+
+def domain_table(spark: SparkSession, rules: BrandRules) -> DataFrame:
+    """(domain, kind) rows of the rules' lists; ``kind`` is competitor, app_store or owned."""
+    rows = [(d.lower(), kind) for kind, ds in (("competitor", rules.competitor_domains), ("app_store", rules.app_store_hosts), ("owned", rules.owned_domains)) for d in ds]
+    return spark.createDataFrame(rows, "domain string, kind string")
+
+
+def with_domain_match(df: DataFrame, domains: DataFrame, host: str, prefix: str, broadcast_domains: int = MAX_BROADCAST_DOMAINS) -> DataFrame:
+    """``df`` plus four flags, none of them null: ``<prefix>competitor`` and ``<prefix>owned`` (the host is such a domain or under it), ``<prefix>app_store`` (it
+    is one) and ``<prefix>under_owned`` (it is strictly under an owned one).  ``domains``: (domain, kind), any number of rows."""
+    is_ = {k: F.coalesce(F.bool_or(F.col("kind") == k), F.lit(False)).alias(k) for k in ("competitor", "owned", "app_store")}
+    dim = (domains.where("domain IS NOT NULL").groupBy(F.lower("domain").alias("domain")).agg(*is_.values())
+           .withColumn("labels", F.size(F.split("domain", r"\.", -1))))
+    sizes = {r["labels"]: r["n"] for r in dim.groupBy("labels").agg(F.count(F.lit(1)).alias("n")).collect()}  # a host name has few labels
+    few = sum(sizes.values()) <= broadcast_domains
+    flags = {f"{prefix}{k}": F.lit(False) for k in ("competitor", "owned", "app_store", "under_owned")}
+    drop = []
+    for k in sorted(sizes):
+        own = dim.where(F.col("labels") == k).select(F.col("domain").alias(f"_d{k}"), *[F.col(x).alias(f"_{x}{k}") for x in is_])
+        df = df.join(F.broadcast(own) if few else own, F.substring_index(F.col(host), ".", -k) == F.col(f"_d{k}"), "left")
+        whole = F.col(host) == F.col(f"_d{k}")
+        hit = {x: F.coalesce(F.col(f"_{x}{k}"), F.lit(False)) for x in is_}
+        flags[f"{prefix}competitor"] |= hit["competitor"]
+        flags[f"{prefix}owned"] |= hit["owned"]
+        flags[f"{prefix}app_store"] |= hit["app_store"] & whole
+        flags[f"{prefix}under_owned"] |= hit["owned"] & ~whole
+        drop += [f"_d{k}", *[f"_{x}{k}" for x in is_]]
+    return df.withColumns(flags).drop(*drop)
+
+
+def ownership_of_match(url: Column, host: Column, rules: BrandRules, prefix: str) -> Column:
+    """J7's chain over the flags of ``with_domain_match``."""
+    app, market = _url_rules(url, host, rules)
+    return (F.when(F.col(f"{prefix}competitor"), F.lit("competitor")).when(F.col(f"{prefix}app_store"), app)
+             .when(F.col(f"{prefix}owned"), F.lit("owned")).when(market, F.lit("owned_marketplace")).otherwise(F.lit("third_party")))
+
+
+def nonprod_of_match(host: Column, rules: BrandRules, prefix: str) -> Column:
+    """P6 over the flags of ``with_domain_match``."""
+    if not rules.nonprod_prefixes:
+        return F.lit(False)
+    return F.col(f"{prefix}under_owned") & F.coalesce(F.substring_index(host, ".", 1).isin(*rules.nonprod_prefixes), F.lit(False))
+
+
+def label_ownership_domains(df: DataFrame, rules: BrandRules, url: str = "url", host: str = "host", out: str = "ownership",
+                            domains: DataFrame | None = None, nonprod: str | None = None, broadcast_domains: int = MAX_BROADCAST_DOMAINS) -> DataFrame:
+    """J7 (and with a column name for ``nonprod``, P6) against a table of domains: that of the rules, or any (domain, kind)."""
+    table = domains if domains is not None else domain_table(df.sparkSession, rules)
+    j = with_domain_match(df, table, host, "_m_", broadcast_domains)
+    labels = {out: ownership_of_match(F.col(url), F.col(host), rules, "_m_")}
+    if nonprod:
+        labels[nonprod] = nonprod_of_match(F.col(host), rules, "_m_")
+    return j.withColumns(labels).drop("_m_competitor", "_m_owned", "_m_app_store", "_m_under_owned")
+
+
 def label_ad_ownership(df: DataFrame, rules: BrandRules, advertiser: str = "advertiser", url: str = "url",
                        out: str = "ownership", use_brand_names: bool = False) -> DataFrame:
     """Our brand in the advertiser name -> owned; a competitor domain's label

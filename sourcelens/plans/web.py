@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from sourcelens.functions.text import best_text, nullif_empty
 from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbound_links, strip_ws
 from sourcelens.operators.dedupe import dedupe_best
-from sourcelens.operators.ownership import ownership
+from sourcelens.operators.ownership import (domain_table, long_lists, nonprod_of_match, ownership, ownership_of_match,
+                                            with_domain_match)
 from sourcelens.operators.verdicts import (merge_verdicts, persist_scores, score_batches, web_fallback,
                                            with_text_labels)
 from sourcelens.rules import BrandRules
@@ -28,16 +29,21 @@ def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRul
                  raw_url: str | None = "raw_url", keep: tuple[str, ...] = ()) -> DataFrame:
     """One sheet row per record: claims, prices, brands, links, ownership, non-production
     flag and the verdict (model verdict by URL when the body is non-empty, else the
-    whole rule-based fallback).  One join (verdicts); ownership is one expression at any number of domains.  Lists stay
-    arrays: the sink joins them to text."""
+    whole rule-based fallback).  One join (verdicts); ownership and the non-production flag are expressions over a few
+    domains, and broadcast look-ups where the rules list many.  Lists stay arrays: the sink joins them to text."""
     df = with_text_labels(records, rules, body)
     b = F.coalesce(F.col(body), F.lit(""))
     df = merge_verdicts(df, verdicts, "url", web_fallback(body, rules), use_verdict=(b != ""))
     label_url = F.coalesce(nullif_empty(strip_ws(F.col(raw_url))), F.col("url")) if raw_url and raw_url in records.columns \
         else F.col("url")
     preset = nullif_empty(F.col("ownership")) if "ownership" in records.columns else F.lit(None)
-    owner = ownership(label_url, host_of(label_url), rules)
-    host = host_of(F.col("url"))
+    if long_lists(rules):
+        domains = domain_table(df.sparkSession, rules)
+        df = df.withColumns({"_label_host": host_of(label_url), "_host": host_of(F.col("url"))})
+        df = with_domain_match(with_domain_match(df, domains, "_label_host", "_l_"), domains, "_host", "_h_")
+        owner, nonprod = ownership_of_match(label_url, F.col("_label_host"), rules, "_l_"), nonprod_of_match(F.col("_host"), rules, "_h_")
+    else:
+        owner, nonprod = ownership(label_url, host_of(label_url), rules), is_nonprod(host_of(F.col("url")), rules)
     out = df.select(
         F.col("platform").alias("source"), "url",
         F.coalesce(F.col("query"), F.lit("")).alias("query"),
@@ -51,7 +57,7 @@ def classify_web(records: DataFrame, verdicts: DataFrame | None, rules: BrandRul
         F.coalesce(F.col("sentiment"), F.lit(0.0)).alias("sentiment"),
         F.coalesce(nullif_empty(F.col("price_mentioned")), F.get(F.col("prices_seen"), 0)).alias("price"),
         outbound_links(b, F.col("url"), rules).alias("links_on_source"),
-        is_nonprod(host, rules).alias("nonprod_url"),
+        nonprod.alias("nonprod_url"),
         F.coalesce(F.col("title"), F.lit("")).alias("title"),
         "verdict_source", *LABEL_COLUMNS, *keep)
     return out
