@@ -40,7 +40,6 @@ LEVEL_BITS = 4
 
 ROWS = "bucket string, id bigint, place bigint, top boolean, n bigint, hash bigint, content binary, sha256 binary"
 GROUPS = "id bigint, place bigint, top boolean, keep_id bigint, group_size bigint, kept boolean, sha256 binary"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def normalised(text: str | None) -> bytes:
@@ -223,7 +222,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     """(id, keep_id, group_size, kept, text_sha256), a row for every row of ``docs``."""
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/grace-{uuid.uuid4().hex}"
-    lower = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
+    lower = F.lower(F.coalesce(F.col(text), F.lit("")))  # joins more texts than A-Z does, which the comparison sets apart
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"), hash_of(lower).alias("hash"))
     sizes = _written(rows.groupBy("hash").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size")), f"{folder}/sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
