@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sourcelens.functions.text import best_text
-from sourcelens.sources.cache import cache_fresh
+from sourcelens.sources.cache import EXPECTED_URLS, cache_fresh, requested_only
 from sourcelens.rules import CACHE_TTL_DAYS
 
 
@@ -41,9 +41,9 @@ def merge_bodies(hits: DataFrame, crawled: DataFrame | None) -> DataFrame:
 
 
 def plan_fetch(urls: DataFrame, cache: DataFrame, as_of, ttl: int = CACHE_TTL_DAYS,
-               seq: str | None = None) -> FetchPlan:
-    """E5: fresh cache scan (partition-pruned on ``fetch_date``), then hit/miss split."""
-    return split_cache(urls, cache_fresh(cache, as_of, ttl, seq))
+               seq: str | None = None, expected_urls: int = EXPECTED_URLS) -> FetchPlan:
+    """E5: fresh cache scan (partition-pruned on ``fetch_date``), cut down to the requested URLs before anything moves, then hit/miss split."""
+    return split_cache(urls, cache_fresh(requested_only(cache, urls.select("url"), expected_urls=expected_urls), as_of, ttl, seq))
 
 
 def enrich(records: DataFrame, bodies: DataFrame, url: str = "url", snippet: str = "snippet",

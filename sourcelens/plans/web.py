@@ -18,7 +18,7 @@ from sourcelens.operators.verdicts import (merge_verdicts, persist_scores, score
 from sourcelens.rules import BrandRules
 from sourcelens.schemas import WEB_SCHEMA, WEB_VERDICT
 from sourcelens.session import cut_lineage
-from sourcelens.sources.cache import cache_fresh, cache_upsert
+from sourcelens.sources.cache import EXPECTED_URLS, cache_fresh, cache_upsert, requested_only
 from sourcelens.sources.ledger import score_with_ledger, scorer_name
 from sourcelens.sources.sinks import conform
 
@@ -83,7 +83,8 @@ class WebSnapshot:
 def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | None, rules: BrandRules, as_of,
                  verdicts: DataFrame | None = None, scorer: Callable | None = None,
                  checkpoint: bool = False, cache_seq: str | None = None, label_from_raw: bool = True,
-                 first_seen: bool = True, ledger: str | None = None, scorer_id: str | None = None) -> WebSnapshot:
+                 first_seen: bool = True, ledger: str | None = None, scorer_id: str | None = None,
+                 expected_urls: int = EXPECTED_URLS) -> WebSnapshot:
     """Union of sources -> canonical URL -> best record per URL -> cache hits / crawl list
     -> bodies (crawled wins) -> richer of body and snippet -> E1.
 
@@ -106,7 +107,8 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     # E5 folded into the record plan: the fresh cache and the crawl join straight onto the
     # deduped records (both on url, the key the dedupe already partitioned by), so the
     # dedupe runs once for the sheet and the crawl list alike.
-    fresh = cache_fresh(cache, as_of, seq=cache_seq).select("url", F.col("text").alias("_cached"))
+    asked = requested_only(cache, recs.select("url"), expected_urls=expected_urls)   # bodies that no record names stay unsorted
+    fresh = cache_fresh(asked, as_of, seq=cache_seq).select("url", F.col("text").alias("_cached"))
     j = best.join(fresh, "url", "left")
     miss = F.col("url").startswith("http") & F.col("_cached").isNull()
     if crawled is not None:
