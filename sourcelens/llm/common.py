@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -33,6 +34,13 @@ def cut(df: DataFrame, rows: int | None = None, per_part: int = 25_000) -> DataF
     return (df if rows is None else df.coalesce(max(4, -(-rows // per_part)))).checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver forget plans that nothing refers to any more.  Spark's cleaner then removes their shuffle files, and their checkpoints if it is set
+    to; otherwise these stay on the executors' disks until the driver's memory happens to run full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` whose workers find this package where the driver found it; on a cluster without
     that path install the package or pass it with ``--py-files``."""

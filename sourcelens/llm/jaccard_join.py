@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sourcelens.llm.common import cut, map_arrow, map_rows
+from sourcelens.llm.common import cut, map_arrow, map_rows, release
 from sourcelens.llm.components import components
 from sourcelens.llm.url_filter import bloom_blocks, bloom_pass
 
@@ -303,6 +303,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     nodes = cut(signed.where("n > 0 and id is not null").groupBy("digest").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("small").alias("small"), F.first("slot").alias("slot"), F.first("hashes").alias("hashes"))
         .withColumn("node", F.monotonically_increasing_id()))
+    signed = cut(signed.select("id", "n", "digest"))  # the rest is kept once, with the nodes
+    release(docs.sparkSession)
     exact = _exploded(nodes)
     counts = cut(exact.groupBy("key").agg(F.count("*").alias("g")).where("g > 1"))
     table = Bands(num, den)
@@ -325,6 +327,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     members = cut(bloom_pass(exact, shared, blocks).join(counts, "key"), size)
     active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch", "small"), "node"), size)
     sets = cut(_sets(_texts_of(docs, active, id_col, text), width), size)
+    named, exact, counts = nodes.select("digest", "node", "id"), None, None
+    named, nodes = cut(named), None
+    release(docs.sparkSession)
 
     links = comps = tried = None
     for r in range(rounds + 1):
@@ -353,7 +358,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         links = found if links is None else links.unionByName(found)
         if new:
             comps = cut(components(links), size)
-    named = nodes.select("digest", "node", "id")
+        release(docs.sparkSession)
     if comps is not None:
         named = named.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         least = named.groupBy("comp").agg(F.min("id").alias("component_id"))
