@@ -9,11 +9,12 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sourcelens.llm.bpe import encode_documents
-from sourcelens.llm.common import shared_folder, table
+from sourcelens.llm.common import cut, shared_folder, table
 from sourcelens.llm.crf_language import UNDETERMINED, identify
 from sourcelens.llm.decontaminate import without_items
 from sourcelens.llm.jaccard_join import near_duplicates
@@ -31,13 +32,33 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SHARE)).select(*COLUMNS)
 
 
+#: A table of up to so many files (some 150 bytes each) is broadcast to number the rows.
+MAX_FILES = 500_000
+
+
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``_row`` of its own for every row, the same whenever it is read: file and place in the file where ``docs`` is read from Parquet as the
+    stages' inputs are, else that of a copy in the shared folder."""
+    try:
+        placed = docs.select(*COLUMNS, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        placed = None
+    if placed is not None:
+        files = cut(placed.select("_file").distinct())
+        if files.count() <= MAX_FILES:
+            number = cut(files.withColumn("_number", F.row_number().over(Window.orderBy("_file"))))  # a row for each file
+            row = F.shiftleft(F.col("_number").cast("bigint"), 40) + F.col("_place")
+            return placed.join(F.broadcast(number), "_file").withColumn("_row", row).drop("_file", "_number", "_place")
+    folder = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
+    docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: the one of the smallest id, a null id being the largest.  Rows are told apart
     by a key of their own, so null ids and ids that stand for several texts change nothing."""
-    folder = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
-    docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")).write.parquet(folder)
-    rows = spark.read.parquet(folder)
-    groups = near_duplicates(rows, "_row").select("_row", "component_id")
+    rows = _numbered(spark, docs)
+    groups = cut(near_duplicates(rows, "_row").select("_row", "component_id"))
     named = groups.join(rows.select("_row", "doc_id"), "_row")
     stays = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("s")).select(F.col("s._row").alias("_row"))
     gone = groups.select("_row").join(stays, "_row", "left_anti")
