@@ -24,8 +24,8 @@ from sourcelens.functions.text import any_claim, brands_in, claim_flags, lowered
 from sourcelens.functions.urls import canonical_url, host_of, path_of, strip_ws  # noqa: E402
 from sourcelens.operators.answers import error_rows, with_sources, with_status  # noqa: E402
 from sourcelens.operators.brand_index import catalog_mentions, with_catalog_brands  # noqa: E402
-from sourcelens.operators.catalog import (add_adhoc, read_topics, request_manifest, select_catalog,  # noqa: E402
-                                          tag_topics, topics_frame)
+from sourcelens.operators.catalog import (add_adhoc, read_topics, request_manifest, select_by_table,  # noqa: E402
+                                          select_catalog, tag_topics, topics_frame)
 from sourcelens.operators.dedupe import dedupe_best  # noqa: E402
 from sourcelens.operators.fetch import enrich, merge_bodies, plan_fetch  # noqa: E402
 from sourcelens.operators.links import brand_mentions, link_table, with_outbound_links  # noqa: E402
@@ -277,6 +277,15 @@ def q_catalog_select(spark, sf):
     return sel.select("label", "sel_ord", "pos")
 
 
+def q_catalog_select_table(spark, sf):
+    """J12 with selectors that grow with the data: positions, and parts of labels that cross words."""
+    parts = _t(spark, sf, "part").select("p_partkey", "p_name")
+    s = _t(spark, sf, "supplier").join(parts, F.col("s_suppkey") == F.col("p_partkey"))
+    token = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit(" "), (F.col("s_suppkey") * 7).cast("string"))).otherwise(
+        F.upper(F.substring("p_name", F.lit(3), (4 + F.col("s_suppkey") % 9).cast("int"))))
+    return select_by_table(_catalog(spark, sf), s.select(F.col("s_suppkey").alias("ord"), token.alias("token"))).select("label", "sel_ord", "pos")
+
+
 def q_adhoc_prompts(spark, sf):
     sel = select_catalog(_catalog(spark, sf), tb.SELECTORS, "label", "pos")
     p = _t(spark, sf, "part")
@@ -598,6 +607,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "verdict_merge": q_verdict_merge,
         "citations_merge": q_citations_merge,
         "catalog_select": q_catalog_select,
+        "catalog_select_table": q_catalog_select_table,
         "adhoc_prompts": q_adhoc_prompts,
         "web_snapshot": q_web_snapshot,
         "answer_snapshot": q_answer_snapshot,

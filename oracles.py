@@ -607,6 +607,13 @@ c AS (SELECT *, CASE WHEN rows_before = 0 THEN 'added' WHEN rows_after = 0 THEN
                      WHEN rows_same = rows_before AND rows_before = rows_after THEN 'same' ELSE 'changed' END AS change FROM k)
 SELECT k.prompt, k.change, CASE WHEN k.change = 'changed' THEN concat_ws(',', {differing}) ELSE '' END AS changed_columns, k.rows_before, k.rows_after, k.rows_same
 FROM c k {one_col}"""
+    q["catalog_select_table"] = """WITH c AS (SELECT p_partkey + 1 AS pos, p_name AS label FROM part),
+t AS (SELECT s_suppkey AS ord, CASE WHEN s_suppkey % 3 = 0 THEN CAST(s_suppkey * 7 AS VARCHAR) ELSE trim(upper(substr(p_name, 3, 4 + s_suppkey % 9))) END AS token,
+             s_suppkey % 3 = 0 AS number FROM supplier JOIN part ON s_suppkey = p_partkey),
+m AS (SELECT c.pos, c.label, min(t.ord) AS sel_ord FROM c JOIN t ON t.token <> '' AND CASE WHEN number THEN CAST(c.pos AS VARCHAR) = token
+      ELSE contains(lower(c.label), lower(token)) END GROUP BY c.pos, c.label),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY sel_ord, pos) AS rn FROM m)
+SELECT label, CAST(sel_ord AS BIGINT) AS sel_ord, pos FROM r WHERE rn = 1"""
     prefixes = ", ".join(lit(x) for x in R.nonprod_prefixes)
     q["ownership_domain_table"] = f"""WITH u AS (
   SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'm.c' WHEN 1 THEN 'blog.www.c' ELSE 'c' END || CAST(c_custkey AS VARCHAR) || '.n' || CAST(c_nationkey AS VARCHAR) || '.shop.test' AS host FROM customer),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sourcelens.functions.urls import strip_ws
+from sourcelens.operators.brand_index import catalog_mentions
 from sourcelens.operators.dedupe import keep_first, last_by_key
 from sourcelens.schemas import TOPIC, landing_order
 
@@ -89,6 +90,43 @@ def unmatched_selectors(catalog: DataFrame, tokens: list[str] | None, label: str
     return typed.join(hit, "ord", "left_anti")
 
 
+def _typed(selectors: DataFrame) -> DataFrame:
+    """(ord, token, number) of the selectors that aren't blank; ``number`` is the position that ASCII digits name."""
+    t = strip_ws(F.col("token"))
+    digits = F.col("token").rlike("^[0-9]+$")
+    return (selectors.where("token IS NOT NULL").select("ord", t.alias("token")).where(F.col("token") != "")
+            .select("ord", "token", digits.alias("digits"), F.when(digits, F.expr("try_cast(token AS BIGINT)")).alias("number")))
+
+
+def _selections(catalog: DataFrame, typed: DataFrame, label: str, pos: str) -> DataFrame:
+    """(pos, ord): every catalog row that a selector names.  Numbers meet positions in an equi-join; names meet labels by their rarest n-gram."""
+    numbers = typed.where("number IS NOT NULL").select("ord", F.col("number").alias("_n"))
+    by_number = catalog.select(pos).join(numbers, F.col(pos) == F.col("_n")).select(pos, "ord")
+    names = typed.where("NOT digits").select(F.col("ord").alias("brand_pos"), F.col("token").alias("brand"))
+    by_name = catalog_mentions(catalog.select(pos, label), names, pos, label).select(pos, F.col("brand_pos").alias("ord"))
+    return by_number.unionByName(by_name)
+
+
+def select_by_table(catalog: DataFrame, selectors: DataFrame, label: str = "label", pos: str = "pos") -> DataFrame:
+    """J12 for a table of selectors (ord, token), of any length, over a catalog of any length: the same rows as ``select_catalog`` gives for a list.
+
+    No label is compared with every selector: selectors are looked up by an n-gram (see ``brand_index``), so work follows the labels' n-grams and the
+    candidates.  A position names one catalog row.  Planning looks at two selectors, to tell ``all`` alone, and at the index's size."""
+    typed = _typed(selectors)
+    first = typed.limit(2).collect()
+    if not first or len(first) == 1 and first[0].token.lower() in ("all", "*"):
+        return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
+    chosen = _selections(catalog, typed, label, pos).groupBy(F.col(pos).alias("_pos")).agg(F.min("ord").cast("bigint").alias("sel_ord"))
+    matched = catalog.join(chosen, F.col(pos) == F.col("_pos")).drop("_pos")
+    return keep_first(matched, label, ["sel_ord", pos])
+
+
+def unmatched_by_table(catalog: DataFrame, selectors: DataFrame, label: str = "label", pos: str = "pos") -> DataFrame:
+    """(ord, token) of the selectors of a table that select no catalog row."""
+    typed = _typed(selectors)
+    return typed.select("ord", "token").join(_selections(catalog, typed, label, pos).select("ord").distinct(), "ord", "left_anti")
+
+
 def require_matched(catalog: DataFrame, tokens: list[str] | None, label: str = "label", pos: str = "pos") -> None:
     """Raise ``ValueError`` if a typed token selects nothing."""
     bad = [r.token for r in unmatched_selectors(catalog, tokens, label, pos).orderBy("ord").collect()]  # at most the typed list

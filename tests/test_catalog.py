@@ -117,3 +117,19 @@ def test_load_config_and_rules(tmp_path):
         rules_from_config(cfg)
     r = rules_from_config(cfg, brand="license")
     assert r.claim_names == ["b", "a"] and r.owned_domains == ("example.net",) and r.brand_lower == "license"
+
+
+def test_a_table_of_selectors_selects_as_a_list_does(spark):
+    import random
+    from sourcelens.operators.catalog import select_by_table, unmatched_by_table
+    rng = random.Random(4)
+    labels = [" ".join(rng.choice(["Red", "blue", "ring", "bolt", "12", "ü", "é x", "nut"]) for _ in range(rng.randrange(1, 5))) for _ in range(300)] + ["", "only"]
+    cat = catalog(spark, labels)
+    for tokens in (["ring", " 7 ", "BLUE", "x", "nothing", "0", "9" * 30, "12", "g b", None, "  "], [], ["all"], [" * "], ["all", "red"], ["12"],
+                   [f"t{i}" for i in range(500)] + ["only", "é"]):
+        sel = spark.createDataFrame(list(enumerate(tokens)), "ord bigint, token string")
+        got = sorted((r.sel_ord, r.pos, r.label) for r in select_by_table(cat, sel).collect())
+        assert got == sorted((r.sel_ord, r.pos, r.label) for r in select_catalog(cat, tokens).collect())
+        if tokens not in ([], ["all"], [" * "]):
+            missed = sorted((r.ord, r.token) for r in unmatched_by_table(cat, sel).collect())
+            assert missed == sorted((r.ord, r.token) for r in unmatched_selectors(cat, tokens).collect())

@@ -3,6 +3,7 @@ claim search on lower-cased text, price and URL findall, canonical links."""
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from sourcelens.functions.text import claim_flags, prices_seen
@@ -23,7 +24,7 @@ def test_claims_and_prices_match_python_re(spark, rules):
         for name, pats in rules.claim_patterns:
             assert r[name] == any(re.search(p, t) for p in pats), (doc_id, name)
         assert r.current_signal == any(re.search(p, t) for p in rules.current_signal_patterns)
-        assert r.prices == sorted(set(re.findall(rules.price_pattern, r.text or "")))[:5]
+        assert r.prices == sorted(set(re.findall(rules.price_pattern, r.text or "")))
 
 
 def test_prices_match_python_re_on_price_text(spark, rules):
@@ -32,7 +33,7 @@ def test_prices_match_python_re_on_price_text(spark, rules):
                     F.col("p_size").cast("string"), F.lit("0 $12345"))
     rows = part.select(text.alias("t"), prices_seen(text, rules).alias("p")).collect()
     for r in rows:
-        assert r.p == sorted(set(re.findall(rules.price_pattern, r.t)))[:5]
+        assert r.p == sorted(set(re.findall(rules.price_pattern, r.t)))
 
 
 def test_url_mentions_and_links_match_python(spark, rules):
@@ -48,3 +49,30 @@ def test_claims_on_answers_match_python_re(spark, rules):
         t = r.response.lower()
         for name, pats in rules.claim_patterns:
             assert r[name] == any(re.search(p, t) for p in pats)
+
+
+LITERALS = [("only.{0,20}the", ["only", "the"]), ("a(bc)+d", ["bc", "a", "d"]), ("a(bc)?d", ["a", "d"]), ("(x|yz)ab", ["ab"]), ("[ab]cde?", ["cd"]), (r"\bword\b", ["word"]),
+            (r"\d+%", ["%"]), ("(?i)abc", []), ("x|y", []), (".*", []), ("(?:no longer|not)", ["no"]), ("(?=abc)a", ["a"]), ("(?!abc)de", ["de"]), ("a{0}bc", ["bc"]), ("the.{0,12}the", ["the"]),
+            ("(", [])]
+
+
+@pytest.mark.parametrize("pattern, literals", LITERALS)
+def test_literals_that_a_match_must_hold(pattern, literals):
+    from sourcelens.functions.text import required_literals
+    got = required_literals(pattern)
+    assert got == literals
+
+
+def test_guarded_claims_equal_the_regex(spark):
+    """On texts made of the patterns' own parts, where literals come without a match and the other way round."""
+    import random
+    from sourcelens.functions.text import claim_flag
+    rng = random.Random(7)
+    claims = [["only.{0,5}the", "never"], ["a(bc)+d"], ["a(bc)?d"], ["(x|yz)ab", r"\d+%"], ["x|y"], ["(?i)ABC"], []]
+    parts = ["only", "the", "never", "a", "bc", "d", "x", "yz", "ab", "7", "%", "\n", " ", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(400)] + [None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("i", *[claim_flag("t", c).alias(f"c{k}") for k, c in enumerate(claims)]).collect()
+    for r in rows:
+        for k, c in enumerate(claims):
+            assert r[f"c{k}"] == any(re.search(p, texts[r.i] or "") for p in c) if texts[r.i] is not None else r[f"c{k}"] is False, (texts[r.i], c)
