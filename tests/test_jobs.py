@@ -9,8 +9,8 @@ from sourcelens.plans.jobs import answer_visibility, web_refresh
 CONFIG = {
     "brand": "license",
     "topics": [
-        {"id": "brand_head", "intent": "brand_entity", "query": "license monitor"},
-        {"id": "cmp_token", "intent": "comparison", "query": "license vs Token"},
+        {"id": "t_name", "intent": "brand_entity", "query": "license monitor"},
+        {"id": "t_rival", "intent": "comparison", "query": "license vs Token"},
         {"id": "no_query", "intent": "x"},
     ],
     "llm_surfaces": ["chatgpt", "perplexity"],
@@ -34,32 +34,32 @@ def land(path, items):
 def test_web_refresh_writes_run_crawl_list_and_cache(spark, tmp_path):
     landing = tmp_path / "landing"
     land(landing / "serp", [{"searchQuery": {"term": "license vs Token"}, "organicResults": [
-        {"url": "https://review.test/a?utm_source=x", "title": "A", "description": "Token beats license"},
-        {"url": "https://m.example.net/faq", "title": "FAQ", "description": "faq"}],
-        "aiOverview": "license works only with the old reader"}])
+        {"url": "https://Mag.test/2024/wallets/?page=1#top", "title": "Wallets", "description": "A Token in each pocket"},
+        {"url": "https://blog.example.net/news/7", "title": "Opening hours"}],
+        "aiOverview": {"text": "A license: only for the desk."}}])
     land(landing / "reddit", [{"url": "https://forum.test/p/1", "title": "T", "body": "There is cheaper"}])
-    land(landing / "pages", [{"url": "https://review.test/a", "markdown": "Token beats license. $149 "
-                                                                         "[buy](https://shop.test/x)"}])
+    land(landing / "pages", [{"url": "https://mag.test/2024/wallets", "markdown": "Six wallets, one Token. $149 "
+                                                                         "[order](https://till.test/6)"}])
     out, cache = str(tmp_path / "out"), str(tmp_path / "cache")
     run = web_refresh(spark, CONFIG, str(landing), out, cache, as_of="2024-01-20", note="first", run_id="run-1")
     assert run.written and run.run_id == "run-1"
     meta = {r.key: r.value for r in spark.read.parquet(out + "/run_meta").collect()}
     assert (meta["note"], meta["sources"], meta["source.news"], meta["source.serp"]) == ("first", "serp,news,ads,reddit", "missing", "ok")
     assert meta["source.serp.lines"] == "1" and meta["source.serp.corrupt"] == "0"
-    assert {r.url for r in spark.read.parquet(out + "/nonprod_web").collect()} == {"https://m.example.net/faq"}
+    assert {r.url for r in spark.read.parquet(out + "/nonprod_web").collect()} == {"https://blog.example.net/news/7"}
     sheet = {r.url: r for r in spark.read.parquet(out + "/web").collect()}
-    a = sheet["https://review.test/a"]
-    assert a.topic_id == "cmp_token" and a.competitors_named == "Token" and a.price == "$149"
-    assert a.links_on_source == "https://shop.test/x"
-    assert sheet["https://m.example.net/faq"].nonprod_url and sheet["https://m.example.net/faq"].ownership == "owned"
+    a = sheet["https://mag.test/2024/wallets"]
+    assert a.topic_id == "t_rival" and a.competitors_named == "Token" and a.price == "$149"
+    assert a.links_on_source == "https://till.test/6"
+    assert sheet["https://blog.example.net/news/7"].nonprod_url and sheet["https://blog.example.net/news/7"].ownership == "owned"
     assert sheet["aioverview::license vs Token"].says_about_brand == "Describes the old product as current."
     assert sheet["https://forum.test/p/1"].intent == "community"
     crawl = {r.url for r in spark.read.parquet(out + "/crawl_list").collect()}
     # every cache miss of the run (the landed crawl answered one of them)
-    assert crawl == {"https://review.test/a", "https://m.example.net/faq", "https://forum.test/p/1"}
+    assert crawl == {"https://mag.test/2024/wallets", "https://blog.example.net/news/7", "https://forum.test/p/1"}
     # second run: the crawled page is now a cache hit
     again = web_refresh(spark, CONFIG, str(landing), out, cache, as_of="2024-01-21", note="second")
-    assert "https://review.test/a" not in {r.url for r in again.crawl_list.collect()}
+    assert "https://mag.test/2024/wallets" not in {r.url for r in again.crawl_list.collect()}
 
 
 def test_web_refresh_with_nothing_landed_writes_nothing(spark, tmp_path):
@@ -91,7 +91,7 @@ def test_answer_visibility_selection_adhoc_runs_and_failures(spark, tmp_path):
 def test_run_meta_holds_observed_counters(spark, tmp_path):
     landing = tmp_path / "landing"
     land(landing / "serp", [{"searchQuery": "license vs Token", "organicResults": [
-        {"url": "https://review.test/a"}, {"url": "https://m.example.net/faq"}]}])
+        {"url": "https://mag.test/1"}, {"url": "https://blog.example.net/2"}]}])
     out = str(tmp_path / "out")
     run = web_refresh(spark, CONFIG, str(landing), out, str(tmp_path / "cache"), as_of="2024-01-20")
     meta = {r.key: r.value for r in spark.read.parquet(out + "/run_meta").where(F.col("run_id") == run.run_id)
@@ -105,21 +105,21 @@ def test_both_tracks_select_the_same_topics(spark):
     web = select_topics(spark, CONFIG, None)
     answers = select_topics(spark, CONFIG, ["all"])
     key = lambda df: sorted((r.id, r.query) for r in df.collect())
-    assert key(web) == key(answers) == [("brand_head", "license monitor"), ("cmp_token", "license vs Token")]
-    assert key(select_topics(spark, CONFIG, ["2"])) == [("cmp_token", "license vs Token")]
+    assert key(web) == key(answers) == [("t_name", "license monitor"), ("t_rival", "license vs Token")]
+    assert key(select_topics(spark, CONFIG, ["2"])) == [("t_rival", "license vs Token")]
 
 
 def test_web_refresh_uses_landed_verdicts(spark, tmp_path):
     landing = tmp_path / "landing"
     land(landing / "serp", [{"searchQuery": "license vs Token", "organicResults": [
-        {"url": "https://review.test/a", "description": "Token beats license"},
+        {"url": "https://mag.test/2024/wallets", "description": "Token beats license"},
         {"url": "https://other.test/b", "description": "license"}]}])
-    land(landing / "verdicts_web", [{"key": "https://review.test/a", "says_about_license": "Judged.",
+    land(landing / "verdicts_web", [{"key": "https://mag.test/2024/wallets", "says_about_license": "Judged.",
                                      "mentions_competition": False, "sentiment_license": 0.7}])
     run = web_refresh(spark, CONFIG, str(landing), str(tmp_path / "out"), str(tmp_path / "cache"),
                       as_of="2024-01-20")
     rows = {r.url: r for r in run.sheet.collect()}
-    assert rows["https://review.test/a"].says_about_brand == "Judged." and rows["https://review.test/a"].sentiment == 0.7
+    assert rows["https://mag.test/2024/wallets"].says_about_brand == "Judged." and rows["https://mag.test/2024/wallets"].sentiment == 0.7
     assert rows["https://other.test/b"].verdict_source == "fallback"
 
 

@@ -12,7 +12,7 @@ from sourcelens.schemas import WEB_COLUMNS
 from sourcelens.sources import readers
 from sourcelens.sources.cache import append_cache, read_cache
 
-COMPETE_TEXT = "Token is more accurate than license and There is cheaper."
+COMPETE_TEXT = "Our editors would rather carry a Token."
 CURRENT_TEXT = "They say that the rest is new. $99"
 AS_OF = "2024-01-20"
 
