@@ -176,6 +176,8 @@ def fit(texts: list[tuple[str, str]], iterations: int = ITERATIONS, rate: float
     ids, labels = ids[:n * length].reshape(n, length).T, labels[:n * length].reshape(n, length).T  # the rest of a chunk is left out
     starts, grams = _grams(list(types))
     lex = np.array([lexicon.get(w, -1) for w in types])
+    total = len(words)
+    del words, place
     size = np.diff(np.append(starts, grams.shape[1]))
     onehot = np.eye(k)
     seen_pairs = np.zeros((k, k))
@@ -183,9 +185,13 @@ def fit(texts: list[tuple[str, str]], iterations: int = ITERATIONS, rate: float
     slots = [model.weights, model.lexical, model.transitions]
     squares = [np.full_like(s, 1e-8) for s in slots]
     for _ in range(iterations):
-        scores = np.add.reduceat(model.weights[grams].sum(axis=0), starts, axis=0) + model.lexical[lex]
-        e = scores[ids]
-        psi = np.exp(e - e.max(axis=2, keepdims=True))
+        places = model.weights[grams[0]]  # one order after the other: the driver holds few large arrays at a time
+        for order in grams[1:]:
+            places += model.weights[order]
+        psi = (np.add.reduceat(places, starts, axis=0) + model.lexical[lex])[ids]
+        del places
+        psi -= psi.max(axis=2, keepdims=True)
+        np.exp(psi, out=psi)
         step = np.exp(model.transitions - model.transitions.max())
         alpha, beta = np.empty_like(psi), np.empty_like(psi)
         v = np.full((n, k), 1.0 / k)
@@ -198,12 +204,15 @@ def fit(texts: list[tuple[str, str]], iterations: int = ITERATIONS, rate: float
             v = (v * psi[t]) @ step.T
             v /= v.max(axis=1, keepdims=True)
             beta[t - 1] = v
-        post = alpha * beta
+        pairs = np.zeros((k, k))
+        for t in range(1, length):
+            pair = alpha[t - 1, :, :, None] * step * (psi[t] * beta[t])[:, None, :]
+            pairs += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        post = np.multiply(alpha, beta, out=alpha)
         post /= post.sum(axis=2, keepdims=True)
-        pair = alpha[:-1, :, :, None] * step * (psi[1:] * beta[1:])[:, :, None, :]
-        pair /= pair.sum(axis=(2, 3), keepdims=True)
         by_type = np.zeros((len(types), k))
         np.add.at(by_type, ids.ravel(), (onehot[labels] - post).reshape(-1, k))
+        del psi, alpha, beta, post
         spread = np.repeat(by_type, size, axis=0)
         up = [np.zeros_like(s) for s in slots]
         for order in grams:
@@ -212,9 +221,9 @@ def fit(texts: list[tuple[str, str]], iterations: int = ITERATIONS, rate: float
                 up[0][:, j] += np.bincount(order[ok], spread[ok, j], len(model.weights))
         np.add.at(up[1], lex, by_type)
         up[1][-1] = 0
-        up[2] = seen_pairs - pair.sum(axis=(0, 1))
+        up[2] = seen_pairs - pairs
         for s, u, q in zip(slots, up, squares, strict=True):
-            u -= l2 * len(words) * s
+            u -= l2 * total * s
             q += u * u
             s += rate * u / np.sqrt(q)
     model.weights = model.weights.astype(np.float32)
