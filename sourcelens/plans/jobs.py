@@ -23,7 +23,7 @@ from sourcelens.plans.answers import answer_snapshot
 from sourcelens.plans.reports import nonprod_cited, nonprod_report
 from sourcelens.plans.web import web_snapshot
 from sourcelens.rules import BrandRules
-from sourcelens.schemas import DISCOVERY, LANDING
+from sourcelens.schemas import AD_ITEM, ANSWER_API_ITEM, ANSWER_ITEM, CONTENT_ITEM, DISCOVERY, FORUM_ITEM, LANDING, SERP_ITEM
 from sourcelens.sources import readers
 from sourcelens.session import checkpoint_dir, cut_lineage
 from sourcelens.sources.cache import append_cache, read_cache
@@ -87,20 +87,24 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
     folder is a failed source: it contributes nothing, and ``run_meta`` says so, as it says how many lines were unreadable.
     Written: the sheet (``web``, and in discovery order as CSV, ``web_csv``), every non-production URL (``nonprod_web``),
     ``crawl_list``, ``run_meta``, and the crawled pages in the cache.  The scorer's verdicts go to a ``ledger`` (``scores_web``
-    unless given) as they come, so a failed run started again asks only for what is left.
+    unless given) as they come, so a failed run started again asks only for what is left.  Landed lines are parsed once, into
+    ``staged``; those that can't be read are kept whole, with place and reason, in ``quarantine_web``.
     """
     rules = rules_from_config(config, brand)
     sources = sources or list(WEB_SOURCES)
     as_of = as_of or dt.date.today().isoformat()
     chosen = select_topics(spark, config, queries)
     topics = chosen.select("id", "intent", "query", "seq")
-    read = {"serp": (readers.read_serp, topics), "news": (readers.read_news, topics), "ads": (readers.read_ads, rules),
-            "reddit": (readers.read_forum,)}
-    found = [readers.try_source(n, read[n][0], spark, f"{landing}/{n}", *read[n][1:]) for n in WEB_SOURCES if n in sources]
-    pages = readers.try_source("pages", readers.read_pages, spark, f"{landing}/pages")
+    rid = run_id or new_run_id()
+    read = {"serp": (SERP_ITEM, lambda i: readers.serp_records(i, topics, "web", True)),
+            "news": (SERP_ITEM, lambda i: readers.serp_records(i, topics, "news", False)),
+            "ads": (AD_ITEM, lambda i: readers.ad_records(i, rules)), "reddit": (FORUM_ITEM, readers.forum_records),
+            "pages": (CONTENT_ITEM, readers.page_bodies)}
+    staged = f"{out}/staged/run_id={rid}"
+    *found, pages = [readers.staged_source(n, spark, f"{landing}/{n}", read[n][0], f"{staged}/{n}", read[n][1])
+                     for n in [*(n for n in WEB_SOURCES if n in sources), "pages"]]
     judged = readers.try_source("verdicts_web", lambda s, p, observe: readers.read_verdicts(s, p, "web", rules.brand, observe),
                                 spark, f"{landing}/verdicts_web")
-    rid = run_id or new_run_id()
     parts = [s.rows for s in found if s.rows is not None]
     recs = readers.union_discovery(*parts) if parts else spark.createDataFrame([], DISCOVERY)
     snap = web_snapshot(recs, read_cache(spark, cache, as_of), pages.rows, rules, as_of, verdicts=judged.rows, scorer=scorer,
@@ -108,6 +112,7 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
     meta = {"as_of": as_of, "sources": ",".join(sources), "queries": ",".join(queries or ["all"]), "note": note}
     written = write_snapshot(snap.sheet, out, "web", rid, meta, guard=recs,
                              after=lambda: _reports([*found, pages, judged]) | _score_counts(snap.scores))
+    readers.write_quarantine([*found, pages], f"{out}/quarantine_web/run_id={rid}")
     if written:
         stored = spark.read.parquet(f"{out}/web").where(F.col("run_id") == rid)
         write_web(snap.sheet, f"{out}/web_csv/run_id={rid}", mode="overwrite")
@@ -145,8 +150,9 @@ def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str,
                                       "text string, intent string, ord bigint")
         chosen = chosen.unionByName(add_adhoc(chosen, extra).withColumnRenamed("ord", "seq"))
     manifest = request_manifest(chosen.drop("seq"), surfaces, runs)
-    landed = [readers.try_source("answers", readers.read_answers, spark, f"{landing}/answers"),
-              readers.try_source("answer_api", readers.read_answer_api, spark, f"{landing}/answer_api")]
+    rid = run_id or new_run_id()
+    landed = [readers.staged_source(n, spark, f"{landing}/{n}", kind, f"{out}/staged/run_id={rid}/{n}", make)
+              for n, kind, make in (("answers", ANSWER_ITEM, readers.answer_items), ("answer_api", ANSWER_API_ITEM, readers.answer_api_items))]
     parts = [s.rows for s in landed if s.rows is not None]
     answers = spark.createDataFrame([], "surface string, run bigint, prompt string, response string, citations array<string>, "
                                         f"error string, seq {LANDING.simpleString()}")
@@ -159,9 +165,9 @@ def answer_visibility(spark: SparkSession, config: dict, landing: str, out: str,
                            ledger=ledger or f"{out}/scores_answers", scorer_id=scorer_id)
     if checkpoint_dir(spark) is not None:  # once, for the guard, the sheet, the CSV and the alert
         snap = cut_lineage(snap)
-    rid = run_id or new_run_id()
     meta = {"num_runs": runs, "surfaces": ",".join(surfaces), "prompts": ",".join(prompts or ["all"]), "note": note}
     written = write_snapshot(snap, out, "answers", rid, meta, after=lambda: _reports([*landed, failed, judged]))
+    readers.write_quarantine(landed, f"{out}/quarantine_answers/run_id={rid}")
     if written:
         write_answers(snap, f"{out}/answers_csv/run_id={rid}", mode="overwrite")
         nonprod_cited(snap, rules).write.mode("overwrite").parquet(f"{out}/nonprod_answers/run_id={rid}")

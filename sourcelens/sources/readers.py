@@ -27,17 +27,41 @@ from sourcelens.schemas import (AD_ITEM, ANSWER_API_ITEM, ANSWER_ITEM, CONTENT_I
 SOURCE_ORDER = {"serp": 0, "news": 1, "ads": 2, "reddit": 3}
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _parsed(spark: SparkSession, path, schema: T.StructType, multiline: bool, observe: Observation | None) -> DataFrame:
+    """Landed JSON with its landing order; an unreadable line has nulls and its text in ``CORRUPT``."""
+    df = (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+          .option("multiLine", str(multiline).lower()).json(path).withColumn("item_seq", landing_order()))
+    return df if observe is None else df.observe(observe, F.count(F.lit(1)).alias("lines"), F.count(CORRUPT).alias("corrupt"))
+
+
 def read_items(spark: SparkSession, path, schema: T.StructType, multiline: bool = False,
                observe: Observation | None = None) -> DataFrame:
     """Landed JSON with an explicit schema; ``item_seq`` is the landing order.  Unreadable lines are dropped; ``observe``
-    counts them, and all lines, while the items are first used."""
-    corrupt = "_corrupt_record"
-    df = (spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
-          .option("multiLine", str(multiline).lower()).json(path).withColumn("item_seq", landing_order()))
-    if observe is not None:
-        df = df.observe(observe, F.count(F.lit(1)).alias("lines"), F.count(corrupt).alias("corrupt"))
-    return df.where(F.col(corrupt).isNull()).drop(corrupt)
+    counts them, and all lines, while the items are first used (``stage_items`` keeps them)."""
+    return _parsed(spark, path, schema, multiline, observe).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejected_lines(df: DataFrame, source: str) -> DataFrame:
+    """(source, file, block, row, line, reason) of the unreadable lines of a parsed frame, with their whole text."""
+    line = F.col(CORRUPT)
+    value = F.try_parse_json(line)
+    reason = (F.when(F.trim(line) == "", F.lit("blank")).when(value.isNull(), F.lit("no JSON"))
+               .when(~F.schema_of_variant(value).startswith("OBJECT"), F.lit("no object")).otherwise(F.lit("a field of another type")))
+    return df.where(line.isNotNull()).select(F.lit(source).alias("source"), "item_seq.file", "item_seq.block", "item_seq.row", line.alias("line"), reason.alias("reason"))
+
+
+def stage_items(spark: SparkSession, path, schema: T.StructType, staged: str, source: str,
+                observe: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parse landed JSON once into Parquet at ``staged``, readable and unreadable lines in a partition each.  Gives the items, as ``read_items`` does,
+    and the quarantine (``rejected_lines``); together they are every landed line."""
+    parsed = _parsed(spark, path, schema, False, observe).withColumn("rejected", F.col(CORRUPT).isNotNull())
+    parsed.write.mode("overwrite").partitionBy("rejected").parquet(staged)
+    back = spark.read.schema(parsed.schema).parquet(staged)
+    return back.where("NOT rejected").drop(CORRUPT, "rejected"), rejected_lines(back.where("rejected"), source)
 
 
 def _text_of(v: Column) -> Column:
@@ -219,6 +243,7 @@ class Source:
     name: str
     rows: DataFrame | None
     seen: Observation | None = None
+    rejected: DataFrame | None = None
 
     def report(self) -> dict[str, str]:
         """Status for ``run_meta``, once the rows have been used: missing, or ok with line counts."""
@@ -243,6 +268,29 @@ def try_source(name: str, read, *args) -> Source:
         return Source(name, None)
 
 
+def staged_source(name: str, spark: SparkSession, path: str, schema: T.StructType, staged: str, make) -> Source:
+    """As ``try_source``, by way of ``stage_items``: ``make(items)`` gives the source's rows, and its unreadable lines are kept."""
+    from pyspark.errors import AnalysisException
+    seen = Observation(f"source_{name}")
+    try:
+        items, rejected = stage_items(spark, path, schema, staged, name, seen)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Source(name, None)
+    return Source(name, make(items), seen, rejected)
+
+
+def write_quarantine(sources: list[Source], path: str) -> None:
+    """The unreadable lines of all sources as one table; nothing is written if no source is staged."""
+    found = [s.rejected for s in sources if s.rejected is not None]
+    if found:
+        out = found[0]
+        for f in found[1:]:
+            out = out.unionByName(f)
+        out.write.mode("overwrite").partitionBy("source").parquet(path)
+
+
 def union_discovery(*sources: DataFrame) -> DataFrame:
     """All discovery sources in one frame; a missing (None) source contributes nothing."""
     frames = [s for s in sources if s is not None]

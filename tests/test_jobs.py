@@ -149,3 +149,28 @@ def test_a_selection_that_matches_nothing_is_an_error(spark, tmp_path):
     import pytest
     with pytest.raises(ValueError, match="nothing like it"):
         web_refresh(spark, CONFIG, str(tmp_path), str(tmp_path / "out"), str(tmp_path / "cache"), queries=["nothing like it"])
+
+
+def test_unreadable_lines_are_kept_with_place_and_reason(spark, tmp_path):
+    from sourcelens.schemas import SERP_ITEM
+    from sourcelens.sources import readers
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    good = {"searchQuery": "license vs Token", "organicResults": [{"url": "https://mag.test/1"}]}
+    bad = ['{"searchQuery": ', '[1, 2]', '"text"', '{"searchQuery": "x", "organicResults": 5}']
+    (landing / "serp").mkdir(parents=True)
+    (landing / "serp" / "a.json").write_text("\n".join([json.dumps(good), bad[0], json.dumps(good), bad[1], bad[2]]) + "\n")
+    (landing / "serp" / "b.json").write_text(bad[3] + "\n" + json.dumps(good | {"organicResults": None}) + "\n")
+    land(landing / "pages", [{"url": "https://mag.test/1", "text": "A page."}])
+    run = web_refresh(spark, CONFIG, str(landing), out, str(tmp_path / "cache"), as_of="2024-01-20", run_id="r")
+    assert run.written
+    rows = spark.read.parquet(f"{out}/quarantine_web/run_id=r").collect()
+    kept = sorted((r.source, r.file.rsplit("/", 1)[-1], r.line, r.reason) for r in rows)
+    assert kept == sorted([("serp", "a.json", bad[0], "no JSON"), ("serp", "a.json", bad[1], "no object"), ("serp", "a.json", bad[2], "no object"),
+                           ("serp", "b.json", bad[3], "a field of another type")])
+    meta = {r.key: r.value for r in spark.read.parquet(out + "/run_meta").collect()}
+    assert (meta["source.serp.lines"], meta["source.serp.corrupt"], meta["source.pages.corrupt"], meta["source.news"]) == ("7", "4", "0", "missing")
+    items, rejected = readers.stage_items(spark, str(landing / "serp"), SERP_ITEM, str(tmp_path / "staged"), "serp")
+    plain = readers.read_items(spark, str(landing / "serp"), SERP_ITEM)
+    assert items.count() + rejected.count() == 7 and items.dtypes == plain.dtypes
+    landed = {(r.file, r.row) for r in rejected.collect()}
+    assert len(landed) == 4 and not landed & {(r.item_seq.file, r.item_seq.row) for r in items.collect()}
