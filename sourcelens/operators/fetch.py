@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sourcelens.functions.text import best_text
+from sourcelens.operators.dedupe import last_by_key
 from sourcelens.sources.cache import EXPECTED_URLS, cache_fresh, requested_only
 from sourcelens.rules import CACHE_TTL_DAYS
 
@@ -46,9 +47,17 @@ def plan_fetch(urls: DataFrame, cache: DataFrame, as_of, ttl: int = CACHE_TTL_DA
     return split_cache(urls, cache_fresh(requested_only(cache, urls.select("url"), expected_urls=expected_urls), as_of, ttl, seq))
 
 
+def unique_bodies(bodies: DataFrame, url: str = "url") -> DataFrame:
+    """(url, text), one row for each URL: the last by ``seq`` where the frame has it, else the greatest text, so that a re-run picks the
+    same.  Bodies that are already cut to one a URL (``read_pages``) keep their partitioning: this adds no shuffle to them."""
+    order = F.col("seq") if "seq" in bodies.columns else F.coalesce(F.col("text"), F.lit(""))
+    return last_by_key(bodies.select(F.col(url).alias("url"), "text", order.alias("_order")), "url", "_order").drop("_order")
+
+
 def enrich(records: DataFrame, bodies: DataFrame, url: str = "url", snippet: str = "snippet",
            out: str = "body") -> DataFrame:
-    """J4 + F7: attach the page body ('' when missing) and choose the richer of body and snippet."""
-    b = bodies.select(F.col("url").alias("_burl"), F.col("text").alias("_body"))
+    """J4 + F7: attach the page body ('' when missing) and choose the richer of body and snippet.  A record stays one row however many
+    bodies its URL has."""
+    b = unique_bodies(bodies).select(F.col("url").alias("_burl"), F.col("text").alias("_body"))
     j = records.join(b, records[url] == b["_burl"], "left").drop("_burl")
     return j.withColumn(out, best_text(F.col("_body"), F.col(snippet))).drop("_body")

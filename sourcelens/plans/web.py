@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sourcelens.functions.text import best_text, nullif_empty
 from sourcelens.functions.urls import canonical_url, host_of, is_nonprod, outbound_links, strip_ws
 from sourcelens.operators.dedupe import dedupe_best
+from sourcelens.operators.fetch import unique_bodies
 from sourcelens.operators.ownership import (domain_table, long_lists, nonprod_of_match, ownership, ownership_of_match,
                                             with_domain_match)
 from sourcelens.operators.verdicts import (merge_verdicts, persist_scores, score_batches, web_fallback,
@@ -112,7 +113,7 @@ def web_snapshot(discovery: DataFrame, cache: DataFrame, crawled: DataFrame | No
     j = best.join(fresh, "url", "left")
     miss = F.col("url").startswith("http") & F.col("_cached").isNull()
     if crawled is not None:
-        j = j.join(crawled.select("url", F.col("text").alias("_crawled")), "url", "left")
+        j = j.join(unique_bodies(crawled).select("url", F.col("text").alias("_crawled")), "url", "left")
         body = F.when(miss, F.col("_crawled")).otherwise(F.col("_cached"))
     else:
         body = F.col("_cached")

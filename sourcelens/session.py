@@ -84,8 +84,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
 
 
 def shared_scratch(spark: SparkSession) -> str:
-    """The checkpoint folder; a session that names none (a local one) gets a folder of its own."""
+    """The checkpoint folder.  A local session that names none gets a folder of its own; on a cluster that is an error, since executors
+    don't share a machine's folders."""
     d = checkpoint_dir(spark)
+    if d is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     return (d or ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="sourcelens-"))).rstrip("/")
 
 

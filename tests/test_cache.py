@@ -168,3 +168,12 @@ def test_a_crash_between_the_steps_loses_no_day(spark, tmp_path, monkeypatch):
 def test_maintenance_of_nothing(spark, tmp_path):
     from sourcelens.sources.cache import maintain_cache
     assert maintain_cache(spark, str(tmp_path / "none"), AS_OF) == {"evicted": [], "compacted": []}
+
+
+def test_repeated_bodies_make_no_further_records(spark):
+    records = spark.createDataFrame([("u", "snippet"), ("v", "s")], "url string, snippet string")
+    bodies = spark.createDataFrame([("u", "first body"), ("u", "second body"), ("u", None), ("w", "x")], "url string, text string")
+    got = {r.url: r.body for r in enrich(records, bodies).collect()}
+    assert got == {"u": "second body", "v": "s"} and enrich(records, bodies).count() == 2
+    ordered = spark.createDataFrame([("u", "the last body, kept", 2), ("u", "z" * 50, 1)], "url string, text string, seq int")
+    assert {r.body for r in enrich(records.where("url = 'u'"), ordered).collect()} == {"the last body, kept"}
