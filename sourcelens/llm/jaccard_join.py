@@ -299,11 +299,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """(id, n_shingles, component_id) for every row of ``docs``: links are pairs with similarity of at least num / den."""
     num, den = threshold
     signed = cut(_signatures(docs, id_col, text, width, num, den))
+    rows = signed.count()
     # copies: one node per set; first() of equal sets is the same whichever row it is
     nodes = cut(signed.where("n > 0 and id is not null").groupBy("digest").agg(
         F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("small").alias("small"), F.first("slot").alias("slot"), F.first("hashes").alias("hashes"))
-        .withColumn("node", F.monotonically_increasing_id()))
-    signed = cut(signed.select("id", "n", "digest"))  # the rest is kept once, with the nodes
+        .withColumn("node", F.monotonically_increasing_id()), rows)
+    signed = cut(signed.select("id", "n", "digest"), rows)  # the rest is kept once, with the nodes
     release(docs.sparkSession)
     exact = _exploded(nodes)
     counts = cut(exact.groupBy("key").agg(F.count("*").alias("g")).where("g > 1"))
@@ -328,7 +329,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch", "small"), "node"), size)
     sets = cut(_sets(_texts_of(docs, active, id_col, text), width), size)
     named, exact, counts = nodes.select("digest", "node", "id"), None, None
-    named, nodes = cut(named), None
+    named, nodes = cut(named, rows), None
     release(docs.sparkSession)
 
     links = comps = tried = None
