@@ -223,13 +223,14 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, id_col: str, text: str) -> Data
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
-    """(node, tokens).  An id that stands for several texts gives the one whose digest is the node's."""
+    """(node, tokens).  An id that stands for several texts gives those whose digest is the node's: repeated rows go before, where the join has put
+    them side by side; texts of one id and one set may give a node twice, which repeats its pairs and changes nothing."""
     def run(c):
         found = [(node, x.tobytes()) for node, digest, t in zip(c["node"], c["digest"], c["t"], strict=True)
                  if xxhash.xxh3_128_digest((x := shingles(t, width)).tobytes()) == digest]
         return {"node": [a for a, _ in found], "tokens": [b for _, b in found]}
 
-    return map_rows(texts.select("node", "digest", "t"), run, "node bigint, tokens binary").dropDuplicates(["node"])
+    return map_rows(texts.dropDuplicates(["key", "node", "digest", "t"]).select("node", "digest", "t"), run, "node bigint, tokens binary")
 
 
 def _both(pairs: DataFrame, side: DataFrame, cols: list[str]) -> DataFrame:
@@ -308,6 +309,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     release(docs.sparkSession)
     exact = _exploded(nodes)
     counts = cut(exact.groupBy("key").agg(F.count("*").alias("g")).where("g > 1"))
+    release(docs.sparkSession)
     table = Bands(num, den)
     merged = _allocation(counts, nodes, table)
     if merged:
@@ -327,6 +329,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     shared, blocks = bloom_blocks(counts.select("key"))  # most keys belong to one set only and need no shuffle
     members = cut(bloom_pass(exact, shared, blocks).join(counts, "key"), size)
     active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch", "small"), "node"), size)
+    release(docs.sparkSession)
     sets = cut(_sets(_texts_of(docs, active, id_col, text), width), size)
     named, exact, counts = nodes.select("digest", "node", "id"), None, None
     named, nodes = cut(named, rows), None
