@@ -8,7 +8,6 @@ computes the same result in DuckDB SQL from the same tables.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -562,16 +561,19 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm() -> tuple[dict, dict]:
-    """Queries and oracles of the llm subpackage and its pipeline; empty where they have been removed."""
-    if importlib.util.find_spec("sourcelens.llm") is None:
+    """Queries and oracles of the llm subpackage and its pipeline, as far as they can be imported."""
+    try:
+        from sourcelens.llm.queries import oracles, queries as llm_queries
+    except ImportError:
         return {}, {}
-    from sourcelens.llm.queries import oracles, queries as llm_queries
     qs, sql = llm_queries(), oracles()
-    if importlib.util.find_spec("corpus_pipeline") is not None:
+    try:
         import corpus_pipeline
-        qs["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return qs, sql
+    qs["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return qs, sql
 
 
