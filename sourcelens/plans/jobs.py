@@ -26,7 +26,7 @@ from sourcelens.rules import BrandRules
 from sourcelens.schemas import AD_ITEM, ANSWER_API_ITEM, ANSWER_ITEM, CONTENT_ITEM, DISCOVERY, FORUM_ITEM, LANDING, SERP_ITEM
 from sourcelens.sources import readers
 from sourcelens.session import checkpoint_dir, cut_lineage
-from sourcelens.sources.cache import append_cache, read_cache
+from sourcelens.sources.cache import append_cache, evict_cache, read_cache
 from sourcelens.sources.sinks import new_run_id, write_answers, write_snapshot, write_web
 
 WEB_SOURCES = ["serp", "news", "ads", "reddit"]
@@ -86,7 +86,7 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
     optionally ``verdicts_web`` (model verdicts by canonical URL; else ``scorer``, else the rule fallback).  A missing
     folder is a failed source: it contributes nothing, and ``run_meta`` says so, as it says how many lines were unreadable.
     Written: the sheet (``web``, and in discovery order as CSV, ``web_csv``), every non-production URL (``nonprod_web``),
-    ``crawl_list``, ``run_meta``, and the crawled pages in the cache.  The scorer's verdicts go to a ``ledger`` (``scores_web``
+    ``crawl_list``, ``run_meta``, and the crawled pages in the cache, whose days past twice the time to live are removed.  The scorer's verdicts go to a ``ledger`` (``scores_web``
     unless given) as they come, so a failed run started again asks only for what is left.  Landed lines are parsed once, into
     ``staged``; those that can't be read are kept whole, with place and reason, in ``quarantine_web``.
     """
@@ -120,6 +120,7 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
         snap.crawl_list.write.mode("overwrite").parquet(f"{out}/crawl_list/run_id={rid}")
         if snap.crawled is not None:
             append_cache(snap.crawled, cache, as_of)
+            evict_cache(spark, cache, as_of)
     return WebRun(rid, written, snap.sheet, snap.crawl_list)
 
 

@@ -174,3 +174,14 @@ def test_unreadable_lines_are_kept_with_place_and_reason(spark, tmp_path):
     assert items.count() + rejected.count() == 7 and items.dtypes == plain.dtypes
     landed = {(r.file, r.row) for r in rejected.collect()}
     assert len(landed) == 4 and not landed & {(r.item_seq.file, r.item_seq.row) for r in items.collect()}
+
+
+def test_a_web_run_removes_old_days_from_the_cache(spark, tmp_path):
+    from sourcelens.sources.cache import append_cache
+    landing, cache = tmp_path / "landing", str(tmp_path / "cache")
+    land(landing / "serp", [{"searchQuery": "license vs Token", "organicResults": [{"url": "https://mag.test/1"}]}])
+    land(landing / "pages", [{"url": "https://mag.test/1", "text": "A page."}])
+    for day in ("2024-01-05", "2024-01-06", "2024-01-19"):
+        append_cache(spark.createDataFrame([(f"https://{day}.test/", day)], "url string, text string"), cache, day)
+    web_refresh(spark, CONFIG, str(landing), str(tmp_path / "out"), cache, as_of="2024-01-20")
+    assert sorted(p.name[11:] for p in (tmp_path / "cache").glob("fetch_date=*")) == ["2024-01-06", "2024-01-19", "2024-01-20"]
