@@ -75,3 +75,24 @@ def test_empty_tables(spark):
     assert catalog_mentions(docs, catalog.limit(0)).collect() == []
     assert catalog_mentions(docs.limit(0), catalog).collect() == []
     assert {tuple(r.comps) for r in with_catalog_brands(docs, catalog.limit(0)).collect()} == {()}
+
+
+@pytest.mark.parametrize("word", [False, True])
+def test_neither_texts_nor_their_grams_are_shuffled(spark, word):
+    docs, catalog = frames(spark, ODD)
+    mentions = catalog_mentions(docs, catalog, word_boundary=word, broadcast_brands=0)
+    plan = mentions._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan and "_hash" not in plan
+    assert not [line for line in plan.split("\n") if "Exchange" in line and "_lt" in line]
+
+
+def test_one_needle_for_several_brands_and_long_texts(spark):
+    from sourcelens.operators import brand_index as b
+    name = "é" * 40 + " x"
+    rows = [(i, ("ab " * i + name + "!" + "ü" * 5) * 3) for i in range(30)] + [(99, "z" * (b.SLICE + 5) + " " + name.upper())]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    catalog = spark.createDataFrame([(1, name), (2, name.upper()), (3, "ab " + name), (4, "z" * 1000), (5, "b ab")], "brand_pos int, brand string")
+    for word in (False, True):
+        got = sorted((r.doc_id, r.brand_pos) for r in catalog_mentions(docs, catalog, word_boundary=word, broadcast_brands=0).collect())
+        whole = lambda t, n: re.search(rf"\b{n}\b" if word else n, t) is not None
+        assert got == sorted((i, p) for i, t in rows for p, n in ((1, name), (2, name), (3, "ab " + name), (4, "z" * 1000), (5, "b ab")) if whole(t.lower(), n))
