@@ -98,25 +98,32 @@ def _typed(selectors: DataFrame) -> DataFrame:
             .select("ord", "token", digits.alias("digits"), F.when(digits, F.expr("try_cast(token AS BIGINT)")).alias("number")))
 
 
-def _selections(catalog: DataFrame, typed: DataFrame, label: str, pos: str) -> DataFrame:
-    """(pos, ord): every catalog row that a selector names.  Numbers meet positions in an equi-join; names meet labels by their rarest n-gram."""
+def _named(catalog: DataFrame, typed: DataFrame, label: str) -> DataFrame:
+    """(label, token, ord): every different label and lower-cased token that is a part of it; ``ord`` is the token's first."""
+    names = typed.where("NOT digits").groupBy(F.lower("token").alias("brand")).agg(F.min("ord").alias("brand_pos"))
+    found = catalog_mentions(catalog.select(F.col(label).alias("_label")).distinct(), names, "_label", "_label")
+    return found.select("_label", F.col("brand").alias("_token"), F.col("brand_pos").alias("ord"))
+
+
+def _by_number(catalog: DataFrame, typed: DataFrame, pos: str) -> DataFrame:
+    """(pos, ord): catalog rows that a selector names by position."""
     numbers = typed.where("number IS NOT NULL").select("ord", F.col("number").alias("_n"))
-    by_number = catalog.select(pos).join(numbers, F.col(pos) == F.col("_n")).select(pos, "ord")
-    names = typed.where("NOT digits").select(F.col("ord").alias("brand_pos"), F.col("token").alias("brand"))
-    by_name = catalog_mentions(catalog.select(pos, label), names, pos, label).select(pos, F.col("brand_pos").alias("ord"))
-    return by_number.unionByName(by_name)
+    return catalog.select(pos).join(numbers, F.col(pos) == F.col("_n")).select(pos, "ord")
 
 
 def select_by_table(catalog: DataFrame, selectors: DataFrame, label: str = "label", pos: str = "pos") -> DataFrame:
     """J12 for a table of selectors (ord, token), of any length, over a catalog of any length: the same rows as ``select_catalog`` gives for a list.
 
-    No label is compared with every selector: selectors are looked up by an n-gram (see ``brand_index``), so work follows the labels' n-grams and the
-    candidates.  A position names one catalog row.  Planning looks at two selectors, to tell ``all`` alone, and at the index's size."""
+    No label is compared with every selector: different tokens are looked up in different labels (see ``brand_index``), and only a label's first
+    selector comes back to its rows.  A position names one catalog row.  Planning looks at two selectors, to tell ``all`` alone, and at the index's size."""
     typed = _typed(selectors)
     first = typed.limit(2).collect()
     if not first or len(first) == 1 and first[0].token.lower() in ("all", "*"):
         return catalog.withColumn("sel_ord", F.lit(0).cast("bigint"))
-    chosen = _selections(catalog, typed, label, pos).groupBy(F.col(pos).alias("_pos")).agg(F.min("ord").cast("bigint").alias("sel_ord"))
+    labels = _named(catalog, typed, label).groupBy("_label").agg(F.min("ord").alias("ord"))
+    by_name = catalog.join(labels, F.col(label) == F.col("_label")).select(pos, "ord")
+    chosen = (_by_number(catalog, typed, pos).unionByName(by_name)
+              .groupBy(F.col(pos).alias("_pos")).agg(F.min("ord").cast("bigint").alias("sel_ord")))
     matched = catalog.join(chosen, F.col(pos) == F.col("_pos")).drop("_pos")
     return keep_first(matched, label, ["sel_ord", pos])
 
@@ -124,7 +131,10 @@ def select_by_table(catalog: DataFrame, selectors: DataFrame, label: str = "labe
 def unmatched_by_table(catalog: DataFrame, selectors: DataFrame, label: str = "label", pos: str = "pos") -> DataFrame:
     """(ord, token) of the selectors of a table that select no catalog row."""
     typed = _typed(selectors)
-    return typed.select("ord", "token").join(_selections(catalog, typed, label, pos).select("ord").distinct(), "ord", "left_anti")
+    tokens = _named(catalog, typed, label).select("_token").distinct()
+    by_name = typed.where("NOT digits").join(tokens, F.lower("token") == F.col("_token"), "left_semi").select("ord")
+    hit = _by_number(catalog, typed, pos).select("ord").unionByName(by_name).distinct()
+    return typed.select("ord", "token").join(hit, "ord", "left_anti")
 
 
 def require_matched(catalog: DataFrame, tokens: list[str] | None, label: str = "label", pos: str = "pos") -> None:

@@ -133,3 +133,23 @@ def test_a_table_of_selectors_selects_as_a_list_does(spark):
         if tokens not in ([], ["all"], [" * "]):
             missed = sorted((r.ord, r.token) for r in unmatched_by_table(cat, sel).collect())
             assert missed == sorted((r.ord, r.token) for r in unmatched_selectors(cat, tokens).collect())
+
+
+def test_repeated_labels_and_selectors_are_looked_up_once(spark, monkeypatch):
+    from sourcelens.operators import catalog as c
+    seen = []
+
+    def counted(labels, names, *args):
+        out = mentions(labels, names, *args)
+        seen.append((labels.count(), names.count(), out.count()))
+        return out
+
+    mentions = c.catalog_mentions
+    monkeypatch.setattr(c, "catalog_mentions", counted)
+    cat = catalog(spark, ["Red ring", "red bolt", "Blue"] * 100 + [None])
+    tokens = ["RING", "ing", " bolt", "nothing", "7"] * 40
+    sel = spark.createDataFrame(list(enumerate(tokens)), "ord bigint, token string")
+    got = sorted((r.sel_ord, r.pos, r.label) for r in c.select_by_table(cat, sel).collect())
+    assert got == sorted((r.sel_ord, r.pos, r.label) for r in select_catalog(cat, tokens).collect())
+    assert seen == [(4, 4, 3)]
+    assert sorted(r.ord for r in c.unmatched_by_table(cat, sel).collect()) == [i for i, t in enumerate(tokens) if t == "nothing"]
