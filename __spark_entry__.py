@@ -425,13 +425,13 @@ def _topics(spark):
 
 def q_serp_records(spark, sf):
     items = tb.parse_lines(tb.serp_lines(spark, sf), SERP_ITEM)
-    return readers.serp_records(items, _topics(spark), "web", True).select(
+    return readers.serp_records(items, _topics(spark), "web", True, broadcast_topics=True).select(
         *REC, F.col("seq.item.row").alias("item"), "seq.kind", "seq.pos")
 
 
 def q_news_records(spark, sf):
     items = tb.parse_lines(tb.serp_lines(spark, sf), SERP_ITEM)
-    return readers.serp_records(items, _topics(spark), "news", False).select(
+    return readers.serp_records(items, _topics(spark), "news", False, broadcast_topics=True).select(
         *REC, F.col("seq.item.row").alias("item"), "seq.kind", "seq.pos")
 
 
@@ -490,8 +490,9 @@ def q_merged_bodies(spark, sf):
 
 def q_landed_discovery(spark, sf):
     """All discovery sources, landed as files, read by their readers and united."""
-    web, news = readers.read_serp(spark, tb.land(tb.serp_lines(spark, sf), "serp"), _topics(spark)), \
-        readers.read_news(spark, tb.land(tb.serp_lines(spark, sf), "news"), _topics(spark))
+    serp = tb.land(tb.serp_lines(spark, sf), "serp")
+    web = readers.read_serp(spark, serp, _topics(spark), broadcast_topics=True)
+    news = readers.read_news(spark, tb.land(tb.landed(spark, serp), "news"), _topics(spark), broadcast_topics=True)
     ads = readers.read_ads(spark, tb.land(tb.ad_lines(spark, sf), "ads"), R)
     forum = readers.read_forum(spark, tb.land(tb.forum_lines(spark, sf), "reddit"))
     return readers.union_discovery(web, news, ads, forum).select(*REC, "ownership", "source_ord", "seq.kind", "seq.pos")

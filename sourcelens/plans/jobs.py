@@ -96,8 +96,8 @@ def web_refresh(spark: SparkSession, config: dict, landing: str, out: str, cache
     chosen = select_topics(spark, config, queries)
     topics = chosen.select("id", "intent", "query", "seq")
     rid = run_id or new_run_id()
-    read = {"serp": (SERP_ITEM, lambda i: readers.serp_records(i, topics, "web", True)),
-            "news": (SERP_ITEM, lambda i: readers.serp_records(i, topics, "news", False)),
+    read = {"serp": (SERP_ITEM, lambda i: readers.serp_records(i, topics, "web", True, broadcast_topics=True)),
+            "news": (SERP_ITEM, lambda i: readers.serp_records(i, topics, "news", False, broadcast_topics=True)),
             "ads": (AD_ITEM, lambda i: readers.ad_records(i, rules)), "reddit": (FORUM_ITEM, readers.forum_records),
             "pages": (CONTENT_ITEM, readers.page_bodies)}
     staged = f"{out}/staged/run_id={rid}"

@@ -190,16 +190,19 @@ def _json_str(c):
 
 
 def _page_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One item per document: its text, its page, the next page, and all turns of the conversation of its id."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    """One item per document: its text, its page, the next page, and all turns of the conversation of its id.
+
+    Ids meet the pages first, without texts; the texts of documents and turns are shuffled once, by id."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", "html", F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),
+        F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1).alias("lang"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item"), F.col("text").alias("doc"))
     turns = (table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("item"))
              .agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("turns")))
-    b = beside_page(docs, pages, "item").drop("page_id")
-    b = beside_page(b, pages.select("page_id", F.col("url").alias("next_url")), "item", plus=1).drop("page_id")
-    return (b.join(turns, "item", "left").withColumn("page_id", F.col("item"))
-             .withColumn("title", F.regexp_extract("html", r"<title>(.*?)</title>", 1))
-             .withColumn("lang", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1)))
+    ids = docs.select("item").distinct()
+    b = beside_page(ids, pages.select("page_id", F.col("url").alias("next_url")), "item", plus=1).drop("page_id")
+    b = beside_page(b, pages, "item").drop("page_id")
+    return docs.join(b, "item").join(turns, "item", "left").withColumn("page_id", F.col("item"))
 
 
 def serp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,13 +324,18 @@ def parse_lines(lines: DataFrame, schema) -> DataFrame:
 
 
 def land(lines: DataFrame, name: str) -> str:
-    """Write lines as a landing folder of JSON files, for queries that go through a ``read_*`` function."""
+    """Write lines as a landing folder of compressed JSON files, for queries that go through a ``read_*`` function."""
     from sourcelens.session import shared_scratch
     path = f"{shared_scratch(lines.sparkSession)}/landing-{uuid.uuid4().hex}/{name}"
-    lines.select("line").write.text(path)
+    lines.select("line").write.option("compression", "gzip").text(path)
     return path
 
 
+def landed(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a landing folder, to land them elsewhere without making them again."""
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 def app_and_market_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page URLs, two fifths of them turned into app-store links and one into marketplace links."""
     pid, url = F.col("page_id"), F.col("url")

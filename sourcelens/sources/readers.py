@@ -93,14 +93,15 @@ def place(kind: int, pos) -> Column:
 
 
 def serp_records(items: DataFrame, topics: DataFrame | None, platform: str = "web",
-                 overviews: bool = True) -> DataFrame:
+                 overviews: bool = True, broadcast_topics: bool = False) -> DataFrame:
     """S1-S3 (S4 with ``platform='news', overviews=False``): organic hits with 1-based rank
     (hits without a URL count for rank, then are dropped), the AI overview as a rank-0
     pseudo-URL row, and the assistant panels as rank-0 pseudo-URL rows.
 
     One pass over the items: every item builds one array of its candidate records
     (organic, overview, panels), which is filtered and ``inline``d - the landing files are
-    scanned once, not once per record kind."""
+    scanned once, not once per record kind.  ``broadcast_topics``: as in ``tag_topics``, the records are
+    then not shuffled."""
     q = _search_query(F.col("searchQuery"))
     base = items.withColumn("query", q)
     qc = F.col("query")
@@ -134,18 +135,20 @@ def serp_records(items: DataFrame, topics: DataFrame | None, platform: str = "we
             parts.append(arr(panels))
     out = base.select(F.inline(F.concat(*parts)))
     if topics is not None:
-        out = tag_topics(out, topics, "query")
+        out = tag_topics(out, topics, "query", broadcast=broadcast_topics)
     else:
         out = out.withColumn("intent", F.lit("unknown")).withColumn("topic_id", F.lit(""))
     return _conform(out.withColumn("source_ord", F.lit(SOURCE_ORDER["news" if platform == "news" else "serp"])))
 
 
-def read_serp(spark: SparkSession, path, topics: DataFrame | None = None, observe: Observation | None = None) -> DataFrame:
-    return serp_records(read_items(spark, path, SERP_ITEM, observe=observe), topics, "web", True)
+def read_serp(spark: SparkSession, path, topics: DataFrame | None = None, observe: Observation | None = None,
+              broadcast_topics: bool = False) -> DataFrame:
+    return serp_records(read_items(spark, path, SERP_ITEM, observe=observe), topics, "web", True, broadcast_topics)
 
 
-def read_news(spark: SparkSession, path, topics: DataFrame | None = None, observe: Observation | None = None) -> DataFrame:
-    return serp_records(read_items(spark, path, SERP_ITEM, observe=observe), topics, "news", False)
+def read_news(spark: SparkSession, path, topics: DataFrame | None = None, observe: Observation | None = None,
+              broadcast_topics: bool = False) -> DataFrame:
+    return serp_records(read_items(spark, path, SERP_ITEM, observe=observe), topics, "news", False, broadcast_topics)
 
 
 def ad_records(items: DataFrame, rules: BrandRules) -> DataFrame:

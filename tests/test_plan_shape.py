@@ -1,5 +1,7 @@
 """Physical plan checks: native expressions only (no Python outside V1), pushdown, top-k shapes."""
 
+import re
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -92,3 +94,32 @@ def test_citation_share_with_a_hot_host(spark):
     assert rows["hot.test"] == 3000 and sum(rows.values()) == 9000
     p = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in p
+
+
+def shuffles_above(p, *scan):
+    """How many exchanges stand above the scan whose line holds all of ``scan``."""
+    lines = [(re.search(r"[A-Za-z*]", x).start(), x) for x in p.split("\n") if re.search(r"[A-Za-z*]", x)]
+    at = next(i for i, (_, x) in enumerate(lines) if all(s in x for s in scan))
+    depth, n = lines[at][0], 0
+    for d, x in reversed(lines[:at]):
+        if d < depth:
+            depth, n = d, n + (" Exchange " in x.replace("- Exchange", " Exchange "))
+    return n
+
+
+def test_landed_lines_shuffle_texts_once(spark):
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (E.q_serp_records(spark, SF), E.q_news_records(spark, SF), E.tb.ad_lines(spark, SF)):
+            assert shuffles_above(plan(df), "documents.parquet", "text:string") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_lines_land_again_as_they_are(spark):
+    lines = spark.createDataFrame([('{"a": "é\\u2028"}',), ("",), ("x y ",)], "line string")
+    one = E.tb.land(lines, "one")
+    two = E.tb.land(E.tb.landed(spark, one), "two")
+    want = sorted(r.line for r in lines.collect())
+    assert sorted(r.line for r in E.tb.landed(spark, one).collect()) == sorted(r.line for r in E.tb.landed(spark, two).collect()) == want
