@@ -31,7 +31,13 @@ def cut(df: DataFrame, rows: int | None = None, per_part: int = 25_000) -> DataF
     jobs don't compute it again.  With a bound of its ``rows``, a small table becomes few files, and the shuffles
     after it few pieces, however many partitions the session uses."""
     shared_folder(df.sparkSession)
-    return (df if rows is None else df.coalesce(max(4, -(-rows // per_part)))).checkpoint(eager=True)
+    return (df if rows is None else few(df, rows, per_part)).checkpoint(eager=True)
+
+
+def few(df: DataFrame, rows: int, per_part: int = 25_000) -> DataFrame:
+    """``df``, of at most so many rows, in as many tasks as these need: a small table that comes from a shuffle and goes to
+    the next one else runs a task, and leaves a shuffle file, for every partition of the session."""
+    return df.coalesce(max(4, -(-rows // per_part)))
 
 
 def release(spark: SparkSession) -> None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sourcelens.llm.common import cut
+from sourcelens.llm.common import cut, few
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
@@ -25,14 +25,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = cut(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), bound, 200_000)
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         least = _minimum(both).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        large = few(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"), bound, 200_000)
         low = _minimum(large)
-        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        edges = cut(small, bound, 200_000)
+        small = few(large.join(low, "u"), bound, 200_000).select(
+            F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
+        edges = cut(small.where("u <> v").distinct(), bound, 200_000)
         now = _state(edges)
         if now == before:
             break

@@ -9,7 +9,8 @@ its one-deletion neighbourhood: over segments with exact and one-deletion keys,
 
 Candidates under a key are verified exactly, but not all of them: only pairs of different components matter.  Some rounds
 compare each member of a key's group with one pivot; links join components.  What is still apart is compared in blocks of
-bounded size, after a lossless bound (difference of bucket counts, at most the symmetric difference).
+bounded size.  A lossless bound goes first: a set's parity bits, some for each element, differ in no more places than the sets do, and
+in hardly fewer, so what passes is little more than the links.
 
 Defined cases: a text without words (or null) has no shingles and is its own component; with fewer words than a
 shingle the whole sequence is one; repeated rows are copies; a null id is kept, and never names a component that has
@@ -28,16 +29,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sourcelens.llm.common import cut, map_arrow, map_rows, release
+from sourcelens.llm.common import cut, few, map_arrow, map_rows, release
 from sourcelens.llm.components import components
 from sourcelens.llm.url_filter import bloom_blocks, bloom_pass
 
 SHINGLE = 5
 THRESHOLD = (80, 100)
 BAND_RATIO = 1.3
-BUCKETS = 64  # of the sketch of a small set
-PER_BUCKET = 8
+LEAST_BITS, MOST_BITS = 512, 32_768  # of a sketch; that of a set with more elements than MOST_BITS has at least one for each
+BITS_EACH = 4
 ROUNDS = 3
+#: Pivots go on while the last ones found more than one link in so many.
+FEW_LINKS = 8
 BLOCK = 256
 #: What writing and reading one more index key costs, in compared pairs.
 KEY_COST = 4.0
@@ -143,38 +146,39 @@ def segment_keys(tokens: np.ndarray, table: Bands, merged: dict[int, list[int]]
 
 
 def _sketch(tokens: np.ndarray) -> bytes:
-    """Tokens per bucket, cut off at 255: the sum of differences never exceeds the symmetric difference.  The number of buckets, a
-    power of two, grows with the set, so that sets without much in common differ by more than a link allows."""
-    buckets = max(BUCKETS, 1 << (len(tokens) // PER_BUCKET).bit_length())
-    return np.minimum(np.bincount((tokens & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
+    """Parity of the number of tokens for each value of their low bits, as bits.  Two sketches differ in at most as many bits as the
+    sets have elements apart: an element changes one bit.  Sets of n elements that are d apart differ in about d - d * d / (4 * n) bits or more."""
+    n = len(tokens)
+    bits = 1 << (max(LEAST_BITS, min(BITS_EACH * n, max(MOST_BITS, n))) - 1).bit_length()
+    return np.packbits((np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def _folded(sketch: bytes, buckets: int) -> np.ndarray:
-    return np.frombuffer(sketch, np.uint8).reshape(-1, buckets).sum(axis=0, dtype=np.int64)
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of the same set with ``size`` bytes, a power of two."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
 
 
 def _least_difference(x: bytes, y: bytes) -> int:
-    """At most the symmetric difference of the two sets (a bucket that was cut off makes it smaller)."""
-    buckets = min(len(x), len(y))
-    return int(np.abs(_folded(x, buckets) - _folded(y, buckets)).sum())
+    """At most the symmetric difference of the two sets."""
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
 
 
 def _signatures(docs: DataFrame, id_col: str, text: str, width: int, num: int, den: int) -> DataFrame:
     def run(c):
-        table, out = bands(num, den), {"id": c["id"], "n": [], "digest": [], "sketch": [], "small": [], "slot": [], "hashes": []}
+        table, out = bands(num, den), {"id": c["id"], "n": [], "digest": [], "sketch": [], "slot": [], "hashes": []}
         for t in c["t"]:
             x = shingles(t, width)
             out["n"].append(len(x))
             out["digest"].append(xxhash.xxh3_128_digest(x.tobytes()))
-            out["sketch"].append(sketch := _sketch(x))
-            out["small"].append(np.minimum(_folded(sketch, BUCKETS), 255).astype(np.uint8).tobytes())
+            out["sketch"].append(_sketch(x))
             keys = segment_keys(x, table)
             out["slot"].append(int(keys[0]) >> HASH_BITS if len(keys) else 0)
             out["hashes"].append(keys.astype(np.int32))  # the lower half; a set's slots are consecutive
         return out
 
     return map_rows(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("t")), run,
-                    "id bigint, n bigint, digest binary, sketch binary, small binary, slot bigint, hashes array<int>")
+                    "id bigint, n bigint, digest binary, sketch binary, slot bigint, hashes array<int>")
 
 
 def _exploded(nodes: DataFrame) -> DataFrame:
@@ -233,14 +237,14 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
     return map_rows(texts.dropDuplicates(["key", "node", "digest", "t"]).select("node", "digest", "t"), run, "node bigint, tokens binary")
 
 
-def _both(pairs: DataFrame, side: DataFrame, cols: list[str]) -> DataFrame:
+def _both(pairs: DataFrame, side: DataFrame, cols: list[str], rows: int) -> DataFrame:
     for x in "ab":
-        pairs = pairs.join(side.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols]), x)
-    return pairs
+        pairs = few(pairs, rows).join(side.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols]), x)
+    return few(pairs, rows)
 
 
 def _possible(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b, sketch_a, sketch_b) whose sizes and bucket counts allow a link."""
+    """Pairs (a, b, n_a, n_b, sketch_a, sketch_b) whose sizes and sketches allow a link."""
     def run(batches):
         for c in batches:
             most = (c.column("n_a").to_numpy() + c.column("n_b").to_numpy()) * (den - num) // (den + num)
@@ -264,35 +268,55 @@ def _linked(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return map_arrow(pairs.select("a", "b", "tokens_a", "tokens_b"), run, "a bigint, b bigint")
 
 
+def _block_pairs(x: np.ndarray, node: np.ndarray, comp: np.ndarray, n: np.ndarray, sketches: list[bytes], num: int, den: int) -> np.ndarray:
+    """Pairs of different components between the one or two blocks (``x``) of one group whose sizes and sketches allow a link."""
+    size = min(map(len, sketches))
+    bits = np.stack([_folded(s, size) for s in sketches])
+    u, v = np.flatnonzero(x == x.min()), np.flatnonzero(x == x.max())
+    most = (n[u][:, None] + n[v][None, :]) * (den - num) // (den + num)
+    possible = (comp[u][:, None] != comp[v][None, :]) & (np.abs(n[u][:, None] - n[v][None, :]) <= most)
+    step = max(1, (1 << 20) // (len(v) * bits.shape[1]))  # some MB at a time
+    for at in range(0, len(u), step):
+        if possible[at:at + step].any():
+            apart = np.bitwise_count(bits[u[at:at + step]][:, None, :] ^ bits[v][None, :, :]).sum(axis=2, dtype=np.int64)
+            possible[at:at + step] &= apart <= most[at:at + step]
+    s, t = np.nonzero(possible)
+    return np.unique(np.sort(np.stack([node[u[s]], node[v[t]]], axis=1), axis=1), axis=0)
+
+
 def _pairs_in_blocks(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of different components under one key that may be linked, by the sketches folded to ``BUCKETS``.  Groups are
-    cut into blocks; each pair of blocks is one row, of bounded size."""
+    """Pairs of different components under one key that may be linked, by the sketches.  Groups are cut into blocks; the rows of a
+    pair of blocks stand side by side, so a task holds one pair of blocks and the batch that it reads."""
     g = F.ceil(F.col("g") / BLOCK).cast("int")
     x = F.pmod(F.xxhash64("node", F.lit(3)), g).cast("int")
-    dealt = (members.withColumns({"x": x, "nb": g}).select("key", "x", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("y"), "node", "comp", "n", "small")
-             .groupBy("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"))
-             .agg(F.collect_list(F.struct("x", "node", "comp", "n", "small")).alias("m")))
+    dealt = (members.withColumns({"x": x, "nb": g}).select("key", "x", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("y"), "node", "comp", "n", "sketch")
+             .select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "x", "node", "comp", "n", "sketch")
+             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+
+    def pairs(t: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        x, node, comp, n = (t.column(k).to_numpy() for k in ("x", "node", "comp", "n"))
+        sketches, found = t.column("sketch"), [np.zeros((0, 2), np.int64)]
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            if comp[s:e].min() < comp[s:e].max() and (x[s] == t.column("i")[s].as_py() == t.column("j")[s].as_py() or x[s:e].min() < x[s:e].max()):
+                found.append(_block_pairs(x[s:e], node[s:e], comp[s:e], n[s:e], sketches.slice(s, e - s).to_pylist(), num, den))
+        out = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
 
     def run(batches):
+        held = None  # the rows of the last pair of blocks, which may go on in the next batch
         for c in batches:
-            lists = c.column("m")
-            ends, fields = lists.offsets.to_numpy(), lists.values
-            if not c.num_rows:
+            t = pa.Table.from_batches([c])
+            t = (t if held is None else pa.concat_tables([held, t])).combine_chunks()
+            if not t.num_rows:
                 continue
-            x, node, comp, n = (fields.field(k).to_numpy(zero_copy_only=False) for k in ("x", "node", "comp", "n"))
-            small = np.frombuffer(b"".join(fields.field("small").to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
-            found = [np.zeros((0, 2), np.int64)]
-            for r, (i, j) in enumerate(zip(c.column("i").to_pylist(), c.column("j").to_pylist(), strict=True)):
-                own = np.arange(ends[r], ends[r + 1])
-                u, v = own[x[own] == i], own[x[own] == j]
-                apart = np.abs(small[u][:, None, :] - small[v][None, :, :]).sum(axis=2)
-                most = (n[u][:, None] + n[v][None, :]) * (den - num) // (den + num)
-                s, t = np.nonzero((apart <= most) & (comp[u][:, None] != comp[v][None, :]))
-                found.append(np.unique(np.sort(np.stack([node[u[s]], node[v[t]]], axis=1), axis=1), axis=0))
-            pairs = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    return map_arrow(dealt.select("i", "j", "m"), run, "a bigint, b bigint").distinct()
+            place = np.stack([t.column(k).to_numpy() for k in ("key", "i", "j")])
+            starts = np.concatenate([[0], np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1])
+            held = t.slice(starts[-1])
+            yield pairs(t, starts)
+        if held is not None and held.num_rows:
+            yield pairs(held.combine_chunks(), np.array([0, held.num_rows]))
+
+    return map_arrow(dealt, run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD,
@@ -303,7 +327,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = signed.count()
     # copies: one node per set; first() of equal sets is the same whichever row it is
     nodes = cut(signed.where("n > 0 and id is not null").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("small").alias("small"), F.first("slot").alias("slot"), F.first("hashes").alias("hashes"))
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("slot").alias("slot"), F.first("hashes").alias("hashes"))
         .withColumn("node", F.monotonically_increasing_id()), rows)
     signed = cut(signed.select("id", "n", "digest"), rows)  # the rest is kept once, with the nodes
     release(docs.sparkSession)
@@ -324,44 +348,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         more = _merged_keys(texts, merged, width, num, den).select("node", F.explode("keys").alias("key")).distinct()
         more = cut(more)
         more_counts = more.groupBy("key").agg(F.count("*").alias("g")).where("g > 1")
-        exact, counts = exact.unionByName(more), counts.unionByName(more_counts)
+        exact, counts = exact.unionByName(more), cut(counts.unionByName(more_counts))
     size = counts.agg(F.sum("g")).first()[0] or 0
     shared, blocks = bloom_blocks(counts.select("key"))  # most keys belong to one set only and need no shuffle
     members = cut(bloom_pass(exact, shared, blocks).join(counts, "key"), size)
-    active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch", "small"), "node"), size)
+    active = cut(members.select("node").distinct().join(nodes.select("node", "id", "digest", "n", "sketch"), "node"), size)
     release(docs.sparkSession)
     sets = cut(_sets(_texts_of(docs, active, id_col, text), width), size)
     named, exact, counts = nodes.select("digest", "node", "id"), None, None
     named, nodes = cut(named, rows), None
     release(docs.sparkSession)
 
-    links = comps = tried = None
-    for r in range(rounds + 1):
-        label = members if comps is None else members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        if comps is None:
-            label = label.withColumn("comp", F.col("node"))
+    comps, total, r, last = None, 0, 0, False
+    while not last:
+        last = r >= rounds or r > 0 and new * FEW_LINKS <= total
+        label = members.withColumn("comp", F.col("node")) if comps is None else few(
+            members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), size)
         pivots = label.groupBy("key").agg(F.min_by(F.struct("node", "comp"), F.xxhash64("node", F.lit(r))).alias("p"),
                                           F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                          F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"), F.max("g").alias("g")).where("low < high")
-        if r < rounds:
-            pairs = (label.join(pivots.select("key", "p"), "key").where("comp <> p.comp")
+                                          F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")).where("low < high")
+        label = cut(label.join(pivots.select("key", "p", "who"), "key"), size)  # a key whose members are in one component is done with
+        members = label.select("key", "node", "g")
+        if not last:
+            pairs = (label.where("comp <> p.comp")
                      .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct())
-            maybe = _possible(_both(pairs, active, ["n", "sketch"]), num, den)
+            maybe = _possible(_both(pairs, active, ["n", "sketch"], size), num, den)
         else:  # a key of two members has been tried; of keys with the same members one is enough
-            keys = pivots.where("g > 2").groupBy("g", "who").agg(F.min("key").alias("key")).select("key")
-            rest = label.join(keys, "key", "left_semi").join(active.select("node", "n", "small"), "node")
-            maybe = _possible(_both(_pairs_in_blocks(rest, num, den), active, ["n", "sketch"]), num, den)
-        if tried is not None:
-            maybe = maybe.join(tried, ["a", "b"], "left_anti")
+            keys = few(label.where("g > 2").groupBy("g", "who").agg(F.min("key").alias("key")).select("key"), size)
+            rest = few(few(label.join(keys, "key", "left_semi").drop("p", "who"), size).join(active.select("node", "n", "sketch"), "node"), size)
+            maybe = _pairs_in_blocks(rest, num, den)
         maybe = cut(maybe, size)
         asked = maybe.select(F.explode(F.array("a", "b")).alias("key")).distinct()
         own = bloom_pass(sets.withColumnRenamed("node", "key"), *bloom_blocks(asked)).withColumnRenamed("key", "node")
-        found = cut(_linked(_both(maybe, own, ["tokens"]), num, den), size)
-        tried = maybe if tried is None else tried.unionByName(maybe)
-        new = found.limit(1).count()
-        links = found if links is None else links.unionByName(found)
+        found = cut(_linked(_both(maybe, own, ["tokens"], size), num, den), size)
+        new = found.count()
         if new:
-            comps = cut(components(links), size)
+            known = found if comps is None else found.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")))
+            comps = cut(components(known), size)
+        total, r = total + new, r + 1
+        label = pivots = maybe = found = asked = own = known = None
         release(docs.sparkSession)
     if comps is not None:
         named = named.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -166,6 +166,78 @@ def test_segments_keep_the_pigeonhole_promise():
             assert keys[0] & keys[1]
 
 
+def test_sketches_differ_hardly_less_than_the_sets():
+    rng = np.random.default_rng(6)
+    for n in (3, 60, 396, 5000, 70_000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        for change in (0, 1, n // 9, n // 5, n):
+            b = np.unique(np.concatenate([a[change:], rng.integers(0, 2**63, change, dtype=np.uint64)]))
+            apart = 2 * change
+            least = jaccard_join._least_difference(jaccard_join._sketch(a), jaccard_join._sketch(b))
+            assert least <= apart
+            if n < 10_000 and change <= n // 5:
+                assert least >= apart - apart * apart / (4 * n) - 4 * apart**0.5 / 4 - 1
+            if change == n:
+                assert least > (2 * n) // 9  # nothing in common: no link at 80 of 100
+    small, large = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (100, 5000))
+    assert jaccard_join._least_difference(jaccard_join._sketch(small), jaccard_join._sketch(large)) <= 5100
+
+
+def relatives(n=60, size=400, edits=8):
+    """A family of which no two are alike enough, though they share many keys, and near copies of some."""
+    rng = random.Random(11)
+    base = [f"a{rng.randrange(5000)}" for _ in range(size)]
+    out = []
+    for f in range(n):
+        w = list(base)
+        for at in rng.sample(range(size), edits):
+            w[at] = f"b{f}x{at}"
+        out.append(w)
+    out += [[*w[:200], "changed", *w[201:]] for w in out[:10]]
+    return [(i, " ".join(w)) for i, w in enumerate(out)]
+
+
+def test_relatives_below_the_threshold_are_no_candidates(spark, monkeypatch):
+    checked, exact = [], jaccard_join._linked
+    monkeypatch.setattr(jaccard_join, "_linked", lambda pairs, *a: checked.append(pairs.count()) or exact(pairs, *a))
+    rows = relatives()
+    got = sorted((False, *r) for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == brute_components(rows, 5, 80, 100)
+    assert sum(checked) <= 40  # ten links; 70 * 69 / 2 pairs
+
+
+def test_pairs_of_blocks_go_on_from_batch_to_batch(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    rows = [(i, t) for i, t in enumerate(families(2, 3, 60, 4) + [t for _, t in relatives(12)])]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = sorted((False, *r) for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), rounds=1).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == brute_components(rows, 5, 80, 100)
+
+
+def test_components_of_few_links_take_few_tasks(spark):
+    keys = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    sc = spark.sparkContext
+    links = spark.createDataFrame([(i, i + 1) for i in range(0, 40, 2)] + [(0, 7), (5, 30)], "a bigint, b bigint").coalesce(2)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few-tasks", "")
+        assert components(links).count() == 40
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    track = sc.statusTracker()
+    sizes = [track.getStageInfo(s).numTasks for j in track.getJobIdsForGroup("few-tasks") for s in track.getJobInfo(j).stageIds if track.getStageInfo(s)]
+    assert len(sizes) > 5
+    assert sum(n == 60 for n in sizes) < len(sizes) / 4, sorted(sizes)
+
+
 def test_components(spark):
     rng = random.Random(8)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(500 + i, 501 + i) for i in range(40)] + [(700, 700 + i) for i in range(50)]
